@@ -11,7 +11,7 @@ from swingframe.constants import BAG_LABELS, CAMERA_CLUBS, DOPPLER_CLUBS
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def safe_double(c: Column) -> Column:
@@ -27,12 +27,15 @@ def clean_double(c: Column) -> Column:
     return nan_to_null(safe_double(c))
 
 
-def clean_spin(c: Column) -> Column:
+def known_spin(spin: Column) -> Column:
     """Spin is never negative: monitors use a large negative value for "not measured"."""
-    spin = clean_double(c)
     return F.when(spin >= 0, spin)
 
 
+def clean_spin(c: Column) -> Column:
+    return known_spin(clean_double(c))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -234,8 +234,8 @@ def even_subsample(clouds: DataFrame, keys: list[str], order: str, n: int) -> Da
     ranked = ordinal_rank(clouds, keys, order)
     last = F.col("size") - 1
     # A row is taken when the smallest k whose position reaches it lands on it exactly.
-    k = F.ceil(F.col("rank") * (n - 1) / last)
-    taken = F.floor(k * last / (n - 1)) == F.col("rank")
+    k = F.ceil(F.try_divide(F.col("rank") * (n - 1), last))
+    taken = F.floor(k * last / max(n - 1, 1)) == F.col("rank")
     keep = (F.col("size") <= n) | (taken if n > 1 else F.col("rank") == 0)
     return ranked.where(keep).drop("rank", "size")
 

@@ -17,24 +17,22 @@ from swingframe.functions import units as U
 from swingframe.schemas import as_common
 
 
-def _measure(name: str, column: str | None) -> Column:
-    if column is None:
-        return C.null_of("double").alias(name)
-    clean = C.clean_spin if name == "spin_rate_rpm" else C.clean_double
-    return clean(F.col(column)).alias(name)
-
-
 def _project(
     raw: DataFrame, columns: dict[str, str], player: Column, club: Column, date: Column
 ) -> DataFrame:
     """Common-schema projection from a {common name: raw column} map; a measure
-    that is not in the map is a typed null."""
-    return as_common(raw.select(
+    that is not in the map is a typed null. Cells are parsed in a projection of their
+    own, so that later rules read a parsed value instead of parsing again."""
+    typed = raw.select(
         C.shot_key(F.col("_source"), F.col("_row_index")).alias("shot_id"),
         F.col("_source").alias("source"),
         player.alias("player"), club.alias("club"), date.alias("session_date"),
-        *[_measure(m, columns.get(m)) for m in MEASURES],
-    ))
+        *[
+            (C.clean_double(F.col(columns[m])) if m in columns else C.null_of("double")).alias(m)
+            for m in MEASURES
+        ],
+    )
+    return as_common(typed.withColumn("spin_rate_rpm", C.known_spin(F.col("spin_rate_rpm"))))
 
 
 def conform_radar(raw: DataFrame) -> DataFrame:

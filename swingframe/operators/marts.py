@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swingframe.functions.cleaning import surrogate_key
@@ -24,17 +24,23 @@ def named_shots(facts: DataFrame, clubs: DataFrame, players: DataFrame) -> DataF
     ).select("source", "carry_method", "player", "club", "carry_yards", "total_yards", "side_dispersion")
 
 
+def one_decimal(c: Column) -> Column:
+    """Round an average to 0.1. The order in which partial sums meet moves an average in
+    its last bits, which would decide an exact half; a first rounding takes that out."""
+    return F.round(F.round(c, 9), 1)
+
+
 def gapping_aggregate(shots: DataFrame) -> DataFrame:
     """Counts, means, spread and approximate quantiles; every part merges on the map side."""
     q = F.percentile_approx("carry_yards", [0.1, 0.5, 0.9], QUANTILE_ACCURACY)
     grouped = shots.groupBy("source", "carry_method", "player", "club").agg(
         F.count(F.lit(1)).alias("shot_count"),
-        F.round(F.avg("carry_yards"), 1).alias("avg_carry_yards"),
+        one_decimal(F.avg("carry_yards")).alias("avg_carry_yards"),
         q.alias("_q"),
-        F.round(F.stddev_samp("carry_yards"), 1).alias("carry_consistency_sd"),
-        F.round(F.avg("total_yards"), 1).alias("avg_total_yards"),
-        F.round(F.avg(F.abs("side_dispersion")), 1).alias("avg_offline_yards"),
-        F.round(F.avg("side_dispersion"), 1).alias("avg_side_bias_yards"),
+        one_decimal(F.stddev_samp("carry_yards")).alias("carry_consistency_sd"),
+        one_decimal(F.avg("total_yards")).alias("avg_total_yards"),
+        one_decimal(F.avg(F.abs("side_dispersion"))).alias("avg_offline_yards"),
+        one_decimal(F.avg("side_dispersion")).alias("avg_side_bias_yards"),
     )
     return grouped.select(
         "source", "carry_method", "player", "club", "shot_count", "avg_carry_yards",

@@ -271,11 +271,11 @@ EXPORT = {
     "Carry": tables.spoiled(tables.CARRY, 3), "Carry Dist.": tables.spoiled(tables.CARRY, 4),
     "Offline": tables.spoiled(tables.SIDE, 5), "HLA": tables.spoiled(tables.DIRECTION, 6), "Note": "'x'",
 }
-relation("export_raw", "SELECT " + ", ".join(f'{v} AS "{k}"' for k, v in EXPORT.items()) + ", event_id AS n FROM events")
+relation("export_raw", "SELECT " + ", ".join(f'{v} AS "{k}"' for k, v in EXPORT.items()) + ", event_id AS n FROM event_metrics")
 
 
 def export(spark, folder):
-    return tables.read(spark, folder, "events").selectExpr(*[f"{v} AS `{k}`" for k, v in EXPORT.items()])
+    return tables.event_metrics(spark, folder).selectExpr(*[f"{v} AS `{k}`" for k, v in EXPORT.items()])
 
 
 # No row key survives the alias projection, so the two sides are compared as counted bags.
@@ -424,12 +424,14 @@ def fct_shots(spark, folder):
     return warehouse.star(spark, folder).facts
 
 
+relation("dated_shots", """SELECT s.shot_id, s.source, s.player, s.club, coalesce(s.session_date, d.session_date) AS session_date,
+  d.carry_method FROM silver_shots s JOIN dim_session d ON s.source = d.source""")
+
+
 @query("fct_shots_own_date", """
-WITH dated AS (SELECT s.shot_id, s.source, s.player, s.club, coalesce(s.session_date, d.session_date) AS session_date,
-  d.carry_method FROM silver_shots s JOIN dim_session d ON s.source = d.source)
 SELECT s.*, coalesce(p.player_key, md5('unknown|1900-01-01')) AS player_key,
   coalesce(c.club_key, md5('unknown|unknown|1900-01-01')) AS club_key, c.model_year AS club_model_year
-FROM dated s
+FROM dated_shots s
 LEFT JOIN dim_player p ON s.player = p.player AND s.session_date BETWEEN p.valid_from AND p.valid_to
 LEFT JOIN dim_club c ON s.player = c.player AND s.club = c.club_type AND s.session_date BETWEEN c.valid_from AND c.valid_to""")
 def fct_shots_own_date(spark, folder):
@@ -504,10 +506,10 @@ def contract_relationships(spark, folder):
 
 
 @query("scd2_one_current", """SELECT player AS entity, count(*) FILTER (WHERE is_current) AS n_current
-FROM (SELECT * FROM dim_player WHERE year(valid_from) % 2 = 0) GROUP BY player HAVING count(*) FILTER (WHERE is_current) <> 1""")
+FROM (SELECT * FROM dim_player WHERE year(valid_from) % 2 = 1) GROUP BY player HAVING count(*) FILTER (WHERE is_current) <> 1""")
 def scd2_one_current(spark, folder):
     """Run on a history with versions taken out, so that there is something to find."""
-    damaged = dims.dim_player(tables.player_profiles(spark, folder)).where(F.year("valid_from") % 2 == 0)
+    damaged = dims.dim_player(tables.player_profiles(spark, folder)).where(F.year("valid_from") % 2 == 1)
     return contracts.not_one_current(damaged, F.col("player"))
 
 

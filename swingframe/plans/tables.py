@@ -25,7 +25,7 @@ def pick(index: str, values: list[str]) -> str:
 
 def mix(a: int, b: int, mod: int, base: int = 0) -> str:
     """A spread-out integer in [base, base + mod)."""
-    return f"({base} + (event_id * {a} + {K_OF} * {b}) % {mod})"
+    return f"({base} + (event_id * {a} + k * {b}) % {mod})"
 
 
 def tenths(t: str) -> str:
@@ -51,16 +51,18 @@ def _lineage(source: str) -> list[str]:
 
 
 CLUB_CELL = pick("CAST(event_id % 10 AS INT)", CLUB_NAMES)
-BALL = tenths(mix(37, 11, 1300, 600))
-SPEED = tenths(mix(41, 7, 600, 600))
-SMASH = "concat('1.', CAST(" + mix(43, 5, 90, 10) + " AS STRING))"
-LAUNCH = signed(mix(47, 3, 350), 9)
-SPIN = "CAST(" + mix(53, 17, 10000, 1000) + " AS STRING)"
-CARRY = tenths(mix(59, 19, 4200, 500))
-TOTAL = tenths(mix(59, 19, 4200, 600))
-SIDE = signed(mix(61, 23, 400), 2)
-AXIS = signed(mix(67, 29, 300), 3)
-DIRECTION = signed(mix(71, 31, 80), 5)
+# Integer metrics, each computed once per row ahead of the cell texts.
+METRICS = {
+    "m_ball": mix(37, 11, 1300, 600), "m_speed": mix(41, 7, 600, 600), "m_smash": mix(43, 5, 90, 10),
+    "m_launch": mix(47, 3, 350), "m_spin": mix(53, 17, 10000, 1000), "m_carry": mix(59, 19, 4200, 500),
+    "m_total": mix(59, 19, 4200, 600), "m_side": mix(61, 23, 400), "m_axis": mix(67, 29, 300),
+    "m_direction": mix(71, 31, 80), "c_ball": mix(37, 11, 500, 300), "c_carry": mix(59, 19, 2000, 300),
+    "c_distance": mix(59, 19, 2000, 350), "c_side": mix(61, 23, 300), "c_spinside": mix(61, 23, 9000),
+}
+BALL, SPEED, CARRY, TOTAL = tenths("m_ball"), tenths("m_speed"), tenths("m_carry"), tenths("m_total")
+SMASH, SPIN = "concat('1.', CAST(m_smash AS STRING))", "CAST(m_spin AS STRING)"
+LAUNCH, SIDE = signed("m_launch", 9), signed("m_side", 2)
+AXIS, DIRECTION = signed("m_axis", 3), signed("m_direction", 5)
 PLAYER = "concat('Player ', CAST(user_id % 30 AS STRING))"
 
 # {stamp24}, {stamp12} and {folder} are the only dialect-specific texts.
@@ -108,11 +110,11 @@ RAW_COLUMNS = {
         "CAST(user_id % 30 AS STRING) AS golferid",
         pick("CAST(event_id % 9 AS INT)",
              ["W1", "W3", "I4", "I5", "I6", "I7", "I8", "I9", "PT"]) + " AS clubtype",
-        f"{spoiled(tenths(mix(37, 11, 500, 300)), 0)} AS ballspeed",
-        f"{spoiled(tenths(mix(59, 19, 2000, 300)), 1)} AS carry",
-        f"{spoiled(tenths(mix(59, 19, 2000, 350)), 2)} AS distance",
-        f"{spoiled(signed(mix(61, 23, 300), 2), 3)} AS lrdistanceout",
-        f"{spoiled(SPIN, 4)} AS spinback", f"{spoiled(signed(mix(61, 23, 9000), 2), 5)} AS spinside",
+        f"{spoiled(tenths("c_ball"), 0)} AS ballspeed",
+        f"{spoiled(tenths("c_carry"), 1)} AS carry",
+        f"{spoiled(tenths("c_distance"), 2)} AS distance",
+        f"{spoiled(signed("c_side", 2), 3)} AS lrdistanceout",
+        f"{spoiled(SPIN, 4)} AS spinback", f"{spoiled(signed("c_spinside", 2), 5)} AS spinside",
         f"{spoiled(AXIS, 6)} AS spinaxis", f"{spoiled(DIRECTION, 7)} AS directionangle",
     ]),
 }
@@ -135,10 +137,12 @@ def _texts(source: str, dialect: dict[str, str]) -> list[str]:
     return texts
 
 
+relation("events_k", f"SELECT *, {K_OF} AS k FROM events")
+relation("event_metrics", "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in METRICS.items()) + " FROM events_k")
 for _source, (_type, _) in RAW_COLUMNS.items():
     _views = ", (VALUES (0), (1)) AS v(view_no)" if _source == "caddieset" else ""
     relation(f"{_source}_raw",
-             f"SELECT {', '.join(_texts(_source, DUCK_DIALECT))} FROM events{_views} "
+             f"SELECT {', '.join(_texts(_source, DUCK_DIALECT))} FROM event_metrics{_views} "
              f"WHERE event_type = '{_type}'")
 
 
@@ -146,16 +150,33 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def raw_source(spark: SparkSession, folder: str, source: str) -> DataFrame:
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with the number out of `props`. A table that arrives in fewer splits than
+    the session has cores is spread out first; a large one is left as it is."""
+    events = read(spark, folder, "events")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores)
+    return events.selectExpr("*", f"{K_OF} AS k")
+
+
+def event_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return read_events(spark, folder).selectExpr("*", *[f"{e} AS {n}" for n, e in METRICS.items()])
+
+
+def raw_source(
+    spark: SparkSession, folder: str, source: str, metrics: DataFrame | None = None
+) -> DataFrame:
     kind, _ = RAW_COLUMNS[source]
-    events = read(spark, folder, "events").where(f"event_type = '{kind}'")
+    events = (metrics or event_metrics(spark, folder)).where(f"event_type = '{kind}'")
     if source == "caddieset":
         events = events.selectExpr("*", "explode(array(0, 1)) AS view_no")
     return events.selectExpr(*_texts(source, SPARK_DIALECT))
 
 
 def raw_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {source: raw_source(spark, folder, source) for source in K.SOURCES}
+    metrics = event_metrics(spark, folder)
+    return {source: raw_source(spark, folder, source, metrics) for source in K.SOURCES}
 
 
 # ---- dimension inputs from orders and part ------------------------------
@@ -230,13 +251,50 @@ LANDING_COLUMNS = [
     "concat('bag', CAST(user_id % 3 AS STRING)) AS bag_id",
     _CASE.format(*[f"'{c}'" for c, _ in LANDING_CLUBS.values()]) + " AS club",
     "CAST(" + _CASE.format(*[str(b) for _, b in LANDING_CLUBS.values()])
-    + f" + (event_id * 37 + {K_OF} * 13) % 400 - 200 AS DOUBLE) / 1e1 AS carry",
-    f"CAST((event_id * 53 + {K_OF} * 29) % 300 - 150 AS DOUBLE) / 1e1 AS lateral",
+    + " + (event_id * 37 + k * 13) % 400 - 200 AS DOUBLE) / 1e1 AS carry",
+    "CAST((event_id * 53 + k * 29) % 300 - 150 AS DOUBLE) / 1e1 AS lateral",
     "event_id AS ord",
 ]
-relation("landings", f"SELECT {', '.join(LANDING_COLUMNS)} FROM events")
+relation("landings", f"SELECT {', '.join(LANDING_COLUMNS)} FROM events_k")
 
 
 def landings(spark: SparkSession, folder: str) -> DataFrame:
     """`(bag_id, club, carry, lateral, ord)`, one row per event."""
-    return read(spark, folder, "events").selectExpr(*LANDING_COLUMNS)
+    return read_events(spark, folder).selectExpr(*LANDING_COLUMNS)
+
+
+# ---- typed shots from events --------------------------------------------
+# Club labels as players write them; a third of the shots belong to one player.
+SHOT_CLUBS = {"purchase": ("Driver", 1500, 2300), "click": ("3w", 1400, 2080), "view": ("5 Iron", 1200, 1700),
+              "signup": ("7i", 1100, 1480), "error": ("pw", 900, 1180)}
+_SHOT_CASE = "CASE event_type " + " ".join(f"WHEN '{t}' THEN {{{i}}}" for i, t in enumerate(SHOT_CLUBS)) + " END"
+
+
+def _unless(mod: int, expr: str) -> str:
+    return f"CASE WHEN event_id % {mod} = 0 THEN CAST(NULL AS DOUBLE) ELSE {expr} END"
+
+
+_B = _SHOT_CASE.format(*[str(v[1]) for v in SHOT_CLUBS.values()])
+_C = _SHOT_CASE.format(*[str(v[2]) for v in SHOT_CLUBS.values()])
+SHOT_COLUMNS = [
+    "event_id AS ord", "md5(CAST(event_id AS STRING)) AS shot_id",
+    "CASE WHEN event_id % 4 = 0 THEN 'foresight' ELSE 'trackman' END AS source",
+    "CASE WHEN event_id % 4 = 0 THEN 'estimated' ELSE 'measured' END AS carry_method",
+    "CASE WHEN event_id % 3 = 0 THEN 'unknown' ELSE concat('Player ', CAST(user_id % 7 AS STRING)) END AS player",
+    _SHOT_CASE.format(*[f"'{v[0]}'" for v in SHOT_CLUBS.values()]) + " AS club",
+    f"CASE WHEN event_id % 41 = 0 THEN 35e0 ELSE {_unless(17, f'CAST({_B} + (event_id * 37 + k * 11) % 260 - 130 AS DOUBLE) / 1e1')} END AS ball_speed_mph",
+    "CAST(800 + (event_id * 41 + k * 7) % 300 AS DOUBLE) / 1e1 AS club_speed_mph",
+    "CAST(120 + (event_id * 43 + k * 5) % 40 AS DOUBLE) / 1e2 AS smash_factor",
+    _unless(19, "CAST(60 + (event_id * 47 + k * 3) % 140 AS DOUBLE) / 1e1") + " AS launch_angle_deg",
+    _unless(23, "CAST(1400 + (event_id * 53 + k * 17) % 4000 AS DOUBLE)") + " AS spin_rate_rpm",
+    _unless(29, f"CAST({_C} + (event_id * 59 + k * 19) % 320 - 160 AS DOUBLE) / 1e1") + " AS carry_yards",
+    _unless(31, f"CAST({_C} + (event_id * 59 + k * 19) % 320 AS DOUBLE) / 1e1") + " AS total_yards",
+    _unless(37, "CAST((event_id * 61 + k * 23) % 400 - 200 AS DOUBLE) / 1e1") + " AS side_dispersion",
+    _unless(5, "CAST((event_id * 67 + k * 29) % 300 - 150 AS DOUBLE) / 1e1") + " AS spin_axis_deg",
+    _unless(7, "CAST((event_id * 71 + k * 31) % 80 - 40 AS DOUBLE) / 1e1") + " AS launch_direction_deg",
+]
+relation("typed_shots", f"SELECT {', '.join(SHOT_COLUMNS)} FROM events_k")
+
+
+def typed_shots(spark: SparkSession, folder: str) -> DataFrame:
+    return read_events(spark, folder).selectExpr(*SHOT_COLUMNS)
