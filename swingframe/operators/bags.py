@@ -283,8 +283,10 @@ def gap_fill(base: DataFrame, measured: DataFrame, keys: list[str], value: str)
         *keys, F.coalesce("_own", F.col(value)).alias(value), F.col("_own").isNotNull().alias("is_real"))
 
 
-def bag_from_shots(shots: DataFrame, tour: DataFrame, bag: str = "bag_id") -> DataFrame:
-    """Per bag, a full set of clubs from its shots.
+def bag_from_shots(
+    shots: DataFrame, tours: DataFrame, bag: str = "bag_id", tour: str = "pga"
+) -> DataFrame:
+    """Per bag, a full set of clubs from its shots; `tours` is `(tour, club, carry_yards, ...)`.
 
     Clubs with enough clean strikes are real: trimmed to the median band and placed on
     their median measured carry with the spread of their own landings. The rest come
@@ -300,10 +302,10 @@ def bag_from_shots(shots: DataFrame, tour: DataFrame, bag: str = "bag_id") -> Da
     ).where(F.col("n_observed") >= K.MIN_SHOTS)
     middle = exact_median(clean, keys, "carry_yards", "_median")
     real = salted_free(stats, middle, keys).withColumn("measured_carry", F.coalesce("_median", "_mean"))
-    scale = scale_ratio(real.select(F.col(bag).alias("bag_id"), "club", "measured_carry"), tour).select(
-        F.col("bag_id").alias(bag), "scale")
-    base = scale.join(F.broadcast(tour.select("club", "carry_yards")), how="cross").select(
-        bag, "club", (F.col("carry_yards") * F.col("scale")).alias("_scaled"))
+    reference = tours.where(F.col("tour") == tour)
+    scale = scale_ratio(real.select(F.col(bag).alias("bag_id"), "club", "measured_carry"), reference)
+    base = scale.withColumn("tour", F.lit(tour)).join(tours, "tour").select(
+        F.col("bag_id").alias(bag), "club", (F.col("carry_yards") * F.col("scale")).alias("_scaled"))
     found = real.select(F.col(bag).alias("_b"), F.col("club").alias("_c"), "n_observed", "measured_carry",
                         "carry_std_yards", "lateral_std_yards")
     joined = base.join(found, (F.col(bag) == F.col("_b")) & (F.col("club") == F.col("_c")), "left")

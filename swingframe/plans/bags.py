@@ -23,11 +23,11 @@ relation("ready_shots", f"SELECT * FROM typed_shots WHERE {READY}")
 def rounded(df, columns: dict[str, int] | list[str], places: int = 6):
     """Round the named floating columns, leaving the rest."""
     names = columns if isinstance(columns, list) else list(columns)
-    return df.select([F.round(c, places).alias(c) if c in names else F.col(c) for c in df.columns])
+    return df.select([F.round(F.round(c, 10), places).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
 def r6(expr: str, name: str) -> str:
-    return f"round({expr}, 6) AS {name}"
+    return f"{dround(expr, 6)} AS {name}"
 
 
 # ---- selections ---------------------------------------------------------
@@ -154,9 +154,9 @@ _SUMMARY = ["carry_mean_yards", "carry_std_yards", "lateral_mean_yards", "latera
   {r6('sqrt(greatest((a + c) / 2 - sqrt(pow((a - c) / 2, 2) + b * b), 0))', 'ellipse_semi_minor_yards')},
   {r6('degrees(atan2(2 * b, a - c) / 2)', 'ellipse_angle_deg')}
 FROM (SELECT bag_id, club, count(*) AS n_samples, avg(carry) AS carry_mean_yards, stddev_pop(carry) AS carry_std_yards,
-  avg(lateral) AS lateral_mean_yards, stddev_pop(lateral) AS lateral_std_yards,
+  avg("lateral") AS lateral_mean_yards, stddev_pop("lateral") AS lateral_std_yards,
   quantile_cont(carry, 0.1) AS carry_p10_yards, quantile_cont(carry, 0.9) AS carry_p90_yards,
-  var_samp(carry) AS a, covar_samp(carry, lateral) AS b, var_samp(lateral) AS c FROM landings GROUP BY bag_id, club)""")
+  var_samp(carry) AS a, covar_samp(carry, "lateral") AS b, var_samp("lateral") AS c FROM landings GROUP BY bag_id, club)""")
 def cloud_summary(spark, folder):
     return rounded(bags.cloud_summary(tables.landings(spark, folder), ["bag_id", "club"]), _SUMMARY)
 
@@ -185,7 +185,7 @@ relation("shot_labels", LABEL_SQL.replace("SELECT _row_index, label, CASE", "SEL
 
 @query("spread_report", """SELECT c.club, c.n, round(c.sc, 6) AS cloud_carry_sigma, round(c.ss, 6) AS cloud_side_sigma,
   round(m.mc, 6) AS measured_carry_sigma, round(m.ms, 6) AS measured_side_sigma
-FROM (SELECT club, count(*) AS n, stddev_pop(carry) AS sc, stddev_pop(lateral) AS ss FROM landings GROUP BY club) c
+FROM (SELECT club, count(*) AS n, stddev_pop(carry) AS sc, stddev_pop("lateral") AS ss FROM landings GROUP BY club) c
 JOIN (SELECT bag_club AS club, stddev_pop(carry_yards) AS mc, stddev_pop(side_dispersion) AS ms FROM shot_labels GROUP BY 1) m
   ON c.club = m.club""")
 def spread_report(spark, folder):
@@ -248,8 +248,7 @@ JOIN (SELECT 'pga' AS tour, * FROM tour_pga UNION ALL SELECT 'lpga', * FROM tour
 JOIN (SELECT club, count(*) AS shots FROM landings GROUP BY club) n ON n.club = t.club""")
 def profile_stock(spark, folder):
     """Stock tables of the profiles for the clubs that were hit."""
-    tours = seeds.tour_averages(spark, "pga").withColumn("tour", F.lit("pga")).unionByName(
-        seeds.tour_averages(spark, "lpga").withColumn("tour", F.lit("lpga")))
+    tours = seeds.all_tours(spark)
     profiles = spark.sql(seeds.values_sql(["profile", "tour", "dist_scale"], PROFILE_ROWS))
     hit = tables.landings(spark, folder).groupBy("club").agg(F.count(F.lit(1)).alias("shots"))
     return rounded(bags.profile_stock(tours, profiles).join(hit, "club"), ["ball_speed_mph", "carry_yards"])
@@ -272,8 +271,8 @@ FROM (SELECT DISTINCT l.bag_id, t.club, t.carry_yards AS carry FROM landings l,
 LEFT JOIN bag_carries b ON s.bag_id = b.bag_id AND s.club = b.club""")
 def gap_fill(spark, folder):
     own = bag_carries(spark, folder)
-    tour = seeds.tour_averages(spark, "pga").select("club", F.col("carry_yards").alias("carry"))
-    base = own.select("bag_id").distinct().join(F.broadcast(tour), how="cross")
+    tours = seeds.all_tours(spark).select("tour", "club", F.col("carry_yards").alias("carry"))
+    base = own.select("bag_id").distinct().withColumn("tour", F.lit("pga")).join(tours, "tour").drop("tour")
     return bags.gap_fill(base, own.withColumnRenamed("measured_carry", "carry"), ["bag_id", "club"], "carry")
 
 
@@ -300,7 +299,7 @@ FROM (SELECT b.player, coalesce(median(b.measured_carry / t.carry_yards), 1) AS
       LEFT JOIN tour_pga t ON b.club = t.club GROUP BY b.player) s CROSS JOIN tour_pga t
 LEFT JOIN bag_real r ON r.player = s.player AND r.club = t.club""")
 def bag_from_shots(spark, folder):
-    built = bags.bag_from_shots(tables.typed_shots(spark, folder), seeds.tour_averages(spark, "pga"), bag="player")
+    built = bags.bag_from_shots(tables.typed_shots(spark, folder), seeds.all_tours(spark), bag="player")
     return rounded(built, ["carry_yards", "carry_std_yards", "lateral_std_yards"])
 
 

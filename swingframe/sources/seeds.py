@@ -54,3 +54,9 @@ def session_manifest(spark: SparkSession) -> DataFrame:
 def tour_averages(spark: SparkSession, tour: str) -> DataFrame:
     rows = [(club, *map(float, v)) for club, v in K.TOUR_AVERAGES[tour].items()]
     return constant_table(spark, schemas.TOUR_AVERAGES, rows)
+
+
+def all_tours(spark: SparkSession) -> DataFrame:
+    """Both tours' averages in one table with a `tour` column."""
+    rows = [(t, c, *map(float, v)) for t, clubs in K.TOUR_AVERAGES.items() for c, v in clubs.items()]
+    return spark.sql(values_sql(["tour", "club", *K.TOUR_COLUMNS], rows))
