@@ -21,6 +21,19 @@ def ring_edges(ring: Column) -> Column:
         F.get(ring, (i + 1) % n)[0].alias("x1"), F.get(ring, (i + 1) % n)[1].alias("y1")))
 
 
+def ring_spans(ring: Column) -> Column:
+    """The edges a horizontal line can cross, as `array<struct<low,high,lean,foot>>`: the
+    edge covers low <= y < high and stands at x = lean * y + foot. Worked out once per
+    hole, so that a point costs two comparisons for most edges."""
+    def span(e: Column) -> Column:
+        lean = (e["x1"] - e["x0"]) / F.nullif(e["y1"] - e["y0"], F.lit(0.0))
+        return F.struct(
+            F.least(e["y0"], e["y1"]).alias("low"), F.greatest(e["y0"], e["y1"]).alias("high"),
+            lean.alias("lean"), (e["x0"] - lean * e["y0"]).alias("foot"))
+
+    return F.transform(F.filter(ring_edges(ring), lambda e: e["y0"] != e["y1"]), span)
+
+
 def usable_rings(rings: Column) -> Column:
     return F.filter(F.coalesce(rings, F.array()), lambda r: F.size(r) >= 3)
 
@@ -33,24 +46,21 @@ def layer(rings: Column) -> Column:
     return F.when(F.size(good) > 0, F.struct(
         F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"),
         F.array_min(ys).alias("min_y"), F.array_max(ys).alias("max_y"),
-        F.transform(good, ring_edges).alias("edges")))
+        F.transform(good, ring_edges).alias("edges"),
+        F.transform(good, ring_spans).alias("spans")))
 
 
-def inside_edges(edges: Column, x: Column, y: Column) -> Column:
+def inside_spans(spans: Column, x: Column, y: Column) -> Column:
     """Odd number of edges crossed going right from the point."""
-    def crosses(e: Column) -> Column:
-        rise = F.nullif(e["y1"] - e["y0"], F.lit(0.0))
-        return ((e["y0"] > y) != (e["y1"] > y)) & (
-            x < (e["x1"] - e["x0"]) * (y - e["y0"]) / rise + e["x0"])
-
-    return F.size(F.filter(edges, crosses)) % 2 == 1
+    return F.size(F.filter(spans, lambda e: (y >= e["low"]) & (y < e["high"]) & (
+        x < e["lean"] * y + e["foot"]))) % 2 == 1
 
 
 def inside_layer(of: Column, x: Column, y: Column) -> Column:
     """Whether the point lies in any ring of the layer; false for an absent layer."""
     in_box = x.between(of["min_x"], of["max_x"]) & y.between(of["min_y"], of["max_y"])
     return F.when(of.isNull(), F.lit(False)).when(
-        in_box, F.exists(of["edges"], lambda e: inside_edges(e, x, y))).otherwise(F.lit(False))
+        in_box, F.exists(of["spans"], lambda s: inside_spans(s, x, y))).otherwise(F.lit(False))
 
 
 def edge_distance(of: Column, x: Column, y: Column) -> Column:

@@ -2,35 +2,64 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swingframe import constants as K
+from swingframe.functions import cleaning as C
 from swingframe.functions import geometry as G
 from swingframe.functions import strokes as S
 
 LAYERS = ["green", "fairway", "bunkers", "water", "playable"]
-REGION = ("struct<kind:string,near:double,far:double,left:double,right:double,"
-          "penalty_strokes:double,drop_distance:double>")
 
 
 # ---- parametric holes ---------------------------------------------------
-def nest_regions(holes: DataFrame, regions: DataFrame) -> DataFrame:
-    """Hole rows with their rectangles as one ordered array (a hole has a handful)."""
-    fields = ["kind", "near", "far", "left", "right", "penalty_strokes", "drop_distance"]
-    nested = regions.groupBy("hole_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", *fields))),
-                    lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias("regions"))
-    joined = holes.join(nested, "hole_id", "left")
-    return joined.withColumn("regions", F.coalesce("regions", F.array().cast(f"array<{REGION}>")))
+def is_penalty(kind: Column) -> Column:
+    return kind.isin("water", "ob")
+
+
+def lay_regions(holes: DataFrame, regions: DataFrame) -> DataFrame:
+    """Holes with their rectangles laid out as struct columns `sand_0, sand_1, ...` and
+    `wet_0, ...` (in the order given, each wet one with its replay cost).
+
+    A hole has a handful of rectangles, and columns instead of an array keep the test of
+    a landing inside generated code. One small aggregate finds how many columns it takes.
+    """
+    drop = F.coalesce("drop_distance", F.col("pin_distance") - K.DROP_BACK_YARDS)
+    priced = regions.join(holes.select("hole_id", "pin_distance"), "hole_id").select(
+        "hole_id", "ord", F.when(is_penalty(F.col("kind")), "wet").when(F.col("kind") == "sand", "sand").alias("sort"),
+        F.struct(
+            "near", "far", "left", "right", F.col("penalty_strokes").alias("strokes"), drop.alias("drop"),
+            (F.col("penalty_strokes") + S.approach_strokes(F.abs(F.col("pin_distance") - drop))).alias("cost"),
+        ).alias("box"),
+    ).where("sort IS NOT NULL")
+    order = Window.partitionBy("hole_id", "sort").orderBy("ord")
+    placed = priced.withColumn("at", F.row_number().over(order) - 1)
+    widths = {r.sort: r.n for r in placed.groupBy("sort").agg((F.max("at") + 1).alias("n")).collect()}
+    slots = [(sort, i) for sort, n in sorted(widths.items()) for i in range(n)]
+    if not slots:
+        return holes
+    laid = placed.groupBy("hole_id").agg(*[
+        F.max(F.when((F.col("sort") == sort) & (F.col("at") == i), F.col("box"))).alias(f"{sort}_{i}")
+        for sort, i in slots
+    ])
+    return holes.join(laid, "hole_id", "left")
+
 
+def slots(df: DataFrame, sort: str) -> list[str]:
+    return sorted((c for c in df.columns if c.startswith(f"{sort}_")), key=lambda c: int(c.split("_")[1]))
 
-def in_rectangle(r: Column, x: Column, y: Column) -> Column:
-    return x.between(r["near"], r["far"]) & y.between(r["left"], r["right"])
 
+def in_box(box: str, x: Column, y: Column) -> Column:
+    inside = x.between(F.col(f"{box}.near"), F.col(f"{box}.far")) & y.between(
+        F.col(f"{box}.left"), F.col(f"{box}.right"))
+    return F.coalesce(inside, F.lit(False))
 
-def is_penalty(r: Column) -> Column:
-    return r["kind"].isin("water", "ob")
+
+def _any(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def points_in_regions(points: DataFrame, regions: DataFrame) -> DataFrame:
@@ -48,49 +77,47 @@ def parametric_remaining(x: Column, y: Column) -> Column:
     return F.hypot(F.col("pin_distance") - x, y)
 
 
-def parametric_lie(x: Column, y: Column) -> Column:
+def parametric_lie(df: DataFrame, x: Column, y: Column) -> Column:
     """Rough, then fairway by half width, green by radius, sand last."""
-    sand = F.exists("regions", lambda r: (r["kind"] == "sand") & in_rectangle(r, x, y))
     return (
-        F.when(sand, "sand")
+        F.when(_any([in_box(c, x, y) for c in slots(df, "sand")]), "sand")
         .when(parametric_remaining(x, y) <= F.col("green_radius"), "green")
         .when(F.abs(y) <= F.col("half_width"), "fairway").otherwise("rough")
     )
 
 
-def parametric_penalty(x: Column, y: Column) -> Column:
-    return F.exists("regions", lambda r: is_penalty(r) & in_rectangle(r, x, y))
+def parametric_penalty(df: DataFrame, x: Column, y: Column) -> Column:
+    return _any([in_box(c, x, y) for c in slots(df, "wet")])
 
 
-def penalty_replay(x: Column, y: Column) -> Column:
+def penalty_replay(df: DataFrame, x: Column, y: Column) -> Column:
     """Cost of the last penalty rectangle the point is in: its strokes plus an approach
     from its drop (or from short of the pin where it names none); null when dry."""
-    hits = F.filter("regions", lambda r: is_penalty(r) & in_rectangle(r, x, y))
-    last = F.get(F.reverse(hits), F.lit(0))
-    drop = F.coalesce(last["drop_distance"], F.col("pin_distance") - K.DROP_BACK_YARDS)
-    return last["penalty_strokes"] + S.approach_strokes(F.abs(F.col("pin_distance") - drop))
-
-
-def first_penalty() -> Column:
-    return F.get(F.filter("regions", is_penalty), F.lit(0))
+    cost = C.null_of("double")
+    for c in slots(df, "wet"):
+        cost = F.when(in_box(c, x, y), F.col(f"{c}.cost")).otherwise(cost)
+    return cost
 
 
 def parametric_bounds(holes: DataFrame) -> DataFrame:
     """Grid extent, replay point and penalty strokes of each parametric hole."""
     reach = F.greatest(F.col("half_width") + 25.0, F.lit(40.0))
+    wet = slots(holes, "wet")
+    default_drop = F.col("pin_distance") - K.DROP_BACK_YARDS
     return holes.withColumns({
         "min_x": F.lit(0.0), "max_x": F.col("pin_distance") + 40.0, "min_y": -reach, "max_y": reach,
-        "drop_x": F.coalesce(first_penalty()["drop_distance"], F.col("pin_distance") - K.DROP_BACK_YARDS),
-        "penalty_cost": F.coalesce(first_penalty()["penalty_strokes"], F.lit(1.0)),
+        "drop_x": F.coalesce(F.col(f"{wet[0]}.drop"), default_drop) if wet else default_drop,
+        "penalty_cost": F.coalesce(F.col(f"{wet[0]}.strokes"), F.lit(1.0)) if wet else F.lit(1.0),
     })
 
 
 def classify_parametric(points: DataFrame, holes: DataFrame) -> DataFrame:
     """Lie, remaining distance and penalty flag of points `(hole_id, x, y)`."""
     x, y = F.col("x"), F.col("y")
-    return points.join(holes, "hole_id").select(
+    placed = points.join(holes, "hole_id")
+    return placed.select(
         *points.columns, parametric_remaining(x, y).alias("remaining"),
-        parametric_lie(x, y).alias("lie"), parametric_penalty(x, y).alias("in_penalty"))
+        parametric_lie(placed, x, y).alias("lie"), parametric_penalty(placed, x, y).alias("in_penalty"))
 
 
 # ---- polygon holes ------------------------------------------------------

@@ -42,6 +42,13 @@ def salted_lookup(
     return joined.select(*rows.columns, *value_columns)
 
 
+def spread_out(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash the rows over all shuffle partitions ahead of a step that multiplies them.
+    Without it the adaptive planner sizes partitions by the small input and hands the
+    multiplied work to a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def null_safe_match(left: str, right: str, keys: list[str]) -> Column:
     """Join condition between two aliased frames in which null keys match each other."""
     condition = F.lit(True)

@@ -16,7 +16,7 @@ from swingframe.functions import strokes as S
 from swingframe.functions import units as U
 from swingframe.operators import holes as H
 from swingframe.operators.bags import even_subsample
-from swingframe.operators.joins import salted_lookup
+from swingframe.operators.joins import salted_lookup, spread_out
 
 CLUB = ["bag_id", "club"]
 
@@ -44,19 +44,19 @@ def _share(flag: Column) -> Column:
     return F.sum(F.when(flag, F.col("n")).otherwise(0)) / F.sum("n")
 
 
-def evaluate_aims(aimed: DataFrame, holes: DataFrame) -> DataFrame:
+def evaluate_aims(aimed: DataFrame) -> DataFrame:
     """Price every aim over its cloud on parametric holes.
 
-    `aimed` has cells joined with aims: `(hole_id, bag_id, club, aim, aim_distance,
-    aim_lateral, dx, dy, n)`. Penalty balls cost their strokes plus an approach from
-    the drop; proximity is over balls that stayed in play.
+    `aimed` has cells with their aims and their hole's columns: `(hole_id, bag_id, club,
+    aim, aim_distance, aim_lateral, dx, dy, n, ...)`. Penalty balls cost their strokes plus
+    an approach from the drop; proximity is over balls that stayed in play.
     """
     x, y = F.col("x"), F.col("y")
-    placed = aimed.join(holes, "hole_id").withColumns({
+    placed = aimed.withColumns({
         "x": F.col("dx") + F.col("aim_distance"), "y": F.col("dy") + F.col("aim_lateral")})
     judged = placed.withColumns({
-        "left_yards": H.parametric_remaining(x, y), "lie": H.parametric_lie(x, y),
-        "replay": H.penalty_replay(x, y)})
+        "left_yards": H.parametric_remaining(x, y), "lie": H.parametric_lie(placed, x, y),
+        "replay": H.penalty_replay(placed, x, y)})
     dry = F.col("replay").isNull()
     cost = F.coalesce("replay", S.curve_strokes(F.col("left_yards"), F.col("lie")))
     return judged.groupBy("hole_id", *CLUB, "aim", "aim_distance", "aim_lateral").agg(
@@ -67,30 +67,28 @@ def evaluate_aims(aimed: DataFrame, holes: DataFrame) -> DataFrame:
          / F.nullif(F.sum(F.when(dry, F.col("n"))), F.lit(0))).alias("mean_proximity_yards"))
 
 
-def aim_grid(
-    short: float = K.AIM_SHORT, long: float = K.AIM_LONG, span: float = 24.0, step: float = 3.0
-) -> Column:
-    """Candidate aims around a club's stock distance as an array of structs, downrange
-    outer and lateral inner; aims short of one yard are left out (or only stock is kept)."""
+def on_holes(cells: DataFrame, requests: DataFrame, holes: DataFrame) -> DataFrame:
+    """Cells on the holes their bag is asked about, `requests` `(bag_id, hole_id)`."""
+    asked = requests.select("bag_id", "hole_id").join(holes, "hole_id")
+    return salted_lookup(spread_out(cells, *CLUB, "dx", "dy"), asked, ["bag_id"], "inner",
+                         salt_on=["dx", "dy"])
+
+
+def with_aims(
+    placed: DataFrame, short: float = K.AIM_SHORT, long: float = K.AIM_LONG,
+    span: float = 24.0, step: float = 3.0,
+) -> DataFrame:
+    """Every cell at every candidate aim around its club's stock distance, downrange outer
+    and lateral inner. Aims short of one yard are left out; a club too short for any of
+    them is aimed at its stock distance."""
     deep, wide = int((short + long) / step + 1e-9) + 1, int(2 * span / step + 1e-9) + 1
-    stock = F.col("stock")
-    aims = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(deep - 1)), lambda i: F.transform(
-        F.sequence(F.lit(0), F.lit(wide - 1)), lambda j: F.struct(
-            (i * wide + j).alias("aim"), (stock - short + i * step).alias("aim_distance"),
-            (j * step - span).alias("aim_lateral")))))
-    legal = F.filter(aims, lambda a: a["aim_distance"] >= 1.0)
-    at_stock = F.transform(F.sequence(F.lit(0), F.lit(wide - 1)), lambda j: F.struct(
-        j.alias("aim"), stock.alias("aim_distance"), (j * step - span).alias("aim_lateral")))
-    return F.when(F.size(legal) > 0, legal).otherwise(at_stock)
-
-
-def with_aims(cells: DataFrame, requests: DataFrame, grid: Column) -> DataFrame:
-    """Every cell at every aim on the holes its bag is asked about, `requests`
-    `(bag_id, hole_id)`; the aims of a club are built once per club, not per cell."""
-    per_club = cells.select(*CLUB, "stock").distinct().select(*CLUB, grid.alias("_aims"))
-    asked = per_club.join(requests.select("bag_id", "hole_id"), "bag_id")
-    spread = salted_lookup(cells, asked, CLUB, "inner", salt_on=["dx", "dy"])
-    return spread.select("hole_id", *CLUB, "dx", "dy", "n", F.inline("_aims"))
+    stock, i = F.col("stock"), F.floor(F.col("aim") / wide)
+    reachable = stock - short + step * (deep - 1) >= 1.0
+    distance = F.when(reachable, stock - short + i * step).when(i == 0, stock)
+    aimed = placed.withColumn("aim", F.explode(F.sequence(F.lit(0), F.lit(deep * wide - 1))))
+    return aimed.withColumn("aim_distance", distance).where(
+        F.col("aim_distance").isNotNull() & (~reachable | (F.col("aim_distance") >= 1.0))
+    ).withColumn("aim_lateral", (F.col("aim") - i * wide) * step - span).drop("stock")
 
 
 def best_aims(prices: DataFrame, keys: list[str], price: str = "expected_strokes") -> DataFrame:
@@ -104,7 +102,7 @@ def best_aims(prices: DataFrame, keys: list[str], price: str = "expected_strokes
 
 def optimize_shots(clouds: DataFrame, requests: DataFrame, holes: DataFrame) -> DataFrame:
     """Per requested hole and bag, every club's best aim, ranked."""
-    prices = evaluate_aims(with_aims(cloud_cells(clouds), requests, aim_grid()), holes)
+    prices = evaluate_aims(with_aims(on_holes(cloud_cells(clouds), requests, holes)))
     best = best_aims(prices, ["hole_id", *CLUB])
     order = Window.partitionBy("hole_id", "bag_id").orderBy(F.round("expected_strokes", 9), "club")
     return best.withColumn("place", F.row_number().over(order).cast("bigint")).drop("aim")
@@ -129,7 +127,7 @@ def naive_against_best(clouds: DataFrame, requests: DataFrame, holes: DataFrame)
     cells = cloud_cells(clouds, centres).drop("stock")
     at_flag = salted_lookup(cells, naive_club, CLUB, "inner", salt_on=["dx", "dy"]).withColumns({
         "aim": F.lit(0), "aim_distance": F.col("pin_distance"), "aim_lateral": F.lit(0.0)})
-    naive = evaluate_aims(at_flag.drop("pin_distance"), holes).select(
+    naive = evaluate_aims(at_flag.drop("pin_distance").join(holes, "hole_id")).select(
         "hole_id", "bag_id", F.col("club").alias("naive_club"),
         F.col("expected_strokes").alias("naive_strokes"), F.col("penalty_pct").alias("naive_penalty"))
     best = optimize_shots(clouds, requests, holes).where("place = 1").select(
@@ -164,7 +162,7 @@ def _requested_cells(clouds: DataFrame, requests: DataFrame, n: int) -> DataFram
     wanted = chosen.select(*CLUB).distinct()
     sample = even_subsample(clouds.join(wanted, CLUB, "left_semi"), CLUB, "ord", n)
     cells = cloud_cells(sample, centres).drop("stock")
-    return salted_lookup(cells, chosen, CLUB, "inner", salt_on=["dx", "dy"])
+    return salted_lookup(spread_out(cells, *CLUB, "dx", "dy"), chosen, CLUB, "inner", salt_on=["dx", "dy"])
 
 
 def aim_for_pin(clouds: DataFrame, pins: DataFrame, holes: DataFrame, n: int = 700) -> DataFrame:

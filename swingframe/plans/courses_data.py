@@ -35,7 +35,7 @@ def regions(spark: SparkSession) -> DataFrame:
 
 
 def parametric_holes(spark: SparkSession) -> DataFrame:
-    return H.nest_regions(spark.sql(values_sql(HOLE_COLUMNS, HOLES)), regions(spark))
+    return H.lay_regions(spark.sql(values_sql(HOLE_COLUMNS, HOLES)), regions(spark))
 
 
 # ---- polygon holes ------------------------------------------------------

@@ -211,8 +211,8 @@ JOIN points p ON p.ord = r.ord
 JOIN curves c ON c.curve = 'fairway' AND abs(r.pin - r.drop_x) >= c.from_x AND abs(r.pin - r.drop_x) < c.to_x""")
 def penalty_relief(spark, folder):
     x, y = F.col("x"), F.col("y")
-    judged = points(spark, folder).join(D.parametric_holes(spark), "hole_id").select(
-        "hole_id", "ord", H.penalty_replay(x, y).alias("replay_cost"))
+    placed = points(spark, folder).join(D.parametric_holes(spark), "hole_id")
+    judged = placed.select("hole_id", "ord", H.penalty_replay(placed, x, y).alias("replay_cost"))
     return rounded(judged.where("replay_cost IS NOT NULL"), ["replay_cost"])
 
 
@@ -236,16 +236,12 @@ def parametric_bounds(spark, folder):
 # Aims over clouds: one text prices a table of aimed balls.
 def aim_prices(aimed: str) -> str:
     """`aimed`: hole_id, bag_id, club, aim, aim_distance, aim_lateral, x, y per ball."""
-    box = IN_BOX.replace("{x}", "a.x").replace("{y}", "a.y")
-    cells = f"""SELECT a.*, sqrt(pow(h.pin_distance - a.x, 2) + pow(a.y, 2)) AS left_yards, {sql_parametric_lie('a.x', 'a.y')} AS lie, w.cost AS replay
-FROM ({aimed}) a JOIN holes h ON a.hole_id = h.hole_id LEFT JOIN (SELECT NULL AS cost) w ON true"""
     wet = f"""SELECT a.*, sqrt(pow(h.pin_distance - a.x, 2) + pow(a.y, 2)) AS left_yards,
   CASE {' '.join(f"WHEN a.hole_id = '{r[0]}' AND a.x BETWEEN {r[4]}e0 AND {r[5]}e0 AND a.y BETWEEN {r[6]}e0 AND {r[7]}e0 THEN 'sand'" for r in D.REGIONS if r[3] == 'sand')}
     WHEN sqrt(pow(h.pin_distance - a.x, 2) + pow(a.y, 2)) <= h.green_radius THEN 'green'
     WHEN abs(a.y) <= h.half_width THEN 'fairway' ELSE 'rough' END AS lie,
   CASE {' '.join(f"WHEN a.hole_id = '{r[0]}' AND a.x BETWEEN {r[4]}e0 AND {r[5]}e0 AND a.y BETWEEN {r[6]}e0 AND {r[7]}e0 THEN (SELECT cost FROM region_costs WHERE region_id = '{r[1]}')" for r in sorted(D.REGIONS, key=lambda r: -r[2]) if r[3] in ('water', 'ob'))} END AS replay
 FROM ({aimed}) a JOIN holes h ON a.hole_id = h.hole_id"""
-    del cells
     return f"""SELECT hole_id, bag_id, club, aim, aim_distance, aim_lateral, 1 + avg(coalesce(replay, e)) AS expected_strokes,
   avg(CASE WHEN replay IS NOT NULL THEN 1e0 ELSE 0e0 END) AS penalty_pct,
   avg(CASE WHEN replay IS NULL AND lie = 'green' THEN 1e0 ELSE 0e0 END) AS frac_on_green,
@@ -279,10 +275,10 @@ FROM ({aim_prices('SELECT * FROM flag_balls')})""")
 def aim_evaluation(spark, folder):
     """Every club of every bag fired straight at its stock distance."""
     clouds = tables.landings(spark, folder)
-    cells = strategy.cloud_cells(clouds).withColumns({
-        "aim": F.lit(0), "aim_distance": F.col("stock"), "aim_lateral": F.lit(0.0)})
-    aimed = cells.drop("stock").join(bag_holes(clouds, ["pond", "front"]), "bag_id")
-    prices = strategy.evaluate_aims(aimed, D.parametric_holes(spark)).drop("aim_lateral")
+    placed = strategy.on_holes(
+        strategy.cloud_cells(clouds), bag_holes(clouds, ["pond", "front"]), D.parametric_holes(spark))
+    aimed = placed.withColumns({"aim": F.lit(0), "aim_distance": F.col("stock"), "aim_lateral": F.lit(0.0)})
+    prices = strategy.evaluate_aims(aimed).drop("aim_lateral")
     return rounded(prices, ["aim_distance", *_EVAL])
 
 
