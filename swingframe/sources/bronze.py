@@ -44,8 +44,7 @@ def parse_header(line: str) -> list[str]:
 
 def _file_tops(spark: SparkSession, root: str, source: Source) -> DataFrame:
     """(file, header line, whether physical line 2 is blank) per matching file."""
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option(
-        "encoding", source.encoding).text(root)
+    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
     lines = F.split(F.regexp_replace("value", "^\\uFEFF", ""), "\r\n|\n|\r", 3)
     return (
         text.select(_label(root).alias("file"), lines.alias("lines"))
