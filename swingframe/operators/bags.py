@@ -9,7 +9,12 @@ from swingframe import constants as K
 from swingframe.functions import cleaning as C
 from swingframe.functions import units as U
 from swingframe.operators.joins import salted_lookup
-from swingframe.operators.quantiles import exact_median, exact_percentiles, ordinal_rank
+from swingframe.operators.quantiles import (
+    exact_median,
+    exact_percentiles,
+    ordinal_rank,
+    value_counts,
+)
 
 CLUB_KEYS = ["source", "player", "club"]
 LAUNCH_SI = ["ball_speed_ms", "launch_angle_rad", "launch_direction_rad", "spin_rate_rad_s", "spin_axis_rad"]
@@ -109,19 +114,22 @@ def trim_percentiles(
     min_shots: int = K.MIN_SHOTS,
 ) -> DataFrame:
     """Keep each group's 5th to 95th percentile of `value` when enough rows remain,
-    else keep the group whole."""
-    limits = exact_percentiles(shots, keys, value, {"_lo": K.TRIM_LOW, "_hi": K.TRIM_HIGH}, width=0.5)
-    sizes = shots.groupBy(*keys).agg(F.count(value).alias("_sized"))
-    limits = salted_free(limits, sizes, keys)
-    marked = salted_lookup(shots, limits, keys, null_safe=True).withColumn(
-        "_in", F.coalesce(F.col(value).between(F.col("_lo"), F.col("_hi")), F.lit(False)))
-    kept = marked.groupBy(*keys).agg(F.count_if("_in").alias("_kept"))
-    judged = salted_lookup(marked, kept, keys, null_safe=True)
+    else keep the group whole. How many remain is read off the value counts that the
+    percentiles come from, so the rows themselves are joined once."""
+    limits = exact_percentiles(
+        shots, keys, value, {"_lo": K.TRIM_LOW, "_hi": K.TRIM_HIGH}, width=0.5, count="_sized")
+    inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    kept = salted_lookup(value_counts(shots, keys, value), limits, keys, "inner", null_safe=True, salt_on=["_v"]).groupBy(
+        *keys).agg(F.sum(F.when(inside, F.col("_n")).otherwise(0)).alias("_kept"))
     whole = (F.col("_sized") < min_shots) | (F.col("_kept") < min_shots)
-    return judged.where(F.coalesce(whole, F.lit(True)) | F.col("_in")).select(*shots.columns)
+    rules = one_to_one(limits, kept, keys).select(*keys, "_lo", "_hi", whole.alias("_whole"))
+    marked = salted_lookup(shots, rules, keys, null_safe=True)
+    # A group without a single value has no rule and is kept as it is.
+    return marked.where(
+        F.coalesce("_whole", F.lit(True)) | F.col(value).between(F.col("_lo"), F.col("_hi"))).select(*shots.columns)
 
 
-def salted_free(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def one_to_one(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Join two tables that both have one row per key (null keys match)."""
     renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
@@ -135,9 +143,7 @@ def trim_median(
     shots: DataFrame, keys: list[str], value: str, min_shots: int = K.MIN_SHOTS
 ) -> DataFrame:
     """Keep rows within 30 % of the group's median when the group has enough rows."""
-    stats = salted_free(
-        exact_median(shots, keys, value, "_median"),
-        shots.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys)
+    stats = exact_percentiles(shots, keys, value, {"_median": 0.5}, count="_rows")
     low, high = K.MEDIAN_BAND
     marked = salted_lookup(shots, stats, keys, null_safe=True)
     inside = F.col(value).between(F.col("_median") * low, F.col("_median") * high)
@@ -184,7 +190,7 @@ def cloud_summary(
     radius = F.hypot((F.col("_a") - F.col("_c")) / 2, F.col("_b"))
     # Axis direction is modulo 180 degrees: half the angle of (a - c, 2b).
     tilt = F.degrees(F.atan2(2 * F.col("_b"), F.col("_a") - F.col("_c")) / 2)
-    return salted_free(moments, tails, keys).select(
+    return one_to_one(moments, tails, keys).select(
         *keys, "n_samples", "carry_mean_yards", "carry_std_yards", "lateral_mean_yards",
         "lateral_std_yards", "carry_p10_yards", "carry_p90_yards",
         F.sqrt(F.greatest(half + radius, F.lit(0.0))).alias("ellipse_semi_major_yards"),
@@ -197,7 +203,7 @@ def error_report(rows: DataFrame, by: str, predicted: str, measured: str) -> Dat
     errors = rows.select(F.col(by).alias("group"), F.abs(F.col(predicted) - F.col(measured)).alias("error"))
     both = errors.withColumn("group", F.explode(F.array("group", F.lit("all"))))
     means = both.groupBy("group").agg(F.count("error").alias("n"), F.avg("error").alias("mean_abs_error"))
-    return salted_free(means, exact_median(both, ["group"], "error", "median_abs_error"), ["group"])
+    return one_to_one(means, exact_median(both, ["group"], "error", "median_abs_error"), ["group"])
 
 
 def spread_report(simulated: DataFrame, reported: DataFrame, key: str = "club") -> DataFrame:
@@ -219,7 +225,7 @@ def recentre(
     """Shift each cloud so that its mean is the target (0 without one), spread unchanged."""
     means = clouds.groupBy(*keys).agg(F.avg(value).alias("_mean"))
     if targets is not None:
-        means = salted_free(means, targets.select(*keys, F.col(target).alias("_target")), keys)
+        means = one_to_one(means, targets.select(*keys, F.col(target).alias("_target")), keys)
         goal = F.coalesce("_target", "_mean")
     else:
         goal = F.lit(0.0)
@@ -301,7 +307,7 @@ def bag_from_shots(
         F.stddev_pop("side_dispersion").alias("lateral_std_yards"),
     ).where(F.col("n_observed") >= K.MIN_SHOTS)
     middle = exact_median(clean, keys, "carry_yards", "_median")
-    real = salted_free(stats, middle, keys).withColumn("measured_carry", F.coalesce("_median", "_mean"))
+    real = one_to_one(stats, middle, keys).withColumn("measured_carry", F.coalesce("_median", "_mean"))
     reference = tours.where(F.col("tour") == tour)
     scale = scale_ratio(real.select(F.col(bag).alias("bag_id"), "club", "measured_carry"), reference)
     base = scale.withColumn("tour", F.lit(tour)).join(tours, "tour").select(

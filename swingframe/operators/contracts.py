@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swingframe import constants as K
+from swingframe.operators.joins import neighbour
 
 
 @dataclass(frozen=True)
@@ -68,10 +69,9 @@ def not_one_current(versions: DataFrame, entity: Column) -> DataFrame:
 
 def overlapping_windows(versions: DataFrame, entity: Column) -> DataFrame:
     """Versions that start before the previous version of the entity ends."""
-    order = Window.partitionBy("entity").orderBy("valid_from")
+    windows = versions.select(entity.alias("entity"), "valid_from", "valid_to")
     return (
-        versions.select(entity.alias("entity"), "valid_from", "valid_to")
-        .withColumn("prev_valid_to", F.lag("valid_to").over(order))
+        neighbour(windows, ["entity"], "valid_from", "valid_to", "prev_valid_to", ahead=False)
         .where("prev_valid_to >= valid_from").select("entity", "valid_from", "prev_valid_to")
     )
 

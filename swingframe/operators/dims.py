@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swingframe.constants import OPEN_END
 from swingframe.functions import cleaning as C
+from swingframe.operators.joins import neighbour, salted_lookup
 
 
 def with_validity(df: DataFrame, keys: list[str]) -> DataFrame:
     """A version holds until the day before the next one; the last one is open."""
-    order = Window.partitionBy(*keys).orderBy("valid_from")
-    ends = F.date_sub(F.lead("valid_from").over(order), 1)
-    return df.withColumn("valid_to", F.coalesce(ends, F.lit(OPEN_END).cast("date"))).withColumn(
-        "is_current", F.col("valid_to") == F.lit(OPEN_END).cast("date"))
+    open_end = F.lit(OPEN_END).cast("date")
+    ends = F.coalesce(F.date_sub("_next", 1), open_end)
+    return neighbour(df, keys, "valid_from", "valid_from", "_next").withColumns({
+        "valid_to": ends, "is_current": ends == open_end}).drop("_next")
 
 
 def dim_player(profiles: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def enrich_clubs(clubs: DataFrame, specs: DataFrame) -> DataFrame:
     def pick(own: str, reference: str, name: str) -> Column:
         return F.when(F.col("is_custom"), F.col(own)).otherwise(F.col(reference)).alias(name)
 
-    joined = reported.join(stock, ["make", "model", "model_year", "club_type"], "left")
+    joined = salted_lookup(reported, stock, ["make", "model", "model_year", "club_type"])
     return joined.select(
         "player", "club_type", "make", "model", "model_year", "is_custom",
         pick("reported_loft_deg", "stock_loft_deg", "loft_deg"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swingframe.constants import MEASURES, UNKNOWN_CLUB, UNKNOWN_PLAYER
-from swingframe.operators.joins import resolve_as_of, salted_lookup
+from swingframe.operators.joins import as_of_lookup, resolve_at_sessions, salted_lookup
 
 
 def fct_shots(
@@ -20,10 +22,10 @@ def fct_shots(
     most shots.
     """
     moments = sessions.select("source", "session_date")
-    player_at = resolve_as_of(
+    player_at = resolve_at_sessions(
         moments, players.select("player", "player_key", "valid_from", "valid_to"), "session_date",
     ).select("source", "player", F.col("player_key").alias("_player_key"))
-    club_at = resolve_as_of(
+    club_at = resolve_at_sessions(
         moments,
         clubs.select("player", F.col("club_type").alias("club"), "club_key", "model_year",
                      "valid_from", "valid_to"),
@@ -48,30 +50,20 @@ def fct_shots(
 def fct_shots_own_date(
     shots: DataFrame, sessions: DataFrame, players: DataFrame, clubs: DataFrame
 ) -> DataFrame:
-    """The same keys resolved at each shot's own date where it has one: equality on
-    the natural key with the validity window as a residual condition."""
+    """The same keys resolved at each shot's own date where it has one."""
     dated = shots.join(
         sessions.select("source", "carry_method", F.col("session_date").alias("_listed")), "source",
-    ).withColumn("session_date", F.coalesce("session_date", "_listed")).drop("_listed")
-    inside = F.col("session_date").between(F.col("valid_from"), F.col("valid_to"))
-    with_player = dated.join(
-        players.select(F.col("player").alias("_p"), "player_key", "valid_from", "valid_to"),
-        (F.col("player") == F.col("_p")) & inside, "left",
-    ).drop("_p", "valid_from", "valid_to")
-    with_club = with_player.join(
-        clubs.select(F.col("player").alias("_p"), "club_type", "club_key", "model_year",
-                     "valid_from", "valid_to"),
-        (F.col("player") == F.col("_p")) & (F.col("club") == F.col("club_type")) & inside, "left",
-    )
-    return with_club.select(
-        "shot_id", "source", "player", "club", "session_date", "carry_method",
-        F.coalesce("player_key", F.lit(_hex(UNKNOWN_PLAYER))).alias("player_key"),
+    ).withColumn("session_date", F.coalesce("session_date", "_listed")).select(
+        "shot_id", "source", "player", "club", "session_date", "carry_method")
+    keyed = as_of_lookup(dated, players, ["player"], "session_date", ["player_key"], salt_on=["shot_id"])
+    setups = clubs.withColumnRenamed("club_type", "club")
+    keyed = as_of_lookup(keyed, setups, ["player", "club"], "session_date", ["club_key", "model_year"],
+                         salt_on=["shot_id"])
+    return keyed.select(
+        *dated.columns, F.coalesce("player_key", F.lit(_hex(UNKNOWN_PLAYER))).alias("player_key"),
         F.coalesce("club_key", F.lit(_hex(UNKNOWN_CLUB))).alias("club_key"),
-        F.col("model_year").alias("club_model_year"),
-    )
+        F.col("model_year").alias("club_model_year"))
 
 
 def _hex(text: str) -> str:
-    import hashlib
-
     return hashlib.md5(text.encode()).hexdigest()

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from swingframe.constants import OPEN_END
+
 SALTS = 16
 
 
@@ -15,6 +17,7 @@ def salted_lookup(
     how: str = "left",
     *,
     null_safe: bool = False,
+    residual: Column | None = None,
     salts: int = SALTS,
     salt_on: list[str] | None = None,
 ) -> DataFrame:
@@ -38,6 +41,8 @@ def salted_lookup(
     for k in keys:
         left, right = F.col(k), F.col(f"_key_{k}")
         match = match & (left.eqNullSafe(right) if null_safe else left == right)
+    if residual is not None:
+        match = match & residual
     joined = salted.join(repeated, match, how)
     return joined.select(*rows.columns, *value_columns)
 
@@ -57,17 +62,63 @@ def null_safe_match(left: str, right: str, keys: list[str]) -> Column:
     return condition
 
 
-def resolve_as_of(
-    moments: DataFrame, versions: DataFrame, moment: str,
-    valid_from: str = "valid_from", valid_to: str = "valid_to",
-    on: list[str] | None = None,
+def neighbour(
+    df: DataFrame, keys: list[str], order: str, value: str, name: str, ahead: bool = True
 ) -> DataFrame:
-    """Versions in force at each moment (inclusive validity window), optionally
-    within equal keys: the as-of join."""
-    inside = F.col(moment).between(F.col(valid_from), F.col(valid_to))
-    if not on:
-        return moments.join(versions, inside, "inner")
-    match = inside
-    for k in on:
-        match = match & (moments[k] == versions[k])
-    return moments.join(versions, match, "left").drop(*[versions[k] for k in on])
+    """Add `name`, the `value` of the next (or previous) row of the key by date `order`.
+
+    A key is cut into calendar years that are ordered apart; the row at the edge of a
+    year takes its neighbour from the nearest year that has rows. No task orders more
+    than one year of one key.
+    """
+    yearly = df.withColumn("_year", F.year(order))
+    inner = Window.partitionBy(*keys, "_year").orderBy(order)
+    step = F.lead if ahead else F.lag
+    pick = F.min_by if ahead else F.max_by
+    edges = yearly.groupBy(*keys, "_year").agg(pick(value, order).alias("_edge"))
+    across = step("_edge").over(Window.partitionBy(*keys).orderBy("_year"))
+    edges = edges.withColumn("_across", across).drop("_edge")
+    marked = yearly.withColumns({
+        "_within": step(value).over(inner), "_has": step(F.lit(True)).over(inner)})
+    joined = marked.alias("l").join(edges.alias("r"), null_safe_match("l", "r", [*keys, "_year"]), "left")
+    return joined.select(
+        *[F.col(f"l.{c}").alias(c) for c in df.columns],
+        F.when(F.col("l._has"), F.col("l._within")).otherwise(F.col("r._across")).alias(name))
+
+
+def resolve_at_sessions(sessions: DataFrame, versions: DataFrame, moment: str) -> DataFrame:
+    """Versions in force at each session's date (inclusive window). The manifest has one
+    row per registered source, which its contracts check, so it is the broadcast side."""
+    inside = F.col(moment).between(F.col("valid_from"), F.col("valid_to"))
+    return versions.join(F.broadcast(sessions), inside)
+
+
+def as_of_lookup(
+    rows: DataFrame, versions: DataFrame, on: list[str], moment: str, values: list[str],
+    *, days: int = 30, salt_on: list[str] | None = None,
+) -> DataFrame:
+    """As-of left join: attach the `values` of the version whose validity window (inclusive)
+    holds at each row's date, within equal keys `on`.
+
+    Closed versions are listed under every `days`-wide bucket they touch, so a row meets
+    the few versions of its key and bucket, not the key's whole history; open versions are
+    one per key. Both lookups are salted, so a hot key is split. Windows of a key must not
+    overlap.
+    """
+    def bucket(c: Column) -> Column:
+        return F.floor(F.datediff(c, F.lit("1970-01-01")) / days)
+
+    open_end = F.lit(OPEN_END).cast("date")
+    closed = versions.where((F.col("valid_to") < open_end) & (F.col("valid_to") >= F.col("valid_from"))).select(
+        *on, *[F.col(v).alias(f"_closed_{v}") for v in values], F.col("valid_from").alias("_from"),
+        F.col("valid_to").alias("_to"),
+        F.explode(F.sequence(bucket(F.col("valid_from")), bucket(F.col("valid_to")))).alias("_bucket"))
+    still = versions.where(F.col("valid_to") >= open_end).select(
+        *on, *[F.col(v).alias(f"_open_{v}") for v in values], F.col("valid_from").alias("_since"))
+    at = F.col(moment)
+    bucketed = rows.withColumn("_bucket", bucket(at))
+    first = salted_lookup(bucketed, closed, [*on, "_bucket"], salt_on=salt_on or rows.columns,
+                          residual=at.between(F.col("_from"), F.col("_to")))
+    both = salted_lookup(first, still, on, salt_on=salt_on or rows.columns, residual=at >= F.col("_since"))
+    return both.select(*rows.columns, *[
+        F.coalesce(F.col(f"_closed_{v}"), F.col(f"_open_{v}")).alias(v) for v in values])

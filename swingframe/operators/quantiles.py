@@ -12,20 +12,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """How often each non-null value occurs in its group, `(keys, _v, _n)`."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+
+
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], *, width: float = 1.0
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], *,
+    width: float = 1.0, count: str | None = None,
 ) -> DataFrame:
-    """One row per group with a column per entry of `probs` (linear interpolation).
+    """One row per group with a column per entry of `probs` (linear interpolation), and the
+    number of values as `count` if named.
 
     Null values are ignored and a group without values has no row. `width` is the
     bucket width in the unit of the value; any width gives the same result.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_b", F.floor(F.col("_v") / width))
-    )
+    counts = value_counts(df, keys, value).withColumn("_b", F.floor(F.col("_v") / width))
     group = [F.col(k) for k in keys] or [F.lit(0)]
     running = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
@@ -62,7 +65,8 @@ def exact_percentiles(
         share = F.max(position - F.floor(position))
         return low + (high - low) * share
 
-    return found.groupBy(*keys).agg(*[at(p).alias(name) for name, p in probs.items()])
+    sizes = [F.max("_total").alias(count)] if count else []
+    return found.groupBy(*keys).agg(*[at(p).alias(name) for name, p in probs.items()], *sizes)
 
 
 def exact_median(

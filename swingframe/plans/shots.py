@@ -8,7 +8,7 @@ from swingframe import constants as K
 from swingframe.functions import cleaning as C
 from swingframe.functions import units as U
 from swingframe.operators import conform, contracts, dims, facts, marts, silver
-from swingframe.operators.joins import resolve_as_of
+from swingframe.operators.joins import as_of_lookup
 from swingframe.plans import tables, warehouse
 from swingframe.plans.registry import dround, query, relation
 from swingframe.sources import seeds
@@ -413,10 +413,8 @@ def as_of_versions(spark, folder):
     """Each order date matched to the player version in force that day."""
     moments = tables.read(spark, folder, "orders").selectExpr(
         "o_orderkey", f"{tables.OWNER} AS player", "CAST(o_orderdate AS DATE) + 9400 AS moment")
-    versions = dims.dim_player(tables.player_profiles(spark, folder)).select(
-        "player", "player_key", "valid_from", "valid_to")
-    return resolve_as_of(moments, versions, "moment", on=["player"]).select(
-        "o_orderkey", "player", "moment", "player_key")
+    versions = dims.dim_player(tables.player_profiles(spark, folder))
+    return as_of_lookup(moments, versions, ["player"], "moment", ["player_key"], salt_on=["o_orderkey"])
 
 
 @query("fct_shots", "SELECT * FROM fct_shots")
