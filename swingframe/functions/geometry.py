@@ -1,7 +1,7 @@
 """Plane and earth geometry as column expressions.
 
 A polygon layer of a hole (its bunkers, its water, ...) is one struct: a bounding
-box and the edges of its rings. Membership tests the box first, then counts edge
+box and the spans of its rings. Membership tests the box first, then counts edge
 crossings ring by ring, all on the row that carries the point.
 """
 
@@ -39,14 +39,13 @@ def usable_rings(rings: Column) -> Column:
 
 
 def layer(rings: Column) -> Column:
-    """Bounding box and edges of a list of rings; null when no ring has three points."""
+    """Bounding box and spans of a list of rings; null when no ring has three points."""
     good = usable_rings(rings)
     points = F.flatten(good)
     xs, ys = F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
     return F.when(F.size(good) > 0, F.struct(
         F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"),
         F.array_min(ys).alias("min_y"), F.array_max(ys).alias("max_y"),
-        F.transform(good, ring_edges).alias("edges"),
         F.transform(good, ring_spans).alias("spans")))
 
 
@@ -63,8 +62,8 @@ def inside_layer(of: Column, x: Column, y: Column) -> Column:
         in_box, F.exists(of["spans"], lambda s: inside_spans(s, x, y))).otherwise(F.lit(False))
 
 
-def edge_distance(of: Column, x: Column, y: Column) -> Column:
-    """Distance from a point to the nearest edge of a layer."""
+def edge_distance(ring: Column, x: Column, y: Column) -> Column:
+    """Distance from a point to the nearest edge of a ring."""
     def to_edge(e: Column) -> Column:
         dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
         length = F.nullif(dx * dx + dy * dy, F.lit(0.0))
@@ -72,7 +71,7 @@ def edge_distance(of: Column, x: Column, y: Column) -> Column:
         t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
         return F.hypot(x - e["x0"] - t * dx, y - e["y0"] - t * dy)
 
-    return F.array_min(F.transform(F.flatten(of["edges"]), to_edge))
+    return F.array_min(F.transform(ring_edges(ring), to_edge))
 
 
 def area_centroid(ring: Column) -> Column:

@@ -70,8 +70,8 @@ def evaluate_aims(aimed: DataFrame) -> DataFrame:
 def on_holes(cells: DataFrame, requests: DataFrame, holes: DataFrame) -> DataFrame:
     """Cells on the holes their bag is asked about, `requests` `(bag_id, hole_id)`."""
     asked = requests.select("bag_id", "hole_id").join(holes, "hole_id")
-    return salted_lookup(spread_out(cells, *CLUB, "dx", "dy"), asked, ["bag_id"], "inner",
-                         salt_on=["dx", "dy"])
+    placed = salted_lookup(cells, asked, ["bag_id"], "inner", salt_on=["dx", "dy"])
+    return spread_out(placed, "hole_id", *CLUB, "dx", "dy")
 
 
 def with_aims(
@@ -138,20 +138,23 @@ def naive_against_best(clouds: DataFrame, requests: DataFrame, holes: DataFrame)
 
 
 # ---- approaches to a pin on a polygon green -----------------------------
-def approach_cost(short_game: Column) -> Column:
-    """Price of a landing `(x, y)` for a pin: player strokes, more when above the hole,
-    a fixed price in water. Needs the hole's layers and `lie`, `left_yards`, `wet`."""
-    base = S.player_strokes(F.col("left_yards"), F.col("lie"), short_game, F.col("green_difficulty"))
-    above = H.green_height(F.col("x"), F.col("y")) - H.green_height(F.col("pin_x"), F.col("pin_y"))
-    sloped = F.when(F.col("lie") == "green", base + K.SLOPE_PUTT * above).otherwise(base)
-    return F.when(F.col("wet"), F.lit(K.WATER_STROKES)).otherwise(sloped)
-
-
-def _landed(rows: DataFrame) -> DataFrame:
+def price_approaches(balls: DataFrame, holes: DataFrame) -> DataFrame:
+    """Price balls `(hole_id, pin_x, pin_y, short_game, x, y, ...)` on polygon holes, adding
+    `left_yards`, `lie` and `cost`: player strokes, more when above the hole, a fixed price
+    in water. The layers are dropped in the projection that reads them, so rows carry
+    them one step only."""
     x, y = F.col("x"), F.col("y")
-    return rows.withColumns({
-        "left_yards": F.hypot(F.col("pin_x") - x, F.col("pin_y") - y),
-        "lie": H.polygon_lie(x, y), "wet": H.polygon_penalty(x, y)})
+    shapes = holes.select("hole_id", "green_slope", "green_centre", "green_difficulty",
+                          *[f"{n}_layer" for n in H.LAYERS])
+    above = H.green_height(x, y) - H.green_height(F.col("pin_x"), F.col("pin_y"))
+    landed = balls.join(shapes, "hole_id").select(
+        *balls.columns, F.hypot(F.col("pin_x") - x, F.col("pin_y") - y).alias("left_yards"),
+        H.polygon_lie(x, y).alias("lie"), H.polygon_penalty(x, y).alias("_wet"), above.alias("_above"),
+        F.col("green_difficulty").alias("_difficulty"))
+    base = S.player_strokes(F.col("left_yards"), F.col("lie"), F.col("short_game"), F.col("_difficulty"))
+    sloped = F.when(F.col("lie") == "green", base + K.SLOPE_PUTT * F.col("_above")).otherwise(base)
+    cost = F.when(F.col("_wet"), F.lit(K.WATER_STROKES)).otherwise(sloped)
+    return landed.withColumn("cost", cost).drop("_wet", "_above", "_difficulty")
 
 
 def _requested_cells(clouds: DataFrame, requests: DataFrame, n: int) -> DataFrame:
@@ -162,7 +165,8 @@ def _requested_cells(clouds: DataFrame, requests: DataFrame, n: int) -> DataFram
     wanted = chosen.select(*CLUB).distinct()
     sample = even_subsample(clouds.join(wanted, CLUB, "left_semi"), CLUB, "ord", n)
     cells = cloud_cells(sample, centres).drop("stock")
-    return salted_lookup(spread_out(cells, *CLUB, "dx", "dy"), chosen, CLUB, "inner", salt_on=["dx", "dy"])
+    asked = salted_lookup(cells, chosen, CLUB, "inner", salt_on=["dx", "dy"])
+    return spread_out(asked, *asked.columns)
 
 
 def aim_for_pin(clouds: DataFrame, pins: DataFrame, holes: DataFrame, n: int = 700) -> DataFrame:
@@ -173,11 +177,11 @@ def aim_for_pin(clouds: DataFrame, pins: DataFrame, holes: DataFrame, n: int = 7
         F.sequence(F.lit(0), F.lit(20)), lambda j: F.struct(
             (i * 21 + j).alias("aim"), (i * 2.0 - 24.0).alias("long_yds"),
             (j * 2.0 - 20.0).alias("right_yds")))))
-    rows = cells.select("*", F.inline(aims)).join(holes, "hole_id").withColumns({
+    balls = cells.select("*", F.inline(aims)).withColumns({
         "x": F.col("pin_x") + F.col("long_yds") + F.col("dx"),
         "y": F.col("pin_y") + F.col("right_yds") + F.col("dy")})
     on_green = F.col("lie") == "green"
-    prices = _landed(rows).withColumn("cost", approach_cost(F.col("short_game"))).groupBy(
+    prices = price_approaches(balls, holes).groupBy(
         "pin_id", *CLUB, "aim", "long_yds", "right_yds").agg(
         _mean(F.col("cost")).alias("expected_strokes"), (100.0 * _share(on_green)).alias("on_green_pct"),
         (K.FEET_PER_YARD * F.sum(F.when(on_green, F.col("left_yards") * F.col("n")))
@@ -199,7 +203,7 @@ def green_lattice(holes: DataFrame, step: float) -> DataFrame:
         .withColumn("py", F.explode(line(box["min_y"], box["max_y"])))
     )
     on_green = points.where(G.inside_layer(F.col("green_layer"), F.col("px"), F.col("py")))
-    return on_green.withColumn("edge", G.edge_distance(F.col("green_layer"), F.col("px"), F.col("py")))
+    return on_green.withColumn("edge", G.edge_distance(F.col("green"), F.col("px"), F.col("py")))
 
 
 def clamp_pins(pins: DataFrame, holes: DataFrame, margin: float = 3.0, step: float = 1.0) -> DataFrame:
@@ -208,11 +212,11 @@ def clamp_pins(pins: DataFrame, holes: DataFrame, margin: float = 3.0, step: flo
     lattice = green_lattice(holes, step).select("hole_id", "px", "py", "edge")
     deep = lattice.groupBy("hole_id").agg((F.max("edge") >= margin).alias("_deep"))
     legal = lattice.join(deep, "hole_id").where(~F.col("_deep") | (F.col("edge") >= margin)).drop("edge")
-    shapes = holes.select("hole_id", "green_layer")
+    shapes = holes.select("hole_id", "green", "green_layer")
     x, y = F.col("pin_x"), F.col("pin_y")
     placed = pins.join(shapes, "hole_id").withColumn(
         "_ok", G.inside_layer(F.col("green_layer"), x, y)
-        & (G.edge_distance(F.col("green_layer"), x, y) >= margin)).drop("green_layer")
+        & (G.edge_distance(F.col("green"), x, y) >= margin)).drop("green", "green_layer")
     kept = placed.where("_ok").select(*pins.columns, x.alias("clamped_x"), y.alias("clamped_y"))
     near = F.round(F.hypot(F.col("px") - x, F.col("py") - y), 9)
     moved = placed.where("NOT _ok").drop("_ok").join(legal.drop("_deep"), "hole_id").groupBy(
@@ -245,12 +249,13 @@ def pin_difficulty(
     `requests` has `(bag_id, hole_id, from_distance, short_game)`."""
     cells = _requested_cells(clouds, requests, n)
     flags = legal_pins(holes, step)
-    rows = cells.join(flags, "hole_id").join(holes, "hole_id").select(
+    centres = holes.select("hole_id", F.col("green_centre.x").alias("_cx"), F.col("green_centre.y").alias("_cy"))
+    balls = cells.join(flags.join(centres, "hole_id"), "hole_id").select(
         "*", F.explode(F.array(F.lit(0.0), F.lit(0.3), F.lit(0.55))).alias("bail")).withColumns({
-            "x": F.col("pin_x") + F.col("bail") * (F.col("green_centre.x") - F.col("pin_x")) + F.col("dx"),
-            "y": F.col("pin_y") + F.col("bail") * (F.col("green_centre.y") - F.col("pin_y")) + F.col("dy")})
+            "x": F.col("pin_x") + F.col("bail") * (F.col("_cx") - F.col("pin_x")) + F.col("dx"),
+            "y": F.col("pin_y") + F.col("bail") * (F.col("_cy") - F.col("pin_y")) + F.col("dy")}).drop("_cx", "_cy")
     flag = ["hole_id", "bag_id", "pin_x", "pin_y"]
-    prices = _landed(rows).withColumn("cost", approach_cost(F.col("short_game"))).groupBy(
+    prices = price_approaches(balls, holes).groupBy(
         *flag, "bail").agg(_mean(F.col("cost")).alias("price"))
     best = prices.groupBy(*flag).agg(F.round(F.round(F.min("price"), 9), 3).alias("expected"))
     return over_easiest(best, ["hole_id", "bag_id"], "expected").select(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from swingframe.operators import conform, dims, facts, marts, silver
 from swingframe.plans import tables
+from swingframe.session import cut_lineage
 from swingframe.sources import seeds
 
 
@@ -40,13 +41,18 @@ def star(spark: SparkSession, folder: str) -> Star:
 
 
 def all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    gold = star(spark, folder)
+    """Every table the contracts are about. The shared ones are written first, as a gate
+    runs on tables at rest, not on the plans behind them."""
+    lazy = star(spark, folder)
+    shots, players, clubs = cut_lineage(lazy.shots), cut_lineage(lazy.players), cut_lineage(lazy.clubs)
+    gold = Star(shots, players, clubs, lazy.sessions,
+                cut_lineage(facts.fct_shots(shots, lazy.sessions, players, clubs)))
     return {
         "session_manifest": seeds.session_manifest(spark),
         "player_profiles": tables.player_profiles(spark, folder),
         "player_clubs": tables.player_clubs(spark, folder),
         "club_specs": tables.club_specs(spark, folder),
-        **staging(spark, folder),
+        **{name: cut_lineage(df) for name, df in staging(spark, folder).items()},
         "silver_shots": gold.shots, "dim_player": gold.players, "dim_club": gold.clubs,
-        "dim_session": gold.sessions, "fct_shots": gold.facts, "agg_club_gapping": gold.gapping,
+        "dim_session": gold.sessions, "fct_shots": gold.facts, "agg_club_gapping": cut_lineage(gold.gapping),
     }
