@@ -3,7 +3,8 @@
 Every published curve is piecewise linear with knots on a 5-yard (1-foot for
 putts) lattice, so a curve is kept as two constant arrays of line intercepts and
 slopes, one entry per lattice bucket. A lookup is then two array reads on a
-computed index: no join, no shuffle, no long CASE chain in generated code.
+computed index: no join, no shuffle, and few enough instructions that a stage which
+prices several positions still compiles to machine code.
 """
 
 from __future__ import annotations
@@ -13,16 +14,15 @@ from pyspark.sql import functions as F
 
 from swingframe import constants as K
 
+LIE_ORDER = [*K.CURVE_STROKES, "green"]
 YARD_STEP = 5.0
-YARD_BUCKETS = int(K.CURVE_YARDS[-1] // YARD_STEP) + 1
-FOOT_BUCKETS = K.PUTT_FEET[-1] + 1
-LIE_ORDER = list(K.CURVE_STROKES)
+BUCKETS = K.PUTT_FEET[-1] + 1  # enough for both lattices; past a curve's end it is flat
 
 
-def _lines(xs: list[float], ys: list[float], step: float, buckets: int) -> list[tuple[float, float]]:
+def _lines(xs: list[float], ys: list[float], step: float) -> list[tuple[float, float]]:
     """(intercept, slope) of the curve on each lattice bucket, flat past both ends."""
     lines = []
-    for b in range(buckets):
+    for b in range(BUCKETS):
         x = b * step
         if x < xs[0]:
             lines.append((ys[0], 0.0))
@@ -35,55 +35,50 @@ def _lines(xs: list[float], ys: list[float], step: float, buckets: int) -> list[
     return lines
 
 
-_ALL = [
-    line
-    for lie in LIE_ORDER
-    for line in _lines(K.CURVE_YARDS, K.CURVE_STROKES[lie], YARD_STEP, YARD_BUCKETS)
-] + _lines(K.PUTT_FEET, K.PUTT_STROKES, 1.0, FOOT_BUCKETS)
+_LINES = [line for ys in K.CURVE_STROKES.values() for line in _lines(K.CURVE_YARDS, ys, YARD_STEP)]
+# Putts are published per foot and read per yard.
+_LINES += [(a, b * K.FEET_PER_YARD) for a, b in _lines(K.PUTT_FEET, K.PUTT_STROKES, 1.0)]
 
 
 def _constant_array(values: list[float]) -> Column:
     return F.expr("array(" + ",".join(f"{v!r}D" for v in values) + ")")
 
 
-def _read(index: Column, x: Column) -> Column:
-    intercepts = _constant_array([a for a, _ in _ALL])
-    slopes = _constant_array([b for _, b in _ALL])
-    return F.get(intercepts, index) + F.get(slopes, index) * x
+def _read(distance: Column, row: Column, per_yard: Column) -> Column:
+    bucket = F.least(F.floor(F.greatest(distance, F.lit(0.0)) * per_yard), F.lit(BUCKETS - 1))
+    index = (row * BUCKETS + bucket).cast("int")
+    return F.get(_constant_array([a for a, _ in _LINES]), index) + F.get(
+        _constant_array([b for _, b in _LINES]), index) * distance
 
 
-def _yard_bucket(distance: Column) -> Column:
-    return F.least(F.floor(F.abs(distance) / YARD_STEP), F.lit(YARD_BUCKETS - 1)).cast("int")
-
-
-def _foot_bucket(distance: Column) -> Column:
-    feet = F.floor(F.abs(distance) * K.FEET_PER_YARD)
-    return F.least(feet, F.lit(FOOT_BUCKETS - 1)).cast("int") + len(LIE_ORDER) * YARD_BUCKETS
+def _row(lie: Column) -> Column:
+    first, *others = LIE_ORDER
+    row = F.when(lie == first, 0)
+    for i, name in enumerate(others, start=1):
+        row = row.when(lie == name, i)
+    return row
 
 
 def approach_strokes(distance: Column) -> Column:
     """Strokes to hole out from a clean lie."""
-    return _read(_yard_bucket(distance) + LIE_ORDER.index("fairway") * YARD_BUCKETS, distance)
+    return _read(distance, F.lit(LIE_ORDER.index("fairway")), F.lit(1.0 / YARD_STEP))
 
 
 def putt_strokes(distance: Column) -> Column:
     """Putts to hole out from a distance in yards."""
-    return _read(_foot_bucket(distance), distance * K.FEET_PER_YARD)
+    return _read(distance, F.lit(LIE_ORDER.index("green")), F.lit(K.FEET_PER_YARD))
 
 
 def curve_strokes(distance: Column, lie: Column) -> Column:
     """Curve value for an approach lie or the green; null for any other lie."""
-    index = F.when(lie == "green", _foot_bucket(distance))
-    for i, name in enumerate(LIE_ORDER):
-        index = index.when(lie == name, _yard_bucket(distance) + i * YARD_BUCKETS)
-    x = F.when(lie == "green", distance * K.FEET_PER_YARD).otherwise(distance)
-    return _read(index, x)
+    per_yard = F.when(lie == "green", K.FEET_PER_YARD).otherwise(1.0 / YARD_STEP)
+    return _read(distance, _row(lie), per_yard)
 
 
 def expected_strokes(distance: Column, lie: Column) -> Column:
     """Benchmark strokes from a distance and lie: 0 once holed, a linear tee curve,
     an error for a lie that does not exist."""
-    known = lie.isin("green", *LIE_ORDER)
+    known = lie.isin(*LIE_ORDER)
     message = F.concat(F.lit("unknown lie: "), F.coalesce(lie, F.lit("null")))
     return (
         F.when(distance <= 0, F.lit(0.0))
@@ -111,7 +106,7 @@ def skill_tax(
     tax = sg * F.when(on_green, K.PUTT_SKILL_WEIGHT).otherwise(1.0)
     near = on_green | (distance <= K.GREEN_ZONE_YARDS)
     tax = tax + F.when(near, gd * (K.GREEN_TAX_BASE + K.GREEN_TAX_SKILL * sg)).otherwise(0.0)
-    return strokes + tax * (strokes - 1.0)
+    return 1.0 + (1.0 + tax) * (strokes - 1.0)
 
 
 def player_strokes(

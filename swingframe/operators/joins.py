@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from swingframe.constants import OPEN_END
 
-SALTS = 16
+
+def default_salts(spark: SparkSession) -> int:
+    """Sub-keys per key: more on a larger cluster, within what repeating a lookup table
+    that many times can bear. A key still too hot after that is split by the adaptive
+    planner's skew handling."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(64, max(8, partitions // 4))
 
 
 def salted_lookup(
@@ -18,7 +24,7 @@ def salted_lookup(
     *,
     null_safe: bool = False,
     residual: Column | None = None,
-    salts: int = SALTS,
+    salts: int | None = None,
     salt_on: list[str] | None = None,
 ) -> DataFrame:
     """Attach `table` (few rows per key) to `rows` on `keys`.
@@ -29,6 +35,7 @@ def salted_lookup(
     the adaptive planner broadcasts it instead. The salt is a hash of row values,
     so a recomputed task sends each row to the same place.
     """
+    salts = salts or default_salts(rows.sparkSession)
     salt_source = salt_on or rows.columns
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_source), F.lit(salts)).cast("int"))
     value_columns = [c for c in table.columns if c not in keys]

@@ -58,3 +58,29 @@ def test_camera_dedup_merges_before_the_shuffle(spark, folder):
 def test_no_cartesian_products(spark, folder):
     for name in ("fct_shots", "shot_optimizer", "conditions", "gap_fill", "nearest_hole"):
         assert "CartesianProduct" not in _plan(entry_module.queries()[name](spark, folder))
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from swingframe.operators.joins import salted_lookup
+
+    rows = spark.range(20000).select("id", F.lit("hot").alias("k"))
+    table = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = salted_lookup(rows, table, ["k"], salts=32)
+        assert "SortMergeJoin" in _plan(joined)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20000 and max(sizes) < 12000 and joined.where("v = 1").count() == 20000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_aims_are_averaged_before_the_shuffle(spark, folder):
+    plan = _plan(entry_module.queries()["shot_optimizer"](spark, folder)).split("== Physical Plan ==")[1]
+    assert "partial_sum" in plan and "CartesianProduct" not in plan
