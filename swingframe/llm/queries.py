@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swingframe.llm import exact
+from swingframe.llm import exact, quality, toxicity
 from swingframe.llm.store import table
 
 
@@ -12,7 +12,15 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup,)}
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op7_toxicity)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
