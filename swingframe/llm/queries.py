@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swingframe.llm import exact, quality, toxicity
+from swingframe.llm import exact, near, quality, toxicity
 from swingframe.llm.store import table
 
 
@@ -16,11 +16,15 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_classes(table(spark, folder, "documents")).drop("hash")
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op7_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op7_toxicity)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""

@@ -27,7 +27,7 @@ from swingframe.llm.words import LETTER, LOWERED, SpanHasher, mix, pieces, runs,
 
 SAMPLE = 2500  # labelled documents of each class that training may see
 BUCKET_BITS = 18
-FEATURES = 6000
+FEATURES = 1500
 THRESHOLD = 0.7
 STOPS = np.zeros(256, bool)
 STOPS[[0x0A, 0x21, 0x2E, 0x3F]] = True  # line end ! . ?
@@ -127,7 +127,7 @@ def train(texts: pa.Array, y: np.ndarray, steps: int = 250, rate: float = 0.15)
         pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
         by_sentence = pull[owner] * p
         gradient = np.append(np.bincount(col, by_sentence[row], minlength=len(w)), by_sentence.sum()) / len(y)
-        gradient[:-1] += 1e-4 * w
+        gradient[:-1] += 3e-5 * w
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)

@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
+PIECE_ROWS = 1 << 15
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x2545F4914F6CDD1D  # odd, so that it has an inverse modulo 2**64
 
@@ -27,6 +28,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def step(turn: int) -> np.uint64:
+    """The turn-th of a series of well spread 64-bit constants."""
+    return np.uint64(turn * int(GOLDEN) & 0xFFFFFFFFFFFFFFFF)
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Numbers in (0, 1) from 64-bit hashes."""
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 9007199254740992.0
@@ -80,6 +86,7 @@ def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
+        last = min(last, first + PIECE_ROWS, len(column))
         yield first, last, data[offsets[first]: offsets[last]], offsets[first: last + 1] - offsets[first]
         first = last
 
@@ -101,5 +108,11 @@ def text_of(positions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, positions, "right") - 1
 
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every blank-separated word, with A-Z lowered."""
+    starts, ends, owner = runs(~SPACE[data], offsets)
+    return SpanHasher(LOWERED[data])(starts, ends), owner
+
+
 def sums_by(owner: np.ndarray, values: np.ndarray | None, count: int) -> np.ndarray:
     return np.bincount(owner, weights=values, minlength=count)
