@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swingframe.llm import exact, near, pieces, quality, toxicity
+from swingframe.llm import exact, mixing, near, pieces, quality, toxicity
 from swingframe.llm.store import table
 
 
@@ -24,11 +24,16 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return mixing.mixture(docs, mixing.labelled_domains(docs, labels), mixing.TARGETS)
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op7_toxicity, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op7_toxicity, op9_mixing, op10_sentencepiece)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
