@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swingframe.llm import exact, mixing, near, pieces, quality, toxicity
+from swingframe.llm import exact, lm, mixing, near, pieces, quality, toxicity
 from swingframe.llm.store import table
 
 
@@ -20,6 +20,10 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_classes(table(spark, folder, "documents")).drop("hash")
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.lm_scores(table(spark, folder, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -33,7 +37,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op7_toxicity, op9_mixing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op6_lm_scoring, op7_toxicity, op9_mixing, op10_sentencepiece)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
