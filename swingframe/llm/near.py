@@ -9,13 +9,15 @@ soon as its next arrival is later than the latest register, so long texts cost o
 for most shingles. Registers of two texts agree with the probability of their similarity.
 
 Texts that agree in a band share a bucket. Equal texts are one node, so a bucket holds
-different texts only. A bucket is not expanded into pairs: its members are compared, on
-whole texts, with a pivot; what is linked becomes one component; then with twice as many
-pivots, but only members that are not yet connected to them, until the bucket is one
+different texts only. Pairs whose registers differ in too many low bits for a similarity of 0.8
+(by five standard deviations) are dropped inside the join of a bucket's members. A bucket is not expanded into pairs: its members are compared, on
+whole texts, with a pivot; what is linked becomes one component; then with GROWTH times as
+many pivots, but only members that are not yet connected to them, until the bucket is one
 component or every pair of its components has been compared. A group of copies is done
 after one comparison per member, and no link between two texts that share a bucket is lost.
 
-Two texts of similarity 0.8 share a bucket with probability 1 - (1 - 0.8**5)**20 = 0.9996.
+Two texts of similarity 0.8 share a bucket with probability 1 - (1 - 0.8**10)**50 = 0.997, of
+similarity 0.85 with 0.9999.
 
 Defined results: null counts as empty; texts without words are one class. The class id is
 the smallest doc_id of the class (null ids rank last). Repeated rows are members each.
@@ -36,8 +38,12 @@ from swingframe.llm.words import GOLDEN, mix, pieces, step, sums_by, unit, word_
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 20, 5
+BANDS, ROWS = 50, 10
 REGISTERS = BANDS * ROWS
+LONGS = -(-REGISTERS // 64)
+BITS = REGISTERS  # one bit of every register estimates the similarity of a pair before its texts are read
+UNLIKE = 0.1 * BITS + 5 * (0.1 * 0.9 * BITS) ** 0.5  # differing bits at similarity 0.8, and five deviations more
+GROWTH = 8  # times as many pivots in a bucket's next round
 PLACES = mix(np.arange(11, 11 + WORDS, dtype=np.uint64) * GOLDEN) | np.uint64(1)
 
 
@@ -111,13 +117,17 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for band in range(BANDS):
                 for k in range(ROWS):
                     bands[:, band] = mix(bands[:, band] + won[spoken, band * ROWS + k] + step(band * ROWS + k + 1))
+            low = np.zeros((len(spoken), LONGS * 64), np.uint8)
+            low[:, :BITS] = (mix(won[spoken]) >> np.uint64(40)) & np.uint64(1)
+            bits = np.packbits(low, axis=1).view(np.int64)
             sizes = np.zeros(texts + 1, np.int32)
-            sizes[spoken + 1] = BANDS
+            sizes[spoken + 1] = 1
             part = batch.slice(begin, texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), *(pa.array(d.view(np.int64)) for d in digests),
-                 pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(bands.ravel().view(np.int64)))],
-                names=["row", "doc_id", "hash", "d1", "d2", "bands"])
+                 *(pa.ListArray.from_arrays(pa.array(np.cumsum(sizes * n, dtype=np.int32)), pa.array(x.ravel().view(np.int64)))
+                   for n, x in ((BANDS, bands), (LONGS, bits)))],
+                names=["row", "doc_id", "hash", "d1", "d2", "bands", "bits"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -150,7 +160,7 @@ def weighted_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cu, cv, text a, text b) in, (u, v) of the pairs that are similar out."""
+    """(u, v, text a, text b) in, (u, v) of the pairs that are similar out."""
     for batch in batches:
         held = [similarity(a, b) >= THRESHOLD - 1e-12 for a, b in zip(weighted_sets(batch.column(2)), weighted_sets(batch.column(3)))]
         yield pa.RecordBatch.from_arrays(
@@ -161,46 +171,51 @@ def sketched(docs: DataFrame) -> DataFrame:
     """row, doc_id, hash of the text as it is, digest of its words, buckets; written once."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("hash"), "text")
-    return written(rows.mapInArrow(sketch, f"row long, doc_id {kind}, hash long, d1 long, d2 long, bands array<long>"), "near-sketch")
+    return written(rows.mapInArrow(sketch, f"row long, doc_id {kind}, hash long, d1 long, d2 long, bands array<long>, bits array<long>"), "near-sketch")
 
 
 def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that are linked to another one.
 
-    nodes: node (a row number), doc_id, hash, bands; one row for each different text."""
+    nodes: node (a row number), doc_id, hash, bands, bits; one row for each different text."""
     members = nodes.select("node", F.explode("bands").alias("bucket"), F.xxhash64("node").alias("luck"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("luck").alias("best")).filter("size > 1")
     members = written(members.join(shared, "bucket"), "near-members")
-    component = members.select("node", F.col("node").alias("component")).distinct()
+    component = nodes.select("node", F.col("node").alias("component"), "bits").join(members.select("node"), "node", "left_semi")
     wanted = nodes.join(component.select("node"), "node").select("node", F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"))
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
     texts = written(rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["__id"]) & (rows["hash"] == wanted["__hash"]))
                     .groupBy("node").agg(F.first("text").alias("text")), "near-texts")
     component = written(component, "near-components")
-    luck = F.pmod("luck", F.lit(1 << 52)) / F.lit(float(1 << 52))
-    turn = 0
+    luck = F.pmod("luck", F.lit(1 << 52)) / F.lit(float(1 << 52)) * F.col("size")
+    reach = 1
     while True:
-        state = written(members.join(component, "node"), "near-state")
+        state = members.join(component, "node")
         unsettled = state.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
             .filter("low <> high").select("bucket")
-        left = state.join(unsettled, "bucket").withColumns({
-            "now": (luck * F.col("size") < 2.0**turn) | (F.col("luck") == F.col("best")),
-            "old": (luck * F.col("size") < 2.0**(turn - 1)) | (F.col("luck") == F.col("best")) if turn else F.lit(False)})
-        left = written(left.select("bucket", "node", "component", "size", "now", "old"), "near-left")
+        first = F.col("luck") == F.col("best")
+        left = written(state.join(unsettled, "bucket").withColumns({
+            "now": first | (luck < float(reach)),
+            "old": F.lit(False) if reach == 1 else first | (luck < float(reach // GROWTH))}), "near-left")
         most = left.agg(F.max("size")).first()[0]
         if most is None:
             return component
-        pivots = left.filter("now AND NOT old").select("bucket", F.col("node").alias("a"), F.col("component").alias("cu"))
-        others = left.filter("NOT old").select("bucket", F.col("node").alias("b"), F.col("component").alias("cv"), "now")
-        pairs = pivots.join(others, "bucket").filter("cu <> cv AND (NOT now OR a < b)").select("a", "b", "cu", "cv").distinct()
+        pivots = left.filter("now AND NOT old").select("bucket", F.col("node").alias("a"), F.col("component").alias("u"), F.col("bits").alias("x"))
+        others = left.filter("NOT old").select("bucket", F.col("node").alias("b"), F.col("component").alias("v"), "now", F.col("bits").alias("y"))
+        differ = sum((F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(LONGS)), F.lit(0))
+        pairs = pivots.join(others, "bucket").filter(F.expr("u <> v AND (NOT now OR a < b)") & (differ <= UNLIKE)) \
+            .select("a", "b", "u", "v").distinct()
         ready = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b") \
-            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("cu", "cv", "ta", "tb")
-        roots = components(ready.mapInArrow(verify, "u long, v long"))
-        component = written(component.join(roots, component["component"] == roots["u"], "left")
-                            .select("node", F.coalesce("root", "component").alias("component")), "near-components")
-        if 2**turn >= most:  # every member of an unsettled bucket has been a pivot
+            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("u", "v", "ta", "tb")
+        links = written(ready.mapInArrow(verify, "u long, v long"), "near-links")
+        if not links.isEmpty():
+            roots = components(links)
+            component = written(component.join(roots, component["component"] == roots["u"], "left")
+                                .select("node", F.coalesce("root", "component").alias("component"), "bits"), "near-components")
+        if reach >= most:  # every member of an unsettled bucket has been a pivot
             return component
-        turn += 1
+        members = left.select("bucket", "node", "size", "luck", "best")
+        reach *= GROWTH
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -209,8 +224,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     best = rows.groupBy("d1", "d2").agg(F.min("row").alias("node"))
     named = written(rows.select("row", "doc_id", "hash", "d1", "d2").join(best, ["d1", "d2"]).select("row", "doc_id", "hash", "node"), "near-rows")
     nodes = named.filter("row = node").select("node", "doc_id", "hash").join(
-        rows.select(F.col("row").alias("node"), "bands"), "node")
-    component = connected(docs, nodes)
+        rows.select(F.col("row").alias("node"), "bands", "bits"), "node")
+    component = connected(docs, nodes).select("node", "component")
     by_node = named.groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first"), F.count("*").alias("n"))
     by_node = by_node.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from swingframe.llm import exact, lm, mixing, near, pieces, quality, toxicity
+from swingframe.llm import exact, lm, mixing, near, neighbours, pieces, quality, toxicity
 from swingframe.llm.store import table
 
 
@@ -20,6 +21,10 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_classes(table(spark, folder, "documents")).drop("hash")
 
 
+def op5_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm.lm_scores(table(spark, folder, "documents"))
 
@@ -37,7 +42,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op6_lm_scoring, op7_toxicity, op9_mixing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op9_mixing, op10_sentencepiece)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
