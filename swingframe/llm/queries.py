@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swingframe.llm import exact, lm, mixing, near, neighbours, pieces, quality, toxicity
+from swingframe.llm import chat, exact, lm, mixing, near, neighbours, pieces, quality, toxicity
 from swingframe.llm.store import table
 
 
@@ -33,6 +33,15 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("\\### Assistant: </turn> ok")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    return chat.read_back(chat.format_chats(turns.unionByName(probe)))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return mixing.mixture(docs, mixing.labelled_domains(docs, labels), mixing.TARGETS)
@@ -42,7 +51,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op9_mixing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op8_chat_formatting, op9_mixing, op10_sentencepiece)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
