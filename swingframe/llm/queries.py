@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swingframe.llm import chat, exact, lm, mixing, near, neighbours, pieces, quality, toxicity
+from swingframe.llm import chat, exact, lm, mixing, near, neighbours, pieces, quality, toxicity, warc
 from swingframe.llm.store import table
 
 
@@ -13,6 +13,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read_records(warc.write_pages(table(spark, folder, "pages"))).drop("payload")
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -51,7 +55,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op8_chat_formatting, op9_mixing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op8_chat_formatting, op9_mixing, op10_sentencepiece)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
