@@ -54,7 +54,7 @@ class Model:
         self.kind = np.full(n + 1, self.classes - 1)
         for k in range(self.classes - 1):
             self.kind[self.borders[k]: self.borders[k + 1]] = k
-        share = np.bincount(self.kind[:n], counts, minlength=self.classes)
+        share = np.bincount(self.kind[:n], counts, minlength=self.classes).astype(float)
         share[-1] = max(rest, 0.5)
         f = np.float32
         inside = np.bincount(self.kind[:n], counts, minlength=self.classes)[self.kind[:n]]

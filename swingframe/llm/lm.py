@@ -33,6 +33,7 @@ HEAD = 4096
 KNOWN = 1 << 18
 SAMPLE = 1200
 TOKENS_AT_ONCE = 1 << 21
+TRAINED_TOGETHER = 1024  # a longer text is trained in parts of so many tokens, so that lanes stay even
 END = 0x1E5D_0C0F_7E9A_3B11  # stands for the end of a text
 
 
@@ -170,7 +171,9 @@ def fit(docs: DataFrame, counts: DataFrame) -> Scorer:
         ids.append(scorer.ids(scorer.ranks(hashed)))
         lengths.append(np.diff(ends))
     if ids and scorer.head:
-        gru.train(scorer.model, np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(lengths))]))
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+        inner = [np.arange(a, b, TRAINED_TOGETHER) for a, b in zip(ends[:-1], ends[1:])]
+        gru.train(scorer.model, np.concatenate(ids), np.append(np.concatenate(inner), ends[-1]))
     scorer.lookup = None  # each task builds its own
     return scorer
 

@@ -63,4 +63,26 @@ ORACLE_TEXTS = {
                    FROM documents),
              g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)""",
+    "op2_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+             b AS (SELECT hex, max(page_id) AS best FROM p GROUP BY hex)
+        SELECT page_id, payload_bytes,
+               list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+                   (CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)),
+                   'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> best THEN best END AS refers_to
+        FROM p JOIN b USING (hex)""",
+    "op8_chat_formatting": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL
+                   SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) r(n)),
+             s AS (SELECT *, 17 + length(regexp_replace(role, '([\\#\n]|<[/|])', 'x\1', 'g'))
+                                + length(regexp_replace(text, '([\\#]|<[/|])', 'x\1', 'g')) AS marked FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(marked) AS BIGINT) AS formatted_chars
+        FROM s GROUP BY conv_id""",
 }
