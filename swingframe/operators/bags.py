@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from swingframe import constants as K
 from swingframe.functions import cleaning as C
 from swingframe.functions import units as U
-from swingframe.operators.joins import salted_lookup
+from swingframe.operators.joins import lookup
 from swingframe.operators.quantiles import (
     exact_median,
     exact_percentiles,
@@ -119,11 +119,11 @@ def trim_percentiles(
     limits = exact_percentiles(
         shots, keys, value, {"_lo": K.TRIM_LOW, "_hi": K.TRIM_HIGH}, width=0.5, count="_sized")
     inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
-    kept = salted_lookup(value_counts(shots, keys, value), limits, keys, "inner", null_safe=True, salt_on=["_v"]).groupBy(
+    kept = lookup(value_counts(shots, keys, value), limits, keys, "inner", null_safe=True).groupBy(
         *keys).agg(F.sum(F.when(inside, F.col("_n")).otherwise(0)).alias("_kept"))
     whole = (F.col("_sized") < min_shots) | (F.col("_kept") < min_shots)
     rules = one_to_one(limits, kept, keys).select(*keys, "_lo", "_hi", whole.alias("_whole"))
-    marked = salted_lookup(shots, rules, keys, null_safe=True)
+    marked = lookup(shots, rules, keys, null_safe=True)
     # A group without a single value has no rule and is kept as it is.
     return marked.where(
         F.coalesce("_whole", F.lit(True)) | F.col(value).between(F.col("_lo"), F.col("_hi"))).select(*shots.columns)
@@ -145,7 +145,7 @@ def trim_median(
     """Keep rows within 30 % of the group's median when the group has enough rows."""
     stats = exact_percentiles(shots, keys, value, {"_median": 0.5}, count="_rows")
     low, high = K.MEDIAN_BAND
-    marked = salted_lookup(shots, stats, keys, null_safe=True)
+    marked = lookup(shots, stats, keys, null_safe=True)
     inside = F.col(value).between(F.col("_median") * low, F.col("_median") * high)
     return marked.where((F.col("_rows") < min_shots) | inside).select(*shots.columns)
 
@@ -230,7 +230,7 @@ def recentre(
     else:
         goal = F.lit(0.0)
     means = means.select(*keys, (goal - F.col("_mean")).alias("_shift"))
-    shifted = salted_lookup(clouds, means, keys, "inner", null_safe=True)
+    shifted = lookup(clouds, means, keys, "inner", null_safe=True)
     return shifted.withColumn(value, F.col(value) + F.col("_shift")).drop("_shift")
 
 

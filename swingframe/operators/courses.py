@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from swingframe.constants import YARDS_PER_METRE
 from swingframe.functions import geometry as G
-from swingframe.operators.joins import salted_lookup
+from swingframe.operators.joins import lookup
 from swingframe.session import cut_lineage
 
 RING_KINDS = ["green", "fairway", "bunker", "water_hazard", "water", "tee"]
@@ -75,7 +75,7 @@ def assign_to_holes(features: DataFrame, lines: DataFrame) -> DataFrame:
     per_course = lines.groupBy("course_id").agg(F.collect_list(F.struct("ref", "line")).alias("_holes"))
     nearest = F.array_min(F.transform("_holes", lambda h: F.struct(
         F.round(line_distance(h["line"], F.col("centre")), 6).alias("d"), h["ref"].alias("ref"))))
-    joined = salted_lookup(features, per_course, ["course_id"], "inner", salt_on=["element_id"])
+    joined = lookup(features, per_course, ["course_id"], "inner")
     return joined.withColumn("ref", nearest["ref"]).drop("_holes")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from swingframe.constants import OPEN_END
 from swingframe.functions import cleaning as C
-from swingframe.operators.joins import neighbour, salted_lookup
+from swingframe.operators.joins import neighbour, lookup
 
 
 def with_validity(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,7 +48,7 @@ def enrich_clubs(clubs: DataFrame, specs: DataFrame) -> DataFrame:
     def pick(own: str, reference: str, name: str) -> Column:
         return F.when(F.col("is_custom"), F.col(own)).otherwise(F.col(reference)).alias(name)
 
-    joined = salted_lookup(reported, stock, ["make", "model", "model_year", "club_type"])
+    joined = lookup(reported, stock, ["make", "model", "model_year", "club_type"])
     return joined.select(
         "player", "club_type", "make", "model", "model_year", "is_custom",
         pick("reported_loft_deg", "stock_loft_deg", "loft_deg"),

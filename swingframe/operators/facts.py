@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swingframe.constants import MEASURES, UNKNOWN_CLUB, UNKNOWN_PLAYER
-from swingframe.operators.joins import as_of_lookup, resolve_at_sessions, salted_lookup
+from swingframe.operators.joins import as_of_lookup, resolve_at_moments, lookup
 
 
 def fct_shots(
@@ -17,26 +17,23 @@ def fct_shots(
     """One row per shot of a listed session.
 
     The moment is the session's date, one per source, so the interval condition is
-    settled on the small tables first: versions in force at each session. Shots then
-    need only equality lookups, which stay split when one player or one club owns
-    most shots.
+    settled on the distinct (source, player, club) of the shots, joined to their versions by
+    name. Shots then need only equality lookups.
     """
-    moments = sessions.select("source", "session_date")
-    player_at = resolve_at_sessions(
-        moments, players.select("player", "player_key", "valid_from", "valid_to"), "session_date",
+    listed = shots.drop("session_date").join(
+        sessions.select("source", "session_key", "session_date", "carry_method"), "source")
+    seen = listed.groupBy("source", "player", "club").agg(F.max("session_date").alias("session_date"))
+    player_at = resolve_at_moments(
+        seen.select("source", "player", "session_date").distinct(),
+        players.select("player", "player_key", "valid_from", "valid_to"), ["player"], "session_date",
     ).select("source", "player", F.col("player_key").alias("_player_key"))
-    club_at = resolve_at_sessions(
-        moments,
-        clubs.select("player", F.col("club_type").alias("club"), "club_key", "model_year",
-                     "valid_from", "valid_to"),
-        "session_date",
+    club_at = resolve_at_moments(
+        seen, clubs.select("player", F.col("club_type").alias("club"), "club_key", "model_year", "valid_from", "valid_to"),
+        ["player", "club"], "session_date",
     ).select("source", "player", "club", F.col("club_key").alias("_club_key"),
              F.col("model_year").alias("club_model_year"))
-
-    listed = shots.drop("session_date").join(
-        sessions.select("source", "session_key", "session_date", "carry_method"), "source")
-    keyed = salted_lookup(listed, player_at, ["source", "player"], salt_on=["shot_id"])
-    keyed = salted_lookup(keyed, club_at, ["source", "player", "club"], salt_on=["shot_id"])
+    keyed = lookup(listed, player_at, ["source", "player"])
+    keyed = lookup(keyed, club_at, ["source", "player", "club"])
     age = F.when(
         F.col("club_model_year").isNotNull(), F.year("session_date") - F.col("club_model_year"))
     return keyed.select(
@@ -55,10 +52,9 @@ def fct_shots_own_date(
         sessions.select("source", "carry_method", F.col("session_date").alias("_listed")), "source",
     ).withColumn("session_date", F.coalesce("session_date", "_listed")).select(
         "shot_id", "source", "player", "club", "session_date", "carry_method")
-    keyed = as_of_lookup(dated, players, ["player"], "session_date", ["player_key"], salt_on=["shot_id"])
+    keyed = as_of_lookup(dated, players, ["player"], "session_date", ["player_key"])
     setups = clubs.withColumnRenamed("club_type", "club")
-    keyed = as_of_lookup(keyed, setups, ["player", "club"], "session_date", ["club_key", "model_year"],
-                         salt_on=["shot_id"])
+    keyed = as_of_lookup(keyed, setups, ["player", "club"], "session_date", ["club_key", "model_year"])
     return keyed.select(
         *dated.columns, F.coalesce("player_key", F.lit(_hex(UNKNOWN_PLAYER))).alias("player_key"),
         F.coalesce("club_key", F.lit(_hex(UNKNOWN_CLUB))).alias("club_key"),

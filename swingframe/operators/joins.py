@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swingframe.constants import OPEN_END
 
 
-def default_salts(spark: SparkSession) -> int:
-    """Sub-keys per key: more on a larger cluster, within what repeating a lookup table
-    that many times can bear. A key still too hot after that is split by the adaptive
-    planner's skew handling."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(64, max(8, partitions // 4))
-
-
-def salted_lookup(
+def lookup(
     rows: DataFrame,
     table: DataFrame,
     keys: list[str],
@@ -24,34 +16,20 @@ def salted_lookup(
     *,
     null_safe: bool = False,
     residual: Column | None = None,
-    salts: int | None = None,
-    salt_on: list[str] | None = None,
 ) -> DataFrame:
     """Attach `table` (few rows per key) to `rows` on `keys`.
 
-    Rows of one key are spread over `salts` sub-keys and the table is repeated once
-    per sub-key, so a hot key is split over that many tasks whether or not it is
-    known beforehand. Nothing is hinted: when the table turns out small at run time
-    the adaptive planner broadcasts it instead. The salt is a hash of row values,
-    so a recomputed task sends each row to the same place.
+    An equi-join and no more: a table that turns out small is broadcast, and where a key owns
+    many rows the adaptive planner splits its partition and reads the table's part once per
+    piece. Nothing is copied for keys that are not hot.
     """
-    salts = salts or default_salts(rows.sparkSession)
-    salt_source = salt_on or rows.columns
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*salt_source), F.lit(salts)).cast("int"))
     value_columns = [c for c in table.columns if c not in keys]
-    repeated = table.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        *value_columns,
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt_table"),
-    )
-    match = F.col("_salt") == F.col("_salt_table")
+    keyed = table.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *value_columns)
+    match = residual if residual is not None else F.lit(True)
     for k in keys:
         left, right = F.col(k), F.col(f"_key_{k}")
         match = match & (left.eqNullSafe(right) if null_safe else left == right)
-    if residual is not None:
-        match = match & residual
-    joined = salted.join(repeated, match, how)
-    return joined.select(*rows.columns, *value_columns)
+    return rows.join(keyed, match, how).select(*rows.columns, *value_columns)
 
 
 def spread_out(df: DataFrame, *columns: str) -> DataFrame:
@@ -61,56 +39,32 @@ def spread_out(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
 
-def null_safe_match(left: str, right: str, keys: list[str]) -> Column:
-    """Join condition between two aliased frames in which null keys match each other."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-    return condition
-
-
 def neighbour(
     df: DataFrame, keys: list[str], order: str, value: str, name: str, ahead: bool = True
 ) -> DataFrame:
-    """Add `name`, the `value` of the next (or previous) row of the key by date `order`.
-
-    A key is cut into calendar years that are ordered apart; the row at the edge of a
-    year takes its neighbour from the nearest year that has rows. No task orders more
-    than one year of one key.
-    """
-    yearly = df.withColumn("_year", F.year(order))
-    inner = Window.partitionBy(*keys, "_year").orderBy(order)
+    """Add `name`, the `value` of the next (or previous) row of the key by date `order`: one
+    window over the versions of a key."""
     step = F.lead if ahead else F.lag
-    pick = F.min_by if ahead else F.max_by
-    edges = yearly.groupBy(*keys, "_year").agg(pick(value, order).alias("_edge"))
-    across = step("_edge").over(Window.partitionBy(*keys).orderBy("_year"))
-    edges = edges.withColumn("_across", across).drop("_edge")
-    marked = yearly.withColumns({
-        "_within": step(value).over(inner), "_has": step(F.lit(True)).over(inner)})
-    joined = marked.alias("l").join(edges.alias("r"), null_safe_match("l", "r", [*keys, "_year"]), "left")
-    return joined.select(
-        *[F.col(f"l.{c}").alias(c) for c in df.columns],
-        F.when(F.col("l._has"), F.col("l._within")).otherwise(F.col("r._across")).alias(name))
-
-
-def resolve_at_sessions(sessions: DataFrame, versions: DataFrame, moment: str) -> DataFrame:
-    """Versions in force at each session's date (inclusive window). The manifest has one
-    row per registered source, which its contracts check, so it is the broadcast side."""
+    return df.withColumn(name, step(value).over(Window.partitionBy(*keys).orderBy(order)))
+
+
+def resolve_at_moments(seen: DataFrame, versions: DataFrame, on: list[str], moment: str) -> DataFrame:
+    """Versions in force (inclusive window) at the moment of each row of `seen`, which holds
+    the keys that occur, once each."""
     inside = F.col(moment).between(F.col("valid_from"), F.col("valid_to"))
-    return versions.join(F.broadcast(sessions), inside)
+    return lookup(seen, versions, on, "inner", residual=inside)
 
 
 def as_of_lookup(
     rows: DataFrame, versions: DataFrame, on: list[str], moment: str, values: list[str],
-    *, days: int = 30, salt_on: list[str] | None = None,
+    *, days: int = 30,
 ) -> DataFrame:
     """As-of left join: attach the `values` of the version whose validity window (inclusive)
     holds at each row's date, within equal keys `on`.
 
     Closed versions are listed under every `days`-wide bucket they touch, so a row meets
     the few versions of its key and bucket, not the key's whole history; open versions are
-    one per key. Both lookups are salted, so a hot key is split. Windows of a key must not
-    overlap.
+    one per key. Windows of a key must not overlap.
     """
     def bucket(c: Column) -> Column:
         return F.floor(F.datediff(c, F.lit("1970-01-01")) / days)
@@ -124,8 +78,7 @@ def as_of_lookup(
         *on, *[F.col(v).alias(f"_open_{v}") for v in values], F.col("valid_from").alias("_since"))
     at = F.col(moment)
     bucketed = rows.withColumn("_bucket", bucket(at))
-    first = salted_lookup(bucketed, closed, [*on, "_bucket"], salt_on=salt_on or rows.columns,
-                          residual=at.between(F.col("_from"), F.col("_to")))
-    both = salted_lookup(first, still, on, salt_on=salt_on or rows.columns, residual=at >= F.col("_since"))
+    first = lookup(bucketed, closed, [*on, "_bucket"], residual=at.between(F.col("_from"), F.col("_to")))
+    both = lookup(first, still, on, residual=at >= F.col("_since"))
     return both.select(*rows.columns, *[
         F.coalesce(F.col(f"_closed_{v}"), F.col(f"_open_{v}")).alias(v) for v in values])

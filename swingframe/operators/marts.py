@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swingframe.functions.cleaning import surrogate_key
-from swingframe.operators.joins import salted_lookup
+from swingframe.operators.joins import lookup
 
 QUANTILE_ACCURACY = 10_000
 
@@ -18,9 +18,9 @@ def named_shots(facts: DataFrame, clubs: DataFrame, players: DataFrame) -> DataF
         "source", "carry_method", "player_key", "club_key", "shot_id",
         "carry_yards", "total_yards", "side_dispersion")
     club_names = clubs.select("club_key", F.col("club_type").alias("club"))
-    named = salted_lookup(measured, club_names, ["club_key"], "inner", salt_on=["shot_id"])
-    return salted_lookup(
-        named, players.select("player_key", "player"), ["player_key"], "inner", salt_on=["shot_id"],
+    named = lookup(measured, club_names, ["club_key"], "inner")
+    return lookup(
+        named, players.select("player_key", "player"), ["player_key"], "inner",
     ).select("source", "carry_method", "player", "club", "carry_yards", "total_yards", "side_dispersion")
 
 

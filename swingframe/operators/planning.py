@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from swingframe import constants as K
 from swingframe.functions import strokes as S
 from swingframe.operators import holes as H
-from swingframe.operators.joins import salted_lookup
+from swingframe.operators.joins import lookup
 from swingframe.session import cut_lineage
 
 CELL = ["scenario", "i", "j"]
-CLIP = 25
 
 
 # ---- grid ---------------------------------------------------------------
@@ -78,7 +77,7 @@ def stencils(clouds: DataFrame, skews: DataFrame, size: float) -> DataFrame:
     means = means.join(skews.select("bag_id", "skew"), "bag_id", "left").withColumn(
         "skew", F.coalesce("skew", F.lit(0.0)))
     side = F.col("lateral") - F.col("_l")
-    bent = salted_lookup(cells, means, keys, "inner").select(
+    bent = lookup(cells, means, keys, "inner").select(
         *keys, "n", "_size", (F.col("carry") - F.col("_c")).alias("down"),
         (side * (1.0 + F.col("skew") * F.signum(side))).alias("across"))
     drift = bent.groupBy(*keys).agg((F.sum(F.col("across") * F.col("n")) / F.sum("n")).alias("_drift"))
@@ -88,10 +87,9 @@ def stencils(clouds: DataFrame, skews: DataFrame, size: float) -> DataFrame:
 
     def offset(residual: Column) -> Column:
         # A first rounding takes out the noise of the mean, which would decide a half.
-        cell = F.rint(F.round(residual * F.col("s.spread") / size, 9)).cast("int")
-        return F.greatest(F.lit(-CLIP), F.least(F.lit(CLIP), cell))
+        return F.rint(F.round(residual * F.col("s.spread") / size, 9)).cast("int")
 
-    spread = salted_lookup(bent, drift, keys, "inner").withColumn("s", classes)
+    spread = lookup(bent, drift, keys, "inner").withColumn("s", classes)
     return spread.groupBy(
         *keys, F.col("s.lie_class").alias("lie_class"), offset(F.col("down")).alias("di"),
         offset(F.col("across") - F.col("_drift")).alias("dj"),
@@ -115,8 +113,10 @@ def scenario_cells(scenarios: DataFrame, frames: DataFrame, grid: DataFrame, clu
     heads = frames.select("hole_id", "nx", "ny", "x0", "y0", "tee_i", "tee_j", "drop_i",
                           "penalty_cost", "green_difficulty", *(["elevation"] if "elevation" in frames.columns else []))
     asked = scenarios.join(short, "bag_id").join(heads, "hole_id").withColumns({
-        "start_i": F.coalesce(_cell_at(F.col("start_x"), F.col("x0"), F.col("nx"), size), F.col("tee_i")),
-        "start_j": F.coalesce(_cell_at(F.col("start_y"), F.col("y0"), F.col("ny"), size), F.col("tee_j"))})
+        "start_i": F.when(F.col("start_x").isNull(), F.col("tee_i")).otherwise(
+            _cell_at(F.col("start_x"), F.col("x0"), F.col("nx"), size)),
+        "start_j": F.when(F.col("start_y").isNull(), F.col("tee_j")).otherwise(
+            _cell_at(F.col("start_y"), F.col("y0"), F.col("ny"), size))})
     floor = F.when(
         F.col("remaining") <= F.col("short_range"),
         S.player_strokes(F.col("remaining"), F.col("lie"), F.col("short_game"), F.col("green_difficulty")),
@@ -212,19 +212,32 @@ def first_values(cells: DataFrame) -> DataFrame:
 
 
 def iterate(
-    cells: DataFrame, shapes: DataFrame, options: DataFrame, tol: float = 1e-3, most: int = 300
+    cells: DataFrame, shapes: DataFrame, options: DataFrame, tol: float = 1e-3, most: int | None = None
 ) -> DataFrame:
-    """Sweep all scenarios until no value moves by `tol`. Each sweep's table goes to the
-    checkpoint folder, so a lost executor repeats one sweep at most; the driver only sees
-    the largest change."""
-    values = cut_lineage(first_values(cells))
-    for _ in range(most):
+    """Sweep until no value moves by `tol`. A scenario that has come to rest is set aside
+    with the values of its last sweep, and only the others are swept again. Values only ever
+    fall and are bounded below, so every scenario comes to rest; with `most` set, sweeps
+    beyond it raise. Each sweep's table goes to the checkpoint folder, so a lost executor
+    repeats one sweep at most; the driver sees a count."""
+    values, rested, sweeps = cut_lineage(first_values(cells)), [], 0
+    while True:
         swept = cut_lineage(sweep(cells, values, shapes, options))
-        moved = swept.agg(F.max(F.abs(F.col("v") - F.col("before")))).first()[0]
-        values = swept.select(*CELL, "v")
-        if moved is None or moved < tol:
+        moved = swept.groupBy("scenario").agg((F.max(F.abs(F.col("v") - F.col("before"))) >= tol).alias("moved"))
+        moved = cut_lineage(moved)
+        swept = swept.select(*CELL, "v")
+        rested.append(swept.join(moved.where("NOT moved"), "scenario", "left_semi"))
+        going = moved.where("moved").select("scenario")
+        left = going.count()
+        if not left:
             break
-    return values
+        sweeps += 1
+        if most is not None and sweeps >= most:
+            raise RuntimeError(f"{left} scenarios still move after {most} sweeps")
+        values, cells, options = (t.join(going, "scenario", "left_semi") for t in (swept, cells, options))
+    out = rested[0]
+    for part in rested[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 # ---- the plan -----------------------------------------------------------
@@ -237,26 +250,33 @@ def policy(cells: DataFrame, values: DataFrame, shapes: DataFrame, options: Data
         *CELL, "club", "off_i", "off_j", "nx", "ny", "x", "y", done.alias("done"))
 
 
-def rollout(cells: DataFrame, choices: DataFrame, most: int = 10) -> DataFrame:
-    """Shots `(scenario, shot, club, from_x, from_y, aim_x, aim_y, to_i, to_j)` from the
-    start, each played to its expected landing, until the short game takes over."""
+def rollout(cells: DataFrame, choices: DataFrame) -> DataFrame:
+    """Shots `(scenario, shot, club, from_x, from_y, aim_x, aim_y, to_i, to_j, ends)` from the
+    start, each played to its expected landing, until the short game takes over. A shot that
+    comes to a cell already played from would go round for ever; it is the last one, and
+    `ends` is 'stuck' for it, 'short game' for a last shot that reaches it, else null."""
     at = cells.select("scenario", F.col("start_i").alias("i"), F.col("start_j").alias("j")).distinct()
     spots = choices.select("scenario", F.col("i").alias("to_i"), F.col("j").alias("to_j"),
-                           F.col("x").alias("aim_x"), F.col("y").alias("aim_y"))
+                           F.col("x").alias("aim_x"), F.col("y").alias("aim_y"), F.col("done").alias("_done"))
     played: DataFrame | None = None
-    for shot in range(1, most + 1):
+    shot = 0
+    while True:
+        shot += 1
         step = at.join(choices, CELL).where(~F.col("done")).select(
             "scenario", F.lit(shot).alias("shot"), "club", F.col("x").alias("from_x"), F.col("y").alias("from_y"),
             "i", "j", F.greatest(F.lit(0), F.least(F.col("nx") - 1, F.col("i") + F.col("off_i"))).alias("to_i"),
             F.greatest(F.lit(0), F.least(F.col("ny") - 1, F.col("j") + F.col("off_j"))).alias("to_j"))
         step = cut_lineage(step)
         played = step if played is None else played.unionByName(step)
-        at = step.where((F.col("to_i") != F.col("i")) | (F.col("to_j") != F.col("j"))).select(
-            "scenario", F.col("to_i").alias("i"), F.col("to_j").alias("j"))
+        at = step.select("scenario", F.col("to_i").alias("i"), F.col("to_j").alias("j")).join(
+            played.select(*CELL), CELL, "left_anti")
         if at.isEmpty():
             break
-    return played.join(spots, ["scenario", "to_i", "to_j"]).select(
-        "scenario", "shot", "club", "from_x", "from_y", "aim_x", "aim_y", "to_i", "to_j")
+    seen = played.select("scenario", F.col("i").alias("to_i"), F.col("j").alias("to_j"), F.col("shot").alias("_from"))
+    ends = F.when(F.col("_done"), "short game").when(F.col("_from") <= F.col("shot"), "stuck")
+    return played.join(spots, ["scenario", "to_i", "to_j"]).join(
+        seen, ["scenario", "to_i", "to_j"], "left").select(
+        "scenario", "shot", "club", "from_x", "from_y", "aim_x", "aim_y", "to_i", "to_j", ends.alias("ends"))
 
 
 def round_rows(
@@ -277,7 +297,8 @@ def round_rows(
 
 
 def plan_text(shot: Column, club: Column, shape: str) -> Column:
-    """Aggregate: a hole's shots in order as one line (at most ten shots)."""
+    """Aggregate: a hole's shots in order as one line. A shot starts from a cell not
+    played from before, so there are no more shots than cells."""
     ordered = F.array_sort(F.collect_list(F.struct(shot.alias("s"), club.alias("c"))))
     return F.array_join(F.transform(ordered, lambda v: F.concat(v["c"], F.lit(f" ({shape})"))), " → ")
 

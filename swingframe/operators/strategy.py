@@ -15,8 +15,7 @@ from swingframe.functions import geometry as G
 from swingframe.functions import strokes as S
 from swingframe.functions import units as U
 from swingframe.operators import holes as H
-from swingframe.operators.bags import even_subsample
-from swingframe.operators.joins import salted_lookup, spread_out
+from swingframe.operators.joins import lookup, spread_out
 
 CLUB = ["bag_id", "club"]
 
@@ -26,7 +25,7 @@ def cloud_cells(clouds: DataFrame, centres: DataFrame | None = None) -> DataFram
     about given centres), with their weight."""
     cells = clouds.groupBy(*CLUB, "carry", "lateral").agg(F.count(F.lit(1)).alias("n"))
     means = centres if centres is not None else cloud_centres(clouds)
-    placed = salted_lookup(cells, means, CLUB, "inner", salt_on=["carry", "lateral"])
+    placed = lookup(cells, means, CLUB, "inner")
     return placed.select(
         *CLUB, (F.col("carry") - F.col("stock")).alias("dx"),
         (F.col("lateral") - F.col("drift")).alias("dy"), "stock", "n")
@@ -70,7 +69,7 @@ def evaluate_aims(aimed: DataFrame) -> DataFrame:
 def on_holes(cells: DataFrame, requests: DataFrame, holes: DataFrame) -> DataFrame:
     """Cells on the holes their bag is asked about, `requests` `(bag_id, hole_id)`."""
     asked = requests.select("bag_id", "hole_id").join(holes, "hole_id")
-    placed = salted_lookup(cells, asked, ["bag_id"], "inner", salt_on=["dx", "dy"])
+    placed = lookup(cells, asked, ["bag_id"], "inner")
     return spread_out(placed, "hole_id", *CLUB, "dx", "dy")
 
 
@@ -125,7 +124,7 @@ def naive_against_best(clouds: DataFrame, requests: DataFrame, holes: DataFrame)
     asked = requests.select("bag_id", "hole_id").join(holes.select("hole_id", "pin_distance"), "hole_id")
     naive_club = nearest_club(asked, centres, "pin_distance").drop("stock")
     cells = cloud_cells(clouds, centres).drop("stock")
-    at_flag = salted_lookup(cells, naive_club, CLUB, "inner", salt_on=["dx", "dy"]).withColumns({
+    at_flag = lookup(cells, naive_club, CLUB, "inner").withColumns({
         "aim": F.lit(0), "aim_distance": F.col("pin_distance"), "aim_lateral": F.lit(0.0)})
     naive = evaluate_aims(at_flag.drop("pin_distance").join(holes, "hole_id")).select(
         "hole_id", "bag_id", F.col("club").alias("naive_club"),
@@ -157,22 +156,20 @@ def price_approaches(balls: DataFrame, holes: DataFrame) -> DataFrame:
     return landed.withColumn("cost", cost).drop("_wet", "_above", "_difficulty")
 
 
-def _requested_cells(clouds: DataFrame, requests: DataFrame, n: int) -> DataFrame:
-    """Requests joined with the evenly spaced landings of their nearest club, about the
-    whole cloud's mean."""
+def _requested_cells(clouds: DataFrame, requests: DataFrame) -> DataFrame:
+    """Requests joined with the distinct landings of their nearest club, about the cloud's mean."""
     centres = cloud_centres(clouds)
     chosen = nearest_club(requests, centres, "from_distance").drop("stock")
     wanted = chosen.select(*CLUB).distinct()
-    sample = even_subsample(clouds.join(wanted, CLUB, "left_semi"), CLUB, "ord", n)
-    cells = cloud_cells(sample, centres).drop("stock")
-    asked = salted_lookup(cells, chosen, CLUB, "inner", salt_on=["dx", "dy"])
+    cells = cloud_cells(clouds.join(wanted, CLUB, "left_semi"), centres).drop("stock")
+    asked = lookup(cells, chosen, CLUB, "inner")
     return spread_out(asked, *asked.columns)
 
 
-def aim_for_pin(clouds: DataFrame, pins: DataFrame, holes: DataFrame, n: int = 700) -> DataFrame:
+def aim_for_pin(clouds: DataFrame, pins: DataFrame, holes: DataFrame) -> DataFrame:
     """Best aim for each approach `(pin_id, bag_id, hole_id, pin_x, pin_y, from_distance,
     short_game)`: yards long and right of the flag, strokes, green share, proximity."""
-    cells = _requested_cells(clouds, pins, n)
+    cells = _requested_cells(clouds, pins)
     aims = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda i: F.transform(
         F.sequence(F.lit(0), F.lit(20)), lambda j: F.struct(
             (i * 21 + j).alias("aim"), (i * 2.0 - 24.0).alias("long_yds"),
@@ -242,12 +239,12 @@ def legal_pins(holes: DataFrame, step: float) -> DataFrame:
 
 
 def pin_difficulty(
-    clouds: DataFrame, requests: DataFrame, holes: DataFrame, step: float = 3.0, n: int = 400
+    clouds: DataFrame, requests: DataFrame, holes: DataFrame, step: float = 3.0
 ) -> DataFrame:
     """How hard each legal flag plays for a bag: the best of aiming at it or part of the
     way to the green's centre, and how much dearer that is than the kindest flag.
     `requests` has `(bag_id, hole_id, from_distance, short_game)`."""
-    cells = _requested_cells(clouds, requests, n)
+    cells = _requested_cells(clouds, requests)
     flags = legal_pins(holes, step)
     centres = holes.select("hole_id", F.col("green_centre.x").alias("_cx"), F.col("green_centre.y").alias("_cy"))
     balls = cells.join(flags.join(centres, "hole_id"), "hole_id").select(
@@ -266,7 +263,7 @@ def pin_difficulty(
 def over_easiest(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Difference from the group's minimum."""
     lowest = df.groupBy(*keys).agg(F.min(value).alias("_lowest"))
-    return salted_lookup(df, lowest, keys, "inner").withColumn(
+    return lookup(df, lowest, keys, "inner").withColumn(
         "over_easiest", F.round(F.col(value) - F.col("_lowest"), 3)).drop("_lowest")
 
 
@@ -284,7 +281,7 @@ def conditions_on_holes(conditions: DataFrame, holes: DataFrame) -> DataFrame:
 
 def shift_clouds(clouds: DataFrame, deltas: DataFrame) -> DataFrame:
     """Move whole clouds by per-club deltas; a club without one stays where it is."""
-    moved = salted_lookup(clouds, deltas.select("club", "d_carry", "d_lateral"), ["club"])
+    moved = lookup(clouds, deltas.select("club", "d_carry", "d_lateral"), ["club"])
     return moved.withColumns({
         "carry": F.col("carry") + F.coalesce("d_carry", F.lit(0.0)),
         "lateral": F.col("lateral") + F.coalesce("d_lateral", F.lit(0.0)),

@@ -11,7 +11,7 @@ from swingframe.plans import courses_data as D
 from swingframe.plans import strategy as S
 from swingframe.plans import tables
 from swingframe.plans.bags import r6, rounded
-from swingframe.plans.registry import query, relation
+from swingframe.plans.registry import dround, query, relation
 from swingframe.session import cut_lineage
 from swingframe.sources.seeds import values_sql
 
@@ -32,7 +32,7 @@ relation("lie_play", values_sql(["lie_class", "reach", "spread"], PLAY))
 
 
 def _offset(residual: str) -> str:
-    return f"CAST(greatest(-25, least(25, round_even(round({residual} * c.spread / {SIZE}e0, 9), 0))) AS INT)"
+    return f"CAST(round_even(round({residual} * c.spread / {SIZE}e0, 9), 0) AS INT)"
 
 
 relation("shapes", f"""SELECT bag_id, club, lie_class, di, dj, count(*) / max(size) AS p FROM (
@@ -181,29 +181,68 @@ def best_choice(spark, folder):
     return best.select("scenario", "i", "j", "choice", F.round(F.round("best", 9), 6).alias("best"))
 
 
+def best_under(values: str) -> str:
+    """Best choice of every cell, priced with the values of a relation."""
+    cost = f"""SELECT c.scenario, c.bag_id, c.i, c.j, c.nx, c.ny, CASE WHEN c.in_penalty THEN c.penalty_cost + d.v ELSE r.v END AS cost
+FROM scn_floor c JOIN {values} r ON r.scenario = c.scenario AND r.i = c.i AND r.j = c.j
+JOIN {values} d ON d.scenario = c.scenario AND d.i = c.drop_i AND d.j = c.tee_j"""
+    q = f"""SELECT v.scenario, s.club, s.lie_class, v.i - s.di AS i, v.j - s.dj AS j, 1 + sum(s.p * v.cost) + 8 * (1 - sum(s.p)) AS q
+FROM ({cost}) v JOIN shapes s ON s.bag_id = v.bag_id
+JOIN (SELECT DISTINCT scenario, lie_class FROM scn_cells) k ON k.scenario = v.scenario AND k.lie_class = s.lie_class
+WHERE v.i - s.di BETWEEN 0 AND v.nx - 1 AND v.j - s.dj BETWEEN 0 AND v.ny - 1 GROUP BY 1, 2, 3, 4, 5"""
+    first = "(round(cost, 9), choice)"
+    return f"""SELECT scenario, i, j, arg_min(cost, {first}) AS best, arg_min(club, {first}) AS club, arg_min(off_i, {first}) AS off_i, arg_min(off_j, {first}) AS off_j
+FROM (SELECT o.*, CASE WHEN on_grid THEN coalesce(q.q, 9) ELSE 8 END AS cost FROM scn_options o LEFT JOIN ({q}) q
+  ON q.scenario = o.scenario AND q.club = o.club AND q.lie_class = o.lie_class AND q.i = o.to_i AND q.j = o.to_j) GROUP BY scenario, i, j"""
+
+
+_MOVING = "(SELECT * FROM plan_sweeps WHERE moved >= 1e-3)"
+relation("plan_sweeps", f"""SELECT scenario, i, j, floor AS v, 1e9 AS moved, 0 AS k FROM scn_floor
+UNION ALL SELECT scenario, i, j, v, max(abs(v - before)) OVER (PARTITION BY scenario), k + 1 FROM (
+  SELECT c.scenario, c.i, c.j, least(c.floor, coalesce(b.best, c.floor)) AS v, r.v AS before, r.k
+  FROM scn_floor c JOIN {_MOVING} r ON r.scenario = c.scenario AND r.i = c.i AND r.j = c.j
+  LEFT JOIN ({best_under(_MOVING)}) b ON b.scenario = c.scenario AND b.i = c.i AND b.j = c.j)""")
+relation("plan_values", "SELECT scenario, i, j, v FROM (SELECT *, max(k) OVER (PARTITION BY scenario) AS last FROM plan_sweeps) WHERE k = last")
+relation("plan_policy", f"""SELECT c.scenario, c.i, c.j, c.x, c.y, c.tee_i, c.tee_j, b.club, c.lie = 'green' OR b.best >= c.floor - 1e-9 AS done,
+  CAST(greatest(0, least(c.nx - 1, c.i + b.off_i)) AS INT) AS to_i, CAST(greatest(0, least(c.ny - 1, c.j + b.off_j)) AS INT) AS to_j
+FROM scn_floor c JOIN ({best_under('plan_values')}) b ON b.scenario = c.scenario AND b.i = c.i AND b.j = c.j""")
+relation("plan_shots", """SELECT scenario, 1 AS shot, club, i, j, x, y, to_i, to_j, [(i, j)] AS seen FROM plan_policy WHERE i = tee_i AND j = tee_j AND NOT done
+UNION ALL SELECT p.scenario, r.shot + 1, p.club, p.i, p.j, p.x, p.y, p.to_i, p.to_j, list_append(r.seen, (p.i, p.j))
+FROM plan_shots r JOIN plan_policy p ON p.scenario = r.scenario AND p.i = r.to_i AND p.j = r.to_j
+WHERE NOT p.done AND NOT list_contains(r.seen, (p.i, p.j))""")
+_SPOTS = ["from_x", "from_y", "aim_x", "aim_y"]
+
+
 def solved(spark, folder):
     scenarios, cells, shapes, options = written_tables(spark, folder)
     values = P.iterate(cells, shapes, options)
     return scenarios, cells, shapes, options, values
 
 
-@query("value_iteration")
+@query("value_iteration", f"SELECT scenario, i, j, {r6('v', 'v')} FROM plan_values")
 def value_iteration(spark, folder):
-    """Converged values of every scenario; checked against brute force in the tests."""
+    """Converged values of every scenario."""
     return rounded(solved(spark, folder)[4], ["v"])
 
 
-@query("policy_rollout")
+@query("policy_rollout", f"""SELECT s.scenario, s.shot, s.club, {r6('s.x', 'from_x')}, {r6('s.y', 'from_y')}, {r6('a.x', 'aim_x')}, {r6('a.y', 'aim_y')}, s.to_i, s.to_j,
+  CASE WHEN a.done THEN 'short game' WHEN list_contains(s.seen, (s.to_i, s.to_j)) THEN 'stuck' END AS ends
+FROM plan_shots s JOIN plan_policy a ON a.scenario = s.scenario AND a.i = s.to_i AND a.j = s.to_j""")
 def policy_rollout(spark, folder):
     _, cells, shapes, options, values = solved(spark, folder)
-    return P.rollout(cells, P.policy(cells, values, shapes, options))
+    return rounded(P.rollout(cells, P.policy(cells, values, shapes, options)), _SPOTS)
 
 
-@query("round_rows")
+@query("round_rows", f"""SELECT c.scenario, c.hole_id, c.bag_id, {dround('t.v', 2)} AS expected, coalesce(s.shots, 0) AS shots, coalesce(s.plan, '') AS plan, {r6('f.v', 'finish')}
+FROM (SELECT DISTINCT scenario, hole_id, bag_id, tee_i, tee_j FROM scn_cells) c
+JOIN plan_values t ON t.scenario = c.scenario AND t.i = c.tee_i AND t.j = c.tee_j
+LEFT JOIN (SELECT scenario, count(*) AS shots, string_agg(club || ' (straight)', ' → ' ORDER BY shot) AS plan,
+    arg_max(to_i, shot) AS to_i, arg_max(to_j, shot) AS to_j FROM plan_shots GROUP BY scenario) s ON s.scenario = c.scenario
+LEFT JOIN plan_values f ON f.scenario = c.scenario AND f.i = s.to_i AND f.j = s.to_j""")
 def round_rows(spark, folder):
     scenarios, cells, shapes, options, values = solved(spark, folder)
     shots = P.rollout(cells, P.policy(cells, values, shapes, options))
-    return P.round_rows(scenarios, cells, values, shots)
+    return rounded(P.round_rows(scenarios, cells, values, shots), ["finish"])
 
 
 ROUND_CELLS = ["user_id AS player_id", "1 + CAST(event_id % 18 AS INT) AS ref", "3 + CAST(event_id % 3 AS INT) AS par",

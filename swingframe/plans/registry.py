@@ -34,18 +34,20 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 def expand(sql: str) -> str:
     """Prefix a text with the named subqueries it needs, in dependency order."""
     order: list[str] = []
+    opened: set[str] = set()
 
     def visit(text: str) -> None:
         for word in re.findall(r"\b\w+\b", text):
-            if word in RELATIONS and word not in order:
+            if word in RELATIONS and word not in opened:
+                opened.add(word)  # a relation may name itself
                 visit(RELATIONS[word])
-                if word not in order:
-                    order.append(word)
+                order.append(word)
 
     visit(sql)
     if not order:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({RELATIONS[n]})" for n in order) + "\n" + sql
+    recursive = any(re.search(rf"\b{n}\b", RELATIONS[n]) for n in order)
+    return f"WITH {'RECURSIVE ' * recursive}" + ",\n".join(f"{n} AS ({RELATIONS[n]})" for n in order) + "\n" + sql
 
 
 def oracle_texts() -> dict[str, str]:

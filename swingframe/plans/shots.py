@@ -414,7 +414,7 @@ def as_of_versions(spark, folder):
     moments = tables.read(spark, folder, "orders").selectExpr(
         "o_orderkey", f"{tables.OWNER} AS player", "CAST(o_orderdate AS DATE) + 9400 AS moment")
     versions = dims.dim_player(tables.player_profiles(spark, folder))
-    return as_of_lookup(moments, versions, ["player"], "moment", ["player_key"], salt_on=["o_orderkey"])
+    return as_of_lookup(moments, versions, ["player"], "moment", ["player_key"])
 
 
 @query("fct_shots", "SELECT * FROM fct_shots")

@@ -427,14 +427,13 @@ def pins(spark, clouds):
     return flags.join(asked, "pin_id")
 
 
-def requested_cells(requests: str, key: str, n: int) -> str:
-    """Evenly spaced landings of the nearest club, about the whole cloud's mean."""
+def requested_cells(requests: str, key: str) -> str:
+    """Landings of the nearest club, about the cloud's mean."""
     return f"""SELECT q.*, l.carry - s.stock AS dx, l."lateral" - s.drift AS dy FROM (
   SELECT {key}, r.bag_id, arg_min(s.club, (round(abs(s.stock - r.from_distance), 9), -s.stock, s.club)) AS club
   FROM ({requests}) r JOIN stocks s ON s.bag_id = r.bag_id GROUP BY {key}, r.bag_id) q
 JOIN stocks s ON s.bag_id = q.bag_id AND s.club = q.club
-JOIN (SELECT *, row_number() OVER (PARTITION BY bag_id, club ORDER BY ord) - 1 AS nth, count(*) OVER (PARTITION BY bag_id, club) AS size FROM landings) l
-  ON l.bag_id = q.bag_id AND l.club = q.club AND (l.size <= {n} OR l.nth IN (SELECT (k * (l.size - 1)) // {n - 1} FROM range({n}) t(k)))"""
+JOIN landings l ON l.bag_id = q.bag_id AND l.club = q.club"""
 
 
 def approach_sql(source: str) -> str:
@@ -447,7 +446,7 @@ def approach_sql(source: str) -> str:
 FROM ({priced(landed, 'left_yards', 'lie', 'e')}) p JOIN course h ON p.hole_id = h.hole_id"""
 
 
-relation("pin_cells", requested_cells("SELECT * FROM pins", "r.pin_id", 700))
+relation("pin_cells", requested_cells("SELECT * FROM pins", "r.pin_id"))
 relation("pin_balls", """SELECT c.pin_id, c.bag_id, c.club, p.hole_id, p.pin_x, p.pin_y, p.short_game, i * 21 + j AS aim, 2e0 * i - 24 AS long_yds,
   2e0 * j - 20 AS right_yds, p.pin_x + 2e0 * i - 24 + c.dx AS x, p.pin_y + 2e0 * j - 20 + c.dy AS y
 FROM pin_cells c JOIN pins p ON p.pin_id = c.pin_id AND p.bag_id = c.bag_id, range(17) a(i), range(21) b(j)""")
@@ -512,7 +511,7 @@ relation("surface_requests", "SELECT p.*, b.bag_id FROM (" + values_sql(SURFACE_
 relation("flags", f"""SELECT hole_id, px AS pin_x, py AS pin_y FROM (SELECT *, quantile_cont(grade, 0.7) OVER (PARTITION BY hole_id) AS cut FROM (
   SELECT l.*, {at(SQL_GRADE, 'l.px', 'l.py')} AS grade, max(l.edge) OVER (PARTITION BY l.hole_id) AS deepest FROM lattice3 l JOIN course h ON h.hole_id = l.hole_id)
   WHERE edge >= CASE WHEN deepest >= 4 THEN 4 WHEN deepest >= 2 THEN 2 ELSE 0 END) WHERE hole_id <> 'P1' OR grade <= cut""")
-relation("surface_cells", requested_cells("SELECT * FROM surface_requests", "r.hole_id", 400))
+relation("surface_cells", requested_cells("SELECT * FROM surface_requests", "r.hole_id"))
 relation("surface_balls", """SELECT c.hole_id, c.bag_id, f.pin_x, f.pin_y, q.short_game, b.bail, f.pin_x + b.bail * (h.cx - f.pin_x) + c.dx AS x,
   f.pin_y + b.bail * (h.cy - f.pin_y) + c.dy AS y
 FROM surface_cells c JOIN surface_requests q ON q.hole_id = c.hole_id AND q.bag_id = c.bag_id JOIN flags f ON f.hole_id = c.hole_id

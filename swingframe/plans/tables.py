@@ -151,13 +151,8 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with the number out of `props`. A table that arrives in fewer splits than
-    the session has cores is spread out first; a large one is left as it is."""
-    events = read(spark, folder, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores)
-    return events.selectExpr("*", f"{K_OF} AS k")
+    """Events with the number out of `props`."""
+    return read(spark, folder, "events").selectExpr("*", f"{K_OF} AS k")
 
 
 def event_metrics(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from swingframe.operators import bags
-from swingframe.operators.joins import salted_lookup
+from swingframe.operators.joins import lookup
 from swingframe.operators.quantiles import exact_percentiles, ordinal_rank
 from swingframe.sources import seeds
 
@@ -61,13 +61,13 @@ def test_even_subsample_matches_linspace(spark, n):
         assert sorted(r.ord for r in taken[club]) == want
 
 
-def test_salted_lookup_keeps_every_row_of_a_hot_key(spark):
+def test_lookup_keeps_every_row_of_a_hot_key(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise("hot").alias("k"))
     table = spark.createDataFrame([("hot", 1), (None, 2), ("x", 3)], "k string, v int")
-    assert salted_lookup(rows, table, ["k"]).where("v IS NULL").count() == 1667
-    safe = salted_lookup(rows, table, ["k"], null_safe=True)
+    assert lookup(rows, table, ["k"]).where("v IS NULL").count() == 1667
+    safe = lookup(rows, table, ["k"], null_safe=True)
     assert safe.count() == 5000 and safe.where("v = 2").count() == 1667
-    assert salted_lookup(rows, table, ["k"], "inner").count() == 3333
+    assert lookup(rows, table, ["k"], "inner").count() == 3333
 
 
 def test_summary_and_ellipse(spark):

@@ -55,30 +55,42 @@ def test_camera_dedup_merges_before_the_shuffle(spark, folder):
     assert "partial_min" in plan and "Window" not in plan
 
 
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_cartesian_products(spark, folder):
     for name in ("fct_shots", "shot_optimizer", "conditions", "gap_fill", "nearest_hole"):
         assert "CartesianProduct" not in _plan(entry_module.queries()[name](spark, folder))
 
 
-def test_a_hot_key_is_spread_over_tasks(spark):
+def test_a_hot_key_is_split_at_run_time(spark):
     from pyspark.sql import functions as F
 
-    from swingframe.operators.joins import salted_lookup
+    from swingframe.operators.joins import lookup
 
-    rows = spark.range(20000).select("id", F.lit("hot").alias("k"))
-    table = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {k: spark.conf.get(k) for k in settings}
+    rows = spark.range(60000).select("id", F.md5(F.col("id").cast("string")).alias("load"), F.lit("hot").alias("k")).unionAll(
+        spark.range(3000).selectExpr("id", "'x' AS load", "CAST(id AS STRING) AS k"))
+    table = spark.range(3000).selectExpr("CAST(id AS STRING) AS k", "id AS v").unionAll(spark.sql("SELECT 'hot', 1L"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        joined = salted_lookup(rows, table, ["k"], salts=32)
-        assert "SortMergeJoin" in _plan(joined)
+        joined = lookup(rows.repartition(8), table, ["k"])
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 20000 and max(sizes) < 12000 and joined.where("v = 1").count() == 20000
+        assert "skew=true" in _final_plan(joined) and sum(sizes) == 63000 and max(sizes) < 30000
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_fact_scans_and_shuffles_little(spark, folder):
+    plan = _plan(entry_module.queries()["fct_shots"](spark, folder))
+    assert "NestedLoop" not in plan
 
 
 def test_aims_are_averaged_before_the_shuffle(spark, folder):
