@@ -10,9 +10,9 @@ from swingframe.constants import MAPPABLE_FIELDS
 
 
 def parse_proposals(texts: DataFrame, text: str) -> DataFrame:
-    """Proposal rows from JSON text; text that does not parse is dropped."""
-    return texts.withColumn("_p", F.from_json(text, schemas.MAPPING_PROPOSAL)).where(
-        F.col("_p.source_name").isNotNull()).select(*[c for c in texts.columns if c != text], "_p.*")
+    """Proposal rows from JSON text; `source_name` is null where a text does not parse."""
+    return texts.withColumn("_p", F.from_json(text, schemas.MAPPING_PROPOSAL)).select(
+        *[c for c in texts.columns if c != text], "_p.*")
 
 
 def mapping_rows(proposals: DataFrame) -> DataFrame:
@@ -24,7 +24,10 @@ def mapping_rows(proposals: DataFrame) -> DataFrame:
 
 def review(proposals: DataFrame, headers: DataFrame) -> DataFrame:
     """What a reviewer has to look at: mappings by field, common fields without a source
-    column and source columns nothing uses. `headers` is `(source_name, source_column)`."""
+    column, source columns nothing uses, and proposals that did not parse. `headers` is
+    `(source_name, source_column)`."""
+    broken = proposals.where("source_name IS NULL")
+    proposals = proposals.where("source_name IS NOT NULL")
     mapped = mapping_rows(proposals)
     asked = proposals.select("proposal_id", "source_name")
     wanted = asked.select("*", F.explode(F.array(*map(F.lit, MAPPABLE_FIELDS))).alias("common_field"))
@@ -39,6 +42,8 @@ def review(proposals: DataFrame, headers: DataFrame) -> DataFrame:
                                     blank.cast("string").alias("source_column"), blank.cast("double").alias("confidence")))
         .unionByName(unused.select("proposal_id", "source_name", F.lit("unused column").alias("item"),
                                    blank.cast("string").alias("common_field"), "source_column", blank.cast("double").alias("confidence")))
+        .unionByName(broken.select("proposal_id", "source_name", F.lit("unparsed").alias("item"), blank.cast("string").alias("common_field"),
+                                   blank.cast("string").alias("source_column"), blank.cast("double").alias("confidence")))
     )
 
 

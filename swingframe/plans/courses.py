@@ -301,7 +301,8 @@ FIELD_LIST = ", ".join(f"('{f}')" for f in K.MAPPABLE_FIELDS)
 UNION ALL SELECT d.doc_id, d.source, 'missing field', f.field, NULL, NULL FROM documents d, (VALUES {FIELD_LIST}) f(field)
 WHERE d.doc_id % 10 <> 9 AND NOT EXISTS (SELECT 1 FROM proposal_rows p WHERE p.proposal_id = d.doc_id AND p.common_field = f.field AND p.source_column IS NOT NULL)
 UNION ALL SELECT d.doc_id, d.source, 'unused column', NULL, h.source_column, NULL FROM documents d JOIN header_columns h ON h.source_name = d.source
-WHERE d.doc_id % 10 <> 9 AND NOT EXISTS (SELECT 1 FROM proposal_rows p WHERE p.proposal_id = d.doc_id AND p.source_column = h.source_column)""")
+WHERE d.doc_id % 10 <> 9 AND NOT EXISTS (SELECT 1 FROM proposal_rows p WHERE p.proposal_id = d.doc_id AND p.source_column = h.source_column)
+UNION ALL SELECT d.doc_id, NULL, 'unparsed', NULL, NULL, NULL FROM documents d WHERE d.doc_id % 10 = 9""")
 def mapping_review(spark, folder):
     documents = tables.read(spark, folder, "documents")
     texts = documents.selectExpr("doc_id AS proposal_id", f"{PROPOSAL} AS text")

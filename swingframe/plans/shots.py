@@ -143,29 +143,51 @@ SELECT md5(concat(source, '|', player, '|', club)) AS gapping_key, *,
 
 
 # ---- cleaning -----------------------------------------------------------
-@query("safe_cast", "SELECT _row_index, TRY_CAST(ball_speed AS DOUBLE) AS ball_speed FROM trackman_raw WHERE ball_speed <> 'NaN'")
+# The cells of all sources under common names; a source without a player column has none.
+RAW_CELLS = {
+    "trackman": ("ball_speed", "carry_flat_length", "total", "spin_rate", None),
+    "foresight": ("ball_speed", "carry_distance", "total_distance", "spin_rate", "player"),
+    "flightscope": ("ball_speed_mph", "carry_distance_yds", None, "spin_rpm", None),
+    "manual": ("ball_speed_mph", "carry_yards", "total_yards", "spin_rate_rpm", "player"),
+    "caddieset": ("ballspeed", "carry", "distance", "spinback", "golferid"),
+}
+CELL_NAMES = ("ball_cell", "carry_cell", "total_cell", "spin_cell", "player_cell")
+relation("raw_cells", " UNION ALL ".join(
+    "SELECT _source, _row_index, " + ", ".join(f"{c or 'CAST(NULL AS VARCHAR)'} AS {n}" for c, n in zip(cells, CELL_NAMES))
+    + f" FROM {source}_raw" for source, cells in RAW_CELLS.items()))
+
+
+def raw_cells(spark, folder):
+    raw = tables.raw_sources(spark, folder)
+    return silver.union_sources([
+        raw[source].select("_source", "_row_index", *[
+            (F.col(c) if c else C.null_of("string")).alias(n) for c, n in zip(cells, CELL_NAMES)])
+        for source, cells in RAW_CELLS.items()])
+
+
+@query("safe_cast", """SELECT _source, _row_index, coalesce(isnan(TRY_CAST(ball_cell AS DOUBLE)), false) AS not_a_number,
+  CASE WHEN NOT isnan(TRY_CAST(ball_cell AS DOUBLE)) THEN TRY_CAST(ball_cell AS DOUBLE) END AS ball_speed FROM raw_cells""")
 def safe_cast(spark, folder):
-    raw = tables.raw_source(spark, folder, "trackman").where("ball_speed <> 'NaN'")
-    return raw.select("_row_index", C.safe_double(F.col("ball_speed")).alias("ball_speed"))
+    """Every cell of every source; NaN, which equals nothing, is told apart by a flag."""
+    value = C.safe_double(F.col("ball_cell"))
+    return raw_cells(spark, folder).select(
+        "_source", "_row_index", F.coalesce(F.isnan(value), F.lit(False)).alias("not_a_number"), F.when(~F.isnan(value), value).alias("ball_speed"))
 
 
-@query("nan_scrub", f"SELECT _row_index, {num('carry_flat_length')} AS carry, {num('total')} AS total FROM trackman_raw")
+@query("nan_scrub", f"SELECT _source, _row_index, {num('carry_cell')} AS carry, {num('total_cell')} AS total FROM raw_cells")
 def nan_scrub(spark, folder):
-    raw = tables.raw_source(spark, folder, "trackman")
-    return raw.select("_row_index", C.clean_double(F.col("carry_flat_length")).alias("carry"),
-                      C.clean_double(F.col("total")).alias("total"))
+    return raw_cells(spark, folder).select(
+        "_source", "_row_index", C.clean_double(F.col("carry_cell")).alias("carry"), C.clean_double(F.col("total_cell")).alias("total"))
 
 
-@query("spin_sentinel", f"SELECT _row_index, {spin_num('spin_rate')} AS spin_rate_rpm FROM foresight_raw")
+@query("spin_sentinel", f"SELECT _source, _row_index, {spin_num('spin_cell')} AS spin_rate_rpm FROM raw_cells")
 def spin_sentinel(spark, folder):
-    raw = tables.raw_source(spark, folder, "foresight")
-    return raw.select("_row_index", C.clean_spin(F.col("spin_rate")).alias("spin_rate_rpm"))
+    return raw_cells(spark, folder).select("_source", "_row_index", C.clean_spin(F.col("spin_cell")).alias("spin_rate_rpm"))
 
 
-@query("blank_to_null", "SELECT _row_index, nullif(player, '') AS player FROM foresight_raw")
+@query("blank_to_null", "SELECT _source, _row_index, nullif(player_cell, '') AS player FROM raw_cells")
 def blank_to_null(spark, folder):
-    raw = tables.raw_source(spark, folder, "foresight")
-    return raw.select("_row_index", C.blank_to_null(F.col("player")).alias("player"))
+    return raw_cells(spark, folder).select("_source", "_row_index", C.blank_to_null(F.col("player_cell")).alias("player"))
 
 
 @query("metric_units", f"SELECT _row_index, {CAMERA_MEASURES} FROM camera_clean")
@@ -198,13 +220,14 @@ def typed_null_columns(spark, folder):
                          C.null_of("date").alias("session_date"), "total_yards")
 
 
-@query("surrogate_keys", """SELECT _row_index, md5(concat(_source, '-', CAST(_row_index AS VARCHAR))) AS shot_id,
-  md5(concat(_source, '|', player, '|', club_type)) AS grain_key FROM foresight_raw""")
+@query("surrogate_keys", """SELECT _source, _row_index, md5(concat(_source, '-', CAST(_row_index AS VARCHAR))) AS shot_id,
+  md5(concat(_source, '|', player, '|', CAST(_row_index AS VARCHAR))) AS grain_key
+FROM (SELECT *, coalesce(player_cell, 'unknown') AS player FROM raw_cells)""")
 def surrogate_keys(spark, folder):
-    raw = tables.raw_source(spark, folder, "foresight")
-    return raw.select(
-        "_row_index", C.shot_key(F.col("_source"), F.col("_row_index")).alias("shot_id"),
-        C.surrogate_key(F.col("_source"), F.col("player"), F.col("club_type")).alias("grain_key"))
+    player = F.coalesce("player_cell", F.lit("unknown"))
+    return raw_cells(spark, folder).select(
+        "_source", "_row_index", C.shot_key(F.col("_source"), F.col("_row_index")).alias("shot_id"),
+        C.surrogate_key(F.col("_source"), player, F.col("_row_index").cast("string")).alias("grain_key"))
 
 
 @query("camera_club_codes", f"SELECT _row_index, clubtype, {CAMERA_CLUB} AS club FROM caddieset_raw")
@@ -322,9 +345,9 @@ def source_union(spark, folder):
     return silver.union_sources(list(warehouse.staging(spark, folder).values()))
 
 
-@query("core_metric_filter", "SELECT * FROM stg_trackman WHERE ball_speed_mph IS NOT NULL")
+@query("core_metric_filter", "SELECT * FROM conformed WHERE ball_speed_mph IS NOT NULL")
 def core_metric_filter(spark, folder):
-    return silver.core_metric(conform.conform_radar(tables.raw_source(spark, folder, "trackman")))
+    return silver.core_metric(silver.union_sources(list(warehouse.staging(spark, folder).values())))
 
 
 @query("silver_shots", "SELECT * FROM silver_shots")
@@ -338,12 +361,26 @@ def source_counts(spark, folder):
     return silver.source_counts(silver.silver_shots(tables.raw_sources(spark, folder)))
 
 
-@query("schema_on_read_union", """SELECT _row_index, _source, club, smash_factor, CAST(NULL AS VARCHAR) AS player FROM trackman_raw
-UNION ALL SELECT _row_index, _source, club, smash_factor, player FROM manual_raw""")
+LAYOUTS = {  # what each source has of (club, smash_factor, player, launch_direction)
+    "trackman": ("club", "smash_factor", None, "launch_direction"),
+    "foresight": (None, "smash_factor", "player", "launch_direction"),
+    "flightscope": ("club", None, None, None),
+    "manual": ("club", "smash_factor", "player", None),
+    "caddieset": (None, None, None, None),
+}
+
+
+@query("schema_on_read_union", " UNION ALL ".join(
+    "SELECT _row_index, _source, " + ", ".join(
+        f"{c or 'CAST(NULL AS VARCHAR)'} AS {n}" for c, n in zip(cells, ("club", "smash_factor", "player", "launch_direction")))
+    + f" FROM {source}_raw" for source, cells in LAYOUTS.items()))
 def schema_on_read_union(spark, folder):
-    a = tables.raw_source(spark, folder, "trackman").select("_row_index", "_source", "club", "smash_factor")
-    b = tables.raw_source(spark, folder, "manual").select("_row_index", "_source", "club", "smash_factor", "player")
-    return a.unionByName(b, allowMissingColumns=True)
+    """Five layouts, each with some of the columns."""
+    from functools import reduce
+
+    raw = tables.raw_sources(spark, folder)
+    parts = [raw[s].select("_row_index", "_source", *[c for c in cells if c]) for s, cells in LAYOUTS.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 @query("optional_source", "SELECT * FROM stg_trackman")
@@ -467,11 +504,11 @@ def club_gapping(spark, folder):
 
 
 # ---- contracts ----------------------------------------------------------
-@query("contract_not_null", "SELECT shot_id, player FROM stg_foresight WHERE player IS NULL")
+@query("contract_not_null", "SELECT shot_id, source, session_date FROM conformed WHERE session_date IS NULL")
 def contract_not_null(spark, folder):
-    rule = contracts.Contract("stg_foresight", "player", "not_null")
-    staged = conform.conform_stamped(tables.raw_source(spark, folder, "foresight"))
-    return contracts.violating_rows(staged, rule).select("shot_id", "player")
+    rule = contracts.Contract("conformed", "session_date", "not_null")
+    staged = silver.union_sources(list(warehouse.staging(spark, folder).values()))
+    return contracts.violating_rows(staged, rule).select("shot_id", "source", "session_date")
 
 
 @query("contract_unique", """SELECT player, count(*) AS copies FROM player_profiles
@@ -503,28 +540,30 @@ def contract_relationships(spark, folder):
     return contracts.orphans(shots, "player", players, "player")
 
 
-@query("scd2_one_current", """SELECT player AS entity, count(*) FILTER (WHERE is_current) AS n_current
-FROM (SELECT * FROM dim_player WHERE year(valid_from) % 2 = 1) GROUP BY player HAVING count(*) FILTER (WHERE is_current) <> 1""")
+@query("scd2_one_current", """SELECT player AS entity, count(*) FILTER (WHERE is_current AND year(valid_from) % 2 = 1) AS n_current
+FROM dim_player GROUP BY player HAVING count(*) FILTER (WHERE is_current AND year(valid_from) % 2 = 1) <> 1""")
 def scd2_one_current(spark, folder):
-    """Run on a history with versions taken out, so that there is something to find."""
-    damaged = dims.dim_player(tables.player_profiles(spark, folder)).where(F.year("valid_from") % 2 == 1)
+    """Run on a history whose even years lost their current mark, so that there is something to find."""
+    damaged = dims.dim_player(tables.player_profiles(spark, folder)).withColumn(
+        "is_current", F.col("is_current") & (F.year("valid_from") % 2 == 1))
     return contracts.not_one_current(damaged, F.col("player"))
 
 
 OVERLAP = """SELECT entity, valid_from, prev_valid_to FROM (SELECT *, lag(valid_to) OVER
   (PARTITION BY entity ORDER BY valid_from) AS prev_valid_to FROM ({source})) WHERE prev_valid_to >= valid_from"""
+_STRETCHED = "valid_from, CASE WHEN valid_to < DATE '9999-12-31' THEN valid_to + 3 ELSE valid_to END AS valid_to"
 
 
 @query("scd2_overlaps", " UNION ALL ".join([
-    OVERLAP.replace("{source}", "SELECT player AS entity, valid_from, valid_to + 3 AS valid_to FROM dim_player WHERE valid_to < DATE '9999-12-31'"),
-    OVERLAP.replace("{source}", "SELECT concat(player, ' / ', club_type) AS entity, valid_from, valid_to + 3 AS valid_to FROM dim_club WHERE valid_to < DATE '9999-12-31'")]))
+    OVERLAP.replace("{source}", f"SELECT player AS entity, {_STRETCHED} FROM dim_player"),
+    OVERLAP.replace("{source}", f"SELECT concat(player, ' / ', club_type) AS entity, {_STRETCHED} FROM dim_club")]))
 def scd2_overlaps(spark, folder):
-    """Run on windows stretched by three days; both dimensions' findings in one table."""
+    """Run on windows stretched by three days, open ones as they are; both dimensions' findings."""
     gold = warehouse.star(spark, folder)
 
     def stretched(df):
-        return df.where(F.col("valid_to") < F.lit(K.OPEN_END).cast("date")).withColumn(
-            "valid_to", F.date_add("valid_to", 3))
+        closed = F.col("valid_to") < F.lit(K.OPEN_END).cast("date")
+        return df.withColumn("valid_to", F.when(closed, F.date_add("valid_to", 3)).otherwise(F.col("valid_to")))
 
     return contracts.overlapping_windows(stretched(gold.players), F.col("player")).unionByName(
         contracts.overlapping_windows(stretched(gold.clubs), contracts.club_entity()))

@@ -311,13 +311,13 @@ def naive_against_best(spark, folder):
     return rounded(table, ["naive_strokes", "naive_penalty", "aim_distance", "best_strokes", "saved"])
 
 
-@query("nearest_club", """SELECT DISTINCT o.hole_distance, o.bag_id, arg_min(s.club, (round(abs(s.stock - o.hole_distance), 9), -s.stock, s.club)) AS club
-FROM (SELECT DISTINCT CAST(o_orderkey % 300 AS DOUBLE) AS hole_distance, 'bag' || CAST(o_custkey % 3 AS VARCHAR) AS bag_id FROM orders) o
+@query("nearest_club", """SELECT o.order_id, o.hole_distance, o.bag_id, arg_min(s.club, (round(abs(s.stock - o.hole_distance), 9), -s.stock, s.club)) AS club
+FROM (SELECT o_orderkey AS order_id, CAST(o_orderkey % 300 AS DOUBLE) AS hole_distance, 'bag' || CAST(o_custkey % 3 AS VARCHAR) AS bag_id FROM orders) o
 JOIN stocks s ON s.bag_id = o.bag_id GROUP BY ALL""")
 def nearest_club(spark, folder):
     asked = tables.read(spark, folder, "orders").selectExpr(
-        "CAST(o_orderkey % 300 AS DOUBLE) AS hole_distance",
-        "concat('bag', CAST(o_custkey % 3 AS STRING)) AS bag_id").distinct()
+        "o_orderkey AS order_id", "CAST(o_orderkey % 300 AS DOUBLE) AS hole_distance",
+        "concat('bag', CAST(o_custkey % 3 AS STRING)) AS bag_id")
     return strategy.nearest_club(asked, strategy.cloud_centres(tables.landings(spark, folder)), "hole_distance").drop("stock")
 
 
