@@ -59,9 +59,21 @@ def ring_features(elements: DataFrame) -> DataFrame:
 def hole_lines(elements: DataFrame) -> DataFrame:
     """Centrelines `(course_id, ref, par, line)` of features tagged as holes with a par."""
     tags = F.col("tags")
-    return elements.where((tags["golf"] == "hole") & tags["par"].isNotNull() & (F.size("geometry") >= 2)).select(
-        "course_id", tags["ref"].cast("int").alias("ref"), tags["par"].cast("int").alias("par"),
-        F.col("geometry").alias("line"))
+    ref, par = tags["ref"].try_cast("int"), tags["par"].try_cast("int")
+    return elements.where((tags["golf"] == "hole") & ref.isNotNull() & par.isNotNull() & (F.size("geometry") >= 2)).select(
+        "course_id", ref.alias("ref"), par.alias("par"), F.col("geometry").alias("line"))
+
+
+def rejected_features(elements: DataFrame) -> DataFrame:
+    """`(course_id, element_id, reason)` of mapped features that no later step can use: holes
+    without a whole number as ref or par or with a line of one point, areas without a ring of
+    three points."""
+    tags = F.col("tags")
+    rings = outer_rings(F.col("geometry"), F.col("members"), F.col("type"))
+    reason = F.when(tags["golf"] == "hole", F.when(tags["ref"].try_cast("int").isNull(), "ref").when(
+        tags["par"].try_cast("int").isNull(), "par").when(~(F.coalesce(F.size("geometry"), F.lit(0)) >= 2), "line")).when(
+        tags["golf"].isin(*RING_KINDS) & ~(F.coalesce(F.size(rings), F.lit(0)) > 0), "ring")
+    return elements.select("course_id", "element_id", reason.alias("reason")).where("reason IS NOT NULL")
 
 
 # ---- nearest features ---------------------------------------------------
@@ -92,7 +104,8 @@ def nearest_fairway(lines: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def pair_greens(lines: DataFrame, features: DataFrame) -> DataFrame:
-    """Holes in ref order take the nearest green not yet taken to either end of their line.
+    """Holes in ref order take the nearest green not yet taken to either end of their line;
+    one that finds none has a null `green_id`.
 
     One round per place in the order, all courses at once; a round's takings are written
     before the next one reads them. Rounds end with the longest course.
@@ -115,7 +128,10 @@ def pair_greens(lines: DataFrame, features: DataFrame) -> DataFrame:
             "course_id", "ref", "b.green_id", "b.end")
         best = cut_lineage(best)
         taken = best if taken is None else taken.unionByName(best)
-    return taken
+    every = lines.select("course_id", "ref")
+    if taken is None:
+        return every.withColumns({"green_id": F.lit(None).cast("bigint"), "end": F.lit(None).cast("int")})
+    return every.join(taken, ["course_id", "ref"], "left")
 
 
 def hole_frames(lines: DataFrame, features: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -138,9 +138,21 @@ def framed(spark, folder):
     return lines, features, B.hole_frames(lines, features, B.pair_greens(lines, features))
 
 
-@query("green_pairing")
+relation("hole_turns", "SELECT course_id, ref, row_number() OVER (PARTITION BY course_id ORDER BY ref) AS turn FROM (SELECT DISTINCT course_id, ref FROM hole_vertices)")
+relation("hole_ends", f"""SELECT course_id, ref, CASE ord WHEN 0 THEN 0 ELSE 1 END AS "end", lat, lon FROM hole_vertices WHERE ord IN (0, {len(LINE) - 1})""")
+_NEAR = f"""(round({sql_metres('c', 'e')}, 6), c.element_id, e."end")"""
+relation("green_turns", f"""SELECT course_id, 0 AS turn, 0 AS ref, CAST(0 AS BIGINT) AS green_id, 0 AS "end", CAST([] AS BIGINT[]) AS taken FROM (SELECT DISTINCT course_id FROM hole_turns)
+UNION ALL SELECT course_id, turn, ref, green_id, "end", list_append(taken, green_id) FROM (
+  SELECT r.course_id, CAST(r.turn + 1 AS INT) AS turn, h.ref, arg_min(c.element_id, {_NEAR}) AS green_id, arg_min(e."end", {_NEAR}) AS "end", r.taken
+  FROM green_turns r JOIN hole_turns h ON h.course_id = r.course_id AND h.turn = r.turn + 1 JOIN hole_ends e ON e.course_id = h.course_id AND e.ref = h.ref
+  JOIN (SELECT * FROM centres WHERE golf = 'green') c ON c.course_id = h.course_id AND NOT list_contains(r.taken, c.element_id)
+  GROUP BY r.course_id, r.turn, h.ref, r.taken)""")
+
+
+@query("green_pairing", """SELECT t.course_id, t.ref, g.green_id, g."end" FROM hole_turns t LEFT JOIN green_turns g
+  ON g.course_id = t.course_id AND g.ref = t.ref AND g.turn > 0""")
 def green_pairing(spark, folder):
-    """Greedy pairing in ref order; checked against brute force in the tests."""
+    """Greedy pairing in ref order; a hole that finds no free green has a null one."""
     mapped = elements(spark, folder)
     return B.pair_greens(B.hole_lines(mapped), B.ring_features(mapped))
 

@@ -20,6 +20,7 @@ from swingframe.functions.cleaning import header_text
 from swingframe.operators import conform
 from swingframe.sources.registry import SOURCES, Source, get_source
 
+TOP_BYTES = 1 << 16  # a file's first two lines lie within these
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -44,10 +45,11 @@ def parse_header(line: str) -> list[str]:
 
 def _file_tops(spark: SparkSession, root: str, source: Source) -> DataFrame:
     """(file, header line, whether physical line 2 is blank) per matching file."""
-    text = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
-    lines = F.split(F.regexp_replace("value", "^\\uFEFF", ""), "\r\n|\n|\r", 3)
+    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
+    value = F.decode(F.substring("content", 1, TOP_BYTES), source.encoding)
+    lines = F.split(F.regexp_replace(value, "^\\uFEFF", ""), "\r\n|\n|\r", 3)
     return (
-        text.select(_label(root).alias("file"), lines.alias("lines"))
+        files.select(_label(root).alias("file"), lines.alias("lines"))
         .where(F.col("file").rlike(source.path_pattern))
         .select("file", F.col("lines")[0].alias("header"),
                 (F.trim(F.coalesce(F.get("lines", F.lit(1)), F.lit(""))) == "").alias("second_blank"))
