@@ -9,8 +9,8 @@ soon as its next arrival is later than the latest register, so long texts cost o
 for most shingles. Registers of two texts agree with the probability of their similarity.
 
 Texts that agree in a band share a bucket. Equal texts are one node, so a bucket holds
-different texts only. Pairs whose registers differ in too many low bits for a similarity of 0.8
-(by five standard deviations) are dropped inside the join of a bucket's members. A bucket is not expanded into pairs: its members are compared, on
+different texts only. Pairs of which too many registers differ in four bits for a similarity of
+0.8 (by five standard deviations) are dropped inside the join of a bucket's members. A bucket is not expanded into pairs: its members are compared, on
 whole texts, with a pivot; what is linked becomes one component; then with GROWTH times as
 many pivots, but only members that are not yet connected to them, until the bucket is one
 component or every pair of its components has been compared. A group of copies is done
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swingframe.llm.graph import components
@@ -40,9 +40,10 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 50, 10
 REGISTERS = BANDS * ROWS
-LONGS = -(-REGISTERS // 64)
-BITS = REGISTERS  # one bit of every register estimates the similarity of a pair before its texts are read
-UNLIKE = 0.1 * BITS + 5 * (0.1 * 0.9 * BITS) ** 0.5  # differing bits at similarity 0.8, and five deviations more
+LONGS = -(-REGISTERS // 16)
+# Four bits of every register estimate the similarity of a pair before its texts are read.
+APART = (1 - THRESHOLD) * 15 / 16  # share of registers whose four bits differ at the threshold
+UNLIKE = APART * REGISTERS + 5 * (APART * (1 - APART) * REGISTERS) ** 0.5  # and five deviations more
 GROWTH = 8  # times as many pivots in a bucket's next round
 PLACES = mix(np.arange(11, 11 + WORDS, dtype=np.uint64) * GOLDEN) | np.uint64(1)
 
@@ -117,9 +118,9 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for band in range(BANDS):
                 for k in range(ROWS):
                     bands[:, band] = mix(bands[:, band] + won[spoken, band * ROWS + k] + step(band * ROWS + k + 1))
-            low = np.zeros((len(spoken), LONGS * 64), np.uint8)
-            low[:, :BITS] = (mix(won[spoken]) >> np.uint64(40)) & np.uint64(1)
-            bits = np.packbits(low, axis=1).view(np.int64)
+            low = np.zeros((len(spoken), LONGS * 16), np.uint8)
+            low[:, :REGISTERS] = (mix(won[spoken]) >> np.uint64(40)) & np.uint64(15)
+            bits = np.ascontiguousarray(low[:, ::2] | (low[:, 1::2] << 4)).view(np.int64)
             sizes = np.zeros(texts + 1, np.int32)
             sizes[spoken + 1] = 1
             part = batch.slice(begin, texts)
@@ -167,6 +168,17 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(k).filter(pa.array(held, pa.bool_())) for k in (0, 1)], names=["u", "v"])
 
 
+def differing(x: str, y: str) -> Column:
+    """How many registers differ in their four bits, from two arrays of packed bits."""
+    def count(k: int) -> Column:
+        both = F.col(x)[k].bitwiseXOR(F.col(y)[k])
+        both = both.bitwiseOR(F.shiftrightunsigned(both, 2))
+        both = both.bitwiseOR(F.shiftrightunsigned(both, 1))
+        return F.bit_count(both.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return sum((count(k) for k in range(LONGS)), F.lit(0))
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     """row, doc_id, hash of the text as it is, digest of its words, buckets; written once."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -202,8 +214,7 @@ def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             return component
         pivots = left.filter("now AND NOT old").select("bucket", F.col("node").alias("a"), F.col("component").alias("u"), F.col("bits").alias("x"))
         others = left.filter("NOT old").select("bucket", F.col("node").alias("b"), F.col("component").alias("v"), "now", F.col("bits").alias("y"))
-        differ = sum((F.bit_count(F.col("x")[k].bitwiseXOR(F.col("y")[k])) for k in range(LONGS)), F.lit(0))
-        pairs = pivots.join(others, "bucket").filter(F.expr("u <> v AND (NOT now OR a < b)") & (differ <= UNLIKE)) \
+        pairs = pivots.join(others, "bucket").filter(F.expr("u <> v AND (NOT now OR a < b)") & (differing("x", "y") <= UNLIKE)) \
             .select("a", "b", "u", "v").distinct()
         ready = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b") \
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("u", "v", "ta", "tb")
