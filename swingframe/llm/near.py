@@ -232,7 +232,8 @@ def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size, kept, and hash of its text."""
     rows = sketched(docs)
-    best = rows.groupBy("d1", "d2").agg(F.min("row").alias("node"))
+    # written, so that the join below has exchanges of its own, which are split where one text is hot
+    best = written(rows.groupBy("d1", "d2").agg(F.min("row").alias("node")), "near-best")
     named = written(rows.select("row", "doc_id", "hash", "d1", "d2").join(best, ["d1", "d2"]).select("row", "doc_id", "hash", "node"), "near-rows")
     nodes = named.filter("row = node").select("node", "doc_id", "hash").join(
         rows.select(F.col("row").alias("node"), "bands", "bits"), "node")
