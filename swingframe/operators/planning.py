@@ -220,20 +220,24 @@ def iterate(
     beyond it raise. Each sweep's table goes to the checkpoint folder, so a lost executor
     repeats one sweep at most; the driver sees a count."""
     values, rested, sweeps = cut_lineage(first_values(cells)), [], 0
+    live_cells, live_options = cells, options
     while True:
-        swept = cut_lineage(sweep(cells, values, shapes, options))
-        moved = swept.groupBy("scenario").agg((F.max(F.abs(F.col("v") - F.col("before"))) >= tol).alias("moved"))
-        moved = cut_lineage(moved)
-        swept = swept.select(*CELL, "v")
-        rested.append(swept.join(moved.where("NOT moved"), "scenario", "left_semi"))
-        going = moved.where("moved").select("scenario")
-        left = going.count()
+        swept = cut_lineage(sweep(live_cells, values, shapes, live_options))
+        moved = cut_lineage(swept.groupBy("scenario").agg(
+            (F.max(F.abs(F.col("v") - F.col("before"))) >= tol).alias("moved")))
+        values, sweeps = swept.select(*CELL, "v"), sweeps + 1
+        left, done = moved.agg(F.count_if("moved"), F.count_if(~F.col("moved"))).first()
+        if done:
+            rested.append(values.join(moved.where("NOT moved"), "scenario", "left_semi"))
         if not left:
             break
-        sweeps += 1
         if most is not None and sweeps >= most:
             raise RuntimeError(f"{left} scenarios still move after {most} sweeps")
-        values, cells, options = (t.join(going, "scenario", "left_semi") for t in (swept, cells, options))
+        # always from the whole tables, so that plans do not grow from sweep to sweep
+        going = moved.where("moved").select("scenario")
+        values, live_cells, live_options = (t.join(going, "scenario", "left_semi") for t in (values, cells, options))
+    if not rested:
+        return values
     out = rested[0]
     for part in rested[1:]:
         out = out.unionByName(part)
@@ -256,6 +260,7 @@ def rollout(cells: DataFrame, choices: DataFrame) -> DataFrame:
     comes to a cell already played from would go round for ever; it is the last one, and
     `ends` is 'stuck' for it, 'short game' for a last shot that reaches it, else null."""
     at = cells.select("scenario", F.col("start_i").alias("i"), F.col("start_j").alias("j")).distinct()
+    choices = cut_lineage(choices)  # read by every shot
     spots = choices.select("scenario", F.col("i").alias("to_i"), F.col("j").alias("to_j"),
                            F.col("x").alias("aim_x"), F.col("y").alias("aim_y"), F.col("done").alias("_done"))
     played: DataFrame | None = None
