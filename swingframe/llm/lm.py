@@ -47,7 +47,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(0), 4 << 20):
+        for _, _, data, offsets in pieces(batch.column(0)):
             found, n = np.unique(tokens(data, offsets)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["word", "c"])
 

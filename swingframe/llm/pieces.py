@@ -33,7 +33,7 @@ from swingframe.llm.words import SpanHasher
 from swingframe.llm.words import pieces as cut
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 BLANK = 0x20
 FALLBACK = -2  # marks a character given as its bytes
 
