@@ -67,6 +67,27 @@ class Model:
         }
         self.p["input"][:, :HIDDEN] += 1  # gates begin by keeping the state
 
+    def evidence(self, counts: np.ndarray) -> dict[str, np.ndarray]:
+        """Tokens behind each weight, by the tokens of each word: a word's inputs are moved by itself,
+        its outputs by its class, all else by every token."""
+        whole = np.full(1, counts.sum())
+        kind = np.bincount(self.kind, counts, minlength=self.classes)[self.kind]
+        return {"input": counts[:, None], "word": kind[:, None], "word_bias": kind} | dict.fromkeys(("start", "state", "class", "class_bias"), whole)
+
+    def change(self, before: Model, counts: np.ndarray) -> np.ndarray:
+        """What training on so many tokens of each word moved, times the tokens behind it, and the tokens; such rows can be added."""
+        behind = self.evidence(counts)
+        return np.concatenate([((self.p[k] - before.p[k]) * behind[k]).ravel() for k in sorted(self.p)] + [counts]).astype(np.float32)
+
+    def move(self, total: np.ndarray) -> None:
+        """Take the mean of added changes; what nothing stands behind stays."""
+        behind = self.evidence(total[len(total) - len(self.kind):].astype(np.float64))
+        first = 0
+        for k in sorted(self.p):
+            part = total[first: first + self.p[k].size].reshape(self.p[k].shape)
+            first += self.p[k].size
+            self.p[k] += (part / np.maximum(behind[k], 1)).astype(np.float32)
+
     def advance(self, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """One step from input gates and state: new state and what the gradient needs."""
         both = h @ self.p["state"]
@@ -109,27 +130,47 @@ class Model:
     def output_gradient(self, h: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray]) -> np.ndarray:
         """Add the output parameters' gradients of the mean loss; return the states' gradient."""
         p, n = self.p, len(h)
-        logits = h @ p["class"] + p["class_bias"]
-        soft = np.exp(logits - logits.max(axis=1, keepdims=True))
-        soft /= soft.sum(axis=1, keepdims=True)
-        soft[np.arange(n), self.kind[target]] -= 1
-        soft /= n
+        soft = mean_softmax(h @ p["class"] + p["class_bias"], n)
+        soft[np.arange(n), self.kind[target]] -= np.float32(1 / n)
         grads["class"] += h.T @ soft
         grads["class_bias"] += soft.sum(axis=0)
         back = soft @ p["class"].T
         for k, rows in self.groups(target):
             a, b = self.borders[k], self.borders[k + 1]
-            logits = h[rows] @ p["word"][a:b].T + p["word_bias"][a:b]
-            soft = np.exp(logits - logits.max(axis=1, keepdims=True))
-            soft /= soft.sum(axis=1, keepdims=True)
-            soft[np.arange(len(rows)), target[rows] - a] -= 1
-            soft /= n
-            grads["word"][a:b] += soft.T @ h[rows]
+            own = h[rows]
+            logits = own @ p["word"][a:b].T
+            logits += p["word_bias"][a:b]
+            soft = mean_softmax(logits, n)
+            soft[np.arange(len(rows)), target[rows] - a] -= np.float32(1 / n)
+            grads["word"][a:b] += soft.T @ own
             grads["word_bias"][a:b] += soft.sum(axis=0)
             back[rows] += soft @ p["word"][a:b]
         return back
 
 
+def mean_softmax(logits: np.ndarray, n: int) -> np.ndarray:
+    """Softmax by row over n, in place; the row's bound is taken off only where logits are large, as in log_total."""
+    if float(logits.max(initial=0)) > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= 1 / (logits.sum(axis=1, keepdims=True) * np.float32(n))
+    return logits
+
+
+def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """table[at] += rows, with repeated places: frequent ones by a product, the others one repeat at a time."""
+    order = np.argsort(at, kind="stable")
+    rows, at = rows[order], at[order]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    times = np.diff(np.append(first, len(at)))
+    for k in np.flatnonzero(times > 8):
+        table[at[first[k]]] += np.ones(times[k], rows.dtype) @ rows[first[k]: first[k] + times[k]]
+    first, times = first[times <= 8], times[times <= 8]
+    for turn in range(8):
+        more = first[times > turn] + turn
+        table[at[more]] += rows[more]
+
+
 def lanes_of(lengths: np.ndarray, most: int) -> list[list[int]]:
     """Sequences dealt to at most ``most`` lanes of about equal length, longest first."""
     longest = int(lengths.max(initial=1))
@@ -190,58 +231,87 @@ def score(model: Model, tokens: np.ndarray, offsets: np.ndarray, most: int = 102
     return total
 
 
-def train(model: Model, tokens: np.ndarray, offsets: np.ndarray, epochs: int = 2, rate: float = 0.004, lanes: int = 64) -> Model:
-    """Truncated backpropagation through windows of WINDOW steps, by Adam."""
-    p = model.p
-    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
-    turn = 0
-    for _ in range(epochs):
+class Trainer:
+    """Truncated backpropagation through windows of WINDOW steps, by Adam; its moments last over calls."""
+
+    def __init__(self, model: Model, rate: float = 0.004):
+        self.model, self.rate, self.turn = model, rate, 0
+        self.moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
+
+    def learn(self, tokens: np.ndarray, offsets: np.ndarray, lanes: int = 64) -> None:
+        """One pass over the sequences."""
         packed = Packed(tokens, offsets, lanes)
         h = np.zeros((len(packed.size), HIDDEN), np.float32)
         for first in range(0, packed.steps, WINDOW):
-            trace, states, spots = [], [], []
-            for t in range(first, min(first + WINDOW, packed.steps)):
-                k = packed.alive[t]
-                at = packed.base[:k] + t
-                opens, seen = packed.opens[at], packed.tokens[np.maximum(at - 1, 0)]
-                gates = np.where(opens[:, None], p["start"], p["input"][seen])
-                before = np.where(opens[:, None], np.float32(0), h[:k])
-                after, z, r, new, inner = model.advance(gates, before)
-                h = h.copy()
-                h[:k] = after
-                trace.append((k, opens, seen, before, z, r, new, inner))
-                states.append(after)
-                spots.append(at)
-            grads = {k: np.zeros_like(v) for k, v in p.items()}
-            at = np.concatenate(spots)
-            back = model.output_gradient(np.concatenate(states), packed.tokens[at], grads)
-            carried = np.zeros_like(h)
-            end = len(back)
-            inputs, words = [], []
-            for k, opens, seen, before, z, r, new, inner in reversed(trace):
-                d = back[end - k: end] + carried[:k]
-                end -= k
-                d_new = d * (1 - z) * (1 - new * new)
-                d_z = d * (before - new) * z * (1 - z)
-                d_r = d_new * inner * r * (1 - r)
-                gate = np.concatenate([d_z, d_r, d_new], axis=1)
-                side = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                grads["state"] += before.T @ side
-                carried[:k] = np.where(opens[:, None], 0, d * z + side @ p["state"].T)
-                grads["start"] += gate[opens].sum(axis=0)
-                inputs.append(gate[~opens])
-                words.append(seen[~opens])
-            seen = np.concatenate(words)
-            if len(seen):
-                order = np.argsort(seen, kind="stable")
-                edges = np.flatnonzero(np.concatenate([[True], seen[order][1:] != seen[order][:-1]]))
-                grads["input"][seen[order][edges]] += np.add.reduceat(np.concatenate(inputs)[order], edges, axis=0)
-            turn += 1
-            scale = min(1.0, 1.0 / max(1e-9, float(np.sqrt(sum(float((g * g).sum()) for g in grads.values())))))
-            for name, g in grads.items():
-                m, v = moment[name]
-                g = g * np.float32(scale)
-                m += np.float32(0.1) * (g - m)
-                v += np.float32(0.01) * (g * g - v)
-                p[name] -= (rate / (1 - 0.9**turn)) * m / (np.sqrt(v / (1 - 0.99**turn)) + np.float32(1e-7))
+            h = self.window(packed, h, packed.alive[first: first + WINDOW], first)
+
+    def window(self, packed: Packed, h: np.ndarray, alive: np.ndarray, first: int) -> np.ndarray:
+        """One step of Adam from the states ``h`` that the window before left."""
+        model, p = self.model, self.model.p
+        at = np.concatenate([packed.base[:k] + first + t for t, k in enumerate(alive)])
+        ends = np.cumsum(alive)
+        opens, seen = packed.opens[at], packed.tokens[np.maximum(at - 1, 0)]
+        gates = p["input"][seen]
+        gates[opens] = p["start"]
+        before, states = (np.empty((len(at), HIDDEN), np.float32) for _ in range(2))
+        trace = []
+        for k, end in zip(alive, ends):
+            span = slice(end - k, end)
+            before[span] = h[:k]
+            before[span][opens[span]] = 0
+            after, z, r, new, inner = model.advance(gates[span], before[span])
+            states[span] = h[:k] = after
+            trace.append((k, span, z, r, new, inner))
+        grads = {k: np.zeros_like(v) for k, v in p.items()}
+        back = model.output_gradient(states, packed.tokens[at], grads)
+        carried = np.zeros_like(h)
+        gate = np.empty((len(at), 3 * HIDDEN), np.float32)
+        side = np.empty((len(at), 3 * HIDDEN), np.float32)
+        turned = np.ascontiguousarray(p["state"].T)
+        for k, span, z, r, new, inner in reversed(trace):
+            d = back[span]
+            d += carried[:k]
+            keep = d * z
+            d -= keep  # d (1 - z)
+            d_new = d * (1 - new * new)
+            own, beside = gate[span], side[span]
+            own[:, :HIDDEN] = d * (before[span] - new) * z
+            own[:, HIDDEN: 2 * HIDDEN] = d_new * inner * r * (1 - r)
+            own[:, 2 * HIDDEN:] = d_new
+            beside[:, : 2 * HIDDEN] = own[:, : 2 * HIDDEN]
+            beside[:, 2 * HIDDEN:] = d_new * r
+            keep += beside @ turned
+            keep[opens[span]] = 0
+            carried[:k] = keep
+        grads["state"] += before.T @ side
+        grads["start"] += gate[opens].sum(axis=0)
+        add_rows(grads["input"], seen[~opens], gate[~opens])
+        self.step(grads)
+        return h
+
+    def step(self, grads: dict[str, np.ndarray]) -> None:
+        self.turn += 1
+        size = float(np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values())))
+        scale = np.float32(min(1.0, 1.0 / max(1e-9, size)))
+        for name, g in grads.items():
+            m, v = self.moment[name]
+            g *= scale
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * g
+            g *= g
+            g *= np.float32(0.01)
+            v *= np.float32(0.99)
+            v += g
+            np.divide(v, np.float32(1 - 0.99**self.turn), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-7)
+            np.divide(m, g, out=g)
+            g *= np.float32(self.rate / (1 - 0.9**self.turn))
+            self.model.p[name] -= g
+
+
+def train(model: Model, tokens: np.ndarray, offsets: np.ndarray, epochs: int = 2, rate: float = 0.004, lanes: int = 64) -> Model:
+    trainer = Trainer(model, rate)
+    for _ in range(epochs):
+        trainer.learn(tokens, offsets, lanes)
     return model

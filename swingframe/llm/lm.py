@@ -2,9 +2,11 @@
 
 Words are counted over every training document. The KNOWN most frequent words (a documented
 bound) are broadcast with their counts; the others are looked up by a join. The HEAD most
-frequent form the vocabulary of a gated recurrent model (``gru``), trained by truncated
-backpropagation on at most SAMPLE training documents (a documented bound, chosen by hash
-order). Any other word has the probability of the model's last class times its smoothed
+frequent form the vocabulary of a gated recurrent model (``gru``). It starts from truncated
+backpropagation over SAMPLE training documents in hash order in the driver, and then learns from
+every training document: in each of ROUNDS rounds the documents of one hash class are trained on
+where they lie, every task from the same weights, and the tasks' changes are averaged, each weight
+by the tokens behind it, over a tree of tasks. Any other word has the probability of the model's last class times its smoothed
 share among such words, (c + 0.5) / (N' + 0.5 (V' + 1)), as in the unigram base; so a
 document's score is a proper probability of its tokens, whatever their number.
 
@@ -18,6 +20,7 @@ often as they occur.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import deepcopy
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,12 @@ HEAD = 4096
 KNOWN = 1 << 18
 SAMPLE = 1200
 TOKENS_AT_ONCE = 1 << 21
+ROUNDS = 4
+LEARNER_TOKENS = 1 << 22  # training tokens of one task, over all rounds; more tokens, more tasks
+LEARNT_AT_ONCE = 1 << 18
+LANES = 512  # at most; fewer where there are few tokens, so that STEPS windows come of them
+STEPS = 16
+MET = 16  # changes that one task adds up
 TRAINED_TOGETHER = 1024  # a longer text is trained in parts of so many tokens, so that lanes stay even
 END = 0x1E5D_0C0F_7E9A_3B11  # stands for the end of a text
 
@@ -149,6 +158,64 @@ def scored(scorer: Scorer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             yield flush()
 
 
+def parts_of(lengths: np.ndarray) -> np.ndarray:
+    """Offsets of texts of such lengths, longer ones in parts."""
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    inner = [np.arange(a, b, TRAINED_TOGETHER) for a, b in zip(ends[:-1], ends[1:])]
+    return np.append(np.concatenate(inner), ends[-1])
+
+
+def learned(scorer: Scorer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training texts in; one row out, the change of the weights by one pass over all of them."""
+    model, lookup = deepcopy(scorer.model), Lookup(scorer.words[: scorer.head])
+    trainer, counts = gru.Trainer(model), np.zeros(scorer.head + 1)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def learn() -> None:
+        ids = np.concatenate([x[0] for x in held])
+        trainer.learn(ids, parts_of(np.concatenate([x[1] for x in held])), int(np.clip(len(ids) // (STEPS * gru.WINDOW), 1, LANES)))
+        counts[:] += np.bincount(ids, minlength=len(counts))
+        held.clear()
+
+    for batch in batches:
+        for _, _, data, offsets in pieces(batch.column(0)):
+            hashed, ends = tokens(data, offsets)
+            held.append((scorer.ids(lookup(hashed)), np.diff(ends)))
+            if sum(len(x[0]) for x in held) >= LEARNT_AT_ONCE:
+                learn()
+    if held:
+        learn()
+    if counts.any():
+        yield changed(model.change(scorer.model, counts))
+
+
+def changed(change: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([change.astype(np.float32).tobytes()], pa.binary())], names=["change"])
+
+
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        for x in batch.column(0):
+            change = np.frombuffer(x.as_buffer(), np.float32)
+            total = change.astype(np.float64) if total is None else np.add(total, change, out=total)
+    if total is not None:
+        yield changed(total)
+
+
+def learn_from_all(scorer: Scorer, docs: DataFrame) -> None:
+    """ROUNDS rounds of training, which together pass over every row of docs once."""
+    learners = -(-scorer.n // LEARNER_TOKENS)
+    for turn in range(ROUNDS):
+        texts = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == turn).select("text").coalesce(learners)
+        changes, left = texts.mapInArrow(lambda batches: learned(scorer, batches), "change binary"), learners
+        while left > MET:
+            left = -(-left // MET)
+            changes = changes.repartition(left).mapInArrow(added, "change binary")
+        for total in added(changes.toArrow().to_batches()):
+            scorer.model.move(np.frombuffer(total["change"][0].as_buffer(), np.float32))
+
+
 def fit(docs: DataFrame, counts: DataFrame) -> Scorer:
     """docs: doc_id, text of the training rows; counts: word, c over all of them."""
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
@@ -170,11 +237,11 @@ def fit(docs: DataFrame, counts: DataFrame) -> Scorer:
         hashed, ends = tokens(data, offsets)
         ids.append(scorer.ids(scorer.ranks(hashed)))
         lengths.append(np.diff(ends))
-    if ids and scorer.head:
-        ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
-        inner = [np.arange(a, b, TRAINED_TOGETHER) for a, b in zip(ends[:-1], ends[1:])]
-        gru.train(scorer.model, np.concatenate(ids), np.append(np.concatenate(inner), ends[-1]))
     scorer.lookup = None  # each task builds its own
+    if scorer.head:
+        if ids:
+            gru.train(scorer.model, np.concatenate(ids), parts_of(np.concatenate(lengths)))
+        learn_from_all(scorer, docs)
     return scorer
 
 

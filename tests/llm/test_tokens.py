@@ -122,6 +122,44 @@ def test_words_outside_the_known_ones_are_joined(spark, folder, monkeypatch):
         assert math.isclose(r.base_score, whole[r.doc_id].base_score, rel_tol=1e-9) and r.n_known == whole[r.doc_id].n_known
 
 
+def test_documents_outside_the_first_sample_move_the_weights(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SAMPLE", 1)
+    monkeypatch.setattr(lm, "LEARNER_TOKENS", 6000)
+    monkeypatch.setattr(lm, "MET", 2)  # so that changes meet over several levels
+    rng = random.Random(2)
+    ordered = ["red green blue " * 30] * 400
+    shuffled = [" ".join(rng.sample(t.split(), 90)) for t in ordered]
+    gain = []
+    for texts in (ordered, shuffled):
+        docs = spark.createDataFrame(list(enumerate([*texts, "red green blue " * 30])), "doc_id long, text string").repartition(12)
+        rows = [r for r in lm.lm_scores(docs).collect() if r.held_out]
+        gain.append(sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows))
+    assert gain[0] > 0.2 and gain[0] > gain[1] + 0.15
+
+
+def test_changes_are_averaged_by_the_tokens_behind_each_weight():
+    model, one, two = small_model(), small_model(), small_model()
+    one.p["input"][:2] += 1
+    two.p["input"][1] += 4
+    two.p["start"] += 2
+    counts = np.zeros(9)
+    changes = [one.change(model, counts + [6, 3, 0, 0, 0, 0, 0, 0, 0]), two.change(model, counts + [0, 1, 2, 0, 0, 0, 0, 0, 0])]
+    batches = [b for c in changes for b in [lm.changed(c)]]
+    model.move(np.frombuffer(next(lm.added(iter(batches)))["change"][0].as_buffer(), np.float32))
+    before = small_model().p
+    assert np.allclose(model.p["input"] - before["input"], np.array([1, 1.75, 0, 0, 0, 0, 0, 0, 0])[:, None], atol=1e-6)
+    assert np.allclose(model.p["start"] - before["start"], 0.5) and np.array_equal(model.p["word"], before["word"])
+
+
+def test_rows_are_added_at_repeated_places():
+    rng = np.random.default_rng(0)
+    at, rows = np.minimum(rng.geometric(0.2, 300), 19), rng.normal(size=(300, 4))
+    table, want = np.ones((20, 4)), np.ones((20, 4))
+    gru.add_rows(table, at, rows)
+    np.add.at(want, at, rows)
+    assert np.allclose(table, want)
+
+
 def small_model():
     model = gru.Model(np.array([50.0, 30, 20, 10, 5, 4, 3, 2]), 6.0)
     rng = np.random.default_rng(0)
