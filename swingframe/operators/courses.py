@@ -135,14 +135,15 @@ def pair_greens(lines: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def hole_frames(lines: DataFrame, features: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Holes with their tee-to-pin frame: the pin is the paired green, the tee the far end."""
+    """Holes with their tee-to-pin frame: the pin is the paired green, the tee the far end.
+    A hole without a green is kept, with a null frame."""
     greens = features.where("golf = 'green'").select(
         "course_id", F.col("element_id").alias("green_id"), F.col("centre").alias("pin"),
         F.col("ring").alias("green_ring"))
     tee = F.when(F.col("end") == 0, F.element_at("line", -1)).otherwise(F.col("line")[0])
-    joined = lines.join(pairs, ["course_id", "ref"]).join(greens, ["course_id", "green_id"]).withColumn("tee", tee)
+    joined = lines.join(pairs, ["course_id", "ref"]).join(greens, ["course_id", "green_id"], "left").withColumn("tee", tee)
     frame = G.axis(F.col("tee.lat"), F.col("tee.lon"), F.col("pin.lat"), F.col("pin.lon"))
-    return joined.withColumn("frame", frame)
+    return joined.withColumn("frame", F.when(F.col("pin").isNotNull(), frame))
 
 
 def project_ring(frame: Column, ring: Column) -> Column:
@@ -240,11 +241,13 @@ def hole_records(
     frames: DataFrame, assigned: DataFrame, fairways: DataFrame, tees: DataFrame,
     profile: DataFrame | None = None, planes: DataFrame | None = None,
 ) -> DataFrame:
-    """One nested record per hole, everything in its own frame."""
+    """One nested record per hole, everything in its own frame; without a frame, a null green,
+    distance and bearing, and nothing in the lists."""
     keys = ["course_id", "ref"]
+    framed = frames.where("frame IS NOT NULL")
 
     def rings(kinds: list[str], name: str) -> DataFrame:
-        own = assigned.where(F.col("golf").isin(*kinds)).join(frames.select(*keys, "frame"), keys)
+        own = assigned.where(F.col("golf").isin(*kinds)).join(framed.select(*keys, "frame"), keys)
         ordered = F.array_sort(F.collect_list(F.struct(
             "element_id", project_ring(F.col("frame"), F.col("ring")).alias("ring"))))
         return own.groupBy(*keys).agg(F.transform(ordered, lambda r: r["ring"]).alias(name))
@@ -274,7 +277,7 @@ def hole_records(
         F.coalesce("elevation", F.array().cast("array<array<double>>")).alias("elevation"),
         F.coalesce("tees", F.array().cast("array<struct<downrange:double,lateral:double,yards:double>>")).alias("tees"),
         project_ring(F.col("frame"), F.col("green_ring")).alias("green"),
-        F.when(F.col("fairway_ring").isNotNull(), project_ring(F.col("frame"), F.col("fairway_ring"))).otherwise(
+        F.when(F.col("fairway_ring").isNotNull() & F.col("frame").isNotNull(), project_ring(F.col("frame"), F.col("fairway_ring"))).otherwise(
             F.array().cast("array<array<double>>")).alias("fairway"),
         F.coalesce("bunkers", F.array().cast(lists)).alias("bunkers"),
         F.coalesce("water", F.array().cast(lists)).alias("water"))
