@@ -7,6 +7,8 @@ each other across a course, and courses spread over the cluster.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -283,9 +285,31 @@ def hole_records(
         F.coalesce("water", F.array().cast(lists)).alias("water"))
 
 
-def build_course(elements: DataFrame) -> DataFrame:
-    """Map elements of many courses to hole records."""
-    lines, features = hole_lines(elements), ring_features(elements)
-    frames = hole_frames(lines, features, pair_greens(lines, features))
+def ground_places(frames: DataFrame) -> DataFrame:
+    """`(course_id, ref, ord, lat, lon)` whose height a record wants: the tee (order 0), six along
+    the line, the pin, and without an order the lattice of the green."""
+    framed = frames.where("frame IS NOT NULL")
+    along = F.transform(resample_line(F.col("line"), 6), lambda p: F.struct(
+        (p["k"] + 1).alias("ord"), p["lat"].alias("lat"), p["lon"].alias("lon")))
+    ends = [F.array(F.struct(F.lit(k).alias("ord"), F.col(f"{c}.lat").alias("lat"), F.col(f"{c}.lon").alias("lon")))
+            for k, c in ((0, "tee"), (7, "pin"))]
+    line = framed.select("course_id", "ref", F.inline(F.concat(ends[0], along, ends[1])))
+    return line.unionByName(green_samples(framed).select("course_id", "ref", F.lit(None).cast("int").alias("ord"), "lat", "lon"))
+
+
+def build_course(elements: DataFrame, heights: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Map elements of many courses to hole records.
+
+    `heights` adds `metres` to `ground_places`, null where unknown, as a join with a table of
+    ground samples does; without it, records have no elevation and level greens."""
+    # Written once: read many times below, and the plans stay small for the driver.
+    lines, features = cut_lineage(hole_lines(elements)), cut_lineage(ring_features(elements))
+    frames = cut_lineage(hole_frames(lines, features, pair_greens(lines, features)))
     assigned = assign_to_holes(features.where("golf <> 'green' AND golf <> 'fairway'"), lines)
-    return hole_records(frames, assigned, nearest_fairway(lines, features), tee_boxes(frames, assigned))
+    profile = planes = None
+    if heights is not None:
+        samples = heights(ground_places(frames)).where("metres IS NOT NULL")
+        profile = elevation_profile(frames, samples.where("ord IS NOT NULL"))
+        on_green = samples.where("ord IS NULL").join(frames.select("course_id", "ref", "frame"), ["course_id", "ref"])
+        planes = green_planes(on_green.withColumn("at", G.project(F.col("frame"), F.col("lat"), F.col("lon"))))
+    return hole_records(frames, assigned, nearest_fairway(lines, features), tee_boxes(frames, assigned), profile, planes)

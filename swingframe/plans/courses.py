@@ -273,16 +273,37 @@ JOIN green_edges e ON e.course_id = s.course_id AND e.ref = s.ref AND ((e.y0 > s
 
 
 # ---- records ------------------------------------------------------------
+def terrain(spark, folder):
+    """The ground of every course, from its suppliers: a middle and its height in metres, and the rise
+    in metres a degree to the north and east."""
+    ground = tables.read(spark, folder, "supplier").selectExpr(
+        "CAST((s_suppkey - s_suppkey % 12) / 12 AS BIGINT) AS course_id", "s_suppkey AS id", "CAST(s_acctbal AS DOUBLE) AS balance")
+    return ground.groupBy("course_id").agg(
+        (F.max("balance") / 50).alias("middle"), F.round(F.avg("balance")).alias("north"),
+        (F.min(F.col("id") % 7 * 500) - 1000.0).alias("east")).selectExpr(
+        "course_id", f"{ORIGIN[0]} AS lat0", f"{ORIGIN[1]} AS lon0", "middle", "north", "east")
+
+
+def records(spark, folder):
+    ground = terrain(spark, folder)
+
+    def heights(places):
+        metres = F.col("middle") + (F.col("lat") - F.col("lat0")) * F.col("north") + (F.col("lon") - F.col("lon0")) * F.col("east")
+        return places.join(ground, "course_id", "left").select(*places.columns, metres.alias("metres"))
+
+    return B.build_course(elements(spark, folder), heights)
+
+
 @query("hole_records")
 def hole_records(spark, folder):
-    """Nested hole records of every course, from map elements."""
-    return B.build_course(elements(spark, folder))
+    """Nested hole records of every course, from map elements and the ground."""
+    return records(spark, folder)
 
 
 @query("course_files")
 def course_files(spark, folder):
     """Hole records gathered per course, as the course files hold them."""
-    return files.course_records(B.build_course(elements(spark, folder)))
+    return files.course_records(records(spark, folder))
 
 
 # ---- mapping proposals --------------------------------------------------

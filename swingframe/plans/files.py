@@ -84,6 +84,6 @@ def map_extracts(spark, folder):
 def course_reader(spark, folder):
     """Course files written and read back into holes ready for membership tests."""
     path = scratch(spark, "courses")
-    course_files.write_courses(B.build_course(courses.elements(spark, folder)), path)
+    course_files.write_courses(courses.records(spark, folder), path)
     holes = course_files.read_course(spark, path)
     return H.prepare_course(holes).select("hole_id", "ref", "par", "pin_distance", "green_centre", "tees")
