@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swingframe.llm import chat, exact, lm, mixing, near, neighbours, pieces, quality, toxicity, warc
+from swingframe.llm import chat, exact, lm, mixing, near, neighbours, pieces, quality, simhash, spelling, toxicity, warc
 from swingframe.llm.store import table
 
 
@@ -55,7 +55,17 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op8_chat_formatting, op9_mixing, op10_sentencepiece)}
+def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_components(table(spark, folder, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_warc, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op8_chat_formatting,
+    op9_mixing, op10_sentencepiece, op12_simhash_near_dedup, op13_spelling_variants)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
