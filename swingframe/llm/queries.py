@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swingframe.llm import chat, exact, lm, mixing, near, neighbours, pieces, quality, simhash, spelling, toxicity, warc
+from swingframe.llm import chat, exact, lm, mixing, near, neighbours, phrases, pieces, quality, simhash, spelling, toxicity, warc
 from swingframe.llm.store import table
 
 
@@ -55,6 +55,10 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encode(table(spark, folder, "documents"), ["doc_id"])
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_components(table(spark, folder, "documents"))
 
@@ -65,7 +69,7 @@ def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_warc, op3_quality, op4_minhash_near_dedup, op5_nearest_vectors, op6_lm_scoring, op7_toxicity, op8_chat_formatting,
-    op9_mixing, op10_sentencepiece, op12_simhash_near_dedup, op13_spelling_variants)}
+    op9_mixing, op10_sentencepiece, op11_phrases, op12_simhash_near_dedup, op13_spelling_variants)}
 
 ORACLE_TEXTS = {
     "op1_exact_dedup": r"""
@@ -95,4 +99,27 @@ ORACLE_TEXTS = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(marked) AS BIGINT) AS formatted_chars
         FROM s GROUP BY conv_id""",
+    "op11_phrases": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+             w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+             o AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_slice(ws, i, i + k - 1))) AS gram
+                   FROM w, range(1, 5) r(k)),
+             f AS (SELECT lang, k, gram, count(*) AS f FROM o GROUP BY ALL),
+             t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+             c AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
+             u AS (SELECT c.lang, c.gram, c.f AS a, cut, x.f AS l, y.f AS r,
+                          CAST(CAST(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS BIGINT) AS score
+                   FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+                   JOIN f x ON x.lang = c.lang AND x.gram = list_slice(c.gram, 1, c.cut)
+                   JOIN f y ON y.lang = c.lang AND y.gram = list_slice(c.gram, c.cut + 1, c.k)),
+             s AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, cut) = 1),
+             b AS (SELECT lang, list_slice(gram, i, j) AS gram, max(f) AS longer
+                   FROM (SELECT *, unnest(range(1, k)) AS i FROM c) c, range(2, 5) e(j)
+                   WHERE j > i AND j <= k AND j - i + 1 < k GROUP BY ALL),
+             z AS (SELECT s.*, array_to_string(s.gram, ' ') AS phrase FROM s LEFT JOIN b ON b.lang = s.lang AND b.gram = s.gram
+                   WHERE b.longer IS NULL OR 100 * b.longer < 80 * s.a)
+        SELECT lang, rank, phrase, a, l, r, n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z) JOIN t USING (lang)
+        WHERE rank <= 2000""",
 }
