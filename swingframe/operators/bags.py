@@ -15,6 +15,7 @@ from swingframe.operators.quantiles import (
     ordinal_rank,
     value_counts,
 )
+from swingframe.session import written
 
 CLUB_KEYS = ["source", "player", "club"]
 LAUNCH_SI = ["ball_speed_ms", "launch_angle_rad", "launch_direction_rad", "spin_rate_rad_s", "spin_axis_rad"]
@@ -117,7 +118,7 @@ def trim_percentiles(
     else keep the group whole. How many remain is read off the value counts that the
     percentiles come from, so the rows themselves are joined once."""
     limits = exact_percentiles(
-        shots, keys, value, {"_lo": K.TRIM_LOW, "_hi": K.TRIM_HIGH}, width=0.5, count="_sized")
+        shots, keys, value, {"_lo": K.TRIM_LOW, "_hi": K.TRIM_HIGH}, count="_sized")
     inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
     kept = lookup(value_counts(shots, keys, value), limits, keys, "inner", null_safe=True).groupBy(
         *keys).agg(F.sum(F.when(inside, F.col("_n")).otherwise(0)).alias("_kept"))
@@ -299,19 +300,21 @@ def bag_from_shots(
     from the reference table scaled by the bag's median ratio.
     """
     keys = [bag, "club"]
-    labelled = launch_ready(shots).withColumn("club", C.bag_label(F.col("club")))
-    clean = trim_median(labelled, keys, "ball_speed_mph")
+    labelled = launch_ready(shots).withColumn("club", C.bag_label(F.col("club"))).select(
+        *keys, "ball_speed_mph", "carry_yards", "side_dispersion")
+    clean = written(trim_median(written(labelled, "bag-shots"), keys, "ball_speed_mph"), "bag-clean")
     stats = clean.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_observed"), F.avg("carry_yards").alias("_mean"),
         F.stddev_pop("carry_yards").alias("carry_std_yards"),
         F.stddev_pop("side_dispersion").alias("lateral_std_yards"),
     ).where(F.col("n_observed") >= K.MIN_SHOTS)
     middle = exact_median(clean, keys, "carry_yards", "_median")
-    real = one_to_one(stats, middle, keys).withColumn("measured_carry", F.coalesce("_median", "_mean"))
+    real = written(one_to_one(stats, middle, keys).withColumn("measured_carry", F.coalesce("_median", "_mean")), "bag-real")
     reference = tours.where(F.col("tour") == tour)
     scale = scale_ratio(real.select(F.col(bag).alias("bag_id"), "club", "measured_carry"), reference)
-    base = scale.withColumn("tour", F.lit(tour)).join(tours, "tour").select(
-        F.col("bag_id").alias(bag), "club", (F.col("carry_yards") * F.col("scale")).alias("_scaled"))
+    listed = reference.agg(F.collect_list(F.struct("club", "carry_yards"))).scalar()  # a tour's dozen clubs
+    base = scale.withColumn("_clubs", listed).select(F.col("bag_id").alias(bag), "scale", F.inline("_clubs")).select(
+        bag, "club", (F.col("carry_yards") * F.col("scale")).alias("_scaled"))
     found = real.select(F.col(bag).alias("_b"), F.col("club").alias("_c"), "n_observed", "measured_carry",
                         "carry_std_yards", "lateral_std_yards")
     joined = base.join(found, (F.col(bag) == F.col("_b")) & (F.col("club") == F.col("_c")), "left")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from swingframe import constants as K
 from swingframe.operators.joins import neighbour
+from swingframe.session import written
 
 
 @dataclass(frozen=True)
@@ -53,10 +56,12 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child keys without a parent row, with the number of child rows. Keys are counted
-    before the join, so a hot key crosses it once."""
+    """Child keys without a parent row, with the number of child rows. Keys are counted before the
+    join, so a hot key crosses it once; an outer join, as an anti join would be pushed below
+    the count."""
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    return keys.join(parent.select(F.col(field).alias("_field")), F.col(column) == F.col("_field"), "left_anti")
+    known = parent.select(F.col(field).alias("_field")).where("_field IS NOT NULL").distinct().withColumn("_known", F.lit(True))
+    return keys.join(known, F.col(column) == F.col("_field"), "left").where("_known IS NULL").drop("_field", "_known")
 
 
 def not_one_current(versions: DataFrame, entity: Column) -> DataFrame:
@@ -80,40 +85,56 @@ def club_entity() -> Column:
     return F.concat("player", F.lit(" / "), "club_type")
 
 
-def _row_counts(df: DataFrame, table: str, contracts: list[Contract]) -> DataFrame:
-    """All row contracts of a table in one pass over it."""
-    counts = df.agg(*[F.count_if(breaks(c)).alias(f"c{i}") for i, c in enumerate(contracts)])
-    entries = [
-        F.struct(F.lit(c.kind).alias("contract"), F.lit(table).alias("table"),
-                 F.lit(c.column).alias("column"), F.col(f"c{i}").alias("violations"))
-        for i, c in enumerate(contracts)
-    ]
-    return counts.select(F.inline(F.array(*entries)))
+COUNTED = "contract string, `table` string, `column` string, violations bigint"
+
+
+def row_contracts(table: str, contracts: list[Contract]) -> list[Contract]:
+    return [c for c in contracts if c.table == table and c.kind not in ("unique", "relationships")]
+
+
+def write_counted(df: DataFrame, table: str, contracts: list[Contract], write: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, list[tuple]]:
+    """The table as `write` leaves it, and `(contract, table, column, violations)` of each of its row
+    contracts, observed on the rows while they are written."""
+    own = row_contracts(table, contracts)
+    if not own:
+        return write(df, table), []
+    seen = Observation(f"{table}-{uuid.uuid4().hex}")
+    kept = write(df.observe(seen, *[F.count_if(breaks(c)).alias(f"c{i}") for i, c in enumerate(own)]), table)
+    return kept, [(c.kind, table, c.column, seen.get[f"c{i}"]) for i, c in enumerate(own)]
+
+
+def gate(tables: dict[str, DataFrame], contracts: list[Contract], write: Callable[[DataFrame, str], DataFrame] = written) -> DataFrame:
+    """(contract, table, column, violations) for every contract, plus the two version
+    invariants over `dim_player` and `dim_club` where both are present.
+
+    Every table is written first, and its row contracts are counted in that one pass. What takes
+    several rows to judge is read from the tables at rest."""
+    counted: list[tuple] = []
+    kept: dict[str, DataFrame] = {}
+    for table in dict.fromkeys([*(c.table for c in contracts), *(c.args[0] for c in contracts if c.kind == "relationships"),
+                                *(t for t in ("dim_player", "dim_club") if t in tables)]):
+        kept[table], counts = write_counted(tables[table], table, contracts, write)
+        counted += counts
+    return judged(kept, contracts, counted)
 
 
-def gate(tables: dict[str, DataFrame], contracts: list[Contract]) -> DataFrame:
-    """(contract, table, column, violations) for every contract, plus the two
-    version invariants over `dim_player` and `dim_club` where both are present."""
-    parts: list[DataFrame] = []
+def judged(tables: dict[str, DataFrame], contracts: list[Contract], counted: list[tuple]) -> DataFrame:
+    """The gate's table from written tables and the counts of their row contracts."""
+    spark = next(iter(tables.values())).sparkSession
+    parts: list[DataFrame] = [spark.createDataFrame(counted, COUNTED)] if counted else []
 
     def add(kind: str, table: str, column: str, count: DataFrame) -> None:
         parts.append(count.select(
             F.lit(kind).alias("contract"), F.lit(table).alias("table"),
             F.lit(column).alias("column"), F.col("violations")))
 
-    for table in dict.fromkeys(c.table for c in contracts):
-        own = [c for c in contracts if c.table == table]
-        by_row = [c for c in own if c.kind not in ("unique", "relationships")]
-        if by_row:
-            parts.append(_row_counts(tables[table], table, by_row))
-        for c in own:
-            if c.kind == "unique":
-                found = duplicates(tables[table], c.column)
-                add(c.kind, table, c.column, found.agg(F.count(F.lit(1)).alias("violations")))
-            elif c.kind == "relationships":
-                found = orphans(tables[table], c.column, tables[c.args[0]], c.args[1])
-                total = F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")
-                add(c.kind, table, c.column, found.agg(total))
+    for c in contracts:
+        if c.kind == "unique":
+            found = duplicates(tables[c.table], c.column)
+            add(c.kind, c.table, c.column, found.agg(F.count(F.lit(1)).alias("violations")))
+        elif c.kind == "relationships":
+            found = orphans(tables[c.table], c.column, tables[c.args[0]], c.args[1])
+            add(c.kind, c.table, c.column, found.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")))
     for table, entity in (("dim_player", F.col("player")), ("dim_club", club_entity())):
         if table in tables:
             for kind, check in (("one_current", not_one_current), ("no_overlap", overlapping_windows)):

@@ -1,8 +1,7 @@
 """Course geometry: map features to holes in a tee-to-pin frame.
 
-A course is small (tens of holes and features), so the features of a course are kept
-as arrays on one row and compared there; features themselves are never paired with
-each other across a course, and courses spread over the cluster.
+Features meet holes by place (`cells`), never a whole course with a whole course, so a map with
+very many features is spread like any other table.
 """
 
 from __future__ import annotations
@@ -14,8 +13,9 @@ from pyspark.sql import functions as F
 
 from swingframe.constants import YARDS_PER_METRE
 from swingframe.functions import geometry as G
+from swingframe.operators import cells
 from swingframe.operators.joins import lookup
-from swingframe.session import cut_lineage
+from swingframe.session import written
 
 RING_KINDS = ["green", "fairway", "bunker", "water_hazard", "water", "tee"]
 
@@ -79,61 +79,86 @@ def rejected_features(elements: DataFrame) -> DataFrame:
 
 
 # ---- nearest features ---------------------------------------------------
-def line_distance(line: Column, centre: Column) -> Column:
-    """Metres from a point to the nearest vertex of a line."""
-    return F.array_min(F.transform(line, lambda v: G.metres(centre["lat"], centre["lon"], v["lat"], v["lon"])))
+def line_vertices(lines: DataFrame) -> DataFrame:
+    """`(course_id, ref, vertex, lat, lon)` of every centreline."""
+    return lines.select("course_id", "ref", F.posexplode("line").alias("vertex", "p")).select(
+        "course_id", "ref", "vertex", F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"))
+
+
+def centres(features: DataFrame, name: str = "element_id") -> DataFrame:
+    return features.select("course_id", F.col("element_id").alias(name), F.col("centre.lat").alias("lat"), F.col("centre.lon").alias("lon"))
 
 
 def assign_to_holes(features: DataFrame, lines: DataFrame) -> DataFrame:
     """Each feature's nearest hole of its course by centreline vertex (lowest ref on a tie)."""
-    per_course = lines.groupBy("course_id").agg(F.collect_list(F.struct("ref", "line")).alias("_holes"))
-    nearest = F.array_min(F.transform("_holes", lambda h: F.struct(
-        F.round(line_distance(h["line"], F.col("centre")), 6).alias("d"), h["ref"].alias("ref"))))
-    joined = lookup(features, per_course, ["course_id"], "inner")
-    return joined.withColumn("ref", nearest["ref"]).drop("_holes")
+    keys = ["course_id", "element_id"]
+    near = cells.nearest(centres(features), line_vertices(lines), ["course_id"], keys, ["ref"])
+    return lookup(features, near.select(*keys, "ref"), keys, "inner")
 
 
 def nearest_fairway(lines: DataFrame, features: DataFrame) -> DataFrame:
     """Per hole the fairway whose centre is closest to its centreline (first by id on a tie)."""
-    per_course = features.where("golf = 'fairway'").groupBy("course_id").agg(
-        F.collect_list(F.struct("element_id", "centre", "ring")).alias("_fairways"))
-    ranked = F.array_min(F.transform("_fairways", lambda f: F.struct(
-        F.round(line_distance(F.col("line"), f["centre"]), 6).alias("d"), f["element_id"].alias("element_id"),
-        f["ring"].alias("ring"))))
-    joined = lines.join(per_course, "course_id", "left").withColumn("_best", ranked)
-    return joined.select("course_id", "ref", F.col("_best.element_id").alias("fairway_id"),
-                         F.col("_best.ring").alias("fairway_ring"))
+    fairways = features.where("golf = 'fairway'")
+    near = cells.nearest(line_vertices(lines), centres(fairways), ["course_id"], ["course_id", "ref", "vertex"], ["element_id"])
+    best = near.groupBy("course_id", "ref").agg(F.min(F.struct("metres", "element_id")).alias("b")).select(
+        "course_id", "ref", F.col("b.element_id").alias("fairway_id"))
+    chosen = lookup(lines.select("course_id", "ref"), best, ["course_id", "ref"])
+    return lookup(chosen, fairways.select("course_id", F.col("element_id").alias("fairway_id"), F.col("ring").alias("fairway_ring")),
+                  ["course_id", "fairway_id"])
 
 
-def pair_greens(lines: DataFrame, features: DataFrame) -> DataFrame:
+def pair_greens(lines: DataFrame, features: DataFrame, size: float = 2 * cells.DEGREES) -> DataFrame:
     """Holes in ref order take the nearest green not yet taken to either end of their line;
     one that finds none has a null `green_id`.
 
-    One round per place in the order, all courses at once; a round's takings are written
-    before the next one reads them. Rounds end with the longest course.
+    By deferred acceptance: all holes without a green ask for the nearest one that has not refused
+    them, and a green keeps the lowest ref that asks. As all greens rank holes alike, the result
+    is that of choosing in ref order, while rounds follow the longest chain of refusals and
+    not the number of holes. Greens are listed as far as the cells around a hole reach; cells grow only while a
+    hole has asked all of its list. A round's answers are written before the next one reads them.
     """
-    order = Window.partitionBy("course_id").orderBy("ref")
-    first, last = F.col("line")[0], F.element_at("line", -1)
-    holes = lines.withColumn("turn", F.row_number().over(order)).select(
-        "course_id", "ref", "turn", F.posexplode(F.array(first, last)).alias("end", "spot"))
-    greens = features.where("golf = 'green'").select(
-        "course_id", F.col("element_id").alias("green_id"), F.col("centre").alias("green"))
-    holes, greens = cut_lineage(holes), cut_lineage(greens)
-    turns = holes.agg(F.max("turn")).first()[0] or 0
-    taken: DataFrame | None = None
-    for turn in range(1, turns + 1):
-        free = greens if taken is None else greens.join(taken, ["course_id", "green_id"], "left_anti")
-        pairs = holes.where(F.col("turn") == turn).join(free, "course_id").withColumn(
-            "metres", G.metres(F.col("green.lat"), F.col("green.lon"), F.col("spot.lat"), F.col("spot.lon")))
-        best = pairs.groupBy("course_id", "ref").agg(F.min(F.struct(
-            F.round("metres", 6).alias("d"), "green_id", "end")).alias("b")).select(
-            "course_id", "ref", "b.green_id", "b.end")
-        best = cut_lineage(best)
-        taken = best if taken is None else taken.unionByName(best)
-    every = lines.select("course_id", "ref")
-    if taken is None:
+    hole, pick = ["course_id", "ref"], F.struct("metres", "green_id")
+    ends = lines.select(*hole, F.posexplode(F.array(F.col("line")[0], F.element_at("line", -1))).alias("end", "p")).select(
+        *hole, "end", F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"))
+    ends, greens = written(ends, "line-ends"), written(centres(features.where("golf = 'green'"), "green_id"), "greens")
+    totals = greens.groupBy("course_id").agg(F.count(F.lit(1)).alias("_greens"))
+    last = [F.lit(-1.0).alias("metres"), F.lit(0).cast("bigint").alias("green_id")]
+    asking = lookup(lines.select(*hole).distinct(), totals, ["course_id"], "inner").select(*hole, *last)
+    held: DataFrame | None = None
+    while True:
+        listed = cells.close_pairs(ends, greens, ["course_id"], size).groupBy(*hole, "green_id").agg(
+            F.min(F.struct(F.round("metres", 6).alias("metres"), "end")).alias("b"))
+        seen = listed.groupBy(*hole).agg(F.count(F.lit(1)).alias("_seen"))
+        bounds = ends.groupBy(*hole).agg(F.min(cells.reach(F.col("lat"), size)).alias("_reach"))
+        bounds = lookup(lookup(bounds, seen, hole), totals, ["course_id"], "inner").select(
+            *hole, F.when(F.col("_seen") == F.col("_greens"), float("inf")).otherwise(F.col("_reach") - 1e-5).alias("_reach"))
+        bounds = written(bounds, "pairing-bounds")
+        wishes = written(lookup(listed, bounds, hole, "inner").where(F.col("b.metres") < F.col("_reach")).select(
+            *hole, "green_id", "b.metres", "b.end"), "pairing-wishes")
+        while True:
+            before = asking.select(*hole, pick.alias("_last"))
+            asked = lookup(wishes, before, hole, "inner").where(pick > F.col("_last")).groupBy(*hole).agg(
+                F.min(F.struct("metres", "green_id", "end")).alias("b")).select(*hole, "b.*")
+            rivals = asked.withColumn("_new", F.lit(True))
+            if held is not None:
+                rivals = rivals.unionByName(held.withColumn("_new", F.lit(False)))
+            best = rivals.groupBy("course_id", "green_id").agg(F.min("ref").alias("_best"))
+            judged = written(lookup(rivals, best, ["course_id", "green_id"], "inner").withColumn(
+                "won", F.col("ref") == F.col("_best")).drop("_best"), "pairing-answers")
+            if judged.where("_new").isEmpty():
+                break
+            held = judged.where("won").drop("won", "_new")
+            waiting = asking.join(judged.where("_new").select(*hole), hole, "left_anti")
+            asking = written(waiting.unionByName(judged.where("NOT won").select(*asking.columns)), "pairing-asking")
+        # who has asked every green of the course goes without
+        asking = lookup(asking, bounds, hole, "inner").where(F.col("_reach") < float("inf")).drop("_reach")
+        if asking.isEmpty():
+            break
+        asking, size = written(asking, "pairing-asking"), size * cells.WIDER
+    every = lines.select(*hole)
+    if held is None:
         return every.withColumns({"green_id": F.lit(None).cast("bigint"), "end": F.lit(None).cast("int")})
-    return every.join(taken, ["course_id", "ref"], "left")
+    return lookup(every, held.drop("metres"), hole)
 
 
 def hole_frames(lines: DataFrame, features: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -285,6 +310,31 @@ def hole_records(
         F.coalesce("water", F.array().cast(lists)).alias("water"))
 
 
+def record_rows(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Nested hole records as flat rows `(keys, part, ring, ord, x, y)`: par, frame (pin distance and bearing), slope,
+    and every point of the profile, tees (their yards as a part of its own), green, fairway, bunkers and water."""
+    def row(part: str, ring: Column, at: Column, x: Column, y: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), ring.cast("int").alias("ring"), at.cast("int").alias("ord"),
+                        x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def points(part: str, line: str) -> Column:
+        return F.transform(line, lambda p, i: row(part, F.lit(0), i, p[0], p[1]))
+
+    def rings(part: str, name: str) -> Column:
+        return F.flatten(F.transform(name, lambda r, k: F.transform(r, lambda p, i: row(part, k, i, p[0], p[1]))))
+
+    zero, none = F.lit(0), F.lit(None)
+    single = F.array(
+        row("par", zero, zero, F.col("par"), none), row("frame", zero, zero, F.col("pin_distance_yards"), F.col("bearing_deg")),
+        row("slope", zero, zero, F.col("green_slope")[0], F.col("green_slope")[1]))
+    tees = [F.transform("tees", lambda t, i: row("tee", zero, i, t["downrange"], t["lateral"])),
+            F.transform("tees", lambda t, i: row("tee yards", zero, i, t["yards"], none))]
+    parts = [points("elevation", "elevation"), *tees, points("green", "green"), points("fairway", "fairway"),
+             rings("bunker", "bunkers"), rings("water", "water")]
+    empty = F.array().cast("array<struct<part:string,ring:int,ord:int,x:double,y:double>>")
+    return records.select(*keys, F.inline(F.concat(single, *[F.coalesce(p, empty) for p in parts])))
+
+
 def ground_places(frames: DataFrame) -> DataFrame:
     """`(course_id, ref, ord, lat, lon)` whose height a record wants: the tee (order 0), six along
     the line, the pin, and without an order the lattice of the green."""
@@ -303,8 +353,8 @@ def build_course(elements: DataFrame, heights: Callable[[DataFrame], DataFrame]
     `heights` adds `metres` to `ground_places`, null where unknown, as a join with a table of
     ground samples does; without it, records have no elevation and level greens."""
     # Written once: read many times below, and the plans stay small for the driver.
-    lines, features = cut_lineage(hole_lines(elements)), cut_lineage(ring_features(elements))
-    frames = cut_lineage(hole_frames(lines, features, pair_greens(lines, features)))
+    lines, features = written(hole_lines(elements), "lines"), written(ring_features(elements), "features")
+    frames = written(hole_frames(lines, features, pair_greens(lines, features)), "frames")
     assigned = assign_to_holes(features.where("golf <> 'green' AND golf <> 'fairway'"), lines)
     profile = planes = None
     if heights is not None:

@@ -16,24 +16,25 @@ def fct_shots(
 ) -> DataFrame:
     """One row per shot of a listed session.
 
-    The moment is the session's date, one per source, so the interval condition is
-    settled on the distinct (source, player, club) of the shots, joined to their versions by
-    name. Shots then need only equality lookups.
+    The moment is the session's date, one per source, so the interval condition is settled on
+    the distinct (source, player) of the shots, joined to their versions by name: one row
+    with the player's key and the keys of the clubs in their bag, a few dozen at most. Shots
+    then need one equality lookup, and are read twice: for their keys and for themselves.
     """
-    listed = shots.drop("session_date").join(
-        sessions.select("source", "session_key", "session_date", "carry_method"), "source")
-    seen = listed.groupBy("source", "player", "club").agg(F.max("session_date").alias("session_date"))
+    dates = sessions.select("source", "session_key", "session_date", "carry_method")
+    seen = lookup(shots.select("source", "player").distinct(), dates.select("source", "session_date"), ["source"], "inner")
     player_at = resolve_at_moments(
-        seen.select("source", "player", "session_date").distinct(),
-        players.select("player", "player_key", "valid_from", "valid_to"), ["player"], "session_date",
-    ).select("source", "player", F.col("player_key").alias("_player_key"))
-    club_at = resolve_at_moments(
-        seen, clubs.select("player", F.col("club_type").alias("club"), "club_key", "model_year", "valid_from", "valid_to"),
-        ["player", "club"], "session_date",
-    ).select("source", "player", "club", F.col("club_key").alias("_club_key"),
-             F.col("model_year").alias("club_model_year"))
-    keyed = lookup(listed, player_at, ["source", "player"])
-    keyed = lookup(keyed, club_at, ["source", "player", "club"])
+        seen, players.select("player", "player_key", "valid_from", "valid_to"), ["player"], "session_date",
+    ).groupBy("source", "player").agg(F.min("player_key").alias("_player_key"))
+    bag_at = resolve_at_moments(
+        seen, clubs.select("player", F.struct(F.col("club_type").alias("club"), "club_key", "model_year").alias("_club"), "valid_from", "valid_to"),
+        ["player"], "session_date",
+    ).groupBy("source", "player").agg(F.collect_set("_club").alias("_bag"))
+    keys_at = player_at.join(bag_at, ["source", "player"], "full")
+    listed = lookup(shots.drop("session_date"), dates, ["source"], "inner")
+    keyed = lookup(listed, keys_at, ["source", "player"])
+    own = F.get(F.filter("_bag", lambda c: c["club"] == F.col("club")), F.lit(0))
+    keyed = keyed.withColumns({"_club_key": own["club_key"], "club_model_year": own["model_year"]})
     age = F.when(
         F.col("club_model_year").isNotNull(), F.year("session_date") - F.col("club_model_year"))
     return keyed.select(

@@ -11,6 +11,7 @@ from swingframe import constants as K
 from swingframe.functions import cleaning as C
 from swingframe.functions import geometry as G
 from swingframe.functions import strokes as S
+from swingframe.operators.cells import inside_boxes
 
 LAYERS = ["green", "fairway", "bunkers", "water", "playable"]
 
@@ -64,13 +65,8 @@ def _any(tests: list[Column]) -> Column:
 
 def points_in_regions(points: DataFrame, regions: DataFrame) -> DataFrame:
     """Every (point, rectangle) pair of a hole that touch, edges included."""
-    boxes = regions.select(F.col("hole_id").alias("_hole"), "region_id", "kind", "near", "far",
-                           F.col("left").alias("_left"), F.col("right").alias("_right"))
-    match = (
-        (F.col("hole_id") == F.col("_hole")) & F.col("x").between(F.col("near"), F.col("far"))
-        & F.col("y").between(F.col("_left"), F.col("_right"))
-    )
-    return points.join(boxes, match).select(*points.columns, "region_id", "kind")
+    boxes = regions.select("hole_id", "region_id", "kind", *[F.col(c).alias(f"_{c}") for c in ("near", "far", "left", "right")])
+    return inside_boxes(points, boxes, "hole_id", ("_near", "_far", "_left", "_right")).select(*points.columns, "region_id", "kind")
 
 
 def parametric_remaining(x: Column, y: Column) -> Column:
@@ -122,13 +118,13 @@ def classify_parametric(points: DataFrame, holes: DataFrame) -> DataFrame:
 
 # ---- polygon holes ------------------------------------------------------
 def prepare_course(holes: DataFrame) -> DataFrame:
-    """Course holes with one membership struct per layer and the green's centroid.
+    """Course holes with one membership struct per layer, beside its rings, and the green's centroid.
     `green` is a ring; every other layer is a list of rings."""
     ready = holes
     for name in LAYERS:
         rings = F.array(name) if name == "green" else F.col(name)
         ready = ready.withColumn(f"{name}_layer", G.layer(rings))
-    return ready.withColumn("green_centre", G.area_centroid(F.col("green"))).drop(*LAYERS[1:])
+    return ready.withColumn("green_centre", G.area_centroid(F.col("green")))
 
 
 def polygon_lie(x: Column, y: Column) -> Column:

@@ -8,6 +8,8 @@ by scenario first, so many holes, bags and conditions are swept together.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from swingframe import constants as K
 from swingframe.functions import strokes as S
 from swingframe.operators import holes as H
 from swingframe.operators.joins import lookup
-from swingframe.session import cut_lineage
+from swingframe.session import bucketed, written
 
 CELL = ["scenario", "i", "j"]
 
@@ -168,41 +170,62 @@ def candidates(cells: DataFrame, clubs: DataFrame, size: float) -> DataFrame:
 
 
 # ---- sweeps -------------------------------------------------------------
-def landing_costs(cells: DataFrame, values: DataFrame, shapes: DataFrame) -> DataFrame:
-    """Expected cost `(scenario, club, lie_class, i, j)` of a shot that lands around a cell:
-    one plus stencil times value, water priced as penalty plus the drop's value and ground
-    off the grid as lost."""
-    heads = cells.select("scenario", "bag_id", "drop_i", "tee_j", "penalty_cost", "nx", "ny").distinct()
-    at_drop = heads.join(values, "scenario").where(
-        (F.col("i") == F.col("drop_i")) & (F.col("j") == F.col("tee_j"))).select(
-        "scenario", (F.col("penalty_cost") + F.col("v")).alias("replay"))
-    valued = cells.select(*CELL, "bag_id", "in_penalty", "nx", "ny").join(values.select(*CELL, "v"), CELL).join(
-        at_drop, "scenario").withColumn("cost", F.when(F.col("in_penalty"), F.col("replay")).otherwise(F.col("v")))
+TARGET = ["scenario", "club", "lie_class", "to_i", "to_j"]
+
+
+@dataclass(frozen=True)
+class Board:
+    """What every sweep of some scenarios reads, written once: cells with `is_drop`, shots `(scenario,
+    club, lie_class, di, dj, p)`, and options in buckets of the landing cell they are priced at, so that a
+    sweep moves values and prices only."""
+
+    cells: DataFrame
+    shots: DataFrame
+    options: DataFrame
+
+    def of(self, scenarios: DataFrame) -> Board:
+        """The board of some of its scenarios."""
+        return Board(*(t.join(scenarios, "scenario", "left_semi") for t in (self.cells, self.shots, self.options)))
+
+
+def board(cells: DataFrame, shapes: DataFrame, options: DataFrame) -> Board:
+    drop = (F.col("i") == F.col("drop_i")) & (F.col("j") == F.col("tee_j"))
+    cells = written(cells.withColumn("is_drop", drop), "plan-cells")
     played = cells.select("scenario", "bag_id", "lie_class").distinct()
-    shots = shapes.join(played, ["bag_id", "lie_class"])
-    reached = valued.drop("bag_id").join(shots, "scenario").select(
-        "scenario", "club", "lie_class", (F.col("i") - F.col("di")).alias("i"),
-        (F.col("j") - F.col("dj")).alias("j"), "p", "cost", "nx", "ny",
-    ).where(F.col("i").between(0, F.col("nx") - 1) & F.col("j").between(0, F.col("ny") - 1))
-    return reached.groupBy("scenario", "club", "lie_class", "i", "j").agg(
+    shots = shapes.join(played, ["bag_id", "lie_class"]).select("scenario", "club", "lie_class", "di", "dj", "p")
+    return Board(cells, written(shots, "plan-shots"), bucketed(options, TARGET, "plan_options"))
+
+
+def landing_costs(on: Board, values: DataFrame) -> DataFrame:
+    """Expected cost `(scenario, club, lie_class, to_i, to_j, q)` of a shot that lands around a cell:
+    one plus stencil times value, water priced as penalty plus the drop's value and ground
+    off the grid as lost. Cells meet stencils by scenario and club, so a scenario's product is spread."""
+    valued = on.cells.select(*CELL, "in_penalty", "is_drop", "penalty_cost", "nx", "ny").join(values.select(*CELL, "v"), CELL)
+    replay = valued.where("is_drop").select("scenario", (F.col("penalty_cost") + F.col("v")).alias("replay"))
+    cost = F.when(F.col("in_penalty"), F.col("replay")).otherwise(F.col("v"))
+    priced = lookup(valued, replay, ["scenario"], "inner").select(*CELL, "nx", "ny", cost.alias("cost"))
+    clubs = on.shots.select("scenario", "club").distinct()
+    reached = priced.join(clubs, "scenario").join(on.shots, ["scenario", "club"]).select(
+        "scenario", "club", "lie_class", (F.col("i") - F.col("di")).alias("to_i"),
+        (F.col("j") - F.col("dj")).alias("to_j"), "p", "cost", "nx", "ny",
+    ).where(F.col("to_i").between(0, F.col("nx") - 1) & F.col("to_j").between(0, F.col("ny") - 1))
+    return reached.groupBy(*TARGET).agg(
         (1.0 + F.sum(F.col("p") * F.col("cost")) + K.LOST_STROKES * (1.0 - F.sum("p"))).alias("q"))
 
 
-def best_choices(cells: DataFrame, values: DataFrame, shapes: DataFrame, options: DataFrame) -> DataFrame:
+def best_choices(on: Board, values: DataFrame) -> DataFrame:
     """One backup: per cell the cheapest (club, aim), the first in search order on a tie."""
-    q = landing_costs(cells, values, shapes).select(
-        "scenario", "club", "lie_class", F.col("i").alias("to_i"), F.col("j").alias("to_j"), "q")
-    priced = options.join(q, ["scenario", "club", "lie_class", "to_i", "to_j"], "left")
+    priced = on.options.join(landing_costs(on, values), TARGET, "left")
     cost = F.when(F.col("on_grid"), F.coalesce("q", F.lit(1.0 + K.LOST_STROKES))).otherwise(K.LOST_STROKES)
     best = priced.groupBy(*CELL).agg(F.min(F.struct(
         F.round(cost, 9).alias("_cost"), "choice", cost.alias("best"), "club", "off_i", "off_j")).alias("b"))
     return best.select(*CELL, "b.best", "b.choice", "b.club", "b.off_i", "b.off_j")
 
 
-def sweep(cells: DataFrame, values: DataFrame, shapes: DataFrame, options: DataFrame) -> DataFrame:
+def sweep(on: Board, values: DataFrame) -> DataFrame:
     """New values: the short-game floor caps what the best full shot costs."""
-    best = best_choices(cells, values, shapes, options).select(*CELL, "best")
-    return cells.select(*CELL, "floor").join(best, CELL, "left").join(
+    best = best_choices(on, values).select(*CELL, "best")
+    return on.cells.select(*CELL, "floor").join(best, CELL, "left").join(
         values.select(*CELL, F.col("v").alias("before")), CELL).select(
         *CELL, F.least("floor", F.coalesce("best", F.col("floor"))).alias("v"), "before")
 
@@ -211,33 +234,29 @@ def first_values(cells: DataFrame) -> DataFrame:
     return cells.select(*CELL, F.col("floor").alias("v"))
 
 
-def iterate(
-    cells: DataFrame, shapes: DataFrame, options: DataFrame, tol: float = 1e-3, most: int | None = None
-) -> DataFrame:
+def iterate(on: Board, tol: float = 1e-3, most: int | None = None) -> DataFrame:
     """Sweep until no value moves by `tol`. A scenario that has come to rest is set aside
     with the values of its last sweep, and only the others are swept again. Values only ever
     fall and are bounded below, so every scenario comes to rest; with `most` set, sweeps
-    beyond it raise. Each sweep's table goes to the checkpoint folder, so a lost executor
-    repeats one sweep at most; the driver sees a count."""
-    values, rested, sweeps = cut_lineage(first_values(cells)), [], 0
-    live_cells, live_options = cells, options
+    beyond it raise. Each sweep's table goes to the shared folder, so a lost executor
+    repeats one sweep at most; the driver sees two counts."""
+    values, rested, sweeps, live = written(first_values(on.cells), "plan-values"), [], 0, on
     while True:
-        swept = cut_lineage(sweep(live_cells, values, shapes, live_options))
-        moved = cut_lineage(swept.groupBy("scenario").agg(
-            (F.max(F.abs(F.col("v") - F.col("before"))) >= tol).alias("moved")))
-        values, sweeps = swept.select(*CELL, "v"), sweeps + 1
+        values = written(sweep(live, values), "plan-values")
+        moved = values.groupBy("scenario").agg((F.max(F.abs(F.col("v") - F.col("before"))) >= tol).alias("moved"))
+        moved, sweeps = written(moved, "plan-moved"), sweeps + 1
         left, done = moved.agg(F.count_if("moved"), F.count_if(~F.col("moved"))).first()
         if done:
-            rested.append(values.join(moved.where("NOT moved"), "scenario", "left_semi"))
+            rested.append(values.join(moved.where("NOT moved"), "scenario", "left_semi").select(*CELL, "v"))
         if not left:
             break
         if most is not None and sweeps >= most:
             raise RuntimeError(f"{left} scenarios still move after {most} sweeps")
-        # always from the whole tables, so that plans do not grow from sweep to sweep
-        going = moved.where("moved").select("scenario")
-        values, live_cells, live_options = (t.join(going, "scenario", "left_semi") for t in (values, cells, options))
+        if done:  # always from the whole tables, so that plans do not grow from sweep to sweep
+            live = on.of(moved.where("moved").select("scenario"))
+            values = values.join(moved.where("moved"), "scenario", "left_semi")
     if not rested:
-        return values
+        return values.select(*CELL, "v")
     out = rested[0]
     for part in rested[1:]:
         out = out.unionByName(part)
@@ -245,12 +264,12 @@ def iterate(
 
 
 # ---- the plan -----------------------------------------------------------
-def policy(cells: DataFrame, values: DataFrame, shapes: DataFrame, options: DataFrame) -> DataFrame:
+def policy(on: Board, values: DataFrame) -> DataFrame:
     """The best choice of every cell under the final values, and whether play has reached
     the short game there."""
-    best = best_choices(cells, values, shapes, options)
+    best = best_choices(on, values)
     done = (F.col("lie") == "green") | (F.col("best") >= F.col("floor") - 1e-9)
-    return cells.join(best, CELL).select(
+    return on.cells.join(best, CELL).select(
         *CELL, "club", "off_i", "off_j", "nx", "ny", "x", "y", done.alias("done"))
 
 
@@ -260,7 +279,7 @@ def rollout(cells: DataFrame, choices: DataFrame) -> DataFrame:
     comes to a cell already played from would go round for ever; it is the last one, and
     `ends` is 'stuck' for it, 'short game' for a last shot that reaches it, else null."""
     at = cells.select("scenario", F.col("start_i").alias("i"), F.col("start_j").alias("j")).distinct()
-    choices = cut_lineage(choices)  # read by every shot
+    choices = written(choices)  # read by every shot
     spots = choices.select("scenario", F.col("i").alias("to_i"), F.col("j").alias("to_j"),
                            F.col("x").alias("aim_x"), F.col("y").alias("aim_y"), F.col("done").alias("_done"))
     played: DataFrame | None = None
@@ -271,7 +290,7 @@ def rollout(cells: DataFrame, choices: DataFrame) -> DataFrame:
             "scenario", F.lit(shot).alias("shot"), "club", F.col("x").alias("from_x"), F.col("y").alias("from_y"),
             "i", "j", F.greatest(F.lit(0), F.least(F.col("nx") - 1, F.col("i") + F.col("off_i"))).alias("to_i"),
             F.greatest(F.lit(0), F.least(F.col("ny") - 1, F.col("j") + F.col("off_j"))).alias("to_j"))
-        step = cut_lineage(step)
+        step = written(step)
         played = step if played is None else played.unionByName(step)
         at = step.select("scenario", F.col("to_i").alias("i"), F.col("to_j").alias("j")).join(
             played.select(*CELL), CELL, "left_anti")
@@ -287,17 +306,19 @@ def rollout(cells: DataFrame, choices: DataFrame) -> DataFrame:
 def round_rows(
     scenarios: DataFrame, cells: DataFrame, values: DataFrame, shots: DataFrame, shape: str = "straight"
 ) -> DataFrame:
-    """One summary row per scenario: expected score from the tee, finish, shots and plan."""
+    """One summary row per scenario: the scenario's own columns (its hole's ref, par and the chosen
+    tee's yards among them), expected score from the start, against par, finish, shots and plan."""
     start = cells.select("scenario", F.col("start_i").alias("i"), F.col("start_j").alias("j")).distinct().join(
-        values, CELL).select("scenario", F.round("v", 2).alias("expected"))
+        values, CELL).select("scenario", F.col("v").alias("_value"))
     last = shots.groupBy("scenario").agg(F.max_by(F.struct("to_i", "to_j"), "shot").alias("l")).select(
         "scenario", F.col("l.to_i").alias("i"), F.col("l.to_j").alias("j"))
     finish = last.join(values, CELL).select("scenario", F.col("v").alias("finish"))
     words = shots.groupBy("scenario").agg(
         F.count(F.lit(1)).alias("shots"), plan_text(F.col("shot"), F.col("club"), shape).alias("plan"))
-    return scenarios.select("scenario", "hole_id", "bag_id").join(start, "scenario").join(
-        words, "scenario", "left").join(finish, "scenario", "left").select(
-        "scenario", "hole_id", "bag_id", "expected", F.coalesce("shots", F.lit(0)).alias("shots"),
+    against = [F.round(F.col("_value") - F.col("par"), 2).alias("vs_par")] if "par" in scenarios.columns else []
+    known = [c for c in scenarios.columns if c not in ("start_x", "start_y", "short_game")]
+    return scenarios.join(start, "scenario").join(words, "scenario", "left").join(finish, "scenario", "left").select(
+        *known, F.round("_value", 2).alias("expected"), *against, F.coalesce("shots", F.lit(0)).alias("shots"),
         F.coalesce("plan", F.lit("")).alias("plan"), "finish")
 
 

@@ -14,8 +14,10 @@ from swingframe import constants as K
 from swingframe.functions import geometry as G
 from swingframe.functions import strokes as S
 from swingframe.functions import units as U
+from swingframe.operators import elimination as E
 from swingframe.operators import holes as H
 from swingframe.operators.joins import lookup, spread_out
+from swingframe.session import written
 
 CLUB = ["bag_id", "club"]
 
@@ -73,21 +75,44 @@ def on_holes(cells: DataFrame, requests: DataFrame, holes: DataFrame) -> DataFra
     return spread_out(placed, "hole_id", *CLUB, "dx", "dy")
 
 
-def with_aims(
-    placed: DataFrame, short: float = K.AIM_SHORT, long: float = K.AIM_LONG,
-    span: float = 24.0, step: float = 3.0,
+def candidate_aims(
+    stocks: DataFrame, short: float = K.AIM_SHORT, long: float = K.AIM_LONG, span: float = 24.0, step: float = 3.0,
 ) -> DataFrame:
-    """Every cell at every candidate aim around its club's stock distance, downrange outer
-    and lateral inner. Aims short of one yard are left out; a club too short for any of
-    them is aimed at its stock distance."""
+    """Every candidate aim `(aim, _i, _j, aim_distance, aim_lateral)` around a club's stock distance,
+    downrange outer and lateral inner. Aims short of one yard are left out; a club too short
+    for any of them is aimed at its stock distance."""
     deep, wide = int((short + long) / step + 1e-9) + 1, int(2 * span / step + 1e-9) + 1
     stock, i = F.col("stock"), F.floor(F.col("aim") / wide)
     reachable = stock - short + step * (deep - 1) >= 1.0
     distance = F.when(reachable, stock - short + i * step).when(i == 0, stock)
-    aimed = placed.withColumn("aim", F.explode(F.sequence(F.lit(0), F.lit(deep * wide - 1))))
+    aimed = stocks.withColumn("aim", F.explode(F.sequence(F.lit(0), F.lit(deep * wide - 1))))
     return aimed.withColumn("aim_distance", distance).where(
         F.col("aim_distance").isNotNull() & (~reachable | (F.col("aim_distance") >= 1.0))
-    ).withColumn("aim_lateral", (F.col("aim") - i * wide) * step - span).drop("stock")
+    ).withColumns({"aim_lateral": (F.col("aim") - i * wide) * step - span, "_i": i, "_j": F.col("aim") - i * wide})
+
+
+def worthy_aims(placed: DataFrame, requests: DataFrame, holes: DataFrame, short: float = K.AIM_SHORT, long: float = K.AIM_LONG,
+                span: float = 24.0, step: float = 3.0) -> DataFrame:
+    """`(hole_id, bag_id, club, aim, aim_distance, aim_lateral)` of the aims that may be the best of
+    their club, by the bounds of `elimination`."""
+    group = ["hole_id", *CLUB]
+    deep, wide = int((short + long) / step + 1e-9) + 1, int(2 * span / step + 1e-9) + 1
+    stocks = placed.select(*group, "stock").distinct()
+    aims = candidate_aims(stocks, short, long, span, step)
+    reachable = F.col("stock") - short + step * (deep - 1) >= 1.0
+    counts = E.box_counts(placed, group, step)
+    boxes = lookup(E.boxes_hit(counts, group, deep, wide), stocks, group, "inner").withColumns({
+        "x": F.col("stock") - short + (F.col("_u") + 0.5) * step, "y": (F.col("_v") + 0.5) * step - span})
+    bounds = E.parametric_bounds(lookup(boxes, holes, ["hole_id"], "inner"), step).select(*group, "_u", "_v", "low", "high")
+    kept = E.surviving(counts, aims.where(reachable), bounds, group)
+    return kept.unionByName(aims.where(~reachable)).select(*group, "aim", "aim_distance", "aim_lateral")
+
+
+def at_aims(placed: DataFrame, aims: DataFrame, keys: list[str]) -> DataFrame:
+    """Every landing at every aim of its group, which has some hundreds at most."""
+    rest = [c for c in aims.columns if c not in keys]
+    grouped = aims.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_aims"))
+    return lookup(placed, grouped, keys, "inner").select(*placed.columns, F.inline("_aims"))
 
 
 def best_aims(prices: DataFrame, keys: list[str], price: str = "expected_strokes") -> DataFrame:
@@ -100,8 +125,13 @@ def best_aims(prices: DataFrame, keys: list[str], price: str = "expected_strokes
 
 
 def optimize_shots(clouds: DataFrame, requests: DataFrame, holes: DataFrame) -> DataFrame:
-    """Per requested hole and bag, every club's best aim, ranked."""
-    prices = evaluate_aims(with_aims(on_holes(cloud_cells(clouds), requests, holes)))
+    """Per requested hole and bag, every club's best aim, ranked. Aims that cannot be the best
+    are eliminated before they are priced."""
+    cells = written(cloud_cells(clouds), "cloud-cells")
+    asked = lookup(cells, requests.select("bag_id", "hole_id"), ["bag_id"], "inner")
+    aims = written(worthy_aims(asked, requests, holes), "worthy-aims")
+    placed = on_holes(cells, requests, holes)
+    prices = evaluate_aims(at_aims(placed.drop("stock"), aims, ["hole_id", *CLUB]))
     best = best_aims(prices, ["hole_id", *CLUB])
     order = Window.partitionBy("hole_id", "bag_id").orderBy(F.round("expected_strokes", 9), "club")
     return best.withColumn("place", F.row_number().over(order).cast("bigint")).drop("aim")
@@ -137,19 +167,25 @@ def naive_against_best(clouds: DataFrame, requests: DataFrame, holes: DataFrame)
 
 
 # ---- approaches to a pin on a polygon green -----------------------------
-def price_approaches(balls: DataFrame, holes: DataFrame) -> DataFrame:
+def price_approaches(balls: DataFrame, holes: DataFrame, raster: DataFrame | None = None) -> DataFrame:
     """Price balls `(hole_id, pin_x, pin_y, short_game, x, y, ...)` on polygon holes, adding
     `left_yards`, `lie` and `cost`: player strokes, more when above the hole, a fixed price
     in water. The layers are dropped in the projection that reads them, so rows carry
-    them one step only."""
+    them one step only; with a `raster` of squares that hold one lie, balls in these are not tested."""
     x, y = F.col("x"), F.col("y")
     shapes = holes.select("hole_id", "green_slope", "green_centre", "green_difficulty",
                           *[f"{n}_layer" for n in H.LAYERS])
     above = H.green_height(x, y) - H.green_height(F.col("pin_x"), F.col("pin_y"))
-    landed = balls.join(shapes, "hole_id").select(
+    lie, wet = H.polygon_lie(x, y), H.polygon_penalty(x, y)
+    placed = balls
+    if raster is not None:
+        squares = balls.withColumns({"_x": F.floor(x), "_y": F.floor(y)})
+        placed = lookup(squares, raster, ["hole_id", "_x", "_y"])
+        sure = F.col("sure_lie").isNotNull()
+        lie, wet = F.when(sure, F.col("sure_lie")).otherwise(lie), F.when(sure, F.col("sure_wet")).otherwise(wet)
+    landed = placed.join(shapes, "hole_id").select(
         *balls.columns, F.hypot(F.col("pin_x") - x, F.col("pin_y") - y).alias("left_yards"),
-        H.polygon_lie(x, y).alias("lie"), H.polygon_penalty(x, y).alias("_wet"), above.alias("_above"),
-        F.col("green_difficulty").alias("_difficulty"))
+        lie.alias("lie"), wet.alias("_wet"), above.alias("_above"), F.col("green_difficulty").alias("_difficulty"))
     base = S.player_strokes(F.col("left_yards"), F.col("lie"), F.col("short_game"), F.col("_difficulty"))
     sloped = F.when(F.col("lie") == "green", base + K.SLOPE_PUTT * F.col("_above")).otherwise(base)
     cost = F.when(F.col("_wet"), F.lit(K.WATER_STROKES)).otherwise(sloped)
@@ -166,20 +202,35 @@ def _requested_cells(clouds: DataFrame, requests: DataFrame) -> DataFrame:
     return spread_out(asked, *asked.columns)
 
 
+APPROACH_STEP, APPROACH_LONG, APPROACH_RIGHT = 2.0, 24.0, 20.0  # yards: step, and how far aims go from the flag
+APPROACH_DOWN, APPROACH_ACROSS = 17, 21  # aims
+
+
 def aim_for_pin(clouds: DataFrame, pins: DataFrame, holes: DataFrame) -> DataFrame:
     """Best aim for each approach `(pin_id, bag_id, hole_id, pin_x, pin_y, from_distance,
-    short_game)`: yards long and right of the flag, strokes, green share, proximity."""
-    cells = _requested_cells(clouds, pins)
-    aims = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda i: F.transform(
-        F.sequence(F.lit(0), F.lit(20)), lambda j: F.struct(
-            (i * 21 + j).alias("aim"), (i * 2.0 - 24.0).alias("long_yds"),
-            (j * 2.0 - 20.0).alias("right_yds")))))
-    balls = cells.select("*", F.inline(aims)).withColumns({
-        "x": F.col("pin_x") + F.col("long_yds") + F.col("dx"),
-        "y": F.col("pin_y") + F.col("right_yds") + F.col("dy")})
+    short_game)`: yards long and right of the flag, strokes, green share, proximity. Aims that cannot be
+    the best are eliminated before they are priced."""
+    group = ["pin_id", *CLUB]
+    cells = written(_requested_cells(clouds, pins), "approach-cells")
+    request = ["hole_id", "pin_x", "pin_y", "short_game"]
+    asked = cells.select(*group, *request).distinct()
+    grid = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(APPROACH_DOWN - 1)), lambda i: F.transform(
+        F.sequence(F.lit(0), F.lit(APPROACH_ACROSS - 1)), lambda j: F.struct(
+            (i * APPROACH_ACROSS + j).alias("aim"), i.alias("_i"), j.alias("_j"),
+            (i * APPROACH_STEP - APPROACH_LONG).alias("long_yds"), (j * APPROACH_STEP - APPROACH_RIGHT).alias("right_yds")))))
+    counts = E.box_counts(cells, group, APPROACH_STEP)
+    boxes = lookup(E.boxes_hit(counts, group, APPROACH_DOWN, APPROACH_ACROSS), asked, group, "inner").withColumns({
+        "x": F.col("pin_x") - APPROACH_LONG + (F.col("_u") + 0.5) * APPROACH_STEP,
+        "y": F.col("pin_y") - APPROACH_RIGHT + (F.col("_v") + 0.5) * APPROACH_STEP})
+    shapes = holes.select("hole_id", "green_slope", "green_centre", "green_difficulty", *H.LAYERS, *[f"{n}_layer" for n in H.LAYERS])
+    bounds = E.approach_bounds(lookup(spread_out(boxes, *group, "_u", "_v"), shapes, ["hole_id"], "inner"), APPROACH_STEP)
+    kept = E.surviving(counts, asked.select(*group, F.inline(grid)), bounds.select(*group, "_u", "_v", "low", "high"), group)
+    kept = written(kept.select(*group, "aim", "long_yds", "right_yds"), "approach-aims")
+    balls = at_aims(cells, kept, group).withColumns({
+        "x": F.col("pin_x") + F.col("long_yds") + F.col("dx"), "y": F.col("pin_y") + F.col("right_yds") + F.col("dy")})
     on_green = F.col("lie") == "green"
-    prices = price_approaches(balls, holes).groupBy(
-        "pin_id", *CLUB, "aim", "long_yds", "right_yds").agg(
+    raster = written(E.lie_raster(holes), "lie-raster")
+    prices = price_approaches(balls, holes, raster).groupBy(*group, "aim", "long_yds", "right_yds").agg(
         _mean(F.col("cost")).alias("expected_strokes"), (100.0 * _share(on_green)).alias("on_green_pct"),
         (K.FEET_PER_YARD * F.sum(F.when(on_green, F.col("left_yards") * F.col("n")))
          / F.nullif(F.sum(F.when(on_green, F.col("n"))), F.lit(0))).alias("proximity_ft"))
@@ -252,7 +303,8 @@ def pin_difficulty(
             "x": F.col("pin_x") + F.col("bail") * (F.col("_cx") - F.col("pin_x")) + F.col("dx"),
             "y": F.col("pin_y") + F.col("bail") * (F.col("_cy") - F.col("pin_y")) + F.col("dy")}).drop("_cx", "_cy")
     flag = ["hole_id", "bag_id", "pin_x", "pin_y"]
-    prices = price_approaches(balls, holes).groupBy(
+    raster = written(E.lie_raster(holes), "lie-raster")
+    prices = price_approaches(balls, holes, raster).groupBy(
         *flag, "bail").agg(_mean(F.col("cost")).alias("price"))
     best = prices.groupBy(*flag).agg(F.round(F.round(F.min("price"), 9), 3).alias("expected"))
     return over_easiest(best, ["hole_id", "bag_id"], "expected").select(

@@ -233,27 +233,11 @@ relation("measured_landings", "SELECT bag_id, club, carry + 3.5e0 AS carry_yards
 
 # ---- reference scaling --------------------------------------------------
 relation("bag_carries", "SELECT bag_id, club, round(avg(carry), 6) AS measured_carry FROM landings GROUP BY bag_id, club")
-PROFILE_ROWS = [(p, t, s) for p, (t, s) in K.PROFILES.items()]
-relation("profiles", seeds.values_sql(["profile", "tour", "dist_scale"], PROFILE_ROWS))
-
-
 def bag_carries(spark, folder):
     return tables.landings(spark, folder).groupBy("bag_id", "club").agg(
         F.round(F.avg("carry"), 6).alias("measured_carry"))
 
 
-@query("profile_stock", """SELECT p.profile, t.club, round(t.ball_speed_mph * p.dist_scale, 6) AS ball_speed_mph,
-  round(t.carry_yards * p.dist_scale, 6) AS carry_yards, n.shots FROM profiles p
-JOIN (SELECT 'pga' AS tour, * FROM tour_pga UNION ALL SELECT 'lpga', * FROM tour_lpga) t ON p.tour = t.tour
-JOIN (SELECT club, count(*) AS shots FROM landings GROUP BY club) n ON n.club = t.club""")
-def profile_stock(spark, folder):
-    """Stock tables of the profiles for the clubs that were hit."""
-    tours = seeds.all_tours(spark)
-    profiles = spark.sql(seeds.values_sql(["profile", "tour", "dist_scale"], PROFILE_ROWS))
-    hit = tables.landings(spark, folder).groupBy("club").agg(F.count(F.lit(1)).alias("shots"))
-    return rounded(bags.profile_stock(tours, profiles).join(hit, "club"), ["ball_speed_mph", "carry_yards"])
-
-
 @query("bag_stock", """SELECT b.bag_id, b.club, round(t.ball_speed_mph * b.measured_carry / t.carry_yards, 6) AS ball_speed_mph,
   b.measured_carry AS carry_yards FROM bag_carries b JOIN tour_pga t ON b.club = t.club""")
 def bag_stock(spark, folder):
@@ -276,13 +260,6 @@ def gap_fill(spark, folder):
     return bags.gap_fill(base, own.withColumnRenamed("measured_carry", "carry"), ["bag_id", "club"], "carry")
 
 
-@query("tour_averages", """SELECT t.*, n.shots FROM tour_pga t JOIN (SELECT club, count(*) AS shots FROM landings GROUP BY club) n ON n.club = t.club""")
-def tour_averages(spark, folder):
-    """The typed reference averages beside the number of shots with each club."""
-    hit = tables.landings(spark, folder).groupBy("club").agg(F.count(F.lit(1)).alias("shots"))
-    return seeds.tour_averages(spark, "pga").join(hit, "club")
-
-
 # ---- whole bags ---------------------------------------------------------
 relation("bag_clean", """SELECT r.* FROM shot_labels r JOIN (SELECT player, bag_club, median(ball_speed_mph) AS m, count(*) AS n
   FROM shot_labels GROUP BY ALL) g ON r.player = g.player AND r.bag_club = g.bag_club

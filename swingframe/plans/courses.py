@@ -11,7 +11,7 @@ from swingframe.functions import geometry as G
 from swingframe.operators import courses as B
 from swingframe.operators import proposals as R
 from swingframe.plans import tables
-from swingframe.plans.bags import r6, rounded
+from swingframe.plans.bags import rounded
 from swingframe.plans.registry import dround, query, relation
 from swingframe.sources import courses as files
 from swingframe.sources.seeds import values_sql
@@ -159,12 +159,21 @@ def green_pairing(spark, folder):
 
 # The SQL side of everything after the pairing starts from a fixed pairing: the hole's own green.
 relation("own_greens", """SELECT h.course_id, CAST(h.id % 12 + 1 AS INT) AS ref, h.id + 1000000 AS green_id, 1 AS "end" FROM supplier_spots h WHERE h.id % 2 = 0""")
-relation("axes", f"""SELECT course_id, ref, par, green_id, tlat, tlon, mlon, pe / sqrt(pe * pe + pn * pn) AS de, pn / sqrt(pe * pe + pn * pn) AS dn,
+relation("paired_greens", """SELECT course_id, ref, green_id, "end" FROM green_turns WHERE turn > 0""")
+
+
+def axes_sql(pairs: str) -> str:
+    """The tee-to-pin frame of holes by a pairing: the tee is the end of the line that is not the green's."""
+    return f"""SELECT course_id, ref, par, green_id, tlat, tlon, mlon, plat, plon, pe / sqrt(pe * pe + pn * pn) AS de, pn / sqrt(pe * pe + pn * pn) AS dn,
   sqrt(pe * pe + pn * pn) / 0.9144e0 AS pin_yards, (degrees(atan2(pe, pn)) % 360 + 360) % 360 AS bearing FROM (
-  SELECT g.course_id, g.ref, t.par, g.green_id, t.lat AS tlat, t.lon AS tlon, 111320e0 * cos(radians(t.lat)) AS mlon,
+  SELECT g.course_id, g.ref, t.par, g.green_id, t.lat AS tlat, t.lon AS tlon, c.lat AS plat, c.lon AS plon, 111320e0 * cos(radians(t.lat)) AS mlon,
     (c.lon - t.lon) * 111320e0 * cos(radians(t.lat)) AS pe, (c.lat - t.lat) * 111320e0 AS pn
-  FROM own_greens g JOIN centres c ON c.course_id = g.course_id AND c.element_id = g.green_id
-  JOIN hole_vertices t ON t.course_id = g.course_id AND t.ref = g.ref AND t.ord = 0)""")
+  FROM {pairs} g JOIN centres c ON c.course_id = g.course_id AND c.element_id = g.green_id
+  JOIN hole_vertices t ON t.course_id = g.course_id AND t.ref = g.ref AND t.ord = CASE g."end" WHEN 0 THEN {len(LINE) - 1} ELSE 0 END)"""
+
+
+relation("axes", axes_sql("own_greens"))
+relation("paired_axes", axes_sql("paired_greens"))
 
 
 def sql_project(a: str, lat: str, lon: str) -> tuple[str, str]:
@@ -262,14 +271,24 @@ def green_planes(spark, folder):
     return B.green_planes(samples.withColumn("metres", metres))
 
 
-relation("green_edges", """SELECT g.course_id, g.ref, p.lon AS x0, p.lat AS y0, q.lon AS x1, q.lat AS y1 FROM own_greens g
+def green_edges_sql(pairs: str) -> str:
+    return f"""SELECT g.course_id, g.ref, p.lon AS x0, p.lat AS y0, q.lon AS x1, q.lat AS y1 FROM {pairs} g
 JOIN main_rings p ON p.course_id = g.course_id AND p.element_id = g.green_id
-JOIN main_rings q ON q.course_id = g.course_id AND q.element_id = g.green_id AND q.ord = (p.ord + 1) % 5""")
-relation("green_lattice", """SELECT s.course_id, s.ref, s.a, s.b, s.lat, s.lon FROM (
+JOIN main_rings q ON q.course_id = g.course_id AND q.element_id = g.green_id AND q.ord = (p.ord + 1) % 5"""
+
+
+def lattice_sql(edges: str) -> str:
+    return f"""SELECT s.course_id, s.ref, s.a, s.b, s.lat, s.lon FROM (
   SELECT course_id, ref, CAST(a AS INT) AS a, CAST(b AS INT) AS b, x0 + (a + 0.5e0) / 4e0 * (x1 - x0) AS lon, y0 + (b + 0.5e0) / 4e0 * (y1 - y0) AS lat FROM (
-    SELECT course_id, ref, min(x0) AS x0, max(x0) AS x1, min(y0) AS y0, max(y0) AS y1 FROM green_edges GROUP BY course_id, ref), range(4) i(a), range(4) j(b)) s
-JOIN green_edges e ON e.course_id = s.course_id AND e.ref = s.ref AND ((e.y0 > s.lat) <> (e.y1 > s.lat))
-  AND s.lon < (e.x1 - e.x0) * (s.lat - e.y0) / (e.y1 - e.y0) + e.x0 GROUP BY ALL HAVING count(*) % 2 = 1""")
+    SELECT course_id, ref, min(x0) AS x0, max(x0) AS x1, min(y0) AS y0, max(y0) AS y1 FROM {edges} GROUP BY course_id, ref), range(4) i(a), range(4) j(b)) s
+JOIN {edges} e ON e.course_id = s.course_id AND e.ref = s.ref AND ((e.y0 > s.lat) <> (e.y1 > s.lat))
+  AND s.lon < (e.x1 - e.x0) * (s.lat - e.y0) / (e.y1 - e.y0) + e.x0 GROUP BY ALL HAVING count(*) % 2 = 1"""
+
+
+relation("green_edges", green_edges_sql("own_greens"))
+relation("green_lattice", lattice_sql("green_edges"))
+relation("paired_edges", green_edges_sql("paired_greens"))
+relation("paired_lattice", lattice_sql("paired_edges"))
 
 
 # ---- records ------------------------------------------------------------
@@ -294,16 +313,56 @@ def records(spark, folder):
     return B.build_course(elements(spark, folder), heights)
 
 
-@query("hole_records")
+relation("terrain", f"""SELECT course_id, {ORIGIN[0]} AS lat0, {ORIGIN[1]} AS lon0, middle, north, east FROM (
+  SELECT CAST((s_suppkey - s_suppkey % 12) / 12 AS BIGINT) AS course_id, max(CAST(s_acctbal AS DOUBLE)) / 50 AS middle,
+    round(avg(CAST(s_acctbal AS DOUBLE))) AS north, min(s_suppkey % 7 * 500) - 1000e0 AS east FROM supplier GROUP BY 1)""")
+_METRES = "(t.middle + (s.lat - t.lat0) * t.north + (s.lon - t.lon0) * t.east)"
+relation("record_ground", f"""SELECT s.course_id, s.ref, s.ord, s.lat, s.lon, {_METRES} AS metres FROM (
+  SELECT course_id, ref, 0 AS ord, tlat AS lat, tlon AS lon FROM paired_axes UNION ALL SELECT course_id, ref, k + 1, lat, lon FROM resampled
+  UNION ALL SELECT course_id, ref, 7, plat, plon FROM paired_axes) s JOIN terrain t ON t.course_id = s.course_id""")
+relation("record_profile", f"""SELECT course_id, ref, downrange, arg_max(height, ord) AS height FROM (
+  SELECT s.course_id, s.ref, s.ord, CAST(round_even({_SX}, 0) AS INT) AS downrange, {dround('(s.metres - b.metres) / 0.9144e0', 1)} AS height
+  FROM record_ground s JOIN record_ground b ON b.course_id = s.course_id AND b.ref = s.ref AND b.ord = 0
+  JOIN paired_axes a ON a.course_id = s.course_id AND a.ref = s.ref) GROUP BY course_id, ref, downrange""")
+relation("record_slopes", f"""SELECT course_id, ref, CASE WHEN n >= 4 AND abs(xx * yy - xy * xy) > 1e-12 THEN {dround('(xz * yy - yz * xy) / (xx * yy - xy * xy)', 4)} ELSE 0 END AS x,
+  CASE WHEN n >= 4 AND abs(xx * yy - xy * xy) > 1e-12 THEN {dround('(yz * xx - xz * xy) / (xx * yy - xy * xy)', 4)} ELSE 0 END AS y FROM (
+  SELECT course_id, ref, count(z) AS n, var_samp(x) AS xx, var_samp(y) AS yy, covar_samp(x, y) AS xy, covar_samp(x, z) AS xz, covar_samp(y, z) AS yz
+  FROM (SELECT s.course_id, s.ref, {_SX} AS x, {_SY} AS y, {_METRES} / 0.9144e0 AS z
+        FROM paired_lattice s JOIN paired_axes a ON a.course_id = s.course_id AND a.ref = s.ref JOIN terrain t ON t.course_id = s.course_id) GROUP BY course_id, ref)""")
+relation("record_tees", f"""SELECT course_id, ref, x, y, {dround('yards', 1)} AS yards, row_number() OVER (PARTITION BY course_id, ref ORDER BY yards DESC, element_id) - 1 AS ord FROM (
+  SELECT *, sqrt(pow(pin_yards - x, 2) + pow(y, 2)) AS yards FROM (
+    SELECT n.course_id, n.ref, n.element_id, a.pin_yards, {_TX} AS x, {_TY} AS y FROM nearest_ref n JOIN paired_axes a ON a.course_id = n.course_id AND a.ref = n.ref
+    JOIN centres c ON c.course_id = n.course_id AND c.element_id = n.element_id WHERE n.golf = 'tee'))
+WHERE x BETWEEN -25 AND 0.45e0 * pin_yards AND abs(y) <= 45 AND yards >= 70""")
+relation("record_fairways", f"""SELECT v.course_id, v.ref, arg_min(c.element_id, (round({sql_metres('c', 'v')}, 6), c.element_id)) AS element_id
+FROM hole_vertices v JOIN centres c ON c.course_id = v.course_id AND c.golf = 'fairway' GROUP BY v.course_id, v.ref""")
+_PART = "SELECT n.course_id, n.ref, {part} AS part, {ring} AS ring, p.ord, " + f"{_X} AS x, {_Y} AS y" + """
+FROM {rings} n JOIN paired_axes a ON a.course_id = n.course_id AND a.ref = n.ref JOIN main_rings p ON p.course_id = n.course_id AND p.element_id = n.element_id"""
+_HAZARDS = """(SELECT course_id, ref, element_id, CASE golf WHEN 'bunker' THEN 'bunker' ELSE 'water' END AS part,
+  row_number() OVER (PARTITION BY course_id, ref, golf = 'bunker' ORDER BY element_id) - 1 AS nth FROM nearest_ref WHERE golf IN ('bunker', 'water', 'water_hazard'))"""
+_ONE = "CAST(NULL AS DOUBLE)"
+relation("record_parts", " UNION ALL ".join([
+    f"SELECT course_id, ref, 'par' AS part, 0 AS ring, 0 AS ord, CAST(par AS DOUBLE) AS x, {_ONE} AS y FROM (SELECT DISTINCT course_id, ref, par FROM hole_vertices)",
+    f"SELECT course_id, ref, 'frame', 0, 0, {dround('pin_yards', 1)}, {dround('bearing', 1)} FROM paired_axes",
+    "SELECT h.course_id, h.ref, 'slope', 0, 0, coalesce(s.x, 0), coalesce(s.y, 0) FROM paired_axes h LEFT JOIN record_slopes s ON s.course_id = h.course_id AND s.ref = h.ref",
+    "SELECT course_id, ref, 'elevation', 0, row_number() OVER (PARTITION BY course_id, ref ORDER BY downrange) - 1, CAST(downrange AS DOUBLE), height FROM record_profile",
+    "SELECT course_id, ref, 'tee', 0, ord, x, y FROM record_tees", f"SELECT course_id, ref, 'tee yards', 0, ord, yards, {_ONE} FROM record_tees",
+    _PART.format(part="'green'", ring=0, rings="(SELECT course_id, ref, green_id AS element_id FROM paired_greens)"),
+    _PART.format(part="'fairway'", ring=0, rings="record_fairways"), _PART.format(part="n.part", ring="n.nth", rings=_HAZARDS)]))
+_FLAT = "part, CAST(ring AS INT) AS ring, CAST(ord AS INT) AS ord, x, y FROM record_parts"
+
+
+@query("hole_records", f"SELECT course_id, ref, {_FLAT}")
 def hole_records(spark, folder):
-    """Nested hole records of every course, from map elements and the ground."""
-    return records(spark, folder)
+    """Nested hole records of every course, from map elements and the ground, as flat rows."""
+    return B.record_rows(records(spark, folder), ["course_id", "ref"])
 
 
-@query("course_files")
+@query("course_files", f"SELECT CAST(course_id AS VARCHAR) AS name, CAST(course_id AS VARCHAR) AS slug, ref, {_FLAT}")
 def course_files(spark, folder):
-    """Hole records gathered per course, as the course files hold them."""
-    return files.course_records(records(spark, folder))
+    """Hole records gathered per course, as the course files hold them, as flat rows."""
+    gathered = files.course_records(records(spark, folder))
+    return B.record_rows(gathered.select("name", "slug", F.inline("holes")), ["name", "slug", "ref"])
 
 
 # ---- mapping proposals --------------------------------------------------

@@ -7,7 +7,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swingframe import schemas
 from swingframe.operators import holes as H
 from swingframe.plans.registry import relation
 from swingframe.sources.seeds import values_sql
@@ -86,9 +85,13 @@ ROW_DDL = (
 )
 
 
-def polygon_holes(spark: SparkSession) -> DataFrame:
+def mapped_holes(spark: SparkSession) -> DataFrame:
     text = json.dumps(_rows()).replace("'", "")
-    return H.prepare_course(spark.sql(f"SELECT inline(from_json('{text}', 'array<struct<{_struct(ROW_DDL)}>>'))"))
+    return spark.sql(f"SELECT inline(from_json('{text}', 'array<struct<{_struct(ROW_DDL)}>>'))")
+
+
+def polygon_holes(spark: SparkSession) -> DataFrame:
+    return H.prepare_course(mapped_holes(spark))
 
 
 def _struct(ddl: str) -> str:

@@ -427,14 +427,6 @@ def dim_club(spark, folder):
     return dims.dim_club(tables.player_clubs(spark, folder), tables.club_specs(spark, folder))
 
 
-@query("dim_session", """SELECT d.*, n.shots FROM dim_session d
-JOIN (SELECT source, count(*) AS shots FROM silver_shots GROUP BY source) n ON d.source = n.source""")
-def dim_session(spark, folder):
-    counts = silver.silver_shots(tables.raw_sources(spark, folder)).groupBy("source").agg(
-        F.count(F.lit(1)).alias("shots"))
-    return dims.dim_session(seeds.session_manifest(spark)).join(counts, "source")
-
-
 @query("session_join", """SELECT s.shot_id, s.source, d.session_key, d.carry_method FROM silver_shots s
 JOIN (SELECT * FROM dim_session WHERE source <> 'manual') d ON s.source = d.source""")
 def session_join(spark, folder):
@@ -590,4 +582,4 @@ def gate_sql(rules: list[contracts.Contract]) -> str:
 
 @query("quality_gate", gate_sql(contracts.ALL_CONTRACTS))
 def quality_gate(spark, folder):
-    return contracts.gate(warehouse.all_tables(spark, folder), contracts.ALL_CONTRACTS)
+    return warehouse.checked_tables(spark, folder, contracts.ALL_CONTRACTS)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from swingframe import constants as K
-from swingframe.functions import cleaning as C
-from swingframe.functions import geometry as G
 from swingframe.functions import units as U
 from swingframe.operators import holes as H
 from swingframe.operators import scoring, strategy
+from swingframe.operators.cells import inside_rings
 from swingframe.operators.lookup import interpolate
+from swingframe.operators.rings import course_rings, rejected_rings
 from swingframe.plans import courses_data as D
 from swingframe.plans import tables
 from swingframe.plans.bags import r6, rounded
@@ -216,23 +216,6 @@ def penalty_relief(spark, folder):
     return rounded(judged.where("replay_cost IS NOT NULL"), ["replay_cost"])
 
 
-BOUNDS = ["min_x", "max_x", "min_y", "max_y", "drop_x", "penalty_cost"]
-
-
-@query("parametric_bounds", """SELECT h.hole_id, 0e0 AS min_x, h.pin_distance + 40 AS max_x, -greatest(h.half_width + 25, 40) AS min_y,
-  greatest(h.half_width + 25, 40) AS max_y, coalesce(f.drop_distance, h.pin_distance - 30) AS drop_x,
-  coalesce(f.penalty_strokes, 1) AS penalty_cost, n.balls FROM holes h
-LEFT JOIN (SELECT hole_id, arg_min(coalesce(drop_distance, -1), ord) AS d, arg_min(penalty_strokes, ord) AS penalty_strokes,
-   nullif(arg_min(coalesce(drop_distance, -1), ord), -1) AS drop_distance FROM hole_regions
-   WHERE kind IN ('water', 'ob') GROUP BY hole_id) f ON f.hole_id = h.hole_id
-JOIN (SELECT hole_id, count(*) AS balls FROM points GROUP BY hole_id) n ON n.hole_id = h.hole_id""")
-def parametric_bounds(spark, folder):
-    """Grid extent and replay point of each hole that balls were hit on."""
-    balls = points(spark, folder).groupBy("hole_id").agg(F.count(F.lit(1)).alias("balls"))
-    bounds = H.parametric_bounds(D.parametric_holes(spark)).select("hole_id", *BOUNDS)
-    return bounds.join(balls, "hole_id")
-
-
 # Aims over clouds: one text prices a table of aimed balls.
 def aim_prices(aimed: str) -> str:
     """`aimed`: hole_id, bag_id, club, aim, aim_distance, aim_lateral, x, y per ball."""
@@ -337,22 +320,37 @@ AND ((e.y0 > p.y) <> (e.y1 > p.y)) AND p.x < (e.x1 - e.x0) * (p.y - e.y0) / (e.y
 GROUP BY p.hole_id, p.ord, e.layer, e.ring HAVING count(*) % 2 = 1""")
 def polygon_membership(spark, folder):
     """(point, layer) pairs; the layers here have rings that do not overlap."""
-    x, y = F.col("x"), F.col("y")
-    hits = F.filter(F.array(*[
-        F.when(G.inside_layer(F.col(f"{n}_layer"), x, y), F.lit(n)) for n in H.LAYERS]), lambda v: v.isNotNull())
-    joined = points(spark, folder, ("P1", "P2")).join(D.polygon_holes(spark), "hole_id")
-    return joined.select("hole_id", "ord", F.explode(hits).alias("layer"))
-
-
-@query("course_bounds", """SELECT h.hole_id, least(0, e.a - 10) AS min_x, greatest(e.b, h.pin_distance) + 20 AS max_x,
-  least(-40, e.c - 15) AS min_y, greatest(40, e.d + 15) AS max_y, coalesce(greatest(0, w.x - 5), h.pin_distance - 30) AS drop_x,
-  1e0 AS penalty_cost, n.balls FROM course h
-JOIN (SELECT hole_id, min(x0) AS a, max(x0) AS b, min(y0) AS c, max(y0) AS d FROM course_edges WHERE layer <> 'playable' GROUP BY hole_id) e ON e.hole_id = h.hole_id
-LEFT JOIN (SELECT hole_id, min(x0) AS x FROM course_edges WHERE layer = 'water' GROUP BY hole_id) w ON w.hole_id = h.hole_id
-JOIN (SELECT hole_id, count(*) AS balls FROM polygon_points GROUP BY hole_id) n ON n.hole_id = h.hole_id""")
-def course_bounds(spark, folder):
-    balls = points(spark, folder, ("P1", "P2")).groupBy("hole_id").agg(F.count(F.lit(1)).alias("balls"))
-    return H.course_bounds(D.polygon_holes(spark)).select("hole_id", *BOUNDS).join(balls, "hole_id")
+    rings = course_rings(D.mapped_holes(spark))
+    return inside_rings(points(spark, folder, ("P1", "P2")), rings, "hole_id").select("hole_id", "ord", "layer")
+
+
+# Rings from the lines of an order: some are polygons, some cross themselves, some are too short.
+RING_POINT = ["l_orderkey AS ring_id", "l_linenumber AS a", "l_partkey AS b", "l_suppkey AS c", "l_extendedprice AS d",
+              "CAST(l_quantity AS DOUBLE) AS x", "CAST(l_partkey % 40 AS DOUBLE) AS y"]
+relation("ring_lines", f"SELECT {', '.join(RING_POINT)} FROM lineitem")
+relation("drawn_rings", """SELECT * EXCLUDE (px, py) FROM (SELECT *, coalesce(lag(x) OVER w, last_value(x) OVER v) AS px, coalesce(lag(y) OVER w, last_value(y) OVER v) AS py
+  FROM ring_lines WINDOW w AS (PARTITION BY ring_id ORDER BY a, b, c, d), v AS (PARTITION BY ring_id ORDER BY a, b, c, d ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+WHERE x <> px OR y <> py""")
+relation("drawn_edges", """SELECT ring_id, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY ring_id) AS n, x AS x0, y AS y0,
+  coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1
+FROM drawn_rings WINDOW w AS (PARTITION BY ring_id ORDER BY a, b, c, d)""")
+_SIDE = "(sign(({p}.x1 - {p}.x0) * ({q}.y0 - {p}.y0) - ({p}.y1 - {p}.y0) * ({q}.x0 - {p}.x0)) * sign(({p}.x1 - {p}.x0) * ({q}.y1 - {p}.y0) - ({p}.y1 - {p}.y0) * ({q}.x1 - {p}.x0)) <= 0)"
+_OVERLAP = " AND ".join(f"greatest({p}.{s}0, {p}.{s}1) >= least({q}.{s}0, {q}.{s}1)" for s in "xy" for p, q in ("ef", "fe"))
+
+
+@query("rejected_rings", f"""SELECT r.ring_id, CASE WHEN coalesce(n.n, 0) < 3 THEN 'short' WHEN s.ring_id IS NOT NULL THEN 'spike' ELSE 'crossing' END AS reason
+FROM (SELECT DISTINCT ring_id FROM ring_lines) r LEFT JOIN (SELECT DISTINCT ring_id, n FROM drawn_edges) n ON n.ring_id = r.ring_id
+LEFT JOIN (SELECT DISTINCT e.ring_id FROM drawn_edges e JOIN drawn_edges f ON f.ring_id = e.ring_id AND f.i = (e.i + 1) % e.n
+  WHERE (e.x1 - e.x0) * (f.y1 - f.y0) - (e.y1 - e.y0) * (f.x1 - f.x0) = 0 AND (e.x1 - e.x0) * (f.x1 - f.x0) + (e.y1 - e.y0) * (f.y1 - f.y0) < 0) s ON s.ring_id = r.ring_id
+LEFT JOIN (SELECT DISTINCT e.ring_id FROM drawn_edges e JOIN drawn_edges f ON f.ring_id = e.ring_id AND f.i - e.i >= 2 AND NOT (e.i = 0 AND f.i = e.n - 1)
+  WHERE {_OVERLAP} AND {_SIDE.replace('{p}', 'e').replace('{q}', 'f')} AND {_SIDE.replace('{p}', 'f').replace('{q}', 'e')}) c ON c.ring_id = r.ring_id
+WHERE coalesce(n.n, 0) < 3 OR s.ring_id IS NOT NULL OR c.ring_id IS NOT NULL""")
+def rejected(spark, folder):
+    """Rings drawn by the lines of an order that membership tests cannot use, and why."""
+    lines = tables.read(spark, folder, "lineitem").selectExpr(*RING_POINT)
+    ordered = F.array_sort(F.collect_list(F.struct("a", "b", "c", "d", "x", "y")))
+    drawn = lines.groupBy("ring_id").agg(F.transform(ordered, lambda p: F.array(p["x"], p["y"])).alias("ring"))
+    return rejected_rings(drawn, ["ring_id"])
 
 
 SQL_HEIGHT = "(h.slope_x * ({x} - h.cx) + h.slope_y * ({y} - h.cy))"
@@ -392,27 +390,6 @@ UNION ALL SELECT h.hole_id, l.level, 0e0, 0e0, h.pin_distance FROM course h, (VA
 WHERE h.hole_id NOT IN (SELECT hole_id FROM tees)""")
 
 
-@query("tee_levels", """SELECT t.hole_id, t.level, t.downrange, t."lateral" AS "lateral", t.yards, n.balls FROM picked_tees t
-JOIN (SELECT hole_id, count(*) AS balls FROM polygon_points GROUP BY hole_id) n ON n.hole_id = t.hole_id""")
-def tee_levels(spark, folder):
-    balls = points(spark, folder, ("P1", "P2")).groupBy("hole_id").agg(F.count(F.lit(1)).alias("balls"))
-    return H.pick_tees(D.tees(spark), D.polygon_holes(spark)).join(balls, "hole_id")
-
-
-def _ground(x: str) -> str:
-    return f"coalesce((SELECT g.y0 + g.slope * ({x} - g.x0) FROM ground g WHERE g.hole_id = t.hole_id AND {x} >= g.from_x AND {x} < g.to_x), 0)"
-
-
-@query("plays_like", f"""SELECT t.hole_id, t.level, t.downrange, t."lateral" AS "lateral", t.yards, {r6(_ground('h.pin_distance') + ' - ' + _ground('t.downrange'), 'net_rise')},
-  {r6('t.yards + 0.93e0 * (' + _ground('h.pin_distance') + ' - ' + _ground('t.downrange') + ')', 'plays_like')}, n.balls
-FROM picked_tees t JOIN course h ON t.hole_id = h.hole_id JOIN (SELECT hole_id, count(*) AS balls FROM polygon_points GROUP BY hole_id) n ON n.hole_id = t.hole_id""")
-def plays_like(spark, folder):
-    holes = D.polygon_holes(spark)
-    balls = points(spark, folder, ("P1", "P2")).groupBy("hole_id").agg(F.count(F.lit(1)).alias("balls"))
-    table = H.plays_like(H.pick_tees(D.tees(spark), holes), holes).join(balls, "hole_id")
-    return rounded(table, ["net_rise", "plays_like"])
-
-
 # ---- approaches ---------------------------------------------------------
 PIN_COLUMNS = ["pin_id", "hole_id", "pin_x", "pin_y", "from_distance", "short_game"]
 PINS = [("centre", "P1", 160.0, 0.0, 152.0, 0.0), ("left", "P1", 158.0, -8.0, 152.0, 0.25),

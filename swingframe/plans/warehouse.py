@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from swingframe.operators import conform, dims, facts, marts, silver
+from swingframe.operators import conform, contracts, dims, facts, marts, silver
 from swingframe.plans import tables
-from swingframe.session import cut_lineage
+from swingframe.session import written
 from swingframe.sources import seeds
 
 
@@ -33,26 +33,34 @@ def staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def star(spark: SparkSession, folder: str) -> Star:
-    shots = silver.silver_shots(tables.raw_sources(spark, folder))
-    players = dims.dim_player(tables.player_profiles(spark, folder))
-    clubs = dims.dim_club(tables.player_clubs(spark, folder), tables.club_specs(spark, folder))
+    """The gold tables over a silver table and dimensions at rest: each given table is scanned
+    once for them, whatever reads them afterwards."""
+    shots = written(silver.silver_shots(tables.raw_sources(spark, folder)), "silver")
+    players = written(dims.dim_player(tables.player_profiles(spark, folder)), "dim-player")
+    clubs = written(dims.dim_club(tables.player_clubs(spark, folder), tables.club_specs(spark, folder)), "dim-club")
     sessions = dims.dim_session(seeds.session_manifest(spark))
     return Star(shots, players, clubs, sessions, facts.fct_shots(shots, sessions, players, clubs))
 
 
-def all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every table the contracts are about. The shared ones are written first, as a gate
-    runs on tables at rest, not on the plans behind them."""
-    lazy = star(spark, folder)
-    shots, players, clubs = cut_lineage(lazy.shots), cut_lineage(lazy.players), cut_lineage(lazy.clubs)
-    gold = Star(shots, players, clubs, lazy.sessions,
-                cut_lineage(facts.fct_shots(shots, lazy.sessions, players, clubs)))
-    return {
-        "session_manifest": seeds.session_manifest(spark),
-        "player_profiles": tables.player_profiles(spark, folder),
-        "player_clubs": tables.player_clubs(spark, folder),
-        "club_specs": tables.club_specs(spark, folder),
-        **{name: cut_lineage(df) for name, df in staging(spark, folder).items()},
-        "silver_shots": gold.shots, "dim_player": gold.players, "dim_club": gold.clubs,
-        "dim_session": gold.sessions, "fct_shots": gold.facts, "agg_club_gapping": cut_lineage(gold.gapping),
-    }
+def checked_tables(spark: SparkSession, folder: str, rules: list[contracts.Contract]) -> DataFrame:
+    """Every table from seeds to mart built from the tables before it, with all contracts counted
+    on the way: those of a row while its table is written."""
+    kept: dict[str, DataFrame] = {}
+    counted: list[tuple] = []
+
+    def add(name: str, df: DataFrame) -> DataFrame:
+        kept[name], counts = contracts.write_counted(df, name, rules, written)
+        counted.extend(counts)
+        return kept[name]
+
+    add("session_manifest", seeds.session_manifest(spark))
+    profiles = add("player_profiles", tables.player_profiles(spark, folder))
+    owned = add("player_clubs", tables.player_clubs(spark, folder))
+    specs = add("club_specs", tables.club_specs(spark, folder))
+    staged = [add(name, df) for name, df in staging(spark, folder).items()]
+    shots = add("silver_shots", silver.core_metric(silver.union_sources(staged)))
+    players, clubs = add("dim_player", dims.dim_player(profiles)), add("dim_club", dims.dim_club(owned, specs))
+    sessions = add("dim_session", dims.dim_session(kept["session_manifest"]))
+    mart = add("fct_shots", facts.fct_shots(shots, sessions, players, clubs))
+    add("agg_club_gapping", marts.agg_club_gapping(mart, clubs, players))
+    return contracts.judged(kept, rules, counted)

@@ -1,8 +1,8 @@
-"""Session settings and lineage cutting."""
+"""Session settings, and tables written once in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,22 +25,44 @@ def build_session(app: str = "swingframe", **settings: str) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable folder the cluster names; a scratch folder only on a local master."""
+    """The folder of this application's intermediate tables, removed when its driver ends.
+
+    It lies in `spark.checkpoint.dir`, which the cluster names and every executor reaches; where
+    that is unset, in the session's warehouse, which executors share as well."""
     sc = spark.sparkContext
-    folder = sc.getCheckpointDir()
-    if folder:
-        return folder
-    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="swingframe-checkpoint-")
-    sc.setCheckpointDir(folder)
+    shared = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = f"{(shared or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/swingframe-{sc.applicationId}"
+    if folder not in _OPENED:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _OPENED.add(folder)
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write an iteration's table to the checkpoint folder, so that the plan stays
-    short and a lost executor costs one read, not a replay of every sweep."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_OPENED: set[str] = set()
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else writes to."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table once and read it back: a loop's plan stays short, later steps neither repeat
+    the work nor read columns they do not use, and a lost executor costs only a read."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Write a table in as many buckets of `keys` as there are shuffle partitions and read it back. A
+    join or grouping on exactly these keys then moves the other side only, however often it is
+    repeated. The table's files lie in the shared folder; its name is this session's."""
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"swingframe_{name}_{uuid.uuid4().hex}"
+    df.repartition(count, *keys).write.bucketBy(count, *keys).option("path", fresh_path(spark, name)).saveAsTable(table, format="parquet")
+    return spark.table(table)

@@ -1,27 +1,31 @@
 """CSV exports to bronze: every cell a string, plus lineage columns.
 
 Files of one source may have different headers, so they are read once under
-positional columns and each row is placed by the header of its own file. Row
-positions come from the scan itself: rows of one file block get consecutive ids in
-one task, and a running sum over the (tiny) table of block counts turns them into a
-source-wide index. No row is shuffled for it.
+positional columns and each row is placed by the header of its own file. Headers are a table of
+layouts, a row for each file, that is joined to the rows; the driver learns the
+names that occur and nothing else. Row positions come from the scan itself: rows of one file
+block get consecutive ids in one task, and a running sum over the (tiny) table of block counts
+turns them into a source-wide index. No row is shuffled for it.
 """
 
 from __future__ import annotations
 
-import csv
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from swingframe.functions.cleaning import header_text
+from swingframe.functions.arrays import bound
+from swingframe.functions.cleaning import header_name, header_text
 from swingframe.operators import conform
+from swingframe.session import written
 from swingframe.sources.registry import SOURCES, Source, get_source
 
-TOP_BYTES = 1 << 16  # a file's first two lines lie within these
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+FILES = {"recursiveFileLookup": True, "pathGlobFilter": "*.csv"}
+CELL_BREAK = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma with an even number of quotes behind it
 
 
 def _label(root: str) -> Column:
@@ -30,30 +34,53 @@ def _label(root: str) -> Column:
     return F.substring_index(path, root.rstrip("/").split("://")[-1].rstrip("/") + "/", -1)
 
 
-def parse_header(line: str) -> list[str]:
-    """Column names of a header line: repeated names numbered, blanks named by
+def header_columns(line: Column) -> Column:
+    """Column names of a header line: quotes taken off, repeated names numbered, blanks named by
     position, then made snake case."""
-    names: list[str] = []
-    seen: dict[str, int] = {}
-    for i, cell in enumerate(next(csv.reader([line]))):
-        cell = cell or f"Unnamed: {i}"
-        repeat = seen.get(cell, 0)
-        seen[cell] = repeat + 1
-        names.append(header_text(f"{cell}.{repeat}" if repeat else cell))
-    return names
-
-
-def _file_tops(spark: SparkSession, root: str, source: Source) -> DataFrame:
-    """(file, header line, whether physical line 2 is blank) per matching file."""
-    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(root)
-    value = F.decode(F.substring("content", 1, TOP_BYTES), source.encoding)
-    lines = F.split(F.regexp_replace(value, "^\\uFEFF", ""), "\r\n|\n|\r", 3)
-    return (
-        files.select(_label(root).alias("file"), lines.alias("lines"))
-        .where(F.col("file").rlike(source.path_pattern))
-        .select("file", F.col("lines")[0].alias("header"),
-                (F.trim(F.coalesce(F.get("lines", F.lit(1)), F.lit(""))) == "").alias("second_blank"))
+    def bare(c: Column) -> Column:
+        return F.when(c.rlike('^".*"$'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+
+    def numbered(names: Column) -> Column:
+        def with_number(c: Column, i: Column) -> Column:
+            before = F.size(F.filter(F.slice(names, F.lit(1), i), lambda x: x == c))
+            return header_name(F.when(before > 0, F.concat(c, F.lit("."), before.cast("string"))).otherwise(c))
+
+        return F.transform(names, with_number)
+
+    named = F.transform(F.split(line, CELL_BREAK), lambda c, i: bound(
+        bare(c), lambda v: F.when(v == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(v)))
+    return bound(named, numbered)
+
+
+def _line_breaks(source: Source) -> dict[str, str]:
+    """Options for encodings whose line end is not one byte. Cells of such a file are read as a whole."""
+    wide = source.encoding.upper().startswith(("UTF-16", "UTF-32"))
+    return {"encoding": source.encoding, "lineSep": "\n"} if wide else {}
+
+
+def file_tops(spark: SparkSession, root: str, source: Source) -> DataFrame:
+    """`(file, names, second_blank)` per matching file: its header's columns, and whether its second physical
+    line is blank.
+
+    Ids of a file's lines are consecutive, so its first two lines are those with the lowest
+    even and the lowest odd id: two minima, taken before anything is shuffled."""
+    lines = (
+        spark.read.format("text").options(**FILES, **_line_breaks(source)).load(root)
+        .select(_label(root).alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("line"))
+        .where(F.col("file").rlike(source.path_pattern) & (F.col("block") == 0))
     )
+    line = F.struct("id", "line")
+    even, odd = (F.min(F.when(F.col("id") % 2 == k, line)) for k in (0, 1))
+    tops = lines.groupBy("file").agg(even.alias("even"), odd.alias("odd"))
+
+    def text(c: Column) -> Column:
+        return F.regexp_replace(F.decode(c, source.encoding), "^\uFEFF|\r$", "")
+
+    second = F.when(F.col("even").isNotNull() & F.col("odd").isNotNull(), F.greatest("even", "odd")["line"])
+    return tops.select(
+        "file", header_columns(text(F.least("even", "odd")["line"])).alias("names"),
+        (F.trim(F.coalesce(text(second), F.lit(""))) == "").alias("second_blank"))
 
 
 def read_bronze(spark: SparkSession, root: str, source: Source | str) -> DataFrame:
@@ -63,22 +90,23 @@ def read_bronze(spark: SparkSession, root: str, source: Source | str) -> DataFra
     null. `_row_index` counts rows from 0 in path order.
     """
     source = get_source(source) if isinstance(source, str) else source
-    tops = _file_tops(spark, root, source) if not source.header or source.has_units_row else None
+    tops = written(file_tops(spark, root, source), "file-tops") if not source.header or source.has_units_row else None
     if source.header:
-        layouts = {"": [header_text(c) for c in source.header]}
+        columns = list(dict.fromkeys(header_text(c) for c in source.header))
+        width = len(source.header)
+        declared = F.array(*[F.lit(header_text(c)) for c in source.header])
     else:
-        # One line per distinct layout, not per file.
-        layouts = {r.header: parse_header(r.header) for r in tops.select("header").distinct().collect()}
-    if not layouts:
-        raise FileNotFoundError(f"no file below {root} matches {source.path_pattern}")
-    width = max(len(names) for names in layouts.values())
-    columns = list(dict.fromkeys(c for _, names in sorted(layouts.items()) for c in names))
+        # one row for each name that occurs
+        names = tops.select(F.posexplode("names").alias("at", "name")).groupBy("name").agg(
+            F.min("at").alias("first"), F.max("at").alias("last")).orderBy("first", "name").collect()
+        if not names:
+            raise FileNotFoundError(f"no file below {root} matches {source.path_pattern}")
+        columns, width = [r["name"] for r in names], 1 + max(r["last"] for r in names)
 
     cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     scan = (
         spark.read.schema(cells).options(**CSV_OPTIONS)
-        .options(header=False, multiLine=source.multi_line, encoding=source.encoding,
-                 recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .options(header=False, multiLine=source.multi_line or bool(_line_breaks(source)), encoding=source.encoding, **FILES)
         .csv(root)
         .select("*", _label(root).alias("file"), F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("id"))
@@ -90,9 +118,9 @@ def read_bronze(spark: SparkSession, root: str, source: Source | str) -> DataFra
     if tops is not None:
         blocks = blocks.join(tops, "file")
     else:
-        blocks = blocks.withColumns({"header": F.lit(""), "second_blank": F.lit(True)})
+        blocks = blocks.withColumn("second_blank", F.lit(True))
     if source.header:
-        blocks = blocks.withColumn("header", F.lit(""))
+        blocks = blocks.withColumn("names", declared)
     skipped = F.lit(1) + F.when(F.col("second_blank"), 0).otherwise(1 if source.has_units_row else 0)
     # One row per file block: ordering this table is file-listing work.
     everything = Window.partitionBy(F.lit(0)).orderBy("file", "block").rowsBetween(
@@ -103,15 +131,10 @@ def read_bronze(spark: SparkSession, root: str, source: Source | str) -> DataFra
                     - F.greatest(F.col("before") - F.col("skipped"), F.lit(0)))
         .withColumn("start", F.coalesce(F.sum("kept").over(everything), F.lit(0)))
     )
-    names = F.create_map(*[
-        part for line, layout in layouts.items()
-        for part in (F.lit(line), F.array(*[F.lit(c) for c in layout]))
-    ])
     placed = (
         scan.alias("s").join(blocks.alias("b"), ["file", "block"])
         .withColumn("at", F.col("before") + F.col("id") - F.col("first_id"))
         .where("at >= skipped")
-        .withColumn("_names", F.element_at(names, F.col("header")))
         .withColumn("_cells", F.array(*[f"_c{i}" for i in range(width)]))
     )
     rank = F.col("start") + F.col("at") - F.greatest(F.col("before"), F.col("skipped"))
@@ -119,23 +142,73 @@ def read_bronze(spark: SparkSession, root: str, source: Source | str) -> DataFra
         F.lit(source.name).alias("_source"), F.col("file").alias("_source_file"),
         rank.cast("bigint").alias("_row_index"),
         *[
-            F.when(F.array_contains("_names", c), F.coalesce(
-                F.get("_cells", (F.array_position("_names", c) - 1).cast("int")), F.lit(""))).alias(c)
+            F.when(F.array_contains("names", c), F.coalesce(
+                F.get("_cells", (F.array_position("names", c) - 1).cast("int")), F.lit(""))).alias(c)
             for c in columns
         ],
         F.current_timestamp().alias("_ingested_at_utc"),
     )
 
 
+# ---- tables that are replaced whole ---------------------------------------
+COMMITS = "commit-log"
+COMMIT = "version bigint, folder string"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(COMMIT).json(f"{path}/{COMMITS}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _current(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """Number and folder of the last committed version; of two writers of one number, the later name."""
+    commits = _commits(spark, path)
+    last = commits.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"] if commits is not None else None
+    return (last["version"], last["folder"]) if last else None
+
+
 def write_table(df: DataFrame, path: str) -> None:
-    """Replace a table in place; running it again gives the same table."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    """Replace a table; running it again gives the same table.
+
+    A version is written beside the others and becomes the table by one appended line of the commit
+    log. A write that fails, or a driver lost on the way, leaves the old version as it is, and
+    readers never see a part of a table."""
+    spark = df.sparkSession
+    before = _current(spark, path)
+    version = (before[0] if before else 0) + 1
+    folder = f"version={version}-{uuid.uuid4().hex}"
+    df.write.option("compression", "snappy").parquet(f"{path}/{folder}")
+    spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(folder).alias("folder")) \
+        .write.mode("append").json(f"{path}/{COMMITS}")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The last committed version of a table; `PATH_NOT_FOUND` where there is none."""
+    current = _current(spark, path)
+    return spark.read.parquet(f"{path}/{current[1]}" if current else f"{path}/{COMMITS}")
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> list[str]:
+    """Remove all folders of a table but that of its current version, for when no reader is left on
+    them; returns their names."""
+    current = _current(spark, path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in system.listStatus(root) if s.getPath().getName().startswith("version=")
+           and (current is None or s.getPath().getName() != current[1])]
+    for folder in old:
+        system.delete(folder, True)
+    return sorted(p.getName() for p in old)
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table that may not have been landed yet: zero rows of the schema if absent."""
     try:
-        return spark.read.parquet(path)
+        return read_table(spark, path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

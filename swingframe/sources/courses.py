@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swingframe import schemas
@@ -10,10 +10,12 @@ from swingframe import schemas
 RINGS = "array<array<array<double>>>"
 
 
-def read_map_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Elements of map extracts, one file per course, as feature rows."""
+def read_map_extract(spark: SparkSession, path: str, course: Column | None = None) -> DataFrame:
+    """Elements of map extracts, one file per course, as feature rows. The course is the file's
+    name, or an expression over `_metadata`."""
     files = spark.read.schema(schemas.MAP_EXTRACT).option("multiLine", True).json(path)
-    course = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.json)?$", 1)
+    if course is None:
+        course = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.json)?$", 1)
     return files.select(course.alias("course_id"), F.posexplode("elements").alias("element_id", "e")).select(
         "course_id", F.col("element_id").cast("bigint").alias("element_id"), "e.type", "e.tags", "e.geometry", "e.members")
 

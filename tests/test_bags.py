@@ -29,16 +29,31 @@ def _by_club(df):
     return out
 
 
-@pytest.mark.parametrize("width", [0.01, 1.0, 1000.0])
-def test_percentiles_equal_numpy_for_any_bucket_width(spark, width):
+@pytest.mark.parametrize("bound", [10, 60, 1_000_000])
+def test_percentiles_equal_numpy_for_any_bound(spark, bound):
     df = _cloud(spark)
     rows = _by_club(df)
-    got = {r.club: r for r in exact_percentiles(df, ["club"], "carry", {"a": 0.05, "m": 0.5, "z": 0.9}, width=width).collect()}
+    got = {r.club: r for r in exact_percentiles(df, ["club"], "carry", {"a": 0.05, "m": 0.5, "z": 0.9}, bound=bound).collect()}
     for club, members in rows.items():
         values = [r.carry for r in members]
         assert np.allclose([got[club].a, got[club].m, got[club].z], np.percentile(values, [5, 50, 90]))
 
 
+def test_a_hot_group_within_one_unit_is_cut_until_parts_are_small(spark):
+    from swingframe.operators import quantiles
+
+    df = spark.range(40000).selectExpr("IF(id % 3 = 0, concat('k', id % 50), 'hot') AS k", "(id * 7919 % 30011) / 30011.0D AS v").union(
+        spark.range(9000).selectExpr("'hot'", "0.25D")).repartition(6)
+    probs = {"a": 0.1, "m": 0.5, "z": 0.93}
+    parts = quantiles.narrowed(quantiles.value_counts(df, ["k"], "v"), ["k"], list(probs.values()), 40)
+    assert parts.groupBy("k", "_part").count().agg(F.max("count")).first()[0] <= 40
+    got = {r.k: (r.a, r.m, r.z, r.n) for r in exact_percentiles(df, ["k"], "v", probs, count="n", bound=40).collect()}
+    for k, rows in {k: [r.v for r in df.where(df.k == k).collect()] for k in ("hot", "k3", "k9")}.items():
+        assert np.allclose(got[k][:3], np.percentile(rows, [10, 50, 93])) and got[k][3] == len(rows)
+    whole = exact_percentiles(df, [], "v", probs, bound=40).first()
+    assert np.allclose(list(whole), np.percentile([r.v for r in df.collect()], [10, 50, 93]))
+
+
 def test_percentiles_with_ties_nulls_and_null_keys(spark):
     df = spark.createDataFrame([("a", 1.0)] * 50 + [("a", 2.0), ("a", None), (None, 5.0), (None, 7.0), ("e", None)], "k string, v double")
     got = {r.k: r.m for r in exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect()}

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from swingframe.operators import courses as B
 from swingframe.plans import courses as PC
+from swingframe.sources import courses as files
 
 YARDS = 1 / 0.9144
 
@@ -34,8 +35,8 @@ def test_places_without_a_height_are_left_out(spark, folder):
 
 
 def test_registered_records_have_ground(spark, folder):
-    rows = PC.hole_records(spark, folder).collect()
+    rows = PC.records(spark, folder).collect()
     assert rows and all(len(r.elevation) > 2 and any(r.green_slope) for r in rows)
     assert len({h for r in rows for _, h in r.elevation}) > 3
-    gathered = PC.course_files(spark, folder).collect()
+    gathered = files.course_records(PC.records(spark, folder)).collect()
     assert all(h.elevation and any(h.green_slope) for c in gathered for h in c.holes)

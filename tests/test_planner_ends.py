@@ -22,7 +22,7 @@ def _shape(spark):
 
 def test_values_of_a_strip(spark):
     cells = _strip(spark, 4, lambda i: 1.0 if i == 3 else 50.0)
-    values = P.iterate(cells, _shape(spark), _options(spark, 4, [1]))
+    values = P.iterate(P.board(cells, _shape(spark), _options(spark, 4, [1])))
     assert {r.i: round(r.v, 6) for r in values.collect()} == {0: 4.0, 1: 3.0, 2: 2.0, 3: 1.0}
 
 
@@ -38,7 +38,7 @@ def test_a_hole_of_twelve_shots_is_played_out(spark):
 def test_an_unfinished_iteration_raises(spark):
     cells = _strip(spark, 4, lambda i: 1.0 if i == 3 else 50.0)
     with pytest.raises(RuntimeError, match="still move"):
-        P.iterate(cells, _shape(spark), _options(spark, 4, [1]), most=1)
+        P.iterate(P.board(cells, _shape(spark), _options(spark, 4, [1])), most=1)
 
 
 def test_play_that_goes_round_is_marked(spark):

@@ -26,10 +26,10 @@ def _solve(spark, regions=(), short_game=0.0, skew=0.35):
     grid = P.hole_grid(frames, SIZE, polygon=False)
     clubs = P.bag_clubs(clouds)
     scenarios = spark.createDataFrame([("s", "h", "b", None, None, short_game)], "scenario string, hole_id string, bag_id string, start_x double, start_y double, short_game double")
-    cells = P.cut_lineage(P.scenario_cells(scenarios, frames, grid, clubs, SIZE))
-    shapes = P.cut_lineage(P.stencils(clouds, spark.createDataFrame([("b", skew)], "bag_id string, skew double"), SIZE))
-    options = P.cut_lineage(P.candidates(cells, clubs, SIZE))
-    return scenarios, cells, shapes, options, P.cut_lineage(P.iterate(cells, shapes, options))
+    cells = P.written(P.scenario_cells(scenarios, frames, grid, clubs, SIZE))
+    shapes = P.written(P.stencils(clouds, spark.createDataFrame([("b", skew)], "bag_id string, skew double"), SIZE))
+    on = P.board(cells, shapes, P.candidates(cells, clubs, SIZE))
+    return scenarios, cells, shapes, on, P.written(P.iterate(on))
 
 
 POND = ("water", 270.0, 292.0, 4.0, 50.0, 1.0, 250.0)
@@ -105,14 +105,32 @@ def test_water_and_a_weak_short_game_cost_strokes(spark, solved):
 
 
 def test_rollout_and_round_row(spark, solved):
-    scenarios, cells, shapes, options, values = solved
-    shots = P.rollout(cells, P.policy(cells, values, shapes, options)).orderBy("shot").collect()
+    scenarios, cells, _, on, values = solved
+    shots = P.rollout(cells, P.policy(on, values)).orderBy("shot").collect()
     assert shots and shots[0].club == "Driver" and shots[0].from_x == 10.0 and shots[0].aim_x > 150
     assert all(a.aim_x == b.from_x for a, b in zip(shots, shots[1:]))
     row = P.round_rows(scenarios, cells, values, spark.createDataFrame(shots)).first()
     assert row.shots == len(shots) and row.plan.startswith("Driver (straight)") and row.expected == round(_tee(cells, values), 2)
 
 
+def test_a_sweep_moves_no_option(spark, solved):
+    """The options of a sweep's plan come from their buckets: no exchange stands above their scan and below their join."""
+    import re
+
+    on, values = solved[3], solved[4]
+    plan = P.best_choices(on, values)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("== Initial Plan ==")[-1].split("\n")
+    at = next(k for k, line in enumerate(lines) if "plan_options" in line)
+    depth = lambda line: len(re.match(r"[ :|+\-*()0-9]*", line)[0])
+    above, reach = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < reach:
+            reach = depth(line)
+            above.append(line)
+    below_join = above[: next(k for k, line in enumerate(above) if "Join" in line)]
+    assert not any("Exchange" in line for line in below_join), plan
+
+
 def test_round_total(spark):
     rows = spark.createDataFrame([("a", r, 4, 400, 4.5) for r in range(1, 19)], "player string, ref int, par int, yards int, expected double")
     t = P.round_total(rows, ["player"]).first()

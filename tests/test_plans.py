@@ -82,16 +82,33 @@ def test_a_hot_key_is_split_at_run_time(spark):
         for k, v in settings.items():
             spark.conf.set(k, v)
         joined = lookup(rows.repartition(8), table, ["k"])
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        # every column is kept, as the size in bytes decides what is split
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.struct("*"))).collect()]
         assert "skew=true" in _final_plan(joined) and sum(sizes) == 63000 and max(sizes) < 30000
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _shape(df):
+    """Exchanges and the folders that are scanned, before anything ran."""
+    import re
+
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"Exchange(?! hashpartitioning.*Reused)", plan)), re.findall(r"InMemoryFileIndex\(.*?\)\[([^\],]*)", plan)
+
+
 def test_the_fact_scans_and_shuffles_little(spark, folder):
-    plan = _plan(entry_module.queries()["fct_shots"](spark, folder))
-    assert "NestedLoop" not in plan
+    for name, most in (("fct_shots", 8), ("club_gapping", 12), ("bag_from_shots", 15)):
+        df = entry_module.queries()[name](spark, folder)
+        exchanges, scans = _shape(df)
+        assert "NestedLoop" not in _plan(df) and exchanges <= most, (name, exchanges)
+        assert not any("events.parquet" in s for s in scans), name  # shots are at rest
+
+
+def test_keys_are_counted_before_they_meet_their_parents(spark, folder):
+    plan = _plan(entry_module.queries()["contract_relationships"](spark, folder)).split("== Physical Plan ==")[1]
+    assert "LeftAnti" not in plan and "NestedLoop" not in plan and plan.count("LeftOuter") == 1
 
 
 def test_aims_are_averaged_before_the_shuffle(spark, folder):
