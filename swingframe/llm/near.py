@@ -8,18 +8,22 @@ BANDS * ROWS registers, and a register keeps the shingle that came first. A shin
 soon as its next arrival is later than the latest register, so long texts cost one arrival
 for most shingles. Registers of two texts agree with the probability of their similarity.
 
-Texts that agree in a band share a bucket. Equal texts are one node, so a bucket holds
-different texts only. Pairs of which too many registers differ in four bits for a similarity of
-0.8 (by five standard deviations) are dropped inside the join of a bucket's members. A bucket is not expanded into pairs: its members are compared, on
-whole texts, with a pivot; what is linked becomes one component; then with GROWTH times as
+Six bits of every register are kept, a long for each band. Texts that agree in a band share a bucket.
+Equal texts are one node, so a bucket holds different texts only. Pairs of which too many registers differ
+for a similarity of 0.8 (by five standard deviations) are dropped inside the join of a bucket's members, and a
+pair is taken in the first band in which it agrees only. A bucket is not expanded into pairs: its members are
+compared, on whole texts, with a pivot; what is linked becomes one component; then with GROWTH times as
 many pivots, but only members that are not yet connected to them, until the bucket is one
 component or every pair of its components has been compared. A group of copies is done
-after one comparison per member, and no link between two texts that share a bucket is lost.
+after one comparison per member, and no link between two texts that share a bucket is lost. What bounds the
+work is how often texts share a bucket without becoming one component: n such texts cost n**2 / 2 evaluations
+of the bits in the end.
 
 Two texts of similarity 0.8 share a bucket with probability 1 - (1 - 0.8**10)**50 = 0.997, of
 similarity 0.85 with 0.9999.
 
-Defined results: null counts as empty; texts without words are one class. The class id is
+Defined results: null counts as empty; texts without words are one class. A text of any length is taken
+whole; an empty table gives no rows; ties of similarity do not arise, as every pair at the threshold links. The class id is
 the smallest doc_id of the class (null ids rank last). Repeated rows are members each.
 """
 
@@ -33,17 +37,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swingframe.llm.graph import components
-from swingframe.llm.store import written
+from swingframe.llm.store import free_name, written
 from swingframe.llm.words import GOLDEN, mix, pieces, step, sums_by, unit, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 50, 10
 REGISTERS = BANDS * ROWS
-LONGS = -(-REGISTERS // 16)
-# Four bits of every register estimate the similarity of a pair before its texts are read.
-APART = (1 - THRESHOLD) * 15 / 16  # share of registers whose four bits differ at the threshold
-UNLIKE = APART * REGISTERS + 5 * (APART * (1 - APART) * REGISTERS) ** 0.5  # and five deviations more
+REGISTER_BITS = 6  # kept of every register; a band's are one long, which also names its bucket
+FIRST = 10  # bands that a pair is looked at first
+LOWEST = sum(1 << (REGISTER_BITS * k) for k in range(ROWS))
+
+
+def most_apart(registers: int) -> float:
+    """Registers that differ in their bits at the threshold, and five deviations more."""
+    apart = (1 - THRESHOLD) * (1 - 2.0 ** -REGISTER_BITS)
+    return apart * registers + 5 * (apart * (1 - apart) * registers) ** 0.5
+
+
 GROWTH = 8  # times as many pivots in a bucket's next round
 PLACES = mix(np.arange(11, 11 + WORDS, dtype=np.uint64) * GOLDEN) | np.uint64(1)
 
@@ -114,21 +125,16 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ends = np.cumsum(count)
                 digests.append(total[ends] - total[ends - count])
             spoken = np.flatnonzero(count)
-            bands = np.zeros((len(spoken), BANDS), np.uint64)
-            for band in range(BANDS):
-                for k in range(ROWS):
-                    bands[:, band] = mix(bands[:, band] + won[spoken, band * ROWS + k] + step(band * ROWS + k + 1))
-            low = np.zeros((len(spoken), LONGS * 16), np.uint8)
-            low[:, :REGISTERS] = (mix(won[spoken]) >> np.uint64(40)) & np.uint64(15)
-            bits = np.ascontiguousarray(low[:, ::2] | (low[:, 1::2] << 4)).view(np.int64)
+            low = (mix(won[spoken]) >> np.uint64(40)) & np.uint64((1 << REGISTER_BITS) - 1)
+            low = low.reshape(len(spoken), BANDS, ROWS) << (np.arange(ROWS, dtype=np.uint64) * np.uint64(REGISTER_BITS))
+            bits = np.bitwise_or.reduce(low, axis=2)
             sizes = np.zeros(texts + 1, np.int32)
             sizes[spoken + 1] = 1
             part = batch.slice(begin, texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), *(pa.array(d.view(np.int64)) for d in digests),
-                 *(pa.ListArray.from_arrays(pa.array(np.cumsum(sizes * n, dtype=np.int32)), pa.array(x.ravel().view(np.int64)))
-                   for n, x in ((BANDS, bands), (LONGS, bits)))],
-                names=["row", "doc_id", "hash", "d1", "d2", "bands", "bits"])
+                 pa.ListArray.from_arrays(pa.array(np.cumsum(sizes * BANDS, dtype=np.int32)), pa.array(bits.ravel().view(np.int64)))],
+                names=["row", "doc_id", "hash", "d1", "d2", "bits"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -168,29 +174,39 @@ def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(k).filter(pa.array(held, pa.bool_())) for k in (0, 1)], names=["u", "v"])
 
 
-def differing(x: str, y: str) -> Column:
-    """How many registers differ in their four bits, from two arrays of packed bits."""
-    def count(k: int) -> Column:
-        both = F.col(x)[k].bitwiseXOR(F.col(y)[k])
-        both = both.bitwiseOR(F.shiftrightunsigned(both, 2))
-        both = both.bitwiseOR(F.shiftrightunsigned(both, 1))
-        return F.bit_count(both.bitwiseAND(F.lit(0x1111111111111111)))
+def registers_apart(x: Column, y: Column) -> Column:
+    """How many registers of a band differ in their bits."""
+    both = x.bitwiseXOR(y)
+    both = both.bitwiseOR(F.shiftrightunsigned(both, 3))
+    both = both.bitwiseOR(F.shiftrightunsigned(both, 1)).bitwiseOR(F.shiftrightunsigned(both, 2))
+    return F.bit_count(both.bitwiseAND(F.lit(LOWEST)))
+
+
+def alike(x: Column, y: Column) -> Column:
+    """Whether two texts may be similar, from the bits of a few bands (in generated code), then of all."""
+    few = sum((registers_apart(x[k], y[k]) for k in range(FIRST)), F.lit(0))
+    whole = F.aggregate(F.zip_with(x, y, registers_apart), F.lit(0), lambda a, b: a + b)
+    return (few <= most_apart(FIRST * ROWS)) & (whole <= most_apart(REGISTERS))
+
 
-    return sum((count(k) for k in range(LONGS)), F.lit(0))
+def first_shared(x: Column, y: Column) -> Column:
+    """The first band in which two texts agree."""
+    return F.array_position(F.zip_with(x, y, lambda a, b: a == b), True) - 1
 
 
 def sketched(docs: DataFrame) -> DataFrame:
     """row, doc_id, hash of the text as it is, digest of its words, buckets; written once."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("hash"), "text")
-    return written(rows.mapInArrow(sketch, f"row long, doc_id {kind}, hash long, d1 long, d2 long, bands array<long>, bits array<long>"), "near-sketch")
+    return written(rows.mapInArrow(sketch, f"row long, doc_id {kind}, hash long, d1 long, d2 long, bits array<long>"), "near-sketch")
 
 
 def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that are linked to another one.
 
-    nodes: node (a row number), doc_id, hash, bands, bits; one row for each different text."""
-    members = nodes.select("node", F.explode("bands").alias("bucket"), F.xxhash64("node").alias("luck"))
+    nodes: node (a row number), doc_id, hash, bits; one row for each different text."""
+    members = nodes.select("node", F.posexplode("bits").alias("band", "value"), F.xxhash64("node").alias("luck"))
+    members = members.select("node", "band", F.xxhash64("band", "value").alias("bucket"), "luck")
     shared = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("luck").alias("best")).filter("size > 1")
     members = written(members.join(shared, "bucket"), "near-members")
     component = nodes.select("node", F.col("node").alias("component"), "bits").join(members.select("node"), "node", "left_semi")
@@ -212,10 +228,11 @@ def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         most = left.agg(F.max("size")).first()[0]
         if most is None:
             return component
-        pivots = left.filter("now AND NOT old").select("bucket", F.col("node").alias("a"), F.col("component").alias("u"), F.col("bits").alias("x"))
+        pivots = left.filter("now AND NOT old").select("bucket", "band", F.col("node").alias("a"), F.col("component").alias("u"), F.col("bits").alias("x"))
         others = left.filter("NOT old").select("bucket", F.col("node").alias("b"), F.col("component").alias("v"), "now", F.col("bits").alias("y"))
-        pairs = pivots.join(others, "bucket").filter(F.expr("u <> v AND (NOT now OR a < b)") & (differing("x", "y") <= UNLIKE)) \
-            .select("a", "b", "u", "v").distinct()
+        x, y = F.col("x"), F.col("y")
+        pairs = pivots.join(others, "bucket").filter(F.expr("u <> v AND (NOT now OR a < b)") & alike(x, y) & (first_shared(x, y) == F.col("band"))) \
+            .select("a", "b", "u", "v")
         ready = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b") \
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("u", "v", "ta", "tb")
         links = written(ready.mapInArrow(verify, "u long, v long"), "near-links")
@@ -225,7 +242,7 @@ def connected(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                                 .select("node", F.coalesce("root", "component").alias("component"), "bits"), "near-components")
         if reach >= most:  # every member of an unsettled bucket has been a pivot
             return component
-        members = left.select("bucket", "node", "size", "luck", "best")
+        members = left.select("bucket", "band", "node", "size", "luck", "best")
         reach *= GROWTH
 
 
@@ -236,7 +253,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     best = written(rows.groupBy("d1", "d2").agg(F.min("row").alias("node")), "near-best")
     named = written(rows.select("row", "doc_id", "hash", "d1", "d2").join(best, ["d1", "d2"]).select("row", "doc_id", "hash", "node"), "near-rows")
     nodes = named.filter("row = node").select("node", "doc_id", "hash").join(
-        rows.select(F.col("row").alias("node"), "bands", "bits"), "node")
+        rows.select(F.col("row").alias("node"), "bits"), "node")
     component = connected(docs, nodes).select("node", "component")
     by_node = named.groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first"), F.count("*").alias("n"))
@@ -250,8 +267,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class, unchanged."""
-    kept = near_classes(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__key"))
-    rows = docs.withColumn("__hash", F.xxhash64("text"))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__hash"] == kept["__key"]), "left_semi")
-    first = Window.partitionBy("doc_id", "__hash").orderBy("__hash")
-    return rows.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
+    key, sha, mine, n = (free_name(docs.columns, x) for x in ("kept_id", "kept_hash", "text_hash", "copy"))
+    kept = near_classes(docs).filter("kept").select(F.col("doc_id").alias(key), F.col("hash").alias(sha))
+    rows = docs.withColumn(mine, F.xxhash64("text"))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept[key]) & (rows[mine] == kept[sha]), "left_semi")
+    first = Window.partitionBy("doc_id", mine).orderBy(mine)
+    return rows.withColumn(n, F.row_number().over(first)).filter(F.col(n) == 1).select(*docs.columns)

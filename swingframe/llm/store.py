@@ -24,3 +24,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with as many underscores as make it differ from the names in use (in any case of letters)."""
+    low = {x.lower() for x in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
