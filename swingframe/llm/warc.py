@@ -217,6 +217,11 @@ def write_pages(pages: DataFrame, least: int = 0) -> DataFrame:
     return written(rows.mapInArrow(run, "path string, size long, records long"), "packages")
 
 
+def tasks(packages: DataFrame) -> int:
+    """A number for repartition(): without one the adaptive planner sizes by the few bytes of a path, not by what it names."""
+    return int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def index_entries(packages: DataFrame) -> DataFrame:
     """path, at, length of every record, from the packages' own directories and indexes."""
 
@@ -238,7 +243,7 @@ def index_entries(packages: DataFrame) -> DataFrame:
                                 [pa.array([path] * len(entries)), pa.array([start + e["offset"] for e in entries], pa.int64()),
                                  pa.array([e["length"] for e in entries], pa.int64())], names=["path", "at", "length"])
 
-    return packages.select("path", "size").repartition(F.col("path")).mapInArrow(run, "path string, at long, length long")
+    return packages.select("path", "size").repartition(tasks(packages), "path").mapInArrow(run, "path string, at long, length long")
 
 
 def read_records(packages: DataFrame) -> DataFrame:
@@ -271,5 +276,5 @@ def read_records(packages: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[
                             "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
 
-    return runs.select("path", "ranges").mapInArrow(
+    return runs.repartition(tasks(packages), "path", "part").select("path", "ranges").mapInArrow(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
