@@ -143,6 +143,14 @@ def format_chats(turns: DataFrame, tokenizer: str = TOKENIZER, learned: tuple[st
     return ready.mapInArrow(run, FORMATTED.format(kind=kind))
 
 
+def lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The lists of a column as slices of its one buffer of values."""
+    offsets = column.offsets.to_numpy()
+    values = column.values.to_numpy(zero_copy_only=False)  # flags are bits, so those are copied
+    for a, b in zip(offsets, offsets[1:]):
+        yield values[a:b]
+
+
 def read_back(chats: DataFrame) -> DataFrame:
     """Turns and loss text of formatted conversations, as counts and digests."""
     kind = chats.schema["conv_id"].dataType.simpleString()
@@ -150,9 +158,10 @@ def read_back(chats: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, starts, ends, on, first, last in zip(*(batch.column(k).to_pylist() for k in range(1, 7))):
+            columns = zip(*(lists(batch.column(k)) for k in range(2, 7)))
+            for text, (starts, ends, on, first, last) in zip(batch.column(1).to_pylist(), columns):
                 turns = parsed(text)
-                loss = [unescaped(x) for x in masked_text(text, np.array(starts, int), np.array(ends, int), np.array(on, bool), list(zip(first, last)))]
+                loss = [unescaped(x) for x in masked_text(text, starts, ends, on, list(zip(first.tolist(), last.tolist())))]
                 whole = hashlib.sha256()
                 for role, said in turns:
                     whole.update(f"{role}\n{said}\n".encode())
