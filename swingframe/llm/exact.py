@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swingframe.llm.store import written
+from swingframe.llm.store import free_name, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 DIGIT = 3  # bits of a run number that one round settles
@@ -81,9 +81,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns they have."""
-    kept = exact_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    rows = docs.withColumn("__sha1", F.sha2(normalised(docs["text"]), 256))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__sha1"] == kept["__sha"]), "left_semi")
-    first = Window.partitionBy("doc_id", "__sha1").orderBy("__sha1")
-    return rows.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
+    kept_id, sha, mine, n = (free_name(docs.columns, x) for x in ("kept_id", "kept_sha", "text_sha", "copy"))
+    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(sha))
+    rows = docs.withColumn(mine, F.sha2(normalised(docs["text"]), 256))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept[kept_id]) & (rows[mine] == kept[sha]), "left_semi")
+    first = Window.partitionBy("doc_id", mine).orderBy(mine)
+    return rows.withColumn(n, F.row_number().over(first)).filter(F.col(n) == 1).select(*docs.columns)

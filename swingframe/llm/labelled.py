@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from swingframe.llm.store import free_name
 from swingframe.llm.words import pieces
 
 
@@ -18,19 +20,31 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds, F.lit(-1).cast("long"))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most: int) -> tuple[pa.Array, np.ndarray]:
-    """Texts and 0/1 labels of at most ``most`` labelled documents of each class.
+def sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, most: int) -> DataFrame:
+    """doc_id, text and y (0 or 1) of at most ``most`` labelled documents of each class.
 
     ``allowed`` is a condition on doc_id. Identifiers are chosen by hash order from the
-    label table alone, so at most 2 * most rows are broadcast and as many texts collected,
-    however large the corpus. A repeated doc_id counts once."""
+    label table alone, so at most 2 * most rows are broadcast, however large the corpus. A
+    repeated doc_id counts once."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & allowed)
     known = known.groupBy("doc_id").agg(F.max(label).alias("y"))
     picked = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for y in (0, 1)]
     rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionAll(picked[1])), "doc_id")
-    got = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).orderBy("doc_id").toArrow()
-    return got["text"].combine_chunks() if got.num_rows else pa.array([], pa.string()), \
-        got["y"].to_numpy().astype(np.int64)
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").cast("long").alias("y"))
+
+
+def trained(rows: DataFrame, train: Callable[[pa.Array, np.ndarray], object]) -> object:
+    """What ``train`` makes of the texts and labels of a sample, in order of doc_id.
+
+    One task trains, as its rows are bounded; the driver gets the model only, never a text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held := [x for x in batches if x.num_rows]:
+            got = pa.Table.from_batches(held).sort_by("doc_id").combine_chunks()
+            made = train(got["text"].combine_chunks(), got["y"].to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], names=["model"])
+
+    made = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else train(pa.array([], pa.string()), np.zeros(0, np.int64))
 
 
 def score_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], list[pa.Array]], keep: list[str],
@@ -48,4 +62,4 @@ def score_rows(docs: DataFrame, score: Callable[[np.ndarray, np.ndarray], list[p
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:at], *made], names=schema.names)
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias(free_name(keep, "text"))).mapInArrow(run, schema)

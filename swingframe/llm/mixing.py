@@ -32,7 +32,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swingframe.llm.store import written
+from swingframe.llm.store import free_name, written
 
 BUCKETS = 4096
 SAMPLE = 20000  # labelled documents that training may see
@@ -175,7 +175,8 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], flo
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], floor: float = 1.0) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say. Rows that share a doc_id share the
     largest number of copies of any of them."""
-    copies = mixture(docs, labelled, targets, floor).groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies"))
-    copies = copies.select(F.col("doc_id").alias("__id"), "__copies")
-    rows = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__id"])).filter("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+    key, times, copy = (free_name(docs.columns, x) for x in ("copied_id", "copies", "copy"))
+    copies = mixture(docs, labelled, targets, floor).groupBy("doc_id").agg(F.max("copies").cast("int").alias(times))
+    copies = copies.select(F.col("doc_id").alias(key), times)
+    rows = docs.join(copies, docs["doc_id"].eqNullSafe(copies[key])).filter(F.col(times) > 0)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from swingframe.llm.labelled import fold, sample, score_rows
+from swingframe.llm.labelled import fold, sample, score_rows, trained
 from swingframe.llm.words import LETTER, LOWERED, SPACE, UPPER, SpanHasher, pieces, runs, sums_by, text_of
 
 SAMPLE = 2000  # labelled documents of each class that training may see
@@ -151,7 +151,7 @@ def train(texts: pa.Array, y: np.ndarray, steps: int = 120, rate: float = 0.1) -
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    model = train(*sample(docs, labels, "quality", fold(F.col("doc_id"), 5) != 0, SAMPLE))
+    model = trained(sample(docs, labels, "quality", fold(F.col("doc_id"), 5) != 0, SAMPLE), train)
 
     def score(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         return [pa.array(model.scores(data, offsets), pa.float64())]

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from swingframe.llm.labelled import fold, sample, score_rows
+from swingframe.llm.labelled import fold, sample, score_rows, trained
+from swingframe.llm.store import free_name
 from swingframe.llm.words import LETTER, LOWERED, SpanHasher, mix, pieces, runs, sums_by, text_of
 
 SAMPLE = 2500  # labelled documents of each class that training may see
@@ -96,27 +97,27 @@ def train(texts: pa.Array, y: np.ndarray, steps: int = 250, rate: float = 0.15)
     if not len(y) or y.min() == y.max():
         return Model(-12.0 if not len(y) or y.max() == 0 else 12.0, weights)
     seen = np.zeros((2, 1 << BUCKET_BITS))
-    parts = []
     for first, last, data, offsets in pieces(texts):
-        number, owner = sentences(data, offsets)
-        at, bucket, starts = features(data, offsets)
+        at, bucket, _ = features(data, offsets)
         pair = np.unique(text_of(at, offsets) << BUCKET_BITS | bucket)
         for k in (0, 1):
             seen[k] += sums_by(pair[y[first:last][pair >> BUCKET_BITS] == k] & ((1 << BUCKET_BITS) - 1), None, 1 << BUCKET_BITS)
-        parts.append((number[at], bucket, owner + first, sums_by(number[starts], None, len(owner)) > 0))
     rates = (seen + 0.5) / (np.bincount(y, minlength=2)[:, None] + 1)
     gain = np.abs(rates[1] - rates[0]) * np.abs(np.log(rates[1] / rates[0]))
     chosen = np.sort(np.argsort(-gain, kind="stable")[:FEATURES])
     place = np.full(1 << BUCKET_BITS, -1)
     place[chosen] = np.arange(len(chosen))
     rows, cols, owners, base = [], [], [], 0
-    for sentence, bucket, owner, spoken in parts:
-        hit = place[bucket] >= 0
+    for first, _, data, offsets in pieces(texts):  # a second reading holds the chosen features only
+        sentence, owner = sentences(data, offsets)
+        at, bucket, starts = features(data, offsets)
+        spoken = sums_by(sentence[starts], None, len(owner)) > 0
+        hit = np.flatnonzero(place[bucket] >= 0)
         number = np.cumsum(spoken) - 1 + base
-        once = np.unique(number[sentence[hit]] << BUCKET_BITS | place[bucket[hit]])
+        once = np.unique(number[sentence[at[hit]]] << BUCKET_BITS | place[bucket[hit]])
         rows.append(once >> BUCKET_BITS)
         cols.append(once & ((1 << BUCKET_BITS) - 1))
-        owners.append(owner[spoken])
+        owners.append(owner[spoken] + first)
         base += int(spoken.sum())
     row, col, owner = np.concatenate(rows), np.concatenate(cols), np.concatenate(owners)
     w, bias = np.zeros(len(chosen)), -4.0
@@ -137,7 +138,7 @@ def train(texts: pa.Array, y: np.ndarray, steps: int = 250, rate: float = 0.15)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    return train(*sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, most))
+    return trained(sample(docs, labels, "toxic", fold(F.col("doc_id"), 3) != 1, most), train)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -160,8 +161,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, unchanged; no shuffle."""
     model, names = fit(docs, labels), docs.columns
+    clean = free_name(names, "clean")
 
     def score(data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         return [pa.array(model.scores(data, offsets) < THRESHOLD)]
 
-    return score_rows(docs, score, names, [T.StructField("__clean", T.BooleanType())]).filter("__clean").select(*names)
+    return score_rows(docs, score, names, [T.StructField(clean, T.BooleanType())]).filter(F.col(clean)).select(*names)
