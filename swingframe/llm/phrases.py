@@ -41,8 +41,8 @@ FACTOR = 2_000_000
 TOP = 2000
 SHARD_BYTES = 4 << 20
 FILTER_BYTES = 32 << 20
-COUNTED_AT_ONCE = 1 << 22  # words whose n-grams a task counts in one filter
-MERGED_AT_ONCE = 1 << 22  # words behind the filters of one merging task
+COUNTED_AT_ONCE = 1 << 21  # words whose n-grams a task counts in one filter
+MERGED_AT_ONCE = 1 << 21  # words behind the filters of one merging task
 BREAK = b"\n"
 CHARACTERS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else 0x20 if c == 0x09 else 0x0A if c in b".,;:!?\x0a\x0b\x0c\x0d" else c for c in range(256))
