@@ -23,14 +23,11 @@ def fct_shots(
     """
     dates = sessions.select("source", "session_key", "session_date", "carry_method")
     seen = lookup(shots.select("source", "player").distinct(), dates.select("source", "session_date"), ["source"], "inner")
-    player_at = resolve_at_moments(
-        seen, players.select("player", "player_key", "valid_from", "valid_to"), ["player"], "session_date",
-    ).groupBy("source", "player").agg(F.min("player_key").alias("_player_key"))
-    bag_at = resolve_at_moments(
-        seen, clubs.select("player", F.struct(F.col("club_type").alias("club"), "club_key", "model_year").alias("_club"), "valid_from", "valid_to"),
-        ["player"], "session_date",
-    ).groupBy("source", "player").agg(F.collect_set("_club").alias("_bag"))
-    keys_at = player_at.join(bag_at, ["source", "player"], "full")
+    club = F.struct(F.col("club_type").alias("club"), "club_key", "model_year")
+    versions = players.select("player", "valid_from", "valid_to", "player_key", F.lit(None).alias("_club")).unionByName(
+        clubs.select("player", "valid_from", "valid_to", F.lit(None).alias("player_key"), club.alias("_club")))
+    keys_at = resolve_at_moments(seen, versions, ["player"], "session_date").groupBy("source", "player").agg(
+        F.min("player_key").alias("_player_key"), F.collect_set("_club").alias("_bag"))
     listed = lookup(shots.drop("session_date"), dates, ["source"], "inner")
     keyed = lookup(listed, keys_at, ["source", "player"])
     own = F.get(F.filter("_bag", lambda c: c["club"] == F.col("club")), F.lit(0))
