@@ -249,7 +249,8 @@ def index_entries(packages: DataFrame) -> DataFrame:
 def read_records(packages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to and payload (null for revisits) of every record."""
     entries = index_entries(packages)
-    runs = entries.groupBy("path", F.floor(F.col("at") / READ_BYTES).alias("part")).agg(
+    placed = entries.withColumn("part", F.floor(F.col("at") / READ_BYTES)).repartition(tasks(packages), "path", "part")
+    runs = placed.groupBy("path", "part").agg(
         F.sort_array(F.collect_list(F.struct("at", "length"))).alias("ranges"))  # of READ_BYTES of package at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,5 +277,5 @@ def read_records(packages: DataFrame) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[
                             "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
 
-    return runs.repartition(tasks(packages), "path", "part").select("path", "ranges").mapInArrow(
+    return runs.select("path", "ranges").mapInArrow(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
