@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from swingframe.operators import bags, dims
+from swingframe.operators import bags, dims, silver
 from swingframe.operators import holes as H
 from swingframe.operators import planning as P
+from swingframe.operators.joins import lookup
 from swingframe.plans import tables
 from swingframe.plans.bags import r6, rounded
 from swingframe.plans.registry import query, relation
@@ -188,9 +189,11 @@ FROM (SELECT {SOURCE_OF} AS source, CAST(CAST(ts AS DATE) AS STRING) AS day, min
 relation("made_manifest", MANIFEST_SQL.replace("AS STRING", "AS VARCHAR"))
 
 
-@query("dim_session", """SELECT md5(session_id) AS session_key, session_id, source, CAST(session_date AS DATE) AS session_date, indoor_outdoor, device, carry_method, ball_type
-FROM made_manifest""")
+@query("dim_session", """SELECT d.*, coalesce(n.shots, 0) AS shots FROM (
+  SELECT md5(session_id) AS session_key, session_id, source, CAST(session_date AS DATE) AS session_date, indoor_outdoor, device, carry_method, ball_type FROM made_manifest) d
+LEFT JOIN (SELECT source, count(*) AS shots FROM silver_shots GROUP BY source) n ON d.source = n.source""")
 def dim_session(spark, folder):
-    """The sessions of every source and day."""
+    """The sessions of every source and day, with the number of the source's shots."""
     manifest = spark.sql(MANIFEST_SQL.replace("FROM events", "FROM {given}"), given=tables.read(spark, folder, "events"))
-    return dims.dim_session(manifest)
+    counts = silver.silver_shots(tables.raw_sources(spark, folder)).groupBy("source").agg(F.count(F.lit(1)).alias("shots"))
+    return lookup(dims.dim_session(manifest), counts, ["source"]).withColumn("shots", F.coalesce("shots", F.lit(0).cast("bigint")))
