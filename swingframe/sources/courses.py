@@ -21,7 +21,7 @@ def read_map_extract(spark: SparkSession, path: str, course: Column | None = Non
 
 
 def read_course(spark: SparkSession, path: str) -> DataFrame:
-    """Course files to hole rows. The fairway may be one ring or a list of rings; optional
+    """Course files, one course in each, to hole rows. The fairway may be one ring or a list of rings; optional
     fields get their defaults."""
     files = spark.read.schema(schemas.COURSE).option("multiLine", True).json(path)
     holes = files.select(F.coalesce("slug", "name").alias("course_id"), F.col("name").alias("course"), F.explode("holes").alias("h"))
@@ -54,4 +54,5 @@ def course_records(holes: DataFrame) -> DataFrame:
 
 
 def write_courses(holes: DataFrame, path: str) -> None:
-    course_records(holes).write.mode("overwrite").json(path)
+    """One file per course, as `read_course` takes one record from a file."""
+    course_records(holes).write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)
