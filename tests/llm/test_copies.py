@@ -113,3 +113,12 @@ def test_near_classes_of_nothing(spark):
     assert near.near_classes(empty(spark)).count() == 0
     alone = spark.createDataFrame([(1, "just one text here today")], "doc_id long, text string")
     assert [(r.class_id, r.kept) for r in near.near_classes(alone).collect()] == [(1, True)]
+
+
+def test_components_end_as_soon_as_they_are_stars(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "written", lambda df, name, keep=graph.written: rounds.append(name) or keep(df, name))
+    star = spark.createDataFrame([(1, 5), (7, 1), (5, 1), (2, 9), (3, 3)], "u long, v long")
+    assert {r.u: r.root for r in graph.components(star).collect()} == {5: 1, 7: 1, 9: 2} and not rounds
+    middle = spark.createDataFrame([(1, 5), (5, 8), (4, 9), (3, 9)], "u long, v long")
+    assert {r.u: r.root for r in graph.components(middle).collect()} == {5: 1, 8: 1, 9: 3, 4: 3} and 1 <= len(rounds) <= 2
