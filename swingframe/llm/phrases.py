@@ -42,6 +42,7 @@ TOP = 2000
 SHARD_BYTES = 4 << 20
 FILTER_BYTES = 32 << 20
 COUNTED_AT_ONCE = 1 << 21  # words whose n-grams a task counts in one filter
+HASHED_AT_ONCE = 1 << 17  # words whose n-grams are hashed and packed in one go
 MERGED_AT_ONCE = 1 << 21  # words behind the filters of one merging task
 BREAK = b"\n"
 CHARACTERS = bytes(
@@ -125,40 +126,51 @@ def gram_keys(ids: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def windows(tokens: np.ndarray, shape: Shape, known: bloom.Filter | None) -> list[np.ndarray]:
-    """The ids of every n-gram that may be frequent; tokens are ids + 1, 0 between."""
+def windows(tokens: np.ndarray, shape: Shape, known: bloom.Filter | None) -> Iterator[list[np.ndarray]]:
+    """The ids of every n-gram that may be frequent, run by run; tokens are ids + 1, 0 between."""
     order, count = shape.order, max(0, len(tokens) - shape.order + 1)
     whole = np.ones(count, bool)
     for k in range(order):
         whole &= tokens[k: k + count] > 0
-    heads = np.flatnonzero(whole)
     if known is not None:
-        starts = np.flatnonzero(np.concatenate([whole, np.zeros(1, bool)]) | np.concatenate([np.zeros(1, bool), whole]))  # of the shorter ones
+        shorter = np.concatenate([whole, np.zeros(1, bool)]) | np.concatenate([np.zeros(1, bool), whole])
         may = np.zeros(count + 1, bool)
-        may[starts[known.holds(0, gram_keys([tokens[starts + k] - np.uint64(1) for k in range(order - 1)]))]] = True
-        heads = heads[may[heads] & may[heads + 1]]
-    return [tokens[heads + k] - np.uint64(1) for k in range(order)]
+        for a in range(0, count + 1, HASHED_AT_ONCE):
+            starts = a + np.flatnonzero(shorter[a: a + HASHED_AT_ONCE])
+            may[starts[known.holds(0, gram_keys([tokens[starts + k] - np.uint64(1) for k in range(order - 1)]))]] = True
+        whole &= may[:-1] & may[1:]
+    for a in range(0, count, HASHED_AT_ONCE):
+        heads = a + np.flatnonzero(whole[a: a + HASHED_AT_ONCE])
+        yield [tokens[heads + k] - np.uint64(1) for k in range(order)]
 
 
 def count_grams(shape: Shape, known: bloom.Filter | None) -> Callable:
     """For mapInArrow: size, tokens in; (segment, quotient, keys, filter) out."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def filters() -> pa.RecordBatch:
-            ids = windows(np.concatenate(held), shape, known)
-            rows = shape.segments(*shape.summed(*shape.permuted(*shape.packed(ids)), None))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
-                names=["segment", "quotient", "keys", "filter"])
+    def keys(held: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        tokens = np.concatenate(held)
+        held.clear()
+        for ids in windows(tokens, shape, known):
+            yield shape.permuted(*shape.packed(ids))
+
+    def filters(held: list[np.ndarray]) -> pa.RecordBatch:
+        lefts, rights = zip(*keys(held)) if sum(map(len, held)) >= shape.order else ([np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)])
+        left, right = np.concatenate(lefts), np.concatenate(rights)
+        del lefts, rights
+        rows = shape.segments(*shape.summed(left, right, None))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
+            names=["segment", "quotient", "keys", "filter"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         for batch in batches:
             for k in range(batch.num_rows):
                 held.append(from_planes(unsqueezed(batch.column(1)[k].as_py()), 0, batch.column(0)[k].as_py())[0])
                 if sum(map(len, held)) >= COUNTED_AT_ONCE:
-                    yield filters()
+                    yield filters(held)
                     held = []
         if held:
-            yield filters()
+            yield filters(held)
 
     return run
 

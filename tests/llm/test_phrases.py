@@ -1,13 +1,15 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, empty
 
-from swingframe.llm import phrases
-from swingframe.llm.quotient import Shape
+from swingframe.llm import bloom, phrases
+from swingframe.llm.quotient import Shape, planes, squeezed
 
 
 def plain(rows, least, top):
@@ -94,3 +96,35 @@ def test_filters_lose_nothing(order, bits, cut):
         assert (np.diff(left.astype(object)) >= 0).all()
         found.update(dict(zip(zip(*(x.tolist() for x in shape.unpacked(*shape.restored(left, right)))), counts.tolist())))
     assert found == total and len(made) <= 1 << cut
+
+
+def _counted(shards, shape, known=None):
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([len(s) for s in shards], pa.int64()), pa.array([squeezed(planes(s)) for s in shards], pa.binary())], names=["size", "tokens"])
+    return [b.to_pylist() for b in phrases.count_grams(shape, known)(iter([batch]))]
+
+
+def test_counting_is_the_same_in_short_runs(monkeypatch):
+    rng = np.random.default_rng(4)
+    shards = [rng.integers(0, 6, n) for n in (200, 1, 77)]
+    for order in (2, 3, 4):
+        known = None
+        if order > 2:
+            known = bloom.Filter({0: 2})
+            known.lanes[:] = rng.integers(1 << 62, 1 << 63, known.lanes.shape, np.uint64) | np.uint64(0x7777777777777777)
+        whole = _counted(shards, Shape(order, 3, 2), known)
+        monkeypatch.setattr(phrases, "HASHED_AT_ONCE", 5)
+        assert whole and _counted(shards, Shape(order, 3, 2), known) == whole
+        monkeypatch.undo()
+    assert _counted([np.array([1, 2])], Shape(4, 3, 2)) == [[]]
+
+
+def test_counting_takes_little_memory():
+    rng = np.random.default_rng(1)
+    shards = [np.minimum(rng.zipf(1.25, 700_000), 60_000) for _ in range(4)]
+    tracemalloc.start()
+    try:
+        _counted(shards, Shape(2, 16, 6))
+        assert tracemalloc.get_traced_memory()[1] < 110e6
+    finally:
+        tracemalloc.stop()
