@@ -5,6 +5,9 @@ other words. A step's distribution is softmax over classes times softmax within
 the last class leaves the choice of its word to the caller. Inputs are looked up straight in
 gate space. Sequences are packed end to end into lanes; the state is carried from window to
 window and set to zero where a sequence starts, so every whole sequence gets its likelihood.
+
+Gates of many tokens are laid out gate by gate, each a whole (tokens, HIDDEN) block, so that arithmetic runs
+over unbroken memory; targets are put in the order of their classes once, so that a class is a slice.
 """
 
 from __future__ import annotations
@@ -14,15 +17,37 @@ import heapq
 import numpy as np
 
 HIDDEN, CLASSES, WINDOW = 32, 64, 32
+BLOCK = 2048  # tokens whose class logits are worked on at once
+SCORED_AT_ONCE = 1 << 15  # tokens whose gates and states are held while scoring
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place; float32 overflow gives the right limit 0."""
-    with np.errstate(over="ignore"):
-        np.negative(x, out=x)
-        np.exp(x, out=x)
-        x += 1
-        return np.reciprocal(x, out=x)
+    """In place; float32 overflow gives the right limit 0 (callers keep it from warning)."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+class Room:
+    """Arrays that are filled again in every window, as new memory costs more than the arithmetic on it."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < size:
+            self.held[name] = np.empty(size, np.float32)
+        return self.held[name][:size].reshape(shape)
+
+    def taken(self, name: str, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return rows.take(at, axis=0, out=self(name, len(at), rows.shape[1]), mode="clip")
+
+
+def by_gate(rows: np.ndarray) -> np.ndarray:
+    """Rows of three gates side by side as three blocks."""
+    return np.ascontiguousarray(rows.reshape(len(rows), 3, HIDDEN).transpose(1, 0, 2))
 
 
 def log_total(logits: np.ndarray) -> np.ndarray:
@@ -88,64 +113,85 @@ class Model:
             first += self.p[k].size
             self.p[k] += (part / np.maximum(behind[k], 1)).astype(np.float32)
 
-    def advance(self, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step from input gates and state: new state and what the gradient needs."""
-        both = h @ self.p["state"]
-        zr = sigmoid(gates[:, : 2 * HIDDEN] + both[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        new = r * both[:, 2 * HIDDEN:]
-        new += gates[:, 2 * HIDDEN:]
-        new = sigmoid(np.multiply(new, 2, out=new))  # tanh by way of the logistic function
+    @staticmethod
+    def advance(gates: np.ndarray, h: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+        """One step from input gates, states and the state's weights, gate by gate: new state and what the gradient needs."""
+        both = np.matmul(h, state)
+        zr = both[:2]
+        zr += gates[:2]
+        z, r = sigmoid(zr)
+        new = r * both[2]
+        new += gates[2]
+        new *= 2
+        sigmoid(new)  # tanh by way of the logistic function
         new *= 2
         new -= 1
         after = h - new
         after *= z
         after += new
-        return after, z, r, new, both[:, 2 * HIDDEN:]
+        return after, z, r, new, both[2]
 
-    def groups(self, target: np.ndarray):
-        """(class, rows) of the targets whose class has several words."""
-        kind = self.kind[target]
+    def sorted_targets(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of targets by class, and in that order the targets and their classes."""
+        kind = self.kind.take(target)
         order = np.argsort(kind.astype(np.uint8 if self.classes < 256 else np.int64), kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(self.classes), "right")
+        return order, target.take(order), kind.take(order)
+
+    def groups(self, kind: np.ndarray):
+        """(class, its first and its end in sorted classes) of the classes that have several words."""
+        ends = np.searchsorted(kind, np.arange(self.classes), "right").tolist()
         first = 0
         for k in range(self.classes - 1):
             if ends[k] > first and self.borders[k + 1] - self.borders[k] > 1:
-                yield k, order[first: ends[k]]
+                yield k, first, ends[k]
             first = ends[k]
 
-    def log_likelihood(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def log_likelihood(self, h: np.ndarray, target: np.ndarray, room: Room | None = None) -> np.ndarray:
         """Natural log probability of each target after each state (of its class alone for the rest)."""
-        p = self.p
-        logits = h @ p["class"]
-        logits += p["class_bias"]
-        out = logits[np.arange(len(h)), self.kind[target]] - log_total(logits)
-        for k, rows in self.groups(target):
+        p, room = self.p, room or Room()
+        order, target, kind = self.sorted_targets(target)
+        h = room.taken("h", h, order)
+        found = np.empty(len(h), np.float32)
+        for first in range(0, len(h), BLOCK):
+            logits = h[first: first + BLOCK] @ p["class"]
+            logits += p["class_bias"]
+            found[first: first + BLOCK] = logits[np.arange(len(logits)), kind[first: first + BLOCK]] - log_total(logits)
+        for k, first, end in self.groups(kind):
             a, b = self.borders[k], self.borders[k + 1]
-            logits = h[rows] @ p["word"][a:b].T
+            logits = h[first:end] @ p["word"][a:b].T
             logits += p["word_bias"][a:b]
-            out[rows] += logits[np.arange(len(rows)), target[rows] - a] - log_total(logits)
-        return out.astype(np.float64)
+            found[first:end] += logits[np.arange(end - first), target[first:end] - a] - log_total(logits)
+        out = np.empty(len(h))
+        out[order] = found
+        return out
 
-    def output_gradient(self, h: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray]) -> np.ndarray:
+    def output_gradient(self, h: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray], room: Room | None = None) -> np.ndarray:
         """Add the output parameters' gradients of the mean loss; return the states' gradient."""
-        p, n = self.p, len(h)
-        soft = mean_softmax(h @ p["class"] + p["class_bias"], n)
-        soft[np.arange(n), self.kind[target]] -= np.float32(1 / n)
-        grads["class"] += h.T @ soft
-        grads["class_bias"] += soft.sum(axis=0)
-        back = soft @ p["class"].T
-        for k, rows in self.groups(target):
+        p, n, room = self.p, len(h), room or Room()
+        order, target, kind = self.sorted_targets(target)
+        h = room.taken("h", h, order)
+        back, out = room("back by class", *h.shape), room("back", *h.shape)
+        for first in range(0, n, BLOCK):
+            own = h[first: first + BLOCK]
+            logits = own @ p["class"]
+            logits += p["class_bias"]
+            soft = mean_softmax(logits, n)
+            soft[np.arange(len(own)), kind[first: first + BLOCK]] -= np.float32(1 / n)
+            grads["class"] += own.T @ soft
+            grads["class_bias"] += soft.sum(axis=0)
+            np.matmul(soft, p["class"].T, out=back[first: first + BLOCK])
+        for k, first, end in self.groups(kind):
             a, b = self.borders[k], self.borders[k + 1]
-            own = h[rows]
-            logits = own @ p["word"][a:b].T
+            own, words = h[first:end], p["word"][a:b]
+            logits = own @ words.T
             logits += p["word_bias"][a:b]
             soft = mean_softmax(logits, n)
-            soft[np.arange(len(rows)), target[rows] - a] -= np.float32(1 / n)
+            soft[np.arange(end - first), target[first:end] - a] -= np.float32(1 / n)
             grads["word"][a:b] += soft.T @ own
             grads["word_bias"][a:b] += soft.sum(axis=0)
-            back[rows] += soft @ p["word"][a:b]
-        return back
+            back[first:end] += soft @ words
+        out[order] = back
+        return out
 
 
 def mean_softmax(logits: np.ndarray, n: int) -> np.ndarray:
@@ -157,10 +203,19 @@ def mean_softmax(logits: np.ndarray, n: int) -> np.ndarray:
     return logits
 
 
+def sorted_places(at: np.ndarray, size: int) -> np.ndarray:
+    """Order of places below size."""
+    return np.argsort(at.astype(np.uint16) if size <= 1 << 16 else at, kind="stable")
+
+
 def add_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """table[at] += rows, with repeated places: frequent ones by a product, the others one repeat at a time."""
-    order = np.argsort(at, kind="stable")
-    rows, at = rows[order], at[order]
+    """table[at] += rows, with repeated places."""
+    order = sorted_places(at, len(table))
+    add_sorted(table, at[order], rows[order])
+
+
+def add_sorted(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """table[at] += rows, with places in order: frequent ones by a product, the others one repeat at a time."""
     first = np.flatnonzero(np.diff(at, prepend=-1))
     times = np.diff(np.append(first, len(at)))
     for k in np.flatnonzero(times > 8):
@@ -204,30 +259,37 @@ class Packed:
         self.steps = int(self.size[0]) if len(self.size) else 0
         self.alive = np.searchsorted(-self.size, -np.arange(self.steps), "left")
 
+    def window(self, tables: np.ndarray, start: np.ndarray, alive: np.ndarray, first: int, room: Room) -> tuple[np.ndarray, ...]:
+        """Places of the tokens of some steps, the end of each step, where sequences start, and the input gates, from
+        the tables of each gate and the gates of a start."""
+        at = np.concatenate([self.base[:k] + first + t for t, k in enumerate(alive)])
+        opens, gates = self.opens.take(at), room("gates", 3, len(at), HIDDEN)
+        seen = self.tokens.take(np.maximum(at - 1, 0))
+        for table, gate in zip(tables, gates):
+            table.take(seen, axis=0, out=gate, mode="clip")
+        gates[:, opens] = start.reshape(3, 1, HIDDEN)
+        return at, np.cumsum(alive), opens, gates
+
 
 def score(model: Model, tokens: np.ndarray, offsets: np.ndarray, most: int = 1024) -> np.ndarray:
     """Log-likelihood (natural) of each whole sequence."""
     packed = Packed(tokens, offsets, most)
     total = np.zeros(len(offsets) - 1)
-    table, start = model.p["input"], model.p["start"]
+    room, tables, state = Room(), by_gate(model.p["input"]), by_gate(model.p["state"])
     h = np.zeros((len(packed.size), HIDDEN), np.float32)
-    window = max(1, (1 << 16) // max(len(packed.size), 1))
-    held, at_all = [], []
-    for t in range(packed.steps):
-        k = packed.alive[t]
-        at = packed.base[:k] + t
-        opens = packed.opens[at]
-        gates = table[packed.tokens[np.maximum(at - 1, 0)]]
-        if opens.any():
-            gates[opens] = start
-            h[:k][opens] = 0
-        h[:k] = model.advance(gates, h[:k])[0]
-        held.append(h[:k].copy())
-        at_all.append(at)
-        if len(held) == window or t == packed.steps - 1:
-            at = np.concatenate(at_all)
-            total += np.bincount(packed.owner[at], model.log_likelihood(np.concatenate(held), packed.tokens[at]), len(total))
-            held, at_all = [], []
+    window = max(1, SCORED_AT_ONCE // max(len(packed.size), 1))
+    with np.errstate(over="ignore"):
+        for first in range(0, packed.steps, window):
+            alive = packed.alive[first: first + window]
+            at, ends, opens, gates = packed.window(tables, model.p["start"], alive, first, room)
+            states = room("states", len(at), HIDDEN)
+            for k, end, fresh in zip(alive.tolist(), ends.tolist(), np.logical_or.reduceat(opens, ends - alive).tolist()):
+                before = h[:k]
+                if fresh:
+                    before[opens[end - k: end]] = 0
+                h = model.advance(gates[:, end - k: end], before, state)[0]
+                states[end - k: end] = h
+            total += np.bincount(packed.owner[at], model.log_likelihood(states, packed.tokens.take(at), room), len(total))
     return total
 
 
@@ -237,57 +299,74 @@ class Trainer:
     def __init__(self, model: Model, rate: float = 0.004):
         self.model, self.rate, self.turn = model, rate, 0
         self.moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
+        self.grads, self.room = {k: np.empty_like(v) for k, v in model.p.items()}, Room()
 
     def learn(self, tokens: np.ndarray, offsets: np.ndarray, lanes: int = 64) -> None:
         """One pass over the sequences."""
         packed = Packed(tokens, offsets, lanes)
         h = np.zeros((len(packed.size), HIDDEN), np.float32)
-        for first in range(0, packed.steps, WINDOW):
-            h = self.window(packed, h, packed.alive[first: first + WINDOW], first)
+        with np.errstate(over="ignore"):
+            for first in range(0, packed.steps, WINDOW):
+                h = self.window(packed, h, packed.alive[first: first + WINDOW], first)
 
     def window(self, packed: Packed, h: np.ndarray, alive: np.ndarray, first: int) -> np.ndarray:
         """One step of Adam from the states ``h`` that the window before left."""
-        model, p = self.model, self.model.p
-        at = np.concatenate([packed.base[:k] + first + t for t, k in enumerate(alive)])
-        ends = np.cumsum(alive)
-        opens, seen = packed.opens[at], packed.tokens[np.maximum(at - 1, 0)]
-        gates = p["input"][seen]
-        gates[opens] = p["start"]
-        before, states = (np.empty((len(at), HIDDEN), np.float32) for _ in range(2))
+        model, grads, room = self.model, self.grads, self.room
+        at, ends, opens, gates = packed.window(by_gate(model.p["input"]), model.p["start"], alive, first, room)
+        state = by_gate(model.p["state"])
+        before, states, side = (room(name, len(at), HIDDEN) for name in ("before", "states", "side"))
         trace = []
-        for k, end in zip(alive, ends):
+        for k, end, fresh in zip(alive.tolist(), ends.tolist(), np.logical_or.reduceat(opens, ends - alive).tolist()):
             span = slice(end - k, end)
-            before[span] = h[:k]
-            before[span][opens[span]] = 0
-            after, z, r, new, inner = model.advance(gates[span], before[span])
-            states[span] = h[:k] = after
-            trace.append((k, span, z, r, new, inner))
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        back = model.output_gradient(states, packed.tokens[at], grads)
-        carried = np.zeros_like(h)
-        gate = np.empty((len(at), 3 * HIDDEN), np.float32)
-        side = np.empty((len(at), 3 * HIDDEN), np.float32)
-        turned = np.ascontiguousarray(p["state"].T)
-        for k, span, z, r, new, inner in reversed(trace):
+            starts = opens[span] if fresh else None
+            own = before[span]
+            own[:] = h[:k]
+            if fresh:
+                own[starts] = 0
+            h, z, r, new, inner = model.advance(gates[:, span], own, state)
+            states[span] = h
+            trace.append((k, span, starts, z, r, new, inner))
+        last = h
+        for g in grads.values():
+            g.fill(0)
+        back = model.output_gradient(states, packed.tokens.take(at), grads, room)
+        carried = np.zeros((int(alive[0]), HIDDEN), np.float32)
+        gate = gates  # a step's input gates are not needed any more when its gradient is written over them
+        turned = np.ascontiguousarray(state.transpose(0, 2, 1))
+        for k, span, starts, z, r, new, inner in reversed(trace):
             d = back[span]
             d += carried[:k]
             keep = d * z
             d -= keep  # d (1 - z)
-            d_new = d * (1 - new * new)
-            own, beside = gate[span], side[span]
-            own[:, :HIDDEN] = d * (before[span] - new) * z
-            own[:, HIDDEN: 2 * HIDDEN] = d_new * inner * r * (1 - r)
-            own[:, 2 * HIDDEN:] = d_new
-            beside[:, : 2 * HIDDEN] = own[:, : 2 * HIDDEN]
-            beside[:, 2 * HIDDEN:] = d_new * r
-            keep += beside @ turned
-            keep[opens[span]] = 0
+            own, beside = gate[:, span], side[span]
+            np.subtract(before[span], new, out=own[0])
+            own[0] *= z
+            own[0] *= d
+            np.multiply(new, new, out=new)
+            np.subtract(1, new, out=new)
+            np.multiply(d, new, out=own[2])
+            np.multiply(own[2], r, out=beside)
+            np.subtract(1, r, out=r)
+            inner *= r
+            np.multiply(beside, inner, out=own[1])
+            keep += own[0] @ turned[0]
+            keep += own[1] @ turned[1]
+            keep += beside @ turned[2]
+            if starts is not None:
+                keep[starts] = 0
             carried[:k] = keep
-        grads["state"] += before.T @ side
-        grads["start"] += gate[opens].sum(axis=0)
-        add_rows(grads["input"], seen[~opens], gate[~opens])
+        inside = np.flatnonzero(~opens)
+        seen = packed.tokens.take(at.take(inside) - 1)
+        order = sorted_places(seen, len(grads["input"]))
+        rows = room("rows", len(inside), 3 * HIDDEN)
+        for k in range(3):
+            part = slice(k * HIDDEN, (k + 1) * HIDDEN)
+            grads["state"][:, part] = before.T @ (side if k == 2 else gate[k])
+            grads["start"][part] = gate[k][opens].sum(axis=0)
+            rows[:, part] = room.taken("gate", gate[k], inside.take(order))
+        add_sorted(grads["input"], seen.take(order), rows)
         self.step(grads)
-        return h
+        return last
 
     def step(self, grads: dict[str, np.ndarray]) -> None:
         self.turn += 1

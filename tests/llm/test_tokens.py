@@ -195,3 +195,30 @@ def test_gradient_of_the_output_layer():
         model.p[name][at] = old
         assert abs((up - down) / (2 * step) - grads[name][at]) < 1e-3
     assert back.shape == h.shape
+
+
+def test_gradient_of_the_recurrent_weights(monkeypatch):
+    model, rng = small_model(), np.random.default_rng(6)
+    ids, offsets = rng.integers(0, 9, 24), np.array([0, 3, 11, 12, 24])
+    trainer, got = gru.Trainer(model), {}
+    monkeypatch.setattr(trainer, "step", lambda grads: got.update({k: g.copy() for k, g in grads.items()}))
+    trainer.learn(ids, offsets, 2)
+    step = 1e-2
+    for name, at in (("state", (4, 3)), ("state", (4, 40)), ("state", (4, 70)), ("start", (50,)), ("start", (90,)),
+                     ("input", (int(ids[4]), 5)), ("input", (int(ids[4]), 45)), ("input", (int(ids[4]), 80))):
+        old, loss = model.p[name][at], []
+        for value in (old + step, old - step):
+            model.p[name][at] = value
+            loss.append(-gru.score(model, ids, offsets).sum() / len(ids))
+        model.p[name][at] = old
+        assert abs((loss[0] - loss[1]) / (2 * step) - got[name][at]) < 1e-4
+
+
+def test_training_asks_for_its_memory_once():
+    trainer, rng = gru.Trainer(small_model()), np.random.default_rng(7)
+    ids, offsets = rng.integers(0, 9, 400), np.arange(0, 401, 50)
+    trainer.learn(ids, offsets, 4)
+    held = {k: v.ctypes.data for k, v in (trainer.room.held | trainer.grads).items()}
+    trainer.learn(ids[:200], offsets[:5], 4)
+    assert {"gates", "states", "rows", "back", "word"} <= set(held)
+    assert {k: v.ctypes.data for k, v in (trainer.room.held | trainer.grads).items()} == held
