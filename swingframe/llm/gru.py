@@ -8,27 +8,23 @@ window and set to zero where a sequence starts, so every whole sequence gets its
 
 Gates of many tokens are laid out gate by gate, each a whole (tokens, HIDDEN) block, so that arithmetic runs
 over unbroken memory; targets are put in the order of their classes once, so that a class is a slice.
+Classes and words are rows of one table with their biases, and states get a last column of ones, so that a product
+adds the bias. BLOCK targets are taken through all of the output layer before the next.
 """
 
 from __future__ import annotations
 
 import heapq
+from math import prod
 
 import numpy as np
 
 HIDDEN, CLASSES, WINDOW = 32, 64, 32
-BLOCK = 2048  # tokens whose class logits are worked on at once
+BLOCK = 4096  # targets whose logits are worked on at once
+ADAM_AT_ONCE = 1 << 15  # weights that are moved at once
 SCORED_AT_ONCE = 1 << 15  # tokens whose gates and states are held while scoring
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place; float32 overflow gives the right limit 0 (callers keep it from warning)."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
-
-
 class Room:
     """Arrays that are filled again in every window, as new memory costs more than the arithmetic on it."""
 
@@ -36,7 +32,7 @@ class Room:
         self.held: dict[str, np.ndarray] = {}
 
     def __call__(self, name: str, *shape: int) -> np.ndarray:
-        size = int(np.prod(shape))
+        size = prod(shape)
         if name not in self.held or len(self.held[name]) < size:
             self.held[name] = np.empty(size, np.float32)
         return self.held[name][:size].reshape(shape)
@@ -45,18 +41,14 @@ class Room:
         return rows.take(at, axis=0, out=self(name, len(at), rows.shape[1]), mode="clip")
 
 
-def by_gate(rows: np.ndarray) -> np.ndarray:
-    """Rows of three gates side by side as three blocks."""
-    return np.ascontiguousarray(rows.reshape(len(rows), 3, HIDDEN).transpose(1, 0, 2))
+# Input gates are held with these factors, which are exact: the logistic function of x is 1 / (1 + exp(-x)), and
+# tanh x is 2 / (1 + exp(-2 x)) - 1. Float32 overflow gives their right limits (callers keep it from warning).
+FACTORS = np.array([-1, -1, -2], np.float32).reshape(3, 1, 1)
 
 
-def log_total(logits: np.ndarray) -> np.ndarray:
-    """Log of the sum of exponentials by row; states lie in (-1, 1), so logits stay far from overflow
-    unless a weight has grown large, which the row's bound shows."""
-    top = float(logits.max(initial=0))
-    if top > 60:
-        return np.log(np.exp(logits - top).sum(axis=1)) + top
-    return np.log(np.exp(logits, out=logits).sum(axis=1))
+def by_gate(rows: np.ndarray) -> np.ndarray:
+    """Rows of three gates side by side as three blocks, times FACTORS."""
+    return np.multiply(rows.reshape(len(rows), 3, HIDDEN).transpose(1, 0, 2), FACTORS, order="C")
 
 
 def class_borders(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -114,22 +106,23 @@ class Model:
             self.p[k] += (part / np.maximum(behind[k], 1)).astype(np.float32)
 
     @staticmethod
-    def advance(gates: np.ndarray, h: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One step from input gates, states and the state's weights, gate by gate: new state and what the gradient needs."""
-        both = np.matmul(h, state)
-        zr = both[:2]
-        zr += gates[:2]
-        z, r = sigmoid(zr)
-        new = r * both[2]
-        new += gates[2]
-        new *= 2
-        sigmoid(new)  # tanh by way of the logistic function
-        new *= 2
+    def advance(gates: np.ndarray, h: np.ndarray, state: np.ndarray, both: np.ndarray, after: np.ndarray) -> None:
+        """One step from input gates, states and the state's weights, the first and last ``by_gate``, into ``after``; the
+        gates become z, r and the new state, and the last block of ``both`` what r was multiplied by, times its factor."""
+        np.matmul(h, state, out=both)
+        zr, new = gates[:2], gates[2]
+        zr += both[:2]
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        new += np.multiply(gates[1], both[2], out=both[0])
+        np.exp(new, out=new)
+        new += 1
+        np.divide(2, new, out=new)
         new -= 1
-        after = h - new
-        after *= z
+        np.subtract(h, new, out=after)
+        after *= gates[0]
         after += new
-        return after, z, r, new, both[2]
 
     def sorted_targets(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Order of targets by class, and in that order the targets and their classes."""
@@ -137,70 +130,90 @@ class Model:
         order = np.argsort(kind.astype(np.uint8 if self.classes < 256 else np.int64), kind="stable")
         return order, target.take(order), kind.take(order)
 
-    def groups(self, kind: np.ndarray):
-        """(class, its first and its end in sorted classes) of the classes that have several words."""
-        ends = np.searchsorted(kind, np.arange(self.classes), "right").tolist()
-        first = 0
-        for k in range(self.classes - 1):
-            if ends[k] > first and self.borders[k + 1] - self.borders[k] > 1:
-                yield k, first, ends[k]
-            first = ends[k]
+    def table(self, room: Room) -> np.ndarray:
+        """Output weights and the bias of every class, then of every word."""
+        out, p = room("table", self.classes + len(self.kind), HIDDEN + 1), self.p
+        out[: self.classes, :HIDDEN], out[: self.classes, HIDDEN] = p["class"].T, p["class_bias"]
+        out[self.classes:, :HIDDEN], out[self.classes:, HIDDEN] = p["word"], p["word_bias"]
+        return out
+
+    def outputs(self, h: np.ndarray, target: np.ndarray, table: np.ndarray, room: Room):
+        """BLOCK targets after the other, in the order of their classes: which they are, their states and a one, and the
+        exponentials of the logits of all classes and, in the classes of several words, of the words."""
+        order, target, kind = self.sorted_targets(target)
+        ends = np.searchsorted(kind, np.arange(self.classes - 1), "right").tolist()
+        groups = [(first, end, self.classes + a, self.classes + b) for first, end, a, b
+                  in zip([0, *ends], ends, self.borders.tolist(), self.borders[1:].tolist()) if end > first and b - a > 1]
+        for start in range(0, len(order), BLOCK):
+            part = slice(start, min(start + BLOCK, len(order)))
+            size, states = part.stop - start, room("states and ones", part.stop - start, HIDDEN + 1)
+            states[:, :HIDDEN] = room.taken("states in order", h, order[part])
+            states[:, HIDDEN] = 1
+            blocks = [(max(first - start, 0), min(end - start, size), a, b) for first, end, a, b in groups if first < part.stop and end > start]
+            yield order[part], states, Exponentials(states, table, [(0, size, 0, self.classes), *blocks], kind[part], target[part] + self.classes, room)
 
     def log_likelihood(self, h: np.ndarray, target: np.ndarray, room: Room | None = None) -> np.ndarray:
         """Natural log probability of each target after each state (of its class alone for the rest)."""
-        p, room = self.p, room or Room()
-        order, target, kind = self.sorted_targets(target)
-        h = room.taken("h", h, order)
-        found = np.empty(len(h), np.float32)
-        for first in range(0, len(h), BLOCK):
-            logits = h[first: first + BLOCK] @ p["class"]
-            logits += p["class_bias"]
-            found[first: first + BLOCK] = logits[np.arange(len(logits)), kind[first: first + BLOCK]] - log_total(logits)
-        for k, first, end in self.groups(kind):
-            a, b = self.borders[k], self.borders[k + 1]
-            logits = h[first:end] @ p["word"][a:b].T
-            logits += p["word_bias"][a:b]
-            found[first:end] += logits[np.arange(end - first), target[first:end] - a] - log_total(logits)
-        out = np.empty(len(h))
-        out[order] = found
+        out, room = np.empty(len(h)), room or Room()
+        for own, _, at in self.outputs(h, target, self.table(room), room):
+            found = at.logit - np.log(at.total, out=at.total)
+            out[own] = np.bincount(at.token, found, len(own))
         return out
 
     def output_gradient(self, h: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray], room: Room | None = None) -> np.ndarray:
         """Add the output parameters' gradients of the mean loss; return the states' gradient."""
-        p, n, room = self.p, len(h), room or Room()
-        order, target, kind = self.sorted_targets(target)
-        h = room.taken("h", h, order)
-        back, out = room("back by class", *h.shape), room("back", *h.shape)
-        for first in range(0, n, BLOCK):
-            own = h[first: first + BLOCK]
-            logits = own @ p["class"]
-            logits += p["class_bias"]
-            soft = mean_softmax(logits, n)
-            soft[np.arange(len(own)), kind[first: first + BLOCK]] -= np.float32(1 / n)
-            grads["class"] += own.T @ soft
-            grads["class_bias"] += soft.sum(axis=0)
-            np.matmul(soft, p["class"].T, out=back[first: first + BLOCK])
-        for k, first, end in self.groups(kind):
-            a, b = self.borders[k], self.borders[k + 1]
-            own, words = h[first:end], p["word"][a:b]
-            logits = own @ words.T
-            logits += p["word_bias"][a:b]
-            soft = mean_softmax(logits, n)
-            soft[np.arange(end - first), target[first:end] - a] -= np.float32(1 / n)
-            grads["word"][a:b] += soft.T @ own
-            grads["word_bias"][a:b] += soft.sum(axis=0)
-            back[first:end] += soft @ words
-        out[order] = back
+        room = room or Room()
+        table = self.table(room)
+        out, change = room("back", *h.shape), room("change of the table", *table.shape)
+        change.fill(0)
+        for own, states, at in self.outputs(h, target, table, room):
+            at.flat[at.place] -= at.total  # softmax less the target, times the total
+            share = np.reciprocal(at.total * np.float32(len(h)))
+            back, done = None, 0
+            for (first, end, a, b), logits in zip(at.blocks, at.views):
+                logits *= share[done: done + end - first, None]
+                done += end - first
+                change[a:b] += logits.T @ states[first:end]
+                moved = logits @ table[a:b, :HIDDEN]
+                if back is None:
+                    back = moved
+                else:
+                    back[first:end] += moved
+            out[own] = back
+        top, words = change[: self.classes], change[self.classes:]
+        for name, part in (("class", top[:, :HIDDEN].T), ("class_bias", top[:, HIDDEN]), ("word", words[:, :HIDDEN]), ("word_bias", words[:, HIDDEN])):
+            grads[name] += part
         return out
 
 
-def mean_softmax(logits: np.ndarray, n: int) -> np.ndarray:
-    """Softmax by row over n, in place; the row's bound is taken off only where logits are large, as in log_total."""
-    if float(logits.max(initial=0)) > 60:
-        logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits *= 1 / (logits.sum(axis=1, keepdims=True) * np.float32(n))
-    return logits
+class Exponentials:
+    """Of the logits of blocks (first state, end, first row of the table, end), the first over all states, together in
+    ``flat`` and each in ``views``; and of each state in each block its place among the states, the place in ``flat`` and
+    the logit of its target, and the total. States lie in (-1, 1), so logits stay far from overflow unless a weight has
+    grown large; only then each row's largest logit is taken off."""
+
+    def __init__(self, states: np.ndarray, table: np.ndarray, blocks: list[tuple[int, int, int, int]], kind: np.ndarray, word: np.ndarray, room: Room):
+        self.blocks = blocks
+        first, end, a, b = np.array(blocks).T
+        long, wide = end - first, b - a
+        size = long * wide
+        ends, done = np.cumsum(size), np.cumsum(long)
+        self.flat = room("logits", int(ends[-1]))
+        self.views = [self.flat[k - m * n: k].reshape(m, n) for k, m, n in zip(ends.tolist(), long.tolist(), wide.tolist())]
+        for (i, j, k, m), view in zip(blocks, self.views):
+            np.matmul(states[i:j], table[k:m].T, out=view)
+        if float(self.flat.max()) > 60:
+            for view in self.views:
+                view -= view.max(axis=1, keepdims=True)
+        block = np.repeat(np.arange(len(blocks)), long)
+        self.token = np.arange(len(block)) + (first - done + long).take(block)
+        row = np.concatenate([kind, word.take(self.token[len(kind):])])
+        self.place = self.token * wide.take(block) + (ends - size - first * wide - a).take(block) + row
+        self.logit = self.flat.take(self.place)
+        np.exp(self.flat, out=self.flat)
+        self.total, ones = room("total", len(block)), np.ones(int(wide.max()), np.float32)
+        for view, k, m in zip(self.views, done.tolist(), long.tolist()):
+            np.matmul(view, ones[: view.shape[1]], out=self.total[k - m: k])
 
 
 def sorted_places(at: np.ndarray, size: int) -> np.ndarray:
@@ -259,36 +272,46 @@ class Packed:
         self.steps = int(self.size[0]) if len(self.size) else 0
         self.alive = np.searchsorted(-self.size, -np.arange(self.steps), "left")
 
-    def window(self, tables: np.ndarray, start: np.ndarray, alive: np.ndarray, first: int, room: Room) -> tuple[np.ndarray, ...]:
-        """Places of the tokens of some steps, the end of each step, where sequences start, and the input gates, from
-        the tables of each gate and the gates of a start."""
-        at = np.concatenate([self.base[:k] + first + t for t, k in enumerate(alive)])
-        opens, gates = self.opens.take(at), room("gates", 3, len(at), HIDDEN)
-        seen = self.tokens.take(np.maximum(at - 1, 0))
-        for table, gate in zip(tables, gates):
-            table.take(seen, axis=0, out=gate, mode="clip")
-        gates[:, opens] = start.reshape(3, 1, HIDDEN)
-        return at, np.cumsum(alive), opens, gates
+    def window(self, alive: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
+        """Places of the tokens of some steps, the tokens before them, where sequences start; of each step its number of
+        lanes, its end and whether a sequence starts."""
+        ends = np.cumsum(alive)
+        step = np.repeat(np.arange(len(alive)), alive)
+        at = self.base.take(np.arange(len(step)) - (ends - alive).take(step))
+        at += step
+        at += first
+        opens = self.opens.take(at)
+        fresh = np.logical_or.reduceat(opens, ends - alive)
+        return at, self.tokens.take(np.maximum(at - 1, 0)), opens, list(zip(alive.tolist(), ends.tolist(), fresh.tolist()))
+
+
+def look_up(gates: np.ndarray, tables: np.ndarray, start: np.ndarray, seen: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """Input gates after each seen token, or of a start."""
+    for table, gate in zip(tables, gates):
+        table.take(seen, axis=0, out=gate, mode="clip")
+    gates[:, opens] = start
+    return gates
 
 
 def score(model: Model, tokens: np.ndarray, offsets: np.ndarray, most: int = 1024) -> np.ndarray:
     """Log-likelihood (natural) of each whole sequence."""
     packed = Packed(tokens, offsets, most)
     total = np.zeros(len(offsets) - 1)
-    room, tables, state = Room(), by_gate(model.p["input"]), by_gate(model.p["state"])
+    room, tables, start, state = Room(), by_gate(model.p["input"]), by_gate(model.p["start"][None]), by_gate(model.p["state"])
     h = np.zeros((len(packed.size), HIDDEN), np.float32)
     window = max(1, SCORED_AT_ONCE // max(len(packed.size), 1))
     with np.errstate(over="ignore"):
         for first in range(0, packed.steps, window):
-            alive = packed.alive[first: first + window]
-            at, ends, opens, gates = packed.window(tables, model.p["start"], alive, first, room)
-            states = room("states", len(at), HIDDEN)
-            for k, end, fresh in zip(alive.tolist(), ends.tolist(), np.logical_or.reduceat(opens, ends - alive).tolist()):
-                before = h[:k]
+            at, seen, opens, steps = packed.window(packed.alive[first: first + window], first)
+            gates, states = look_up(room("gates", 3, len(at), HIDDEN), tables, start, seen, opens), room("states", len(at), HIDDEN)
+            both = room("both", 3, steps[0][0], HIDDEN)
+            for k, end, fresh in steps:
+                span = slice(end - k, end)
+                before, h, both = h[:k], states[span], both if both.shape[1] == k else room("both", 3, k, HIDDEN)
                 if fresh:
-                    before[opens[end - k: end]] = 0
-                h = model.advance(gates[:, end - k: end], before, state)[0]
-                states[end - k: end] = h
+                    before = np.where(opens[span, None], np.float32(0), before)
+                model.advance(gates[:, span], before, state, both, h)
+            h = h.copy()  # the next window's states come to lie over it
             total += np.bincount(packed.owner[at], model.log_likelihood(states, packed.tokens.take(at), room), len(total))
     return total
 
@@ -312,58 +335,57 @@ class Trainer:
     def window(self, packed: Packed, h: np.ndarray, alive: np.ndarray, first: int) -> np.ndarray:
         """One step of Adam from the states ``h`` that the window before left."""
         model, grads, room = self.model, self.grads, self.room
-        at, ends, opens, gates = packed.window(by_gate(model.p["input"]), model.p["start"], alive, first, room)
-        state = by_gate(model.p["state"])
+        at, seen, opens, steps = packed.window(alive, first)
+        tables, start, state = by_gate(model.p["input"]), by_gate(model.p["start"][None]), by_gate(model.p["state"])
+        gates = look_up(room("gates", 3, len(at), HIDDEN), tables, start, seen, opens)
         before, states, side = (room(name, len(at), HIDDEN) for name in ("before", "states", "side"))
-        trace = []
-        for k, end, fresh in zip(alive.tolist(), ends.tolist(), np.logical_or.reduceat(opens, ends - alive).tolist()):
+        both = room("both", 3, int(alive[0]), HIDDEN)
+        for k, end, fresh in steps:
             span = slice(end - k, end)
-            starts = opens[span] if fresh else None
-            own = before[span]
+            own, both = before[span], both if both.shape[1] == k else room("both", 3, k, HIDDEN)
             own[:] = h[:k]
             if fresh:
-                own[starts] = 0
-            h, z, r, new, inner = model.advance(gates[:, span], own, state)
-            states[span] = h
-            trace.append((k, span, starts, z, r, new, inner))
-        last = h
+                own[opens[span]] = 0
+            h = states[span]
+            model.advance(gates[:, span], own, state, both, h)
+            np.multiply(both[2], np.float32(-0.5), out=side[span])  # what r was multiplied by
+        last = h.copy()  # the next window's states come to lie over it
         for g in grads.values():
             g.fill(0)
         back = model.output_gradient(states, packed.tokens.take(at), grads, room)
         carried = np.zeros((int(alive[0]), HIDDEN), np.float32)
-        gate = gates  # a step's input gates are not needed any more when its gradient is written over them
-        turned = np.ascontiguousarray(state.transpose(0, 2, 1))
-        for k, span, starts, z, r, new, inner in reversed(trace):
+        turned = np.ascontiguousarray(model.p["state"].T).reshape(3, HIDDEN, HIDDEN)
+        for k, end, fresh in reversed(steps):
+            span = slice(end - k, end)
+            own, old, beside, both = gates[:, span], before[span], side[span], both if both.shape[1] == k else room("both", 3, k, HIDDEN)
+            z, r, new = own  # become their gradients
             d = back[span]
             d += carried[:k]
-            keep = d * z
+            keep = np.multiply(d, z, out=carried[:k])
             d -= keep  # d (1 - z)
-            own, beside = gate[:, span], side[span]
-            np.subtract(before[span], new, out=own[0])
-            own[0] *= z
-            own[0] *= d
-            np.multiply(new, new, out=new)
+            z *= d
+            z *= np.subtract(old, new, out=both[0])
+            new *= new
             np.subtract(1, new, out=new)
-            np.multiply(d, new, out=own[2])
-            np.multiply(own[2], r, out=beside)
-            np.subtract(1, r, out=r)
-            inner *= r
-            np.multiply(beside, inner, out=own[1])
-            keep += own[0] @ turned[0]
-            keep += own[1] @ turned[1]
-            keep += beside @ turned[2]
-            if starts is not None:
-                keep[starts] = 0
-            carried[:k] = keep
+            new *= d
+            past = np.subtract(1, r, out=both[0])
+            past *= beside
+            np.multiply(new, r, out=beside)
+            np.multiply(beside, past, out=r)
+            keep += np.matmul(z, turned[0], out=both[0])
+            keep += np.matmul(r, turned[1], out=both[1])
+            keep += np.matmul(beside, turned[2], out=both[2])
+            if fresh:
+                keep[opens[span]] = 0
         inside = np.flatnonzero(~opens)
-        seen = packed.tokens.take(at.take(inside) - 1)
+        seen = seen.take(inside)
         order = sorted_places(seen, len(grads["input"]))
         rows = room("rows", len(inside), 3 * HIDDEN)
         for k in range(3):
             part = slice(k * HIDDEN, (k + 1) * HIDDEN)
-            grads["state"][:, part] = before.T @ (side if k == 2 else gate[k])
-            grads["start"][part] = gate[k][opens].sum(axis=0)
-            rows[:, part] = room.taken("gate", gate[k], inside.take(order))
+            grads["state"][:, part] = before.T @ (side if k == 2 else gates[k])
+            grads["start"][part] = gates[k][opens].sum(axis=0)
+            rows[:, part] = room.taken("gate", gates[k], inside.take(order))
         add_sorted(grads["input"], seen.take(order), rows)
         self.step(grads)
         return last
@@ -372,21 +394,25 @@ class Trainer:
         self.turn += 1
         size = float(np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values())))
         scale = np.float32(min(1.0, 1.0 / max(1e-9, size)))
-        for name, g in grads.items():
-            m, v = self.moment[name]
-            g *= scale
-            m *= np.float32(0.9)
-            m += np.float32(0.1) * g
-            g *= g
-            g *= np.float32(0.01)
-            v *= np.float32(0.99)
-            v += g
-            np.divide(v, np.float32(1 - 0.99**self.turn), out=g)
-            np.sqrt(g, out=g)
-            g += np.float32(1e-7)
-            np.divide(m, g, out=g)
-            g *= np.float32(self.rate / (1 - 0.9**self.turn))
-            self.model.p[name] -= g
+        scale *= np.float32(0.1)
+        even = np.sqrt(np.float32(1 - 0.99**self.turn))
+        rate = np.float32(self.rate / (1 - 0.9**self.turn)) * even
+        least = np.float32(1e-7) * even
+        for name, whole in grads.items():
+            arrays = [x.reshape(-1) for x in (whole, *self.moment[name], self.model.p[name])]
+            for first in range(0, whole.size, ADAM_AT_ONCE):
+                g, m, v, p = (x[first: first + ADAM_AT_ONCE] for x in arrays)
+                g *= scale
+                m *= np.float32(0.9)
+                m += g
+                g *= g
+                v *= np.float32(0.99)
+                v += g
+                np.sqrt(v, out=g)
+                g += least
+                np.divide(m, g, out=g)
+                g *= rate
+                p -= g
 
 
 def train(model: Model, tokens: np.ndarray, offsets: np.ndarray, epochs: int = 2, rate: float = 0.004, lanes: int = 64) -> Model:

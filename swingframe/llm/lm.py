@@ -35,6 +35,8 @@ from swingframe.llm.words import pieces, sums_by, word_hashes
 HEAD = 4096
 KNOWN = 1 << 18
 SAMPLE = 1200
+HASHED_AT_ONCE = 1 << 17  # bytes of text whose words are hashed at once, so that the running sums stay in cache
+COUNTED_AT_ONCE = 1 << 21  # tokens that a task counts together
 TOKENS_AT_ONCE = 1 << 21
 ROUNDS = 4
 LEARNER_TOKENS = 1 << 22  # training tokens of one task, over all rounds; more tokens, more tasks
@@ -55,34 +57,49 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in; words and their counts out, a word once for every COUNTED_AT_ONCE tokens."""
+    held: list[np.ndarray] = []
+
+    def counted() -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["word", "c"])
+
     for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(0)):
-            found, n = np.unique(tokens(data, offsets)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["word", "c"])
+        for _, _, data, offsets in pieces(batch.column(0), HASHED_AT_ONCE):
+            held.append(tokens(data, offsets)[0])
+            if sum(map(len, held)) >= COUNTED_AT_ONCE:
+                yield counted()
+    if held:
+        yield counted()
 
 
 class Lookup:
     """Rank of a word among the known ones (-1: unknown), by buckets of the low hash bits."""
 
-    BITS = 20
-
     def __init__(self, words: np.ndarray):
-        low = (words & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
-        self.order = np.argsort(low, kind="stable")
-        self.words = np.append(words[self.order], np.uint64(0))
-        self.order = np.append(self.order, -1)
-        counts = np.bincount(low, minlength=1 << self.BITS)
-        self.first = np.concatenate([[0], np.cumsum(counts)])
-        self.deepest = int(counts.max(initial=0))
+        self.bits = int(np.clip(len(words).bit_length() + 3, 10, 20))
+        low = self.low(words)
+        order = np.argsort(low, kind="stable")
+        self.words = np.append(words[order], np.uint64(0))
+        self.order = np.append(order, -1).astype(np.int32)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(low, minlength=1 << self.bits))]).astype(np.int32)
+
+    def low(self, words: np.ndarray) -> np.ndarray:
+        return (words & np.uint64((1 << self.bits) - 1)).view(np.int64)
 
     def __call__(self, words: np.ndarray) -> np.ndarray:
-        low = (words & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
-        at, stop = self.first[low], self.first[low + 1]
-        out = np.full(len(words), -1)
-        for _ in range(self.deepest):
-            hit = (at < stop) & (self.words[at] == words)
-            out[hit] = self.order[at[hit]]
-            at = np.minimum(at + 1, stop)
+        low = self.low(words)
+        at = self.first.take(low)
+        out = np.where(self.words.take(at) == words, self.order.take(at), -1)  # a word of another bucket never equals it
+        left = np.flatnonzero(out < 0)
+        left = left[at.take(left) + 1 < self.first.take(low.take(left) + 1)]
+        while len(left):
+            at[left] += 1
+            place, own = at.take(left), words.take(left)
+            hit = self.words.take(place) == own
+            out[left[hit]] = self.order.take(place[hit])
+            left = left[~hit & (place + 1 < self.first.take(low.take(left) + 1))]
         return out
 
 
@@ -135,7 +152,7 @@ def scored(scorer: Scorer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
                  pa.ListArray.from_arrays(pa.array(lists), pa.array(times))],
                 names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "words", "times"])
 
-        for first, last, data, offsets in pieces(batch.column(3)):
+        for first, last, data, offsets in pieces(batch.column(3), HASHED_AT_ONCE):
             texts = last - first
             hashed, ends = tokens(data, offsets)
             ranks = scorer.ranks(hashed)
@@ -178,7 +195,7 @@ def learned(scorer: Scorer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         held.clear()
 
     for batch in batches:
-        for _, _, data, offsets in pieces(batch.column(0)):
+        for _, _, data, offsets in pieces(batch.column(0), HASHED_AT_ONCE):
             hashed, ends = tokens(data, offsets)
             held.append((scorer.ids(lookup(hashed)), np.diff(ends)))
             if sum(len(x[0]) for x in held) >= LEARNT_AT_ONCE:

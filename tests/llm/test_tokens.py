@@ -222,3 +222,41 @@ def test_training_asks_for_its_memory_once():
     trainer.learn(ids[:200], offsets[:5], 4)
     assert {"gates", "states", "rows", "back", "word"} <= set(held)
     assert {k: v.ctypes.data for k, v in (trainer.room.held | trainer.grads).items()} == held
+
+
+def test_a_task_counts_a_word_once():
+    texts = pa.array([f"Same words again {k % 50} " * 2000 for k in range(60)])  # some 3 MB, more than a piece
+    rows = [r for b in lm.count_words(iter([pa.RecordBatch.from_arrays([texts], names=["text"])])) for r in b.to_pylist()]
+    assert len(rows) == len({r["word"] for r in rows}) == 3 + 50 + 1
+    assert sorted(r["c"] for r in rows)[-3:] == [120000] * 3 and sum(r["c"] for r in rows) == 60 * 8000 + 60
+
+
+def test_known_words_are_found_among_words_of_their_bucket():
+    words = np.array([5, 5 + (1 << 40), 5 + (1 << 41), 7, 7 + (1 << 50), 0], np.uint64)
+    lookup = lm.Lookup(words)
+    asked = np.array([7, 0, 5 + (1 << 41), 6, 5 + (1 << 42), 7 + (1 << 50), 5, 5 + (1 << 40), 1 << 60], np.uint64)
+    assert lookup(asked).tolist() == [3, 5, 2, -1, -1, 4, 0, 1, -1]
+    assert lm.Lookup(words[:0])(asked).tolist() == [-1] * 9
+
+
+def test_steps_and_logits_use_the_memory_of_those_before():
+    trainer, rng = gru.Trainer(small_model()), np.random.default_rng(8)
+    trainer.learn(rng.integers(0, 9, 400), np.arange(0, 401, 50), 4)
+    assert {"both", "logits", "total"} <= set(trainer.room.held)
+
+
+def test_a_large_weight_does_not_overflow():
+    model, rng = small_model(), np.random.default_rng(9)
+    model.p["word_bias"][1] += 200
+    model.p["class_bias"][2] += 300
+    h, target = rng.normal(size=(9, gru.HIDDEN)).astype(np.float32) * 0.5, np.arange(9)
+    table = model.table(gru.Room()).astype(float)
+    logits = np.hstack([h, np.ones((9, 1))]) @ table.T
+    logit = lambda rows: logits[:, rows] - np.log(np.exp(logits[:, rows] - logits[:, rows].max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) - logits[:, rows].max(axis=1, keepdims=True)
+    top, want = logit(slice(0, model.classes)), []
+    for k in target:
+        kind = model.kind[k]
+        a, b = (model.borders[kind], model.borders[kind + 1]) if kind < model.classes - 1 else (8, 9)
+        want.append(top[k, kind] + logit(slice(model.classes + a, model.classes + b))[k, k - a])
+    assert np.allclose(model.log_likelihood(h, target), want, rtol=1e-4, atol=1e-3)
+    assert np.isfinite(model.output_gradient(h, target, {k: np.zeros_like(v) for k, v in model.p.items()})).all()
