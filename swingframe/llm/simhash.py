@@ -171,7 +171,8 @@ def connected(nodes: DataFrame) -> DataFrame:
     members = nodes.select("fp", F.explode(places.rows("fp")).alias("p"), F.pmod(F.xxhash64("fp"), F.lit(1 << 52)).alias("luck"))
     members = members.select("fp", "p.place", "p.wanted", "p.below", "luck")
     shared = members.groupBy("place").agg(F.count("*").alias("size"), F.min("luck").alias("best")).filter("size > 1")
-    members = written(members.join(shared, "place"), "simhash-members")
+    # a merge join: both sides have rows for every place, but Spark sizes them as ``nodes``, as if not exploded, and would broadcast one
+    members = written(members.join(shared.hint("merge"), "place"), "simhash-members")
     component, reach = None, 1
     while True:
         if component is None:

@@ -116,3 +116,19 @@ def test_extra_columns_and_hot_texts(spark):
                                        "id AS fp", "id AS place", "id AS component_id")
     got = simhash.near_components(docs)
     assert got.columns == ["doc_id", "fingerprint", "component_id"] and got.filter("component_id = 0 AND doc_id % 3 = 0").count() == 300
+
+
+def test_members_of_places_are_not_broadcast(spark, monkeypatch):
+    """They are many times the fingerprints by whose file Spark sizes them."""
+    plans, written = {}, simhash.written
+
+    def noted(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(simhash, "written", noted)
+    docs = spark.range(60).selectExpr("id AS doc_id", "CONCAT('text ', id DIV 2, ' has some more words ', id) AS text")
+    rows = [(r.doc_id, plain_fingerprint(r.text)) for r in docs.collect()]
+    got = [(r.doc_id, r.fingerprint, r.component_id) for r in simhash.near_components(docs).collect()]
+    assert sorted(got) == sorted(plain_components(rows))
+    assert "Generate" in plans["simhash-members"] and "Broadcast" not in plans["simhash-members"]
